@@ -8,6 +8,7 @@ import uuid
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 import hitloom
 
@@ -45,3 +46,8 @@ def learnable(doc_id: str = "doc_id"):
 def held_out(doc_id: str = "doc_id"):
     """True for held-out rows; a null doc_id is in neither part and counts as not held out."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 3 == 1, F.lit(False))
+
+
+def with_fields(df: DataFrame, ddl: str) -> StructType:
+    """df's schema and the fields of ddl after it."""
+    return StructType([*df.schema.fields, *StructType.fromDDL(ddl).fields])
