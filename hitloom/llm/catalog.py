@@ -9,11 +9,12 @@ from .pieces import op2_pieces
 from .quality import op10_quality
 from .sharding import op7_sharding
 from .simhash import op4_simhash
+from .suffixes import op5_suffixes
 from .toxicity import op6_toxicity
 from .urls import URL_SQL, op9_urls
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_lines, op2_pieces, op3_decontaminate, op4_simhash, op6_toxicity, op7_sharding, op8_language, op9_urls, op10_quality)
+    for f in (op1_lines, op2_pieces, op3_decontaminate, op4_simhash, op5_suffixes, op6_toxicity, op7_sharding, op8_language, op9_urls, op10_quality)
 }
 SQL: dict[str, str] = {"op9_urls": URL_SQL}
