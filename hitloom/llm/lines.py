@@ -85,8 +85,8 @@ def templates(lines: DataFrame, docs: DataFrame) -> DataFrame:
     several = leaves.where("a != b and x != y").select("leaf")
     one = lines.join(several, "leaf").groupBy("leaf", "line").agg(F.min(F.struct("doc_id", "dh", "pos")).alias("one")).select("one.*")
     one = one.groupBy("doc_id", "dh").agg(F.collect_set("pos").alias("at"))
-    texts = docs.select(F.col("doc_id").alias("d"), F.col("dh").alias("h"), "text").dropDuplicates(["d", "h"])
-    texts = texts.join(one, F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("h") == F.col("dh"))).select("text", "at")
+    texts = docs.select(F.col("doc_id").alias("d"), F.col("dh").alias("h"), "text")
+    texts = texts.join(one, F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("h") == F.col("dh"))).dropDuplicates(["d", "h"]).select("text", "at")
     words = cut(texts.mapInArrow(_words, "leaf long, line long, place int, word long"))
     total = words.groupBy("leaf", "line").agg(F.bit_xor("word").alias("all"), F.count("*").alias("n"))
     wild = words.groupBy("leaf", "place", "word").agg(F.count("*").alias("n"), F.min("line").alias("line")).where("n = 1")

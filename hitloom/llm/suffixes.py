@@ -4,15 +4,17 @@ Every window of SPAN bytes is filed under its anchor, the leftmost of the least-
 equal anchors at equal places. A document gives a row for each anchor: the anchor's hash, a hash of the piece of text
 that the anchor's windows cover, and the place. Rows of one anchor and one piece are counted before they are shuffled:
 a piece that occurs twice is repeated as a whole. Only anchors with several different pieces need the texts, one of each
-piece: their suffixes are sorted, and windows next to each other in suffix order are compared.
+piece. Such pieces are cut once more, into STEP windows by their distance from the anchor: all windows of a cut share a
+core, and only cuts of equal cores can hold equal windows. Where the texts around a core differ, the suffixes of these
+texts are sorted, the core standing as one symbol, and windows next to each other in suffix order are compared.
 
 The suffix order is built by grouping: suffixes start in groups by symbol; groups are taken in descending order, and each
 member is counted at the nearest suffix before it that isn't taken yet, which then moves up to a group of its own, its
 Lyndon prefix extended by the taken group's. Once all are taken, the groups are in order, and one ascending pass puts
 the members of each in order, following the same pointers: no recursion, no renaming.
 
-An anchor with more than HOT_PIECES different pieces would be too much for one task: the windows of its pieces are
-counted by their own 128-bit hashes instead, which spreads and combines whatever the group's size.
+A core with more than HOT_PIECES different surroundings would be too much for one task: its windows are counted by their
+own 128-bit hashes instead, which spreads and combines whatever the group's size.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ from pyspark.sql import functions as F
 
 from .common import cut, read, with_fields
 
-SPAN, Q = 400, 128
+SPAN, Q, STEP = 400, 128, 32
 HOT_PIECES, BATCH = 1500, 1 << 17
 BLOCK = 1 << 20
 _RNG = np.random.default_rng(2024)
@@ -189,12 +191,12 @@ def suffix_array(s: list[int]) -> list[int]:
     return order[1:]
 
 
-def repeated_windows(pieces: list[tuple[int, bytes, bytes, int]], span: int, q: int) -> list[np.ndarray]:
-    """pieces (anchor, text before it, text after it, windows) -> for each, the ranges of windows that another place has.
+def repeated_windows(pieces: list[tuple[int, bytes, bytes, int]], width: int) -> list[np.ndarray]:
+    """pieces (core, text before it, text after it, windows) -> for each, the ranges of windows that another place has.
 
-    An anchor stands as one symbol, so a window of span bytes is span - q + 1 symbols. Each piece ends in a symbol of its own.
+    A core stands as one symbol, and a window is `width` symbols. Each piece ends in a symbol of its own.
     """
-    symbols, starts, width = [], [], span - q + 1
+    symbols, starts = [], []
     name = {h: 256 + k for k, h in enumerate(dict.fromkeys(p[0] for p in pieces))}
     last = 256 + len(name)
     usable = []
@@ -223,28 +225,37 @@ def repeated_windows(pieces: list[tuple[int, bytes, bytes, int]], span: int, q:
     return out
 
 
-def _fetch(batches: Iterator[pa.RecordBatch], span: int, q: int) -> Iterator[pa.RecordBatch]:
-    """(doc_id, dh, data, wanted) -> the wanted pieces' texts before and after their anchors."""
-    names = ["doc_id", "dh", "a", "h", "cnt", "hot", "w", "lead", "tail"]
+def signed(data: bytes) -> int:
+    return int.from_bytes(xxhash.xxh3_64_digest(data), "little", signed=True)
+
+
+def _cuts(batches: Iterator[pa.RecordBatch], span: int, step: int) -> Iterator[pa.RecordBatch]:
+    """(doc_id, dh, data, wanted) -> the wanted pieces' cuts: hashes of core (h) and surroundings (ph), and the surroundings."""
+    names = ["doc_id", "dh", "a", "w", "cnt", "h", "ph", "lead", "tail"]
     for batch in batches:
         out: list[list] = [[] for _ in names]
         for doc_id, dh, data, wanted in zip(*(batch.column(c) for c in ("doc_id", "dh", "data", "wanted")), strict=True):
-            data = data.as_py()
+            doc_id, dh, data = doc_id.as_py(), dh.as_py(), data.as_py()
             for x in wanted.as_py():
-                a, at = x["a"], x["a"] + x["off"]
-                for column, value in zip(out, (doc_id.as_py(), dh.as_py(), a, x["h"], x["cnt"], x["hot"], x["w"], data[a:at], data[at + q : a + x["w"] + span - 1]), strict=True):
-                    column.append(value)
-        types = [batch.schema.field("doc_id").type, pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.binary(), pa.binary()]
+                at, most, least = x["a"] + x["off"], x["off"], x["off"] - x["w"] + 1
+                for k in range(least // step, most // step + 1):
+                    first, last = at - min(most, k * step + step - 1), at - max(least, k * step)
+                    lo, hi = at - k * step, at - k * step - step + 1 + span
+                    lead, tail = data[first:lo], data[hi : last + span]
+                    h = signed(b"%d %d " % (x["h"], k) + data[lo:hi])
+                    for column, value in zip(out, (doc_id, dh, first, last - first + 1, x["cnt"], h, signed(b"%d " % len(lead) + lead + tail), lead, tail), strict=True):
+                        column.append(value)
+        types = [batch.schema.field("doc_id").type, pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], names)
 
 
-def _sorted(batches: Iterator[pa.RecordBatch], span: int, q: int) -> Iterator[pa.RecordBatch]:
-    """Pieces in order of h -> ranges of repeated windows (doc_id, dh, a, w) of the pieces that occur once."""
+def _sorted(batches: Iterator[pa.RecordBatch], step: int) -> Iterator[pa.RecordBatch]:
+    """Cuts in order of h -> ranges of repeated windows (doc_id, dh, a, w) of the cuts that occur once."""
     kind = None
 
     def solve(rows):
         out: list[list] = [[], [], [], []]
-        for r, found in zip(rows, repeated_windows([(r[3], r[5], r[6], r[4]) for r in rows], span, q), strict=True):
+        for r, found in zip(rows, repeated_windows([(r[3], r[5], r[6], r[4]) for r in rows], step), strict=True):
             if r[7] == 1:
                 for lo, hi in found.tolist():
                     for column, value in zip(out, (r[0], r[1], r[2] + lo, hi - lo), strict=True):
@@ -269,45 +280,52 @@ def _sorted(batches: Iterator[pa.RecordBatch], span: int, q: int) -> Iterator[pa
         yield solve(rows)
 
 
-def _windows(batches: Iterator[pa.RecordBatch], span: int, q: int) -> Iterator[pa.RecordBatch]:
-    """Pieces of hot anchors -> a 128-bit hash of each window's bytes around the anchor, and its place."""
+def _windows(batches: Iterator[pa.RecordBatch], step: int) -> Iterator[pa.RecordBatch]:
+    """Cuts of hot cores -> a 128-bit hash of each window's bytes around the core, and its place."""
     names = ["doc_id", "dh", "a", "h", "cnt", "w1", "w2"]
     for batch in batches:
-        for whole in range(0, batch.num_rows, 200):
-            part = batch.slice(whole, 200)
+        for whole in range(0, batch.num_rows, 1000):
+            part = batch.slice(whole, 1000)
             out: list[list] = [[] for _ in names]
             for doc_id, dh, a, h, cnt, w, lead, tail in zip(*(part.column(c).to_pylist() for c in ("doc_id", "dh", "a", "h", "cnt", "w", "lead", "tail")), strict=True):
                 text, at = lead + tail, len(lead)
                 for t in range(w):
-                    d = xxhash.xxh3_128_digest(text[t : t + span - q] + (at - t).to_bytes(4, "little"))
+                    d = xxhash.xxh3_128_digest(text[t : t + step - 1] + (at - t).to_bytes(4, "little"))
                     for column, value in zip(out, (doc_id, dh, a + t, h, cnt, int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True)), strict=True):
                         column.append(value)
             types = [part.schema.field("doc_id").type, pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], names)
 
 
-def repeated_ranges(docs: DataFrame, span: int = SPAN, q: int = Q, hot_pieces: int = HOT_PIECES) -> DataFrame:
+def repeated_ranges(docs: DataFrame, span: int = SPAN, q: int = Q, step: int = STEP, hot_pieces: int = HOT_PIECES) -> DataFrame:
     """docs (doc_id, dh, data) -> (doc_id, dh, a, w): runs of w window starts from a whose strings start elsewhere too."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
+    ranges = ["doc_id", "dh", "a", "w"]
     rows = cut(docs.mapInArrow(partial(_anchor_rows, span=span, q=q), f"doc_id {id_type}, dh long, h long, ph long, a int, w int, off int, n int"))
-    own = rows.where("h is null").select("doc_id", "dh", "a", "w")
+    own = rows.where("h is null").select(ranges)
     rows = rows.where("h is not null")
     several = rows.groupBy("h").agg(F.sum("n").alias("c")).where("c > 1").select("h")
     rows = cut(rows.join(several, "h"))
     pieces = cut(rows.groupBy("h", "ph").agg(F.sum("n").alias("cnt"), F.min(F.struct("doc_id", "dh", "a", "w", "off")).alias("one")))
-    whole = rows.join(pieces.where("cnt > 1").select("h", "ph"), ["h", "ph"]).select("doc_id", "dh", "a", "w")
-    kinds = pieces.groupBy("h").agg(F.count("*").alias("kinds")).where("kinds > 1")
-    wanted = pieces.join(kinds, "h").select("one.doc_id", "one.dh", F.struct("one.a", "one.w", "one.off", "h", "cnt", (F.col("kinds") > hot_pieces).alias("hot")).alias("x"))
+    whole = rows.join(pieces.where("cnt > 1").select("h", "ph"), ["h", "ph"]).select(ranges)
+
+    kinds = pieces.groupBy("h").agg(F.count("*").alias("kinds")).where("kinds > 1").select("h")
+    wanted = pieces.join(kinds, "h").select("one.doc_id", "one.dh", F.struct("one.a", "one.w", "one.off", "h", "cnt").alias("x"))
     wanted = wanted.groupBy("doc_id", "dh").agg(F.collect_list("x").alias("wanted")).withColumnsRenamed({"doc_id": "d", "dh": "k"})
-    texts = docs.dropDuplicates(["doc_id", "dh"]).join(wanted, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("dh") == F.col("k"))).select("doc_id", "dh", "data", "wanted")
-    texts = cut(texts.mapInArrow(partial(_fetch, span=span, q=q), f"doc_id {id_type}, dh long, a int, h long, cnt long, hot boolean, w int, lead binary, tail binary"))
-    ranges = f"doc_id {id_type}, dh long, a int, w int"
-    parts = docs.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    part = texts.where("not hot").repartition(int(parts), "h").sortWithinPartitions("h").mapInArrow(partial(_sorted, span=span, q=q), ranges)
-    windows = cut(texts.where("hot").mapInArrow(partial(_windows, span=span, q=q), f"doc_id {id_type}, dh long, a int, h long, cnt long, w1 long, w2 long"))
-    twice = windows.groupBy("h", "w1", "w2").agg(F.count("*").alias("c")).where("c > 1")
-    hot = windows.where("cnt = 1").join(twice.drop("c"), ["h", "w1", "w2"]).select("doc_id", "dh", "a", F.lit(1).alias("w"))
-    return own.unionByName(whole).unionByName(part).unionByName(hot)
+    texts = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("dh") == F.col("k"))).dropDuplicates(["doc_id", "dh"]).select("doc_id", "dh", "data", "wanted")
+    cuts = cut(texts.mapInArrow(partial(_cuts, span=span, step=step), f"doc_id {id_type}, dh long, a int, w int, cnt long, h long, ph long, lead binary, tail binary"))
+
+    around = cut(cuts.groupBy("h", "ph").agg(F.sum("cnt").alias("all"), F.min(F.struct("doc_id", "dh", "a", "w", "lead", "tail")).alias("one")))
+    same = cuts.where("cnt = 1").join(around.where("all > 1").select("h", "ph"), ["h", "ph"]).select(ranges)
+    kinds = around.groupBy("h").agg(F.count("*").alias("kinds")).where("kinds > 1")
+    open_ = cut(around.join(kinds, "h").select("h", "kinds", F.col("all").alias("cnt"), "one.*"))
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    few = open_.where(F.col("kinds") <= hot_pieces).repartition(parts, "h").sortWithinPartitions("h")
+    part = few.mapInArrow(partial(_sorted, step=step), f"doc_id {id_type}, dh long, a int, w int")
+    windows = cut(open_.where(F.col("kinds") > hot_pieces).mapInArrow(partial(_windows, step=step), f"doc_id {id_type}, dh long, a int, h long, cnt long, w1 long, w2 long"))
+    twice = windows.groupBy("h", "w1", "w2").agg(F.count("*").alias("c")).where("c > 1").drop("c")
+    hot = windows.where("cnt = 1").join(twice, ["h", "w1", "w2"]).select("doc_id", "dh", "a", F.lit(1).alias("w"))
+    return own.unionByName(whole).unionByName(same).unionByName(part).unionByName(hot)
 
 
 def _strip(batches: Iterator[pa.RecordBatch], span: int) -> Iterator[pa.RecordBatch]:
@@ -325,7 +343,7 @@ def _strip(batches: Iterator[pa.RecordBatch], span: int) -> Iterator[pa.RecordBa
         yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in rest), pa.array([len(x.as_py() or b"") for x in batch.column("data")], pa.int64()), pa.array(spans, kind), pa.array(kept, pa.binary())], [*rest, "n_bytes", "spans", "kept"])
 
 
-def remove_repeats(docs: DataFrame, span: int = SPAN, q: int = Q, hot_pieces: int = HOT_PIECES) -> DataFrame:
+def remove_repeats(docs: DataFrame, span: int = SPAN, q: int = Q, step: int = STEP, hot_pieces: int = HOT_PIECES) -> DataFrame:
     """doc_id, n_bytes, spans (start and end of the removed runs) and kept (the bytes left) of each document.
 
     Bytes are removed wherever a string of `span` bytes covers them that also starts elsewhere, in this document or
@@ -333,7 +351,7 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, q: int = Q, hot_pieces: in
     their own, and so repeat each other. Extra columns are left out; an empty table gives no rows.
     """
     docs = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("dh"), F.col("text").cast("binary").alias("data"))
-    found = repeated_ranges(docs, span, q, hot_pieces).groupBy("doc_id", "dh").agg(F.collect_list(F.struct("a", "w")).alias("ranges")).withColumnsRenamed({"doc_id": "d", "dh": "k"})
+    found = repeated_ranges(docs, span, q, step, hot_pieces).groupBy("doc_id", "dh").agg(F.collect_list(F.struct("a", "w")).alias("ranges")).withColumnsRenamed({"doc_id": "d", "dh": "k"})
     joined = docs.join(found, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("dh") == F.col("k")), "left").select("doc_id", "data", "ranges")
     return joined.mapInArrow(partial(_strip, span=span), with_fields(joined.select("doc_id"), "n_bytes long, spans array<struct<start:int,end:int>>, kept binary"))
 

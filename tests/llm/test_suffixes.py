@@ -52,7 +52,7 @@ def corpus(rng, size):
 def test_remove_repeats(spark, hot):
     rows = corpus(random.Random(8), 60)
     docs = spark.createDataFrame([(i, t, b"clash", "clash") for i, t in rows], "doc_id long, text string, data binary, spans string")
-    got = [(r.doc_id, r.n_bytes, [(s.start, s.end) for s in r.spans], bytes(r.kept)) for r in suffixes.remove_repeats(docs, span=60, q=20, hot_pieces=hot).collect()]
+    got = [(r.doc_id, r.n_bytes, [(s.start, s.end) for s in r.spans], bytes(r.kept)) for r in suffixes.remove_repeats(docs, span=60, q=20, step=16, hot_pieces=hot).collect()]
     assert sorted(got, key=str) == sorted(plain(rows, 60), key=str)
     assert any(s for _, _, s, _ in got)
 
