@@ -52,13 +52,13 @@ def fingerprint(data: bytes | None, k: int = SHINGLE) -> int:
 def _fingerprints(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         found = np.array([fingerprint(x.as_py(), k) for x in batch.column("data")], np.uint64).view(np.int64)
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found)], ["doc_id", "fp"])
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_hash"), pa.array(found)], ["doc_id", "text_hash", "fp"])
 
 
 def fingerprints(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
-    """doc_id and fp (the fingerprint as a signed long) of each document."""
-    docs = docs.select("doc_id", F.col("text").cast("binary").alias("data"))
-    return docs.mapInArrow(partial(_fingerprints, k=k), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, fp long")
+    """doc_id, text_hash and fp (the fingerprint as a signed long) of each document."""
+    docs = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.col("text").cast("binary").alias("data"))
+    return docs.mapInArrow(partial(_fingerprints, k=k), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, text_hash long, fp long")
 
 
 def _split(keys: np.ndarray, lo: np.ndarray, hi: np.ndarray, bit: int) -> np.ndarray:
@@ -177,8 +177,8 @@ def trie_links(distinct: DataFrame, budget: int = BUDGET, hot_node: int = HOT_NO
     return rows.repartition("rot", "block", "ca", "cb").mapInArrow(partial(_links, budget=budget, width=width), "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, k: int = SHINGLE, budget: int = BUDGET, hot_node: int = HOT_NODE) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits) and component_id (the least doc_id reachable) of each document.
+def grouped(docs: DataFrame, k: int = SHINGLE, budget: int = BUDGET, hot_node: int = HOT_NODE) -> DataFrame:
+    """doc_id, text_hash, fp, root (the least fingerprint of the group) and component_id (its least doc_id) of each row.
 
     Texts without words, null ones included, have fingerprint zero and are linked like any other. Repeated rows stay.
     A null doc_id never names a component, unless the component has no other. An empty table gives no rows.
@@ -188,8 +188,21 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, budget: int = BUDGET, hot
     roots = cut(components(trie_links(classes.select("fp"), budget, hot_node))).withColumnRenamed("node", "fp")
     least = classes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     named = least.groupBy("root").agg(F.min("least").alias("component_id"))
-    of = least.join(named, "root").select("fp", "component_id")
-    return prints.join(of, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return prints.join(least.join(named, "root").select("fp", "root", "component_id"), "fp")
+
+
+def near_duplicates(docs: DataFrame, k: int = SHINGLE, budget: int = BUDGET, hot_node: int = HOT_NODE) -> DataFrame:
+    """doc_id, fingerprint (16 hex digits) and component_id (the least doc_id reachable) of each document, as grouped()."""
+    return grouped(docs, k, budget, hot_node).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def one_of_each(docs: DataFrame, k: int = SHINGLE, budget: int = BUDGET, hot_node: int = HOT_NODE) -> DataFrame:
+    """The rows of docs that stay: of each group the one with the least doc_id (nulls last), then the least hash of its text."""
+    rows = cut(grouped(docs, k, budget, hot_node))
+    keep = rows.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id").alias("id"), F.col("text_hash").alias("h"))).alias("x")).select("x.id", "x.h")
+    kept = docs.join(keep, F.col("doc_id").eqNullSafe(F.col("id")) & (F.xxhash64("text") == F.col("h")), "left_semi")
+    again = rows.groupBy("doc_id", "text_hash").count().where("count > 1").limit(1).count()
+    return kept.dropDuplicates(["doc_id", "text"]) if again else kept
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
