@@ -1,10 +1,14 @@
 """Line dedup by a log-template tree: fixed-depth parsing, wildcards for variable fields, recurring templates dropped.
 
 A line's leaf is its number of words and its first LEADING words; words with a digit count as a wildcard from the start.
-Within a leaf, a word is variable if no other distinct line of the leaf has it at that place. A line's template is its
-words with variable ones generalised, provided that at least half of its words remain; else it is the line itself.
-A template that occurs in MIN_DOCS documents or more is dropped from all but the one with the least doc_id. Lines of
-fewer than MIN_WORDS words are left alone, as they coincide by chance.
+A line is cut into FIELDS fields of (nearly) as many words each, single words where it has no more than FIELDS. Within a
+leaf, a field is variable if no other distinct line of the leaf has it at that place. A line's template is its fields
+with variable ones generalised, provided that at least half of them remain; else it is the line itself. A template that
+occurs in several documents is dropped from all but the one with the least doc_id. Lines of fewer than MIN_WORDS words
+are left alone, as they coincide by chance.
+
+Only hashes of lines and fields are shuffled and counted, a distinct line once; texts move once, to meet the positions
+that they lose.
 """
 
 from __future__ import annotations
@@ -19,9 +23,8 @@ from pyspark.sql import functions as F
 
 from .common import cut, read
 
-LEADING, MIN_WORDS, MIN_DOCS = 3, 4, 2
+LEADING, MIN_WORDS, FIELDS = 3, 4, 8
 DIGIT = re.compile("[0-9]")
-ROWS = 1 << 16
 
 
 def masked(line: str) -> list[str]:
@@ -38,40 +41,29 @@ def leaf_of(words: list[str]) -> int:
     return h64(f"{len(words)} {' '.join(words[:LEADING])}")
 
 
+def fields_of(words: list[str]) -> list[str]:
+    n, k = len(words), min(len(words), FIELDS)
+    return [" ".join(words[i * n // k : (i + 1) * n // k]) for i in range(k)]
+
+
 def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, dh, text) -> (doc_id, dh, pos, leaf, line) of each line of MIN_WORDS words or more."""
-    names = ["doc_id", "dh", "pos", "leaf", "line"]
+    """(doc_id, dh, text) -> (doc_id, dh, at, leaf, line, fields) of each distinct line of MIN_WORDS words or more."""
+    names = ["doc_id", "dh", "at", "leaf", "line", "fields"]
     for batch in batches:
         out: list[list] = [[] for _ in names]
-        for doc_id, dh, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "dh", "text")), strict=True):
-            for pos, line in enumerate((text or "").split("\n")):
+        for doc_id, dh, text in zip(*(batch.column(c) for c in ("doc_id", "dh", "text")), strict=True):
+            own: dict[int, list[int]] = {}
+            for pos, line in enumerate((text.as_py() or "").split("\n")):
                 words = masked(line)
                 if len(words) >= MIN_WORDS:
-                    for column, value in zip(out, (doc_id, dh, pos, leaf_of(words), h64(" ".join(words))), strict=True):
-                        column.append(value)
-        yield pa.RecordBatch.from_arrays([pa.array(out[0], batch.schema.field("doc_id").type), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int32()), pa.array(out[3], pa.int64()), pa.array(out[4], pa.int64())], names)
-
-
-def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(text, at) -> (leaf, line, place, word) of each word of the lines at the positions `at`."""
-    def rows(out):
-        return pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int32()), pa.array(out[3], pa.int64())], ["leaf", "line", "place", "word"])
-
-    out: list[list] = [[], [], [], []]
-    for batch in batches:
-        for text, at in zip(batch.column("text").to_pylist(), batch.column("at").to_pylist(), strict=True):
-            lines = text.split("\n")
-            for pos in at:
-                words = masked(lines[pos])
-                n = len(words)
-                out[0] += [leaf_of(words)] * n
-                out[1] += [h64(" ".join(words))] * n
-                out[2] += range(n)
-                out[3] += [h64(f"{i} {w}") for i, w in enumerate(words)]
-                if len(out[0]) >= ROWS:
-                    yield rows(out)
-                    out = [[], [], [], []]
-    yield rows(out)
+                    at = own.setdefault(h := h64(" ".join(words)), [])
+                    if not at:
+                        fields = [xxhash.xxh32_intdigest(x) - (1 << 31) for x in fields_of(words)]
+                        for column, value in zip(out, (doc_id.as_py(), dh.as_py(), at, leaf_of(words), h, fields), strict=True):
+                            column.append(value)
+                    at.append(pos)
+        types = [batch.schema.field("doc_id").type, pa.int64(), pa.list_(pa.int32()), pa.int64(), pa.int64(), pa.list_(pa.int32())]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], names)
 
 
 def keyed(docs: DataFrame) -> DataFrame:
@@ -79,43 +71,41 @@ def keyed(docs: DataFrame) -> DataFrame:
     return docs.withColumn("dh", F.xxhash64("doc_id", "text"))
 
 
-def templates(lines: DataFrame, docs: DataFrame) -> DataFrame:
-    """(leaf, line, template) of the distinct lines of leaves with several lines, where a word was generalised."""
-    leaves = lines.groupBy("leaf").agg(F.min("line").alias("a"), F.max("line").alias("b"), F.min("dh").alias("x"), F.max("dh").alias("y"))
-    several = leaves.where("a != b and x != y").select("leaf")
-    one = lines.join(several, "leaf").groupBy("leaf", "line").agg(F.min(F.struct("doc_id", "dh", "pos")).alias("one")).select("one.*")
-    one = one.groupBy("doc_id", "dh").agg(F.collect_set("pos").alias("at"))
-    texts = docs.select(F.col("doc_id").alias("d"), F.col("dh").alias("h"), "text")
-    texts = texts.join(one, F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("h") == F.col("dh"))).dropDuplicates(["d", "h"]).select("text", "at")
-    words = cut(texts.mapInArrow(_words, "leaf long, line long, place int, word long"))
-    total = words.groupBy("leaf", "line").agg(F.bit_xor("word").alias("all"), F.count("*").alias("n"))
-    wild = words.groupBy("leaf", "place", "word").agg(F.count("*").alias("n"), F.min("line").alias("line")).where("n = 1")
-    wild = wild.groupBy("leaf", "line").agg(F.bit_xor("word").alias("gone"), F.count("*").alias("wild"))
+def templates(distinct: DataFrame) -> DataFrame:
+    """distinct lines (leaf, line, fields, x, y) -> (leaf, line, template) of the lines of which a field is generalised.
+
+    x and y are the least and greatest hash of a line's documents; a leaf within one document needs no templates.
+    """
+    several = distinct.groupBy("leaf").agg(F.min("line").alias("a"), F.max("line").alias("b"), F.min("x").alias("x"), F.max("y").alias("y")).where("a != b and x != y").select("leaf")
+    fields = distinct.join(several, "leaf").select("leaf", "line", F.posexplode("fields").alias("place", "field"))
+    fields = cut(fields.withColumn("hash", F.xxhash64("place", "field")))
+    total = fields.groupBy("leaf", "line").agg(F.bit_xor("hash").alias("all"), F.count("*").alias("n"))
+    wild = fields.groupBy("leaf", "place", "field").agg(F.count("*").alias("n"), F.min("line").alias("line"), F.min("hash").alias("hash")).where("n = 1")
+    wild = wild.groupBy("leaf", "line").agg(F.bit_xor("hash").alias("gone"), F.count("*").alias("wild"))
     return total.join(wild, ["leaf", "line"]).where("2 * wild <= n").select("leaf", "line", F.xxhash64(F.col("all").bitwiseXOR(F.col("gone")), "wild").alias("template"))
 
 
-def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
+def recurring_lines(docs: DataFrame) -> DataFrame:
     """(doc_id, dh, at): the line positions to drop from each document of keyed()."""
-    lines = cut(docs.select("doc_id", "dh", "text").mapInArrow(_lines, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, dh long, pos int, leaf long, line long"))
-    found = cut(templates(lines, docs))
-    repeated = lines.groupBy("leaf").agg(F.min("dh").alias("x"), F.max("dh").alias("y")).where("x != y").select("leaf")
-    of = lines.join(repeated, "leaf").join(found, ["leaf", "line"], "left").withColumn("template", F.coalesce("template", "line"))
-    each = of.groupBy("leaf", "template", "doc_id", "dh").agg(F.collect_set("pos").alias("at"))
-    each = cut(each)
-    first = each.groupBy("leaf", "template").agg(F.count("*").alias("docs"), F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("dh"))).alias("first")).where(F.col("docs") >= min_docs)
-    first = first.select("leaf", "template", F.col("first.dh").alias("first_dh"))
-    later = each.join(first, ["leaf", "template"]).where("dh != first_dh")
-    return later.groupBy("doc_id", "dh").agg(F.flatten(F.collect_list("at")).alias("at"))
-
-
-def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+    lines = cut(docs.select("doc_id", "dh", "text").mapInArrow(_lines, f"doc_id {id_type}, dh long, at array<int>, leaf long, line long, fields array<int>"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "dh"))
+    distinct = cut(lines.groupBy("leaf", "line", "fields").agg(F.min("dh").alias("x"), F.max("dh").alias("y"), first.alias("first")))
+    own = cut(distinct.join(templates(distinct), ["leaf", "line"], "left").select("leaf", "line", F.coalesce("template", "line").alias("template"), "x", "y", "first"))
+    recurring = own.groupBy("leaf", "template").agg(F.min("x").alias("x"), F.max("y").alias("y"), F.min("first").alias("first")).where("x != y")
+    drop = own.select("leaf", "line", "template").join(recurring.select("leaf", "template", F.col("first.dh").alias("keep")), ["leaf", "template"])
+    later = lines.select("doc_id", "dh", "at", "leaf", "line").join(drop, ["leaf", "line"]).where("dh != keep")
+    return later.groupBy("doc_id", "dh").agg(F.array_distinct(F.flatten(F.collect_list("at"))).alias("at"))
+
+
+def dedup_lines(docs: DataFrame) -> DataFrame:
     """docs with recurring lines taken out of text, and n_dropped (lines).
 
     Rows and other columns stay; a document can end up with an empty text. Null and empty texts stay as they are, and
     rows equal in doc_id and text are one document. A null doc_id comes after all others in the choice of the first.
     """
     docs = keyed(docs.drop("dh", "n_dropped", "at"))
-    drop = recurring_lines(docs, min_docs).select(F.col("doc_id").alias("drop_id"), F.col("dh").alias("drop_dh"), "at")
+    drop = recurring_lines(docs).select(F.col("doc_id").alias("drop_id"), F.col("dh").alias("drop_dh"), "at")
     joined = docs.join(drop, F.col("doc_id").eqNullSafe(F.col("drop_id")) & (F.col("dh") == F.col("drop_dh")), "left")
     lines = F.split("text", "\n", -1)
     kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("at"))

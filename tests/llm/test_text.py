@@ -23,7 +23,7 @@ def prose(rng, n, stem=""):
 # --- lines
 
 
-def plain_dedup(rows, min_docs=2):
+def plain_dedup(rows):
     """The same templates in plain Python."""
     parsed = {(i, t): [(p, lines.masked(x)) for p, x in enumerate((t or "").split("\n"))] for i, t in rows}
     leaf = lambda w: (len(w), tuple(w[:3]))
@@ -40,9 +40,10 @@ def plain_dedup(rows, min_docs=2):
     template = {}
     for k, several in distinct.items():
         for w in several:
-            wild = [sum(v[i] == w[i] for v in several) == 1 for i in range(len(w))]
-            shared = len(several) > 1 and len(docs_of[k]) > 1 and any(wild) and 2 * sum(wild) <= len(w)
-            template[w] = tuple("*" if x and shared else y for x, y in zip(wild, w)) if shared else w
+            own, all_ = lines.fields_of(list(w)), [lines.fields_of(list(v)) for v in several]
+            wild = [sum(v[i] == own[i] for v in all_) == 1 for i in range(len(own))]
+            shared = len(several) > 1 and len(docs_of[k]) > 1 and any(wild) and 2 * sum(wild) <= len(own)
+            template[w] = (len(w), *("*" if x else y for x, y in zip(wild, own))) if shared else w
     where = {}
     for key, found in parsed.items():
         for _, w in found:
@@ -57,7 +58,7 @@ def plain_dedup(rows, min_docs=2):
         for line, (_, w) in zip(t.split("\n"), parsed[i, t], strict=True):
             held = where.get(template.get(tuple(w)), ())
             first = min(held, key=lambda k: (k[0] is None, k[0] or 0)) if held else None
-            if not (len(held) >= min_docs and (i, t) != first):
+            if not (len(held) > 1 and (i, t) != first):
                 kept.append(line)
         out.append((i, "\n".join(kept), len(t.split("\n")) - len(kept)))
     return out
