@@ -52,7 +52,7 @@ def _pcoa(pdf: pd.DataFrame) -> pd.DataFrame:
 def pcoa(distances: DataFrame) -> DataFrame:
     """Two principal coordinates of each sample. The matrix of a cohort (samples squared) is one group; signs are fixed."""
     schema = "sample string, axis1 double, axis2 double, explained1 double, explained2 double"
-    return distances.groupBy(F.lit(1)).applyInPandas(_pcoa, schema)
+    return distances.withColumn("all", F.lit(1)).groupBy("all").applyInPandas(_pcoa, schema)
 
 
 def permanova(distances: DataFrame, groups: DataFrame, permutations: int = 999, seed: int = 0) -> DataFrame:
@@ -145,7 +145,7 @@ def top_n_other(rows: DataFrame, label: str, value: str, n: int, by_max: bool =
 def taxa_overlap(rows: DataFrame, first: str, second: str) -> DataFrame:
     """One row: taxa found in the first group only, in both, in the second only."""
     flags = rows.where("reads > 0").groupBy("taxid").agg(F.bool_or(F.col("group") == first).alias("a"), F.bool_or(F.col("group") == second).alias("b"))
-    return flags.agg(F.count_if("a and not b").alias("first_only"), F.count_if("a and b").alias("shared"), F.count_if("b and not a").alias("second_only"))
+    return flags.agg(F.count_if(F.expr("a and not b")).alias("first_only"), F.count_if(F.expr("a and b")).alias("shared"), F.count_if(F.expr("b and not a")).alias("second_only"))
 
 
 def zero_fill_manifest(manifest: DataFrame, detections: DataFrame, columns: list[str]) -> DataFrame:
@@ -232,13 +232,14 @@ def differential_abundance(matrix: DataFrame, groups: DataFrame, case: str, min_
     difference of the groups' means.
     """
     total = Window.partitionBy("sample")
-    rows = matrix.withColumn("share", F.col("value") / F.sum("value").over(total)).join(groups.select("sample", (F.col("group") == case).cast("int").alias("x")), "sample")
+    share = F.coalesce(F.try_divide("value", F.sum("value").over(total)), F.lit(0.0))
+    rows = matrix.withColumn("share", share).join(groups.select("sample", (F.col("group") == case).cast("int").alias("x")), "sample")
     f = Window.partitionBy("feature")
     rows = rows.withColumn("prevalence", F.avg((F.col("value") > 0).cast("double")).over(f)).withColumn("least", F.min(F.when(F.col("share") > 0, F.col("share"))).over(f)).where(F.col("prevalence") >= min_prevalence)
     rows = rows.withColumn("y", F.log2(F.when(F.col("share") > 0, F.col("share")).otherwise(F.col("least") / 2)))
     s = rows.groupBy("feature").agg(*[a for g in (0, 1) for a in (F.count_if(F.col("x") == g).alias(f"n{g}"), F.avg(F.when(F.col("x") == g, F.col("y"))).alias(f"m{g}"), F.var_pop(F.when(F.col("x") == g, F.col("y"))).alias(f"v{g}"))], F.first("prevalence").alias("prevalence"))
     df = F.col("n0") + F.col("n1") - 2
-    se = F.sqrt((F.col("v0") * F.col("n0") + F.col("v1") * F.col("n1")) / df * (1 / F.col("n0") + 1 / F.col("n1")))
+    se = F.sqrt(F.try_divide(F.col("v0") * F.col("n0") + F.col("v1") * F.col("n1"), df) * (1 / F.col("n0") + 1 / F.col("n1")))
     s = s.where("n0 > 0 and n1 > 0").withColumn("slope", F.col("m1") - F.col("m0")).withColumn("t", F.when(se > 0, F.col("slope") / se)).withColumn("p_value", t_two_sided(F.col("t"), df.cast("double")))
     return bh_fdr(s.select("feature", "prevalence", "slope", "t", "p_value"))
 
@@ -246,7 +247,7 @@ def differential_abundance(matrix: DataFrame, groups: DataFrame, case: str, min_
 def differential_prevalence(matrix: DataFrame, groups: DataFrame, case: str) -> DataFrame:
     """Per feature: 2 x 2 counts of presence, log odds ratio (with 0.5 added to each), its Wald z, p_value and q_value."""
     rows = matrix.join(groups, "sample").withColumn("there", F.col("value") > 0).withColumn("in_case", F.col("group") == case)
-    s = rows.groupBy("feature").agg(F.count_if("in_case and there").alias("a"), F.count_if("in_case and not there").alias("b"), F.count_if("not in_case and there").alias("c"), F.count_if("not in_case and not there").alias("d"))
+    s = rows.groupBy("feature").agg(F.count_if(F.expr("in_case and there")).alias("a"), F.count_if(F.expr("in_case and not there")).alias("b"), F.count_if(F.expr("not in_case and there")).alias("c"), F.count_if(F.expr("not in_case and not there")).alias("d"))
     h = {k: F.col(k) + 0.5 for k in "abcd"}
     s = s.withColumn("log_odds", F.log(h["a"] * h["d"] / (h["b"] * h["c"]))).withColumn("z", F.col("log_odds") / F.sqrt(1 / h["a"] + 1 / h["b"] + 1 / h["c"] + 1 / h["d"]))
     return bh_fdr(s.withColumn("p_value", normal_two_sided(F.col("z"))))

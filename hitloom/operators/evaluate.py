@@ -97,7 +97,7 @@ def reference_set_overlap(hits: DataFrame, sets: DataFrame) -> DataFrame:
     """
     reads = hits.join(sets, "target").groupBy("sample", "taxid", "strand", "query").agg(F.bool_or(F.col("ref_set") == "A").alias("a"), F.bool_or(F.col("ref_set") == "B").alias("b"), F.collect_set("target").alias("targets"))
     return reads.groupBy("sample", "taxid", "strand").agg(
-        F.count_if("a").alias("in_a"), F.count_if("b").alias("in_b"), F.count_if("a and b").alias("in_both"),
+        F.count_if(F.expr("a")).alias("in_a"), F.count_if(F.expr("b")).alias("in_b"), F.count_if(F.expr("a and b")).alias("in_both"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.when(F.expr("a and b"), F.col("targets")).otherwise(F.array().cast("array<string>")))))).alias("common_targets"),
     )
 

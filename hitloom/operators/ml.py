@@ -59,7 +59,7 @@ def train_tp_fp_model(rows: DataFrame, folds: int = 4) -> tuple[PipelineModel, D
             continue
         scored = _pipeline().fit(train).transform(test)
         auc = BinaryClassificationEvaluator(labelCol="label").evaluate(scored) if test.select("label").distinct().count() == 2 else None
-        c = scored.agg(F.count_if("label = 1 and prediction = 1"), F.count_if("label = 0 and prediction = 1"), F.count_if("label = 1 and prediction = 0")).first()
+        c = scored.agg(F.count_if(F.expr("label = 1 and prediction = 1")), F.count_if(F.expr("label = 0 and prediction = 1")), F.count_if(F.expr("label = 1 and prediction = 0"))).first()
         p, r = c[0] / max(c[0] + c[1], 1), c[0] / max(c[0] + c[2], 1)
         out.append((k, auc, p, r, 2 * p * r / (p + r) if p + r else 0.0))
     return _pipeline().fit(rows), spark.createDataFrame(out, "fold int, auc double, precision double, recall double, f1 double")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from hitloom.plans import q_cover, q_hits
+from hitloom.plans import q_cohort, q_cover, q_hits
 
-QUERIES = {**q_cover.QUERIES, **q_hits.QUERIES}
-SQL = {**q_cover.SQL, **q_hits.SQL}
+QUERIES = {**q_cover.QUERIES, **q_hits.QUERIES, **q_cohort.QUERIES}
+SQL = {**q_cover.SQL, **q_hits.SQL, **q_cohort.SQL}
