@@ -7,6 +7,7 @@ import math
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 _erfc = np.vectorize(math.erfc, otypes=[float])
 
@@ -56,16 +57,16 @@ def _beta_part(a: float, b: float, x: float) -> float:
     return front * h
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def normal_two_sided(z: pd.Series) -> pd.Series:
     return pd.Series(_erfc(z.abs().astype(float) / math.sqrt(2)))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def chi2_upper(x: pd.Series, df: pd.Series) -> pd.Series:
     return pd.Series([math.nan if math.isnan(v) or not k else _upper_gamma(k / 2, v / 2) for v, k in zip(x.astype(float), df.astype(float), strict=True)])
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def t_two_sided(t: pd.Series, df: pd.Series) -> pd.Series:
     return pd.Series([math.nan if math.isnan(v) or math.isnan(k) or k <= 0 else _beta_part(k / 2, 0.5, k / (k + v * v)) for v, k in zip(t.astype(float), df.astype(float), strict=True)])

@@ -22,7 +22,7 @@ def union_length(intervals: DataFrame, by: tuple[str, ...] = BY, start: str = "t
 def merged_coverage_ratio(hits: DataFrame, by: tuple[str, ...] = BY) -> DataFrame:
     """by -> coverage_ratio: union length over tlen, at most 1; ends beyond the target aren't clamped."""
     length = hits.groupBy(*by).agg(F.min("tlen").alias("tlen"))
-    return length.join(union_length(hits, by), list(by), "left").select(*by, F.coalesce(F.least(F.lit(1.0), F.try_divide("covered", "tlen")), F.lit(0.0)).alias("coverage_ratio"))
+    return length.join(union_length(hits, by), list(by), "left").select(*by, F.least(F.lit(1.0), F.coalesce(F.try_divide("covered", "tlen"), F.lit(0.0))).alias("coverage_ratio"))
 
 
 def clamp(hits: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from hitloom.functions.stage import stage
 from hitloom.functions.text import is_major_rank, normalize_rank, rank_code
 
 VIRUSES = 10239
@@ -14,7 +15,8 @@ MAX_DEPTH = 40
 def lineages(taxonomy: DataFrame, root: int = 1, max_depth: int = MAX_DEPTH) -> DataFrame:
     """taxid, rank, name, path (array of taxid, rank, name from root to taxid) and depth (0 at the root).
 
-    One level is joined at a time, until a level is empty; null ranks are `no rank`. Nodes that don't lead to root are left out.
+    One level is joined at a time, until a level is empty, and the result is a table of its own. Null ranks are `no rank`;
+    nodes that don't lead to root are left out.
     """
     nodes = taxonomy.select("taxid", "parent_taxid", normalize_rank(F.col("rank")).alias("rank"), "name").dropDuplicates(["taxid"])
     step = F.struct("taxid", "rank", "name")
@@ -26,7 +28,7 @@ def lineages(taxonomy: DataFrame, root: int = 1, max_depth: int = MAX_DEPTH) ->
         if level.isEmpty():
             break
         out = out.unionByName(level)
-    return out.withColumn("depth", F.size("path") - 1)
+    return stage(out.withColumn("depth", F.size("path") - 1))
 
 
 def subtree(lineage: DataFrame, root: int = VIRUSES) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hitloom.functions.stage import stage
 from hitloom.operators import assign, counts, coverage, hits, host, taxonomy
 from hitloom.plans.common_sql import BEST, LINEAGE, MASKED, covered, lca, rank_of
 from hitloom.plans.derive import oracle, view
@@ -96,9 +97,9 @@ def method_b(spark, d):
 def prepared(spark, d):
     """Hits with working taxon, segment and uniqueness, multi-mapped reads reduced to their best taxon."""
     h = hits.attach_segments(view(spark, d, "hits"), view(spark, d, "refs"))
-    cands = assign.candidates(h).persist()
+    cands = stage(assign.candidates(h))
     multi = cands.select("sample", "query", (F.col("candidate_count") == 1).alias("is_unique")).distinct()
-    return assign.resolve_multi_best(h).join(multi, ["sample", "query"]), cands
+    return stage(assign.resolve_multi_best(h).join(multi, ["sample", "query"])), cands
 
 
 PREP = """
@@ -226,7 +227,7 @@ _AB = "round(rpk, 6) AS rpk, round(normalized_abundance, 9) AS normalized_abunda
 
 def classified(spark, d):
     strains, cands = strains_of(spark, d)
-    judged = coverage.judge_real(coverage.coverage_summary(strains), STRICT, use_entropy=True).persist()
+    judged = stage(coverage.judge_real(coverage.coverage_summary(strains), STRICT, use_entropy=True))
     real = judged.where("is_real").select("sample", F.col("taxon").alias("working_taxid"))
     return assign.assign_reads(cands, real), judged
 
