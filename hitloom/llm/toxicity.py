@@ -54,8 +54,8 @@ class Terms(dict):
 def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     terms = Terms()
     for batch in batches:
-        found = [terms.of(x.as_py()) for x in batch.column("text")]
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("y"), pa.array(found, pa.list_(pa.int32()))], ["doc_id", "y", "terms"])
+        found = [terms.of(x.as_py()).astype(np.int32).tobytes() for x in batch.column("text")]
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("y"), pa.array(found, pa.binary())], ["doc_id", "y", "terms"])
 
 
 class FactorizationMachine:
@@ -105,8 +105,8 @@ def fit_machine(rows: list[tuple[np.ndarray, int]], steps: int = 400, rate: floa
 
 def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> FactorizationMachine:
     """Fit on the labels' learnable part; the driver gets hashed terms of 2 * per_class documents at most, no text."""
-    rows = labelled(docs, labels, "toxic", per_class).mapInArrow(_terms, "doc_id long, y int, terms array<int>").orderBy("doc_id").collect()
-    return fit_machine([(np.array(r.terms, np.int64), r.y) for r in rows])
+    rows = labelled(docs, labels, "toxic", per_class).mapInArrow(_terms, "doc_id long, y int, terms binary").orderBy("doc_id").collect()
+    return fit_machine([(np.frombuffer(r.terms, np.int32), r.y) for r in rows])
 
 
 def _score(batches: Iterator[pa.RecordBatch], model: FactorizationMachine) -> Iterator[pa.RecordBatch]:
