@@ -56,10 +56,12 @@ def drop_pairs(reads: DataFrame, bad: DataFrame) -> DataFrame:
 
 def shingles(text: Column, k: int, sep: str = "") -> Column:
     """All k-mers of a sequence (sep empty), or k-word shingles of a text (sep a blank)."""
-    if sep:
-        words = F.split(text, r"\s+")
-        n = F.size(words) - k + 1
-        return F.when(n > 0, F.transform(F.sequence(F.lit(1), n), lambda i: F.array_join(F.slice(words, i, k), sep))).otherwise(F.array().cast("array<string>"))
+    if sep:  # the words are bound once, else they would be split anew for each shingle
+        def of(words):
+            n = F.size(words) - k + 1
+            return F.when(n > 0, F.transform(F.sequence(F.lit(1), n), lambda i: F.array_join(F.slice(words, i, k), sep))).otherwise(F.array().cast("array<string>"))
+
+        return F.transform(F.array(F.split(text, r"\s+")), of)[0]
     n = F.length(text) - k + 1
     return F.when(n > 0, F.transform(F.sequence(F.lit(1), n), lambda i: F.substring(text, i, F.lit(k)))).otherwise(F.array().cast("array<string>"))
 
