@@ -107,9 +107,11 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     docs = keyed(docs.drop("dh", "n_dropped", "at"))
     drop = recurring_lines(docs).select(F.col("doc_id").alias("drop_id"), F.col("dh").alias("drop_dh"), "at")
     joined = docs.join(drop, F.col("doc_id").eqNullSafe(F.col("drop_id")) & (F.col("dh") == F.col("drop_dh")), "left")
-    lines = F.split("text", "\n", -1)
-    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("at"))
-    text = F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")
+    def without(lines):  # the lines are bound once, else the text would be split anew for each of them
+        kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("at"))
+        return F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")
+
+    text = F.transform(F.array(F.split("text", "\n", -1)), without)[0]
     joined = joined.withColumn("text", F.when(F.col("at").isNull(), F.col("text")).otherwise(text))
     return joined.withColumn("n_dropped", F.when(F.col("at").isNull(), 0).otherwise(F.size("at"))).drop("dh", "at", "drop_id", "drop_dh")
 
