@@ -83,18 +83,22 @@ def path_templates(shapes: DataFrame) -> DataFrame:
     return shapes.withColumn("template", F.concat("template", tail))
 
 
-def judged(shapes: DataFrame) -> DataFrame:
+def good_share(shapes: DataFrame) -> float:
+    """The share of good pages among all labelled ones; 1 without labels."""
+    return shapes.agg(F.coalesce(F.try_divide(F.sum("good").cast("double"), F.sum("labelled")), F.lit(1.0))).first()[0]
+
+
+def judged(shapes: DataFrame, prior: float) -> DataFrame:
     """(host, shape, ...) of path_templates() -> host, shape, template (as text, after merging), purity, method_verdict."""
     text = F.concat(F.lit("/"), F.array_join("template", "/"))
     rows = shapes.select("host", "shape", text.alias("template"), F.regexp_replace(text, "[^/]+", "*").alias("merged"), "labelled", "good")
-    prior = rows.agg(F.sum("good").cast("double").alias("g"), F.sum("labelled").alias("l")).select(F.coalesce(F.try_divide("g", "l"), F.lit(1.0)).alias("prior"))
     own = rows.groupBy("host", "merged", "template").agg(F.sum("labelled").alias("l"), F.sum("good").alias("g"))
     pooled = own.groupBy("host", "merged").agg(F.sum("l").alias("pl"), F.sum("g").alias("pg"))
     share, all_ = F.try_divide(F.col("g").cast("double"), F.col("l")), F.try_divide(F.col("pg").cast("double"), F.col("pl"))
     alike = F.coalesce((share - all_) * (share - all_) * F.col("l") <= Z * Z * all_ * (1 - all_), F.lit(True))
     kept = own.join(pooled, ["host", "merged"]).select("host", "template", F.when(alike, F.col("merged")).otherwise(F.col("template")).alias("final"), "l", "g")
-    purity = (F.col("fg") + SMOOTH * F.col("prior")) / (F.col("fl") + SMOOTH)
-    final = kept.groupBy("host", "final").agg(F.sum("l").alias("fl"), F.sum("g").alias("fg")).crossJoin(F.broadcast(prior)).select("host", "final", purity.alias("purity"))
+    purity = (F.col("fg") + F.lit(SMOOTH * prior)) / (F.col("fl") + SMOOTH)
+    final = kept.groupBy("host", "final").agg(F.sum("l").alias("fl"), F.sum("g").alias("fg")).select("host", "final", purity.alias("purity"))
     out = rows.select("host", "shape", "template").join(kept.select("host", "template", "final"), ["host", "template"]).join(final, ["host", "final"])
     return out.select("host", "shape", F.col("final").alias("template"), "purity", F.when(F.col("purity") < MIN_PURITY, "block").otherwise("allow").alias("method_verdict"))
 
@@ -107,7 +111,8 @@ def judge_urls(pages: DataFrame, labels: DataFrame) -> DataFrame:
     """
     rows = cut(page_labels(pages, labels))
     shapes = rows.groupBy("host", "shape").agg(F.count("*").alias("n"), F.count("good").alias("labelled"), F.coalesce(F.sum("good"), F.lit(0)).alias("good"))
-    verdicts = cut(judged(path_templates(cut(shapes))))
+    shapes = cut(shapes)
+    verdicts = cut(judged(path_templates(shapes), good_share(shapes)))
     rule = rule_of(F.col("host"), F.col("path"))
     return rows.join(verdicts, ["host", "shape"]).withColumn("r", rule).select(
         "page_id", "host", "path", F.col("r.rule").alias("rule"), F.coalesce("r.verdict", "method_verdict").alias("verdict"), "template", "purity"
