@@ -1,21 +1,23 @@
 """Line dedup by a log-template tree: fixed-depth parsing, wildcards for variable fields, recurring templates dropped.
 
 A line's leaf is its number of words and its first LEADING words; words with a digit count as a wildcard from the start.
-A line is cut into FIELDS fields of (nearly) as many words each, single words where it has no more than FIELDS. Within a
-leaf, a field is variable if no other distinct line of the leaf has it at that place. A line's template is its fields
-with variable ones generalised, provided that at least half of them remain; else it is the line itself. A template that
-occurs in several documents is dropped from all but the one with the least doc_id. Lines of fewer than MIN_WORDS words
-are left alone, as they coincide by chance.
-
-Only hashes of lines and fields are shuffled and counted, a distinct line once; texts move once, to meet the positions
-that they lose.
+A line's fields are its words. Within a leaf, a field is variable if no other distinct line of the leaf has it at that
+place. A line's template is its fields with variable ones generalised, provided that at least half of them remain; else
+it is the line itself. A template that occurs in several documents is dropped from all but the one with the least
+doc_id. Lines of fewer than MIN_WORDS words are left alone, as they coincide by chance.
+
+Only hashes of lines and fields are shuffled and counted, a distinct line once. Fields are hashed in a second pass over
+the texts, for the lines of leaves that have several; these are looked up in a bitmap of BITS bits, in which a few other
+leaves are found by chance and fall out in a join. Texts move once, to meet the positions that they lose.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import partial
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
@@ -23,7 +25,8 @@ from pyspark.sql import functions as F
 
 from .common import cut, read
 
-LEADING, MIN_WORDS, FIELDS = 3, 4, 8
+LEADING, MIN_WORDS = 3, 4
+BITS, ROWS = 1 << 24, 1 << 12
 DIGIT = re.compile("[0-9]")
 
 
@@ -42,13 +45,12 @@ def leaf_of(words: list[str]) -> int:
 
 
 def fields_of(words: list[str]) -> list[str]:
-    n, k = len(words), min(len(words), FIELDS)
-    return [" ".join(words[i * n // k : (i + 1) * n // k]) for i in range(k)]
+    return words
 
 
 def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, dh, text) -> (doc_id, dh, at, leaf, line, fields) of each distinct line of MIN_WORDS words or more."""
-    names = ["doc_id", "dh", "at", "leaf", "line", "fields"]
+    """(doc_id, dh, text) -> (doc_id, dh, at, leaf, line) of each distinct line of MIN_WORDS words or more."""
+    names = ["doc_id", "dh", "at", "leaf", "line"]
     for batch in batches:
         out: list[list] = [[] for _ in names]
         for doc_id, dh, text in zip(*(batch.column(c) for c in ("doc_id", "dh", "text")), strict=True):
@@ -58,27 +60,64 @@ def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if len(words) >= MIN_WORDS:
                     at = own.setdefault(h := h64(" ".join(words)), [])
                     if not at:
-                        fields = [xxhash.xxh32_intdigest(x) - (1 << 31) for x in fields_of(words)]
-                        for column, value in zip(out, (doc_id.as_py(), dh.as_py(), at, leaf_of(words), h, fields), strict=True):
+                        for column, value in zip(out, (doc_id.as_py(), dh.as_py(), at, leaf_of(words), h), strict=True):
                             column.append(value)
                     at.append(pos)
-        types = [batch.schema.field("doc_id").type, pa.int64(), pa.list_(pa.int32()), pa.int64(), pa.int64(), pa.list_(pa.int32())]
+        types = [batch.schema.field("doc_id").type, pa.int64(), pa.list_(pa.int32()), pa.int64(), pa.int64()]
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], names)
 
 
+def _fields(batches: Iterator[pa.RecordBatch], bitmap: bytes) -> Iterator[pa.RecordBatch]:
+    """text -> (leaf, line, fields) of each line of MIN_WORDS words or more whose leaf is in the bitmap."""
+    def rows(out):
+        types = [pa.int64(), pa.int64(), pa.list_(pa.int32())]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], ["leaf", "line", "fields"])
+
+    out: list[list] = [[], [], []]
+    for batch in batches:
+        for text in batch.column("text"):
+            for line in (text.as_py() or "").split("\n"):
+                words = masked(line)
+                if len(words) >= MIN_WORDS and bitmap[(bit := (leaf := leaf_of(words)) % BITS) >> 3] >> (bit & 7) & 1:
+                    fields = [xxhash.xxh32_intdigest(x) - (1 << 31) for x in fields_of(words)]
+                    for column, value in zip(out, (leaf, h64(" ".join(words)), fields), strict=True):
+                        column.append(value)
+            if len(out[0]) >= ROWS:
+                yield rows(out)
+                out = [[], [], []]
+    yield rows(out)
+
+
+def bitmap_of(leaves: DataFrame) -> bytes:
+    """BITS bits, with that of each leaf (modulo BITS) set; no more than BITS / 64 rows come to the driver."""
+    bit = F.pmod("leaf", F.lit(BITS))
+    words = leaves.groupBy(F.floor(bit / 64).alias("at")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(leaf, {BITS}L) % 64 as int))")).alias("word"))
+    out = np.zeros(BITS // 64, "<i8")
+    for r in words.toLocalIterator():
+        out[r["at"]] = r["word"]
+    return out.tobytes()
+
+
 def keyed(docs: DataFrame) -> DataFrame:
     """Add dh, a hash of id and text: with doc_id it names a document, and rows alike in both are one."""
     return docs.withColumn("dh", F.xxhash64("doc_id", "text"))
 
 
-def templates(distinct: DataFrame) -> DataFrame:
-    """distinct lines (leaf, line, fields, x, y) -> (leaf, line, template) of the lines of which a field is generalised.
+def several_lines(docs: DataFrame, distinct: DataFrame) -> DataFrame:
+    """(leaf, line, fields) of the distinct lines (leaf, line, x, y) in leaves with several lines and several documents.
 
     x and y are the least and greatest hash of a line's documents; a leaf within one document needs no templates.
     """
     several = distinct.groupBy("leaf").agg(F.min("line").alias("a"), F.max("line").alias("b"), F.min("x").alias("x"), F.max("y").alias("y")).where("a != b and x != y").select("leaf")
-    fields = distinct.join(several, "leaf").select("leaf", "line", F.posexplode("fields").alias("place", "field"))
-    fields = cut(fields.withColumn("hash", F.xxhash64("place", "field")))
+    several = cut(several)
+    fields = docs.select("text").mapInArrow(partial(_fields, bitmap=bitmap_of(several)), "leaf long, line long, fields array<int>")
+    return cut(fields.join(several, "leaf").groupBy("leaf", "line").agg(F.first("fields").alias("fields")))
+
+
+def templates(lines: DataFrame) -> DataFrame:
+    """lines of several_lines() -> (leaf, line, template) of those of which a field is generalised."""
+    fields = lines.select("leaf", "line", F.posexplode("fields").alias("place", "field"))
+    fields = fields.withColumn("hash", F.xxhash64("place", "field"))
     total = fields.groupBy("leaf", "line").agg(F.bit_xor("hash").alias("all"), F.count("*").alias("n"))
     wild = fields.groupBy("leaf", "place", "field").agg(F.count("*").alias("n"), F.min("line").alias("line"), F.min("hash").alias("hash")).where("n = 1")
     wild = wild.groupBy("leaf", "line").agg(F.bit_xor("hash").alias("gone"), F.count("*").alias("wild"))
@@ -88,10 +127,11 @@ def templates(distinct: DataFrame) -> DataFrame:
 def recurring_lines(docs: DataFrame) -> DataFrame:
     """(doc_id, dh, at): the line positions to drop from each document of keyed()."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    lines = cut(docs.select("doc_id", "dh", "text").mapInArrow(_lines, f"doc_id {id_type}, dh long, at array<int>, leaf long, line long, fields array<int>"))
+    lines = cut(docs.select("doc_id", "dh", "text").mapInArrow(_lines, f"doc_id {id_type}, dh long, at array<int>, leaf long, line long"))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "dh"))
-    distinct = cut(lines.groupBy("leaf", "line", "fields").agg(F.min("dh").alias("x"), F.max("dh").alias("y"), first.alias("first")))
-    own = cut(distinct.join(templates(distinct), ["leaf", "line"], "left").select("leaf", "line", F.coalesce("template", "line").alias("template"), "x", "y", "first"))
+    distinct = cut(lines.groupBy("leaf", "line").agg(F.min("dh").alias("x"), F.max("dh").alias("y"), first.alias("first")))
+    found = templates(several_lines(docs, distinct))
+    own = cut(distinct.join(found, ["leaf", "line"], "left").select("leaf", "line", F.coalesce("template", "line").alias("template"), "x", "y", "first"))
     recurring = own.groupBy("leaf", "template").agg(F.min("x").alias("x"), F.max("y").alias("y"), F.min("first").alias("first")).where("x != y")
     drop = own.select("leaf", "line", "template").join(recurring.select("leaf", "template", F.col("first.dh").alias("keep")), ["leaf", "template"])
     later = lines.select("doc_id", "dh", "at", "leaf", "line").join(drop, ["leaf", "line"]).where("dh != keep")

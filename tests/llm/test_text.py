@@ -81,6 +81,20 @@ def test_line_templates_generalise(spark):
     assert got == {1: rows[0][1], 2: "", 3: rows[2][1], 4: ""}
 
 
+def test_line_templates_vary_by_word(spark):
+    """A line of 20 words of which five, far apart, vary: they lie in five of eight runs of words."""
+    rng = random.Random(8)
+    fixed = prose(rng, 20).split()
+    rows = []
+    for i in range(6):
+        words = list(fixed)
+        for at in (4, 7, 10, 13, 17):
+            words[at] = f"v{'abcdef'[i]}{'ghijk'[at % 5]}"
+        rows.append((i, " ".join(words)))
+    got = {r.doc_id: r.text for r in lines.dedup_lines(docs(spark, rows)).collect()}
+    assert got == {i: rows[0][1] if i == 0 else "" for i in range(6)}
+
+
 # --- decontamination
 
 
