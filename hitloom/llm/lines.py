@@ -1,10 +1,12 @@
 """Line dedup by a log-template tree: fixed-depth parsing, wildcards for variable fields, recurring templates dropped.
 
 A line's leaf is its number of words and its first LEADING words; words with a digit count as a wildcard from the start.
-A line's fields are its words. Within a leaf, a field is variable if no other distinct line of the leaf has it at that
-place. A line's template is its fields with variable ones generalised, provided that at least half of them remain; else
-it is the line itself. A template that occurs in several documents is dropped from all but the one with the least
-doc_id. Lines of fewer than MIN_WORDS words are left alone, as they coincide by chance.
+A line's fields are its words. A place of a node of the tree (a leaf, at first) is variable if its distinct lines have
+several values there, however often each of them occurs. If no more than half of the places vary, the node is a template.
+Else it is split by the variable place at which two of its lines agree most often, and its parts are looked at in turn:
+so lines that have only the leaf in common come apart, and those of a template stay together at any size of the corpus.
+A line that is alone in its node is its own template. A template that occurs in several documents is dropped from all
+but the one with the least doc_id. Lines of fewer than MIN_WORDS words are left alone, as they coincide by chance.
 
 Only hashes of lines and fields are shuffled and counted, a distinct line once. Fields are hashed in a second pass over
 the texts, for the lines of leaves that have several; these are looked up in a bitmap of BITS bits, in which a few other
@@ -15,7 +17,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import partial
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -115,13 +117,23 @@ def several_lines(docs: DataFrame, distinct: DataFrame) -> DataFrame:
 
 
 def templates(lines: DataFrame) -> DataFrame:
-    """lines of several_lines() -> (leaf, line, template) of those of which a field is generalised."""
-    fields = lines.select("leaf", "line", F.posexplode("fields").alias("place", "field"))
-    fields = fields.withColumn("hash", F.xxhash64("place", "field"))
-    total = fields.groupBy("leaf", "line").agg(F.bit_xor("hash").alias("all"), F.count("*").alias("n"))
-    wild = fields.groupBy("leaf", "place", "field").agg(F.count("*").alias("n"), F.min("line").alias("line"), F.min("hash").alias("hash")).where("n = 1")
-    wild = wild.groupBy("leaf", "line").agg(F.bit_xor("hash").alias("gone"), F.count("*").alias("wild"))
-    return total.join(wild, ["leaf", "line"]).where("2 * wild <= n").select("leaf", "line", F.xxhash64(F.col("all").bitwiseXOR(F.col("gone")), "wild").alias("template"))
+    """lines of several_lines() -> (leaf, line, template) of those that share their template with other lines.
+
+    A split makes one more place constant in each part, so the rounds end; nodes of a single line leave at once.
+    """
+    open_, done = lines.withColumn("node", F.col("leaf")), []
+    while True:
+        values = open_.select("node", F.posexplode("fields").alias("place", "field")).groupBy("node", "place", "field").agg(F.count("*").alias("n"))
+        places = values.groupBy("node", "place").agg((F.count("*") > 1).alias("varies"), F.sum("n").alias("lines"), F.sum(F.col("n").cast("double") * F.col("n")).alias("alike"))
+        best = F.max(F.when(F.col("varies"), F.struct("alike", (-F.col("place")).alias("place"))))
+        nodes = places.groupBy("node").agg(F.count_if("varies").alias("wild"), F.count("*").alias("size"), F.max("lines").alias("lines"), best.alias("best"))
+        nodes = nodes.where("lines > 1").select("node", (2 * F.col("wild") <= F.col("size")).alias("fits"), (-F.col("best.place")).alias("place"))
+        rows = cut(open_.join(nodes, "node"))
+        done.append(rows.where("fits").select("leaf", "line", F.col("node").alias("template")))
+        rest = rows.where("not fits")
+        if rest.isEmpty():
+            return reduce(DataFrame.unionByName, done)
+        open_ = rest.select("leaf", "line", "fields", F.xxhash64("node", "place", F.get("fields", "place")).alias("node"))
 
 
 def recurring_lines(docs: DataFrame) -> DataFrame:

@@ -95,6 +95,17 @@ def test_line_templates_vary_by_word(spark):
     assert got == {i: rows[0][1] if i == 0 else "" for i in range(6)}
 
 
+def test_line_templates_do_not_fade(spark):
+    """Names and places from small pools, each of them in many lines, beside lines that have only the leaf in common."""
+    rng = random.Random(9)
+    pairs = [(a, b) for a in ("Al", "Bob", "Cy", "Di") for b in ("Paris", "London", "Rome", "Oslo", "Bonn")]
+    rows = [(i, f"today the user {a} logged in from {b} again") for i, (a, b) in enumerate(pairs)]
+    rows += [(100 + i, "today the user " + prose(rng, 6)) for i in range(8)]
+    rows += [(200, "now the user Bob went to Paris"), (201, "now the user Bob went to London"), (202, "now the user Al went to Paris")]
+    got = {r.doc_id: r.text for r in lines.dedup_lines(docs(spark, rows)).collect()}
+    assert got == {i: "" if 0 < i < 100 or i > 200 else t for i, t in rows}
+
+
 # --- decontamination
 
 
