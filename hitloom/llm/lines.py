@@ -6,7 +6,11 @@ several values there, however often each of them occurs. If no more than half of
 Else it is split by the variable place at which two of its lines agree most often, and its parts are looked at in turn:
 so lines that have only the leaf in common come apart, and those of a template stay together at any size of the corpus.
 A line that is alone in its node is its own template. A template that occurs in several documents is dropped from all
-but the one with the least doc_id. Lines of fewer than MIN_WORDS words are left alone, as they coincide by chance.
+but the one with the least doc_id.
+
+Lines of fewer than MIN_WORDS words coincide by chance: they are taken as they are, digits included, and count as
+recurring only in SHORT_DOCS documents or more. A line without blanks, as in Chinese, Japanese or Thai, is long from
+MIN_CHARS characters besides digits on; it too is a template by itself, with its runs of digits as wildcards.
 
 Only hashes of lines and fields are shuffled and counted, a distinct line once. Fields are hashed in a second pass over
 the texts, for the lines of leaves that have several; these are looked up in a bitmap of BITS bits, in which a few other
@@ -28,8 +32,9 @@ from pyspark.sql import functions as F
 from .common import cut, read
 
 LEADING, MIN_WORDS = 3, 4
+MIN_CHARS, SHORT_DOCS = 16, 100
 BITS, ROWS = 1 << 24, 1 << 12
-DIGIT = re.compile("[0-9]")
+DIGIT, DIGITS = re.compile("[0-9]"), re.compile("[0-9]+")
 
 
 def masked(line: str) -> list[str]:
@@ -50,22 +55,34 @@ def fields_of(words: list[str]) -> list[str]:
     return words
 
 
+def key_of(line: str) -> tuple[int, int, bool] | None:
+    """(leaf, line, short) of a line; None if it is blank. Lines of fewer than MIN_WORDS words are leaves by themselves."""
+    words = masked(line)
+    if len(words) >= MIN_WORDS:
+        return leaf_of(words), h64(" ".join(words)), False
+    if not words:
+        return None
+    words = line.split()
+    long = len(words) == 1 and len(DIGITS.sub("", words[0])) >= MIN_CHARS
+    h = h64("long " + DIGITS.sub("<*>", words[0]) if long else "short " + " ".join(words))
+    return h, h, not long
+
+
 def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, dh, text) -> (doc_id, dh, at, leaf, line) of each distinct line of MIN_WORDS words or more."""
-    names = ["doc_id", "dh", "at", "leaf", "line"]
+    """(doc_id, dh, text) -> (doc_id, dh, at, leaf, line, short) of each distinct line that isn't blank."""
+    names = ["doc_id", "dh", "at", "leaf", "line", "short"]
     for batch in batches:
         out: list[list] = [[] for _ in names]
         for doc_id, dh, text in zip(*(batch.column(c) for c in ("doc_id", "dh", "text")), strict=True):
-            own: dict[int, list[int]] = {}
+            own: dict[tuple[int, int, bool], list[int]] = {}
             for pos, line in enumerate((text.as_py() or "").split("\n")):
-                words = masked(line)
-                if len(words) >= MIN_WORDS:
-                    at = own.setdefault(h := h64(" ".join(words)), [])
+                if key := key_of(line):
+                    at = own.setdefault(key, [])
                     if not at:
-                        for column, value in zip(out, (doc_id.as_py(), dh.as_py(), at, leaf_of(words), h), strict=True):
+                        for column, value in zip(out, (doc_id.as_py(), dh.as_py(), at, *key), strict=True):
                             column.append(value)
                     at.append(pos)
-        types = [batch.schema.field("doc_id").type, pa.int64(), pa.list_(pa.int32()), pa.int64(), pa.int64()]
+        types = [batch.schema.field("doc_id").type, pa.int64(), pa.list_(pa.int32()), pa.int64(), pa.int64(), pa.bool_()]
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], names)
 
 
@@ -136,12 +153,20 @@ def templates(lines: DataFrame) -> DataFrame:
         open_ = rest.select("leaf", "line", "fields", F.xxhash64("node", "place", F.get("fields", "place")).alias("node"))
 
 
+def often(lines: DataFrame, distinct: DataFrame) -> DataFrame:
+    """distinct without the short lines in fewer than SHORT_DOCS documents; repeated rows are one document."""
+    short = lines.where("short").join(distinct.where("short").select("line"), "line").select("line", "dh").distinct()
+    enough = cut(short.groupBy("line").count().where(f"count >= {SHORT_DOCS}").select("line"))
+    return distinct.where("not short").unionByName(distinct.where("short").join(enough, "line", "left_semi"))
+
+
 def recurring_lines(docs: DataFrame) -> DataFrame:
     """(doc_id, dh, at): the line positions to drop from each document of keyed()."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    lines = cut(docs.select("doc_id", "dh", "text").mapInArrow(_lines, f"doc_id {id_type}, dh long, at array<int>, leaf long, line long"))
+    lines = cut(docs.select("doc_id", "dh", "text").mapInArrow(_lines, f"doc_id {id_type}, dh long, at array<int>, leaf long, line long, short boolean"))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "dh"))
-    distinct = cut(lines.groupBy("leaf", "line").agg(F.min("dh").alias("x"), F.max("dh").alias("y"), first.alias("first")))
+    distinct = lines.groupBy("leaf", "line", "short").agg(F.min("dh").alias("x"), F.max("dh").alias("y"), first.alias("first"), F.count("*").alias("rows"))
+    distinct = often(lines, cut(distinct.where(f"not short or rows >= {SHORT_DOCS}")))
     found = templates(several_lines(docs, distinct))
     own = cut(distinct.join(found, ["leaf", "line"], "left").select("leaf", "line", F.coalesce("template", "line").alias("template"), "x", "y", "first"))
     recurring = own.groupBy("leaf", "template").agg(F.min("x").alias("x"), F.max("y").alias("y"), F.min("first").alias("first")).where("x != y")

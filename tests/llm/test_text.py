@@ -106,6 +106,17 @@ def test_line_templates_do_not_fade(spark):
     assert got == {i: "" if 0 < i < 100 or i > 200 else t for i, t in rows}
 
 
+def test_short_lines_and_lines_without_blanks(spark):
+    n = lines.SHORT_DOCS
+    rows = [(i, f"All rights reserved\n{'Read more' if i else 'Page'}\nNr 17" if i < n else f"Read on{i}") for i in range(n + 5)]
+    rows += [(1, rows[1][1])]  # a repeated row is no further document
+    cjk, url = "本网站所有内容均受版权法保护未经许可不得转载", "https://host.example/articles/"
+    rows += [(900, cjk), (901, cjk + "\n短い行"), (902, url + "1"), (903, url + "2"), (904, "短い行"), (905, "17"), (906, "18")]
+    got = sorted((r.doc_id, r.text) for r in lines.dedup_lines(docs(spark, rows)).collect())
+    want = {i: t for i, t in rows} | {i: "Read more" for i in range(1, n)} | {901: "短い行", 903: ""}
+    assert got == sorted([*want.items(), (1, want[1])])
+
+
 # --- decontamination
 
 
