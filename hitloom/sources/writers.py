@@ -10,6 +10,9 @@ from hitloom.operators.counts import depth_first, direct_counts
 from hitloom.functions.text import rank_code
 
 
+MATRIX_COLUMNS = 20_000  # taxa in one file of a matrix with samples as rows
+
+
 def write_hits_cache(hits: DataFrame, path: str) -> None:
     hits.write.mode("overwrite").partitionBy("sample").parquet(path, compression="zstd")
 
@@ -46,13 +49,21 @@ def write_lines(lines: DataFrame, path: str, order: str | None = None) -> None:
 
 
 def write_matrix(otu: DataFrame, path: str, samples: list[str], transpose: bool = True, sep: str = ",") -> None:
-    """The sample x taxon matrix: taxa as rows, or (transposed, with a bounded list of taxa) samples as rows."""
-    if transpose:
-        taxa = [r[0] for r in otu.select("taxid").distinct().orderBy("taxid").limit(20_000).collect()]  # columns of one file
-        wide = otu.groupBy("sample").pivot("taxid", taxa).agg(F.sum("value")).fillna(0)
-    else:
-        wide = pivot_samples(otu, "taxid", samples)
-    write_table(wide, path, sep)
+    """The sample x taxon matrix: taxa as rows, or (transposed) samples as rows.
+
+    Transposed, more than MATRIX_COLUMNS taxa are written as several tables in folders columns_00000, columns_00001 ...
+    under path, by ascending taxid; each of them has all samples.
+    """
+    if not transpose:
+        write_table(pivot_samples(otu, "taxid", samples), path, sep)
+        return
+    taxa = [r[0] for r in otu.select("taxid").distinct().orderBy("taxid").collect()]
+    blocks = [taxa[i : i + MATRIX_COLUMNS] for i in range(0, len(taxa), MATRIX_COLUMNS)] or [[]]
+    if len(blocks) > 1:  # files of an earlier, smaller matrix or of more blocks go
+        write_table(otu.select("sample").limit(0), path, sep)
+    for i, block in enumerate(blocks):
+        wide = otu.groupBy("sample").pivot("taxid", block).agg(F.sum("value")).fillna(0)
+        write_table(wide, path if len(blocks) == 1 else f"{path}/columns_{i:05d}", sep)
 
 
 def write_empty_samples(judged: DataFrame, path: str) -> None:

@@ -101,3 +101,15 @@ def test_sinks(spark, tmp_path):
     assert readers.read_mask(spark, str(tmp_path / "bed")).count() == 1
     writers.write_empty_samples(counts.partition_nonempty_samples(assigned, spark.createDataFrame([("s",), ("t",)], "sample string")), str(tmp_path / "empty"))
     assert [r.value for r in spark.read.text(str(tmp_path / "empty")).collect()] == ["t"]
+
+
+def test_matrix_of_many_taxa(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(writers, "MATRIX_COLUMNS", 3, raising=False)
+    n = 7
+    otu = spark.createDataFrame([(s, t, t + k) for k, s in enumerate("ab") for t in range(n) if t != k], "sample string, taxid int, value int")
+    writers.write_matrix(otu, str(tmp_path / "wide"), ["a", "b"])
+    got = {}
+    for part in sorted((tmp_path / "wide").glob("columns_*")):
+        for r in spark.read.option("header", True).csv(str(part)).collect():
+            got |= {(r["sample"], t): int(v) for t, v in r.asDict().items() if t != "sample"}
+    assert got == {(s, str(t)): 0 if t == k else t + k for k, s in enumerate("ab") for t in range(n)}
