@@ -34,6 +34,7 @@ from .common import cut, read
 LEADING, MIN_WORDS = 3, 4
 MIN_CHARS, SHORT_DOCS = 16, 100
 BITS, ROWS = 1 << 24, 1 << 12
+NODE_WORDS = 1 << 14
 DIGIT, DIGITS = re.compile("[0-9]"), re.compile("[0-9]+")
 
 
@@ -133,24 +134,59 @@ def several_lines(docs: DataFrame, distinct: DataFrame) -> DataFrame:
     return cut(fields.join(several, "leaf").groupBy("leaf", "line").agg(F.first("fields").alias("fields")))
 
 
+def grown(node: int, fields: np.ndarray) -> Iterator[tuple[np.ndarray, int]]:
+    """The rows and the node of each template under a node; fields has a row for each line."""
+    open_ = [(node, np.arange(len(fields)))]
+    while open_:
+        node, rows = open_.pop()
+        part = fields[rows]
+        varies = np.flatnonzero((part != part[0]).any(axis=0))
+        if 2 * len(varies) <= fields.shape[1]:
+            if len(rows) > 1:
+                yield rows, node
+        elif len(rows) > 2:
+            alike = [(np.unique(part[:, p], return_counts=True)[1] ** 2).sum() for p in varies]
+            place = varies[int(np.argmax(alike))]
+            values, of = np.unique(part[:, place], return_inverse=True)
+            open_ += [(h64(f"{node} {place} {v}"), rows[of == i]) for i, v in enumerate(values.tolist()) if (of == i).sum() > 1]
+
+
+def _grown(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, lines: leaf, line, fields) of whole nodes -> (leaf, line, template)."""
+    for batch in batches:
+        out: list[list] = [[], [], []]
+        for node, lines in zip(batch.column("node"), batch.column("lines"), strict=True):
+            lines = lines.as_py()
+            for rows, template in grown(node.as_py(), np.array([x["fields"] for x in lines], np.int32)):
+                for row in rows.tolist():
+                    for column, value in zip(out, (lines[row]["leaf"], lines[row]["line"], template), strict=True):
+                        column.append(value)
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], ["leaf", "line", "template"])
+
+
 def templates(lines: DataFrame) -> DataFrame:
     """lines of several_lines() -> (leaf, line, template) of those that share their template with other lines.
 
-    A split makes one more place constant in each part, so the rounds end; nodes of a single line leave at once.
+    Nodes of up to NODE_WORDS words are grown within a task; larger ones are split by rounds of aggregations. A split
+    makes one more place constant in each part, so the rounds end.
     """
     open_, done = lines.withColumn("node", F.col("leaf")), []
     while True:
+        sizes = open_.groupBy("node").agg(F.count("*").alias("lines"), F.sum(F.size("fields")).alias("words")).where("lines > 1")
+        sized = cut(open_.join(sizes.select("node", "words"), "node"))
+        small = sized.where(f"words <= {NODE_WORDS}").groupBy("node").agg(F.collect_list(F.struct("leaf", "line", "fields")).alias("lines"))
+        done.append(small.mapInArrow(_grown, "leaf long, line long, template long"))
+        open_ = sized.where(f"words > {NODE_WORDS}").drop("words")
+        if open_.isEmpty():
+            return reduce(DataFrame.unionByName, done)
         values = open_.select("node", F.posexplode("fields").alias("place", "field")).groupBy("node", "place", "field").agg(F.count("*").alias("n"))
-        places = values.groupBy("node", "place").agg((F.count("*") > 1).alias("varies"), F.sum("n").alias("lines"), F.sum(F.col("n").cast("double") * F.col("n")).alias("alike"))
+        places = values.groupBy("node", "place").agg((F.count("*") > 1).alias("varies"), F.sum(F.col("n").cast("double") * F.col("n")).alias("alike"))
         best = F.max(F.when(F.col("varies"), F.struct("alike", (-F.col("place")).alias("place"))))
-        nodes = places.groupBy("node").agg(F.count_if("varies").alias("wild"), F.count("*").alias("size"), F.max("lines").alias("lines"), best.alias("best"))
-        nodes = nodes.where("lines > 1").select("node", (2 * F.col("wild") <= F.col("size")).alias("fits"), (-F.col("best.place")).alias("place"))
+        nodes = places.groupBy("node").agg(F.count_if("varies").alias("wild"), F.count("*").alias("size"), best.alias("best"))
+        nodes = nodes.select("node", (2 * F.col("wild") <= F.col("size")).alias("fits"), (-F.col("best.place")).alias("place"))
         rows = cut(open_.join(nodes, "node"))
         done.append(rows.where("fits").select("leaf", "line", F.col("node").alias("template")))
-        rest = rows.where("not fits")
-        if rest.isEmpty():
-            return reduce(DataFrame.unionByName, done)
-        open_ = rest.select("leaf", "line", "fields", F.xxhash64("node", "place", F.get("fields", "place")).alias("node"))
+        open_ = rows.where("not fits").select("leaf", "line", "fields", F.xxhash64("node", "place", F.get("fields", "place")).alias("node"))
 
 
 def often(lines: DataFrame, distinct: DataFrame) -> DataFrame:

@@ -106,6 +106,20 @@ def test_line_templates_do_not_fade(spark):
     assert got == {i: "" if 0 < i < 100 or i > 200 else t for i, t in rows}
 
 
+def test_large_and_small_nodes_alike(spark, monkeypatch):
+    rng = random.Random(10)
+    some = [(1, 1 + i, [7, 7, rng.choice([1, 2]), rng.choice([3, 4, 5]), *(rng.randrange(20) for _ in range(3))]) for i in range(60)]
+    table = spark.createDataFrame(some, "leaf long, line long, fields array<int>")
+    found = []
+    for words in (lines.NODE_WORDS, 20):
+        monkeypatch.setattr(lines, "NODE_WORDS", words)
+        groups = {}
+        for r in lines.templates(table).collect():
+            groups.setdefault(r.template, set()).add(r.line)
+        found.append({frozenset(g) for g in groups.values()})
+    assert found[0] == found[1] and found[0]
+
+
 def test_short_lines_and_lines_without_blanks(spark):
     n = lines.SHORT_DOCS
     rows = [(i, f"All rights reserved\n{'Read more' if i else 'Page'}\nNr 17" if i < n else f"Read on{i}") for i in range(n + 5)]
