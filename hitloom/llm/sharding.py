@@ -1,33 +1,55 @@
 """Sharding by longest-processing-time scheduling: groups that must stay together, largest first, to the least-loaded shard.
 
-Documents of equal text form a group. A group of at least 1/PIECES of all bytes is scheduled by itself: there are
-PIECES of them at most, whatever the input. All lighter groups are first gathered, by a hash of their key, into PIECES
-bundles, and the bundles are scheduled like groups. So the heap sees 2 * PIECES items at most, and the groups never
-pass through the driver. The spread of the shards is at most the last item placed, about 1/PIECES of all bytes, unless
-one group alone exceeds a shard's share.
+Documents of equal text form a group. Groups of equal size can stand in for each other, so the heap needs only how many
+groups there are of each size: it places a whole size class at once, exactly as it would place its groups one by one,
+and says how many of them each shard takes. The groups of a class are numbered on the executors and take their shards
+by number. No group passes through the driver: what it gets is one row for each distinct group size, and as k distinct
+sizes are at least k * (k + 1) / 2 bytes, there are at most sqrt(2 * bytes) of them (250 thousand for 30 GB).
 """
 
 from __future__ import annotations
 
 import heapq
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import cut, read
 
-PIECES = 16384
+ONE_BY_ONE = 256
 SLOT_CELLS = 2048
 
 
-def lpt(sizes: list[int], shards: int) -> list[int]:
-    """The shard of each item: by size descending (ties by position), each to the least-loaded shard (ties to the lowest)."""
-    heap = [(0, s) for s in range(shards)]
-    out = [0] * len(sizes)
-    for i in sorted(range(len(sizes)), key=lambda i: (-sizes[i], i)):
-        load, shard = heap[0]
-        heapq.heapreplace(heap, (load + sizes[i], shard))
-        out[i] = shard
+def fill(load: list[int], size: int, count: int) -> list[int]:
+    """How many of `count` items of one size each shard gets if each goes to the least-loaded one (ties to the lowest)."""
+    got = [0] * len(load)
+    if count <= ONE_BY_ONE:
+        heap = [(x, s) for s, x in enumerate(load)]
+        heapq.heapify(heap)
+        for _ in range(count):
+            x, s = heap[0]
+            got[s] += 1
+            heapq.heapreplace(heap, (x + size, s))
+        return got
+    below = lambda level: [max(0, -((x - level) // size)) for x in load]  # noqa: E731  placements at loads under the level
+    lo, hi = min(load), max(load) + size * count
+    while lo < hi:  # the highest level that takes no more than `count` items
+        mid = (lo + hi + 1) // 2
+        lo, hi = (mid, hi) if sum(below(mid)) <= count else (lo, mid - 1)
+    got = below(lo)
+    at_level = [s for s, x in enumerate(load) if x + got[s] * size == lo]
+    for s in at_level[: count - sum(got)]:
+        got[s] += 1
+    return got
+
+
+def lpt(classes: list[tuple[int, int]], shards: int) -> list[list[int]]:
+    """(size, how many groups), by size descending -> how many of them each shard takes."""
+    load, out = [0] * shards, []
+    for size, count in classes:
+        out.append(fill(load, size, count))
+        load = [x + size * n for x, n in zip(load, out[-1], strict=True)]
     return out
 
 
@@ -42,64 +64,50 @@ def sized(docs: DataFrame) -> DataFrame:
     )
 
 
-def assign(items: DataFrame, shards: int = 16, pieces: int = PIECES) -> DataFrame:
-    """Add `shard` to items (group_key, size, ...); rows of equal group_key share a shard.
+def numbered(rows: DataFrame, by: str, order: list[str], cells: int, name: str) -> DataFrame:
+    """Add `name`, 0, 1, 2 ... within each value of `by`, ordered by cell (a hash of `order`) and then by `order`.
 
-    No rows give no rows. items is read three times, so pass a stored table.
+    The cells of a value are numbered at once; only their counts (`cells` rows for each value) meet in one window.
     """
-    total = items.agg(F.sum("size")).first()[0] or 0
-    if not total:
-        return items.withColumn("shard", F.lit(0))
-    groups = items.groupBy("group_key").agg(F.sum("size").alias("bytes"))
-    bundle = F.pmod(F.xxhash64("group_key"), F.lit(pieces)).cast("int")
-    heavy = F.col("bytes") * pieces >= total
-    placed = (
-        groups.select(F.when(heavy, F.col("group_key")).alias("group_key"), F.when(~heavy, bundle).alias("bundle"), "bytes")
-        .groupBy("group_key", "bundle").agg(F.sum("bytes").alias("bytes"))
-        .toPandas()  # at most 2 * pieces rows
-    )
-    placed = placed.sort_values(["bytes", "bundle", "group_key"], ascending=[False, True, True], key=lambda c: c.map(bytes.hex, na_action="ignore") if c.name == "group_key" else c)
-    placed["shard"] = lpt(placed["bytes"].tolist(), shards)
-    spark = items.sparkSession
-    alone, light = placed[placed["bundle"].isna()], placed[placed["bundle"].notna()]
-    alone = spark.createDataFrame([(bytes(k), int(s)) for k, s in zip(alone["group_key"], alone["shard"], strict=True)], "group_key binary, shard int")
-    light = spark.createDataFrame([(int(b), int(s)) for b, s in zip(light["bundle"], light["shard"], strict=True)], "bundle int, bundle_shard int")
-    return (
-        items.withColumn("bundle", bundle)
-        .join(F.broadcast(alone), "group_key", "left")  # both tables hold at most `pieces` rows
-        .join(F.broadcast(light), "bundle", "left")
-        .withColumn("shard", F.coalesce("shard", "bundle_shard"))
-        .drop("bundle", "bundle_shard")
-    )
+    rows = rows.withColumn("cell", F.pmod(F.xxhash64(*order), F.lit(cells)).cast("int"))
+    before = Window.partitionBy(by).orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    counts = rows.groupBy(by, "cell").agg(F.count("*").alias("n"))
+    starts = counts.select(by, "cell", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    inside = rows.withColumn("k", F.row_number().over(Window.partitionBy(by, "cell").orderBy(*order)))
+    return inside.join(starts, [by, "cell"]).withColumn(name, (F.col("start") + F.col("k") - 1).cast("long")).drop("k", "start", "cell")
 
 
-def with_slots(items: DataFrame, cells: int = SLOT_CELLS) -> DataFrame:
-    """Add `slot`, 0, 1, 2 ... within each shard, ordered by cell of doc_id and then doc_id.
+def assign(items: DataFrame, shards: int = 16, cells: int = SLOT_CELLS) -> DataFrame:
+    """Add `shard` to items (group_key, size, ...); rows of equal group_key share a shard. No rows give no rows.
 
-    Each shard is numbered in `cells` cells at once; only the cells' counts (cells per shard) meet in one window.
+    items is read twice, so pass a stored table.
     """
-    items = items.withColumn("cell", F.pmod(F.xxhash64("doc_id", "text_crc32", "size"), F.lit(cells)).cast("int"))
-    counts = items.groupBy("shard", "cell").agg(F.count("*").alias("n"))
-    before = Window.partitionBy("shard").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select("shard", "cell", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
-    inside = Window.partitionBy("shard", "cell").orderBy("doc_id", "text_crc32", "size")
-    return (
-        items.withColumn("k", F.row_number().over(inside))
-        .join(starts, ["shard", "cell"])
-        .withColumn("slot", (F.col("start") + F.col("k") - 1).cast("long"))
-        .drop("k", "start", "cell")
-    )
-
-
-def shard_documents(docs: DataFrame, shards: int = 16, pieces: int = PIECES) -> DataFrame:
+    groups = cut(items.groupBy("group_key").agg(F.sum("size").alias("bytes")))
+    sizes = groups.groupBy("bytes").agg(F.count("*").alias("groups")).orderBy(F.desc("bytes")).toArrow()
+    classes = list(zip(sizes["bytes"].to_pylist(), sizes["groups"].to_pylist(), strict=True))
+    runs = []
+    for got in lpt(classes, shards):
+        end, own = 0, []
+        for s, n in enumerate(got):
+            if n:
+                own.append({"end": (end := end + n), "shard": s})
+        runs.append(own)
+    kind = pa.list_(pa.struct([("end", pa.int64()), ("shard", pa.int32())]))
+    table = pa.table({"bytes": pa.array([c[0] for c in classes], pa.int64()), "runs": pa.array(runs, kind)})
+    placed = numbered(groups, "bytes", ["group_key"], cells, "number").join(items.sparkSession.createDataFrame(table), "bytes")
+    shard = F.filter("runs", lambda r: r["end"] > F.col("number"))[0]["shard"]
+    return items.join(placed.select("group_key", shard.alias("shard")), "group_key")
+
+
+def shard_documents(docs: DataFrame, shards: int = 16) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot, grown_shard of every document, under the law `bytes`.
 
     Null doc_ids, repeated rows and empty texts are rows like others; repeated rows get slots of their own. Extra
-    columns are ignored. An empty table gives no rows.
+    columns are ignored. An empty table gives no rows. Which of two groups of one size goes where is decided by a hash.
     """
-    placed = with_slots(assign(cut(sized(docs)), shards, pieces))
+    placed = numbered(cut(assign(cut(sized(docs)), shards)), "shard", ["doc_id", "text_crc32", "size"], SLOT_CELLS, "slot")
     return placed.select(
-        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), F.col("shard").cast("int").alias("shard"), "slot",
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
 

@@ -45,36 +45,44 @@ def test_pieces_query(spark, table):
     assert pieces.digests(docs(spark, [])).count() == 0
 
 
-def test_lpt():
-    assert sharding.lpt([5, 4, 3, 3, 3], 2) == [0, 1, 1, 0, 1]
-
-
-@pytest.mark.parametrize("pieces_", [4, 16384])
-def test_sharding(spark, pieces_):
+def plain_lpt(sizes, shards):
+    """The loads after placing each group by itself, largest first, on the least-loaded shard."""
+    load = [0] * shards
+    for size in sorted(sizes, reverse=True):
+        load[load.index(min(load))] += size
+    return load
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.tuples(st.integers(1, 60), st.integers(1, 700)), max_size=8), st.integers(1, 5))
+def test_lpt_by_size_classes(classes, shards):
+    classes = sorted(dict(classes).items(), reverse=True)
+    load = [0] * shards
+    for (size, count), got in zip(classes, sharding.lpt(classes, shards), strict=True):
+        assert sum(got) == count
+        load = [x + size * n for x, n in zip(load, got, strict=True)]
+    assert load == plain_lpt([size for size, count in classes for _ in range(count)], shards)
+
+
+def test_sharding(spark):
     rng = random.Random(3)
-    rows = [(i, rng.choice([None, "", "same text"]) if i % 5 == 0 else "w" * rng.randrange(1, 300) + str(i)) for i in range(400)]
+    rows = [(i, rng.choice([None, "", "same text"]) if i % 5 == 0 else "w" * rng.randrange(1, 60) + str(i)) for i in range(900)]
     rows += [(7, rows[7][1]), (None, "null id"), (None, None)]
-    got = sharding.shard_documents(docs(spark, rows), pieces=pieces_).collect()
+    got = sharding.shard_documents(docs(spark, rows)).collect()
     assert len(got) == len(rows)
     of = {}
     for r in got:
         assert r.law == "bytes" and r.grown_shard is None
         of.setdefault((r.size, r.text_crc32), set()).add(r.shard)
+    groups = {}
     for _, t in rows:
         data = (t or "").encode()
         assert len(of[len(data) + 1, zlib.crc32(data)]) == 1
+        groups[data] = groups.get(data, 0) + len(data) + 1
     for s in range(16):
         slots = sorted(r.slot for r in got if r.shard == s)
         assert slots == list(range(len(slots)))
-    if pieces_ == 16384:  # every group is scheduled by itself: the shares are those of the plain method
-        groups = {}
-        for _, t in rows:
-            groups[t or ""] = groups.get(t or "", 0) + len((t or "").encode()) + 1
-        sizes = list(groups.values())
-        load = [0] * 16
-        for size, s in zip(sizes, sharding.lpt(sizes, 16), strict=True):
-            load[s] += size
-        assert sorted(load) == sorted(sum(r.size for r in got if r.shard == s) for s in range(16))
+    assert plain_lpt(groups.values(), 16) == [sum(r.size for r in got if r.shard == s) for s in range(16)]
     assert sharding.shard_documents(docs(spark, [])).count() == 0
 
 
