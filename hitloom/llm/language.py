@@ -91,7 +91,10 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Hierarchy:
-    """Fit on documents with a lang, a text and a learnable doc_id; the driver gets features of the sample, no text."""
+    """Fit on documents with a lang, a text and a learnable doc_id (of any type); the driver gets features of the sample, no text.
+
+    It also gets the distinct values of lang and their counts: a model between languages holds one row for each of them.
+    """
     docs = docs.select("doc_id", "lang", "text").where(F.col("lang").isNotNull() & F.col("text").isNotNull() & learnable())
     sizes = {r[0]: r[1] for r in docs.groupBy("lang").count().collect()}
     langs = sorted(sizes)
@@ -100,7 +103,7 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Hierarchy:
     draw = F.pmod(F.xxhash64("doc_id", F.lit("language sample")), F.lit(1_000_000))
     share = F.create_map(*[F.lit(v) for lang in langs for v in (lang, min(1_000_000, 1 + 1_000_000 * per_language // sizes[lang]))])[F.col("lang")]
     sample = docs.where(draw < share).limit(2 * per_language * len(langs))
-    rows = sample.mapInArrow(_features, "doc_id long, lang string, x binary").orderBy("doc_id", "x").collect()
+    rows = sample.mapInArrow(_features, with_fields(sample.select("doc_id"), "lang string, x binary")).orderBy("doc_id", "lang", "x").collect()
     x = np.array([np.frombuffer(r.x, np.float16) for r in rows], np.float32).reshape(len(rows), 1 << BITS)
     there = sorted({r.lang for r in rows})
     return Hierarchy(there, x, np.array([there.index(r.lang) for r in rows], np.int64))
@@ -119,6 +122,7 @@ def predict(docs: DataFrame, model: Hierarchy) -> DataFrame:
 
 
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's language; `und` and score 0 where the text is null, empty or without letters."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = train(docs)
     return predict(docs.select("doc_id", "text"), model).select("doc_id", held_out().alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))

@@ -32,22 +32,29 @@ def root_share(counts: np.ndarray) -> np.ndarray:
     return np.sqrt(counts / max(counts.sum(), 1)).astype(np.float32)
 
 
+def one_label(labels: DataFrame, target: str) -> DataFrame:
+    """doc_id, y of the learnable labels: the greatest value of a doc_id that repeats; null ids and values are left out."""
+    rows = labels.select("doc_id", F.col(target).cast("int").alias("y")).where(F.col("doc_id").isNotNull() & F.col("y").isNotNull() & learnable())
+    return rows.groupBy("doc_id").agg(F.max("y").alias("y"))
+
+
 def sample_labels(labels: DataFrame, target: str, per_class: int) -> DataFrame:
     """doc_id, y: at most per_class learnable labels of each value 0 and 1, the first ones by a hash of doc_id."""
-    rows = labels.select("doc_id", F.col(target).cast("int").alias("y")).where(F.col("doc_id").isNotNull() & learnable())
+    rows = one_label(labels, target)
     first = [rows.where(F.col("y") == v).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for v in (0, 1)]
     return first[0].unionByName(first[1])
 
 
 def labelled(docs: DataFrame, labels: DataFrame, target: str, per_class: int) -> DataFrame:
-    """doc_id, text, y of the sampled labels' documents; a doc_id that repeats counts once."""
-    sample = F.broadcast(sample_labels(labels, target, per_class).dropDuplicates(["doc_id"]))  # at most 2 * per_class rows
-    return docs.select("doc_id", "text").join(sample, "doc_id").dropDuplicates(["doc_id"])
+    """doc_id, text, y of the sampled labels' documents; of a doc_id that repeats, the least text (nulls first)."""
+    sample = F.broadcast(sample_labels(labels, target, per_class))  # at most 2 * per_class rows
+    return docs.select("doc_id", "text").join(sample, "doc_id").groupBy("doc_id", "y").agg(F.min(F.struct("text")).alias("one")).select("doc_id", "one.text", "y")
 
 
 def class_sizes(labels: DataFrame, target: str) -> dict[int, int]:
     """How many learnable labels each value has."""
-    return {r[0]: r[1] for r in labels.where(learnable()).groupBy(F.col(target).cast("int")).count().collect() if r[0] in (0, 1)}
+    rows = one_label(labels, target).where("y in (0, 1)")
+    return {r[0]: r[1] for r in rows.groupBy("y").count().collect()}
 
 
 def fit(x: np.ndarray, y: np.ndarray, loss: str, weight: np.ndarray | None = None, penalty: float = 1e-4, steps: int = 300, rate: float = 0.3) -> np.ndarray:

@@ -3,8 +3,8 @@
 In the models accepted here no piece runs from another character into a whitespace marker, and none holds a line
 feed, so no merge crosses those places. A text is therefore cut into marked words (a run of markers and the characters
 after it) and line feeds; each distinct chunk is segmented and decoded once per task by the library, and ids and
-surfaces are put back by position. The table of a task is emptied at TABLE_ROWS entries, so memory stays bounded
-whatever the vocabulary of the corpus.
+surfaces are put back by position. The table of a task is emptied at TABLE_CHARS characters, and chunks of more than
+CHUNK_CHARS are segmented without being kept, so memory stays bounded whatever the vocabulary of the corpus.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from .common import read
 
 MODEL = "piece_bpe_32k.model"
-TABLE_ROWS = 200_000
+TABLE_CHARS, CHUNK_CHARS = 2_000_000, 1000
 CHUNK = re.compile("[ ▁]*[^ ▁\n]+|[ ▁]+|\n")
 
 
@@ -37,6 +37,7 @@ class ChunkTable(dict):
     def __init__(self, path: str):
         import sentencepiece
 
+        self.chars = 0
         self.sp = sp = sentencepiece.SentencePieceProcessor(model_file=path)
         self.head = sp.encode("\n")  # the marker that the library puts before every text, and the line feed
         for piece in map(sp.id_to_piece, range(sp.get_piece_size())):
@@ -46,11 +47,15 @@ class ChunkTable(dict):
             raise ValueError("the model doesn't put one marker before a text")
 
     def __missing__(self, chunk: str) -> tuple[str, str]:
-        if len(self) >= TABLE_ROWS:
-            self.clear()
         ids = self.sp.encode("\n" + chunk)
         surface = self.sp.decode(ids)[1:]
-        self[chunk] = out = ("".join([f"{i}," for i in ids[2:]]), surface)
+        out = ("".join([f"{i}," for i in ids[2:]]), surface)
+        if len(chunk) <= CHUNK_CHARS:
+            if self.chars >= TABLE_CHARS:
+                self.clear()
+                self.chars = 0
+            self.chars += len(chunk)
+            self[chunk] = out
         return out
 
     def text(self, text: str | None) -> tuple[str, str]:
@@ -100,4 +105,5 @@ def digests(docs: DataFrame, path: str | None = None) -> DataFrame:
 
 
 def op2_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the ids and the decoded text of every document; a null or empty text has 0 tokens."""
     return digests(read(spark, sf_dir, "documents"))

@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read
+from .common import read, with_fields
 from .linear import bucket_counts, char_ngrams, class_sizes, fit, labelled, root_share, sigmoid
 
 PER_CLASS, CHAR_BITS, WORD_BITS = 1200, 11, 12
@@ -98,9 +98,12 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Quality:
-    """Fit on the labels' learnable part; the driver gets hashed features of 2 * per_class documents at most, no text."""
+    """Fit on the labels' learnable part; the driver gets hashed features of 2 * per_class documents at most, no text.
+
+    doc_id may have any type. Of labels that repeat an id the greatest value counts, of documents the least text.
+    """
     sample = labelled(docs, labels, "quality", per_class).select("doc_id", "y", F.col("text").cast("binary").alias("data"))
-    rows = sample.mapInArrow(_features, "doc_id long, y int, x binary").orderBy(F.xxhash64("doc_id", F.lit("fold"))).collect()
+    rows = sample.mapInArrow(_features, with_fields(sample.select("doc_id"), "y int, x binary")).orderBy(F.xxhash64("doc_id", F.lit("fold")), "doc_id").collect()
     width = (1 << CHAR_BITS) + (1 << WORD_BITS)
     x = np.empty((len(rows), width), np.float32)
     for i, r in enumerate(rows):
@@ -132,5 +135,6 @@ def assess(docs: DataFrame, model: Quality) -> DataFrame:
 
 
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's counts and verdicts; a null or empty text has no words and fails the base rules."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return assess(docs, train(docs, read(spark, sf_dir, "labels")))

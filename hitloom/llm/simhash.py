@@ -206,4 +206,5 @@ def one_of_each(docs: DataFrame, k: int = SHINGLE, budget: int = BUDGET, hot_nod
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint and component; texts without words (null ones included) have fingerprint zero."""
     return near_duplicates(read(spark, sf_dir, "documents"))

@@ -357,6 +357,7 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, q: int = Q, step: int = ST
 
 
 def op5_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's removed bytes; a null or empty text has 0 bytes, equal rows repeat each other."""
     out = remove_repeats(read(spark, sf_dir, "documents").select("doc_id", "text"))
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
     return out.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))

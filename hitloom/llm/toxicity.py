@@ -104,8 +104,12 @@ def fit_machine(rows: list[tuple[np.ndarray, int]], steps: int = 400, rate: floa
 
 
 def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> FactorizationMachine:
-    """Fit on the labels' learnable part; the driver gets hashed terms of 2 * per_class documents at most, no text."""
-    rows = labelled(docs, labels, "toxic", per_class).mapInArrow(_terms, "doc_id long, y int, terms binary").orderBy("doc_id").collect()
+    """Fit on the labels' learnable part; the driver gets hashed terms of 2 * per_class documents at most, no text.
+
+    doc_id may have any type. Of labels that repeat an id the greatest value counts, of documents the least text.
+    """
+    sample = labelled(docs, labels, "toxic", per_class)
+    rows = sample.mapInArrow(_terms, with_fields(sample.select("doc_id"), "y int, terms binary")).orderBy("doc_id").collect()
     return fit_machine([(np.frombuffer(r.terms, np.int32), r.y) for r in rows])
 
 
@@ -117,12 +121,16 @@ def _score(batches: Iterator[pa.RecordBatch], model: FactorizationMachine) -> It
 
 
 def score(docs: DataFrame, model: FactorizationMachine) -> DataFrame:
-    """docs with toxicity_score (0 to 1). Null and empty texts score as a text without terms; all columns and rows stay."""
+    """docs with toxicity_score (0 to 1). Null and empty texts score as a text without terms; all columns and rows stay.
+
+    A column of that name is replaced. Texts with the same terms tie.
+    """
     docs = docs.drop("toxicity_score")
     return docs.mapInArrow(partial(_score, model=model), with_fields(docs, "toxicity_score double"))
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's score; null and empty texts get that of a text without terms, repeated rows equal scores."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     model = train(docs, read(spark, sf_dir, "labels"))
     return score(docs, model).select(

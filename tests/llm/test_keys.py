@@ -45,6 +45,18 @@ def test_pieces_query(spark, table):
     assert pieces.digests(docs(spark, [])).count() == 0
 
 
+def test_chunk_table_is_bounded(table):
+    """Long unbroken chunks aren't kept, and the table is emptied by its characters."""
+    for i in range(50):
+        text = f"{i}x" * 900
+        ids = table.sp.encode(text)
+        assert table.text(text) == (",".join(map(str, ids)), table.sp.decode(ids))
+    assert max(map(len, table), default=0) <= pieces.CHUNK_CHARS
+    for i in range(4000):
+        table.text(f"{i}y" * 200)
+    assert sum(map(len, table)) <= pieces.TABLE_CHARS + pieces.CHUNK_CHARS
+
+
 def plain_lpt(sizes, shards):
     """The loads after placing each group by itself, largest first, on the least-loaded shard."""
     load = [0] * shards

@@ -232,6 +232,23 @@ def test_language(spark):
     assert {r.lang_pred for r in language.predict(d, language.train(d.limit(0))).collect()} == {"und"}
 
 
+def test_classifiers_take_any_id_and_repeated_ids(spark):
+    """String ids, labels that contradict each other, and texts that share an id give the same models on every run."""
+    rng = random.Random(11)
+    rows = [(f"d{i}", prose(rng, 30) + (" blarg snotz" if i % 4 == 0 else ""), ["en", "de"][i % 2], "s") for i in range(200)]
+    rows += [("d4", "another text of d4", "en", "s"), (None, "no id", "en", "s")]
+    labels = [(f"d{i}", int(i % 4 != 0), int(i % 4 == 0)) for i in range(200)] + [("d3", 0, 1), (None, 1, 1), ("d5", None, None)]
+    kind, label_kind = "doc_id string, text string, lang string, source string", "doc_id string, quality int, toxic int"
+    found = []
+    for parts in (1, 4):
+        d, lab = spark.createDataFrame(rows, kind).repartition(parts), spark.createDataFrame(labels, label_kind).repartition(parts)
+        tox = {(r.doc_id, r.text): r.toxicity_score for r in toxicity.score(d, toxicity.train(d, lab)).collect()}
+        good = {(r.doc_id, r.n_words): r.quality_score for r in quality.assess(d, quality.train(d, lab)).collect()}
+        langs = {(r.doc_id, r.text): r.lang_pred for r in language.predict(d, language.train(d)).collect()}
+        found.append((tox, good, langs))
+    assert found[0] == found[1] and len(found[0][0]) == len(rows)
+
+
 def plain_counts(text):
     import re
 
