@@ -4,30 +4,43 @@ Texts and benchmark items are sequences of lower-cased words. The CGK random wal
 writes the word under its pointer, and moves on if a random bit of (j, word) is set. Windows at a small edit distance
 then agree at most steps, as the walks fall into step again after an edit. A repetition samples SAMPLED of the steps
 as its bucket key; windows and items that share a bucket in any of REPEATS repetitions are candidates, and the edit
-distance in words decides: at most 1 - SIMILARITY of the item's words.
+distance in words decides: at most `budget` of the item's words, 1 - SIMILARITY of them.
 
-Windows are as long as an item's length class, and are cut where one of the item's ANCHORS rarest words stands, so
-that only windows which can match are embedded: all anchors of an item must be edited for it to be missed. Items come
-in blocks of about BLOCK, each of which passes over the documents once; nothing is shuffled.
+REPEATS follows from the target: where walks agree in a share s of their steps, a repetition finds the pair with
+probability s ** SAMPLED, so RECALL takes log(1 - RECALL) / log(1 - s ** SAMPLED) of them; AGREE is the share at the
+full budget of edits.
+
+Windows are as long as an item's length class, and are cut where an anchor of the item stands: its budget + 1 rarest
+distinct words, or all of them if there are fewer. An edit takes away one word of the item at most, so every match
+within the budget keeps an anchor in one of its places, and no place that can match is left out. Items come in blocks
+of about BLOCK, each of which passes over the documents once.
 """
 
 from __future__ import annotations
 
+import math
 from collections import Counter, defaultdict
 from collections.abc import Iterator
-from functools import partial
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
-from .common import read, with_fields
+from .common import cut, read
 
-SIMILARITY, REPEATS, SAMPLED, ANCHORS, BLOCK = 0.8, 24, 3, 6, 5000
+SIMILARITY, RECALL, AGREE, SAMPLED, BLOCK = 0.8, 0.99, 0.4, 3, 5000
+REPEATS = math.ceil(math.log(1 - RECALL) / math.log(1 - AGREE**SAMPLED))
 WINDOWS = 1 << 14  # windows that are embedded at once
-LEAKS = "array<struct<item_id:bigint,distance:int,start_word:int,n_words:int>>"
+
+
+def budget(m: int) -> int:
+    """How many of the words of an item of m words may be edited."""
+    return int((1 - SIMILARITY) * m + 1e-9)
 
 
 def length_class(m: int) -> int:
@@ -92,7 +105,7 @@ class Benchmark:
         for k, (_, words) in enumerate(self.items):
             size = length_class(len(words))
             of_size[size].append(k)
-            rare = sorted(set(words), key=lambda w: (common[w], -len(w), w))[:ANCHORS]
+            rare = set(sorted(set(words), key=lambda w: (common[w], -len(w), w))[: budget(len(words)) + 1])
             for p, w in enumerate(words):
                 if w in rare:
                     self.anchors[w].add((size, p))
@@ -133,7 +146,7 @@ class Benchmark:
         out: dict[int, dict[int, tuple[int, int, int]]] = defaultdict(dict)
         for t, k, start in sorted(self.candidates(texts)):
             item = self.items[k][1]
-            most = int((1 - SIMILARITY) * len(item) + 1e-9)
+            most = budget(len(item))
             if out[t].get(k, (1,))[0] == 0:
                 continue
             lo = max(0, start - most)
@@ -143,35 +156,47 @@ class Benchmark:
         return out
 
 
-def _leaks(batches: Iterator[pa.RecordBatch], items: list[tuple[int, str]]) -> Iterator[pa.RecordBatch]:
+def _leaks(batches: Iterator[pa.RecordBatch], items: list[tuple[int, str]], kind: pa.DataType, only: bool) -> Iterator[pa.RecordBatch]:
+    """The batches with `leaks`; only: without the rows that have none, and without text."""
     model = Benchmark(items)
-    kind = pa.list_(pa.struct([("item_id", pa.int64()), ("distance", pa.int32()), ("start_word", pa.int32()), ("n_words", pa.int32())]))
     for whole in batches:
         for at in range(0, max(1, whole.num_rows), 1000):
             batch = whole.slice(at, 1000)
             texts = [(x.as_py() or "").lower().split() for x in batch.column("text")]
             found = model.leaks(texts)
             rows = [[{"item_id": model.items[k][0], "distance": d, "start_word": s, "n_words": n} for k, (d, s, n) in sorted(found.get(t, {}).items())] for t in range(len(texts))]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rows, kind)], [*batch.schema.names, "block_leaks"])
+            out = pa.RecordBatch.from_arrays([*batch.columns, pa.array(rows, kind)], [*batch.schema.names, "leaks"])
+            yield out.filter(pa.array([bool(r) for r in rows], pa.bool_())).drop_columns(["text"]) if only else out
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def find_leaks(docs: DataFrame, benchmark: DataFrame, block: int = BLOCK) -> DataFrame:
     """docs with `leaks`: for each benchmark item found in the text its item_id, distance, start_word and n_words (best match).
 
-    Items without words match nothing; null and empty texts have no leaks. All rows and other columns stay.
+    Items without words match nothing, an item whose item_id is null is found like any other, and equal items count
+    once; item_id may have any type. Null and empty texts have no leaks. All rows and other columns stay, but for one
+    called leaks. A benchmark of several blocks takes a pass for each, and the few rows found are joined to docs.
     """
-    docs = docs.drop("leaks", "block_leaks")
-    items = benchmark.select("item_id", "text").where(F.col("item_id").isNotNull() & F.col("text").isNotNull())
-    blocks = 1 + items.count() // BLOCK
-    out = docs.withColumn("leaks", F.expr(f"cast(array() as {LEAKS})"))
-    for b in range(blocks):  # a block's expected size is BLOCK at most, whatever the benchmark's
-        rows = [(r.item_id, r.text) for r in items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).distinct().orderBy("item_id", "text").collect()]
-        out = out.mapInArrow(partial(_leaks, items=rows), with_fields(out, f"block_leaks {LEAKS}"))
-        out = out.withColumn("leaks", F.concat("leaks", "block_leaks")).drop("block_leaks")
-    return out
+    docs = docs.drop("leaks")
+    items = benchmark.select("item_id", "text").where(F.col("text").isNotNull())
+    blocks = 1 + items.count() // block
+    kind = StructType.fromDDL(f"leaks array<struct<item_id:{items.schema['item_id'].dataType.simpleString()},distance:int,start_word:int,n_words:int>>")
+    arrow = to_arrow_schema(kind).field("leaks").type
+    keyed = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+    found = []
+    for b in range(blocks):  # a block's expected size is `block` at most, whatever the benchmark's
+        part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).distinct().orderBy("item_id", "text")
+        rows = [(r.item_id, r.text) for r in part.collect()]
+        if blocks == 1:
+            return docs.mapInArrow(partial(_leaks, items=rows, kind=arrow, only=False), StructType([*docs.schema.fields, *kind.fields]))
+        hits = keyed.mapInArrow(partial(_leaks, items=rows, kind=arrow, only=True), StructType([*keyed.schema.fields[:2], *kind.fields]))
+        found.append(cut(hits.dropDuplicates(["doc_id", "text_hash"])))
+    hits = reduce(DataFrame.unionByName, found).groupBy(F.col("doc_id").alias("hit_id"), F.col("text_hash").alias("hit_hash")).agg(F.flatten(F.collect_list("leaks")).alias("leaks"))
+    joined = docs.alias("d").join(hits.alias("h"), F.col("d.doc_id").eqNullSafe(F.col("h.hit_id")) & (F.xxhash64("d.text") == F.col("h.hit_hash")), "left")
+    return joined.select("d.*", F.coalesce("h.leaks", F.array().cast(kind["leaks"].dataType)).alias("leaks"))
 
 
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each document and benchmark item found in it; null and empty texts have none."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     found = find_leaks(docs, read(spark, sf_dir, "benchmark")).where(F.size("leaks") > 0)
     return found.select("doc_id", F.inline("leaks"))

@@ -176,6 +176,51 @@ def test_leaks_recall(spark):
     assert decontaminate.find_leaks(docs(spark, rows), bench.limit(0)).where("size(leaks) > 0").count() == 0
 
 
+def substituted(rng, words, share, rarest):
+    """words with `share` of them changed, deleted or preceded by another; rarest: at the places of the words given there first."""
+    places = [i for w in rarest for i, x in enumerate(words) if x == w] if rarest else rng.sample(range(len(words)), len(words))
+    out = {i: [w] for i, w in enumerate(words)}
+    for i in places[: int(share * len(words) + 1e-9)]:
+        out[i] = rng.choice([[f"edited{i}"], [], [f"edited{i}", words[i]]])
+    return [w for i in range(len(words)) for w in out[i]]
+
+
+@pytest.mark.parametrize("share", [0.1, 0.15, 0.2])
+@pytest.mark.parametrize("rare_first", [False, True])
+def test_leaks_at_all_shares_of_edits(share, rare_first):
+    """Against the edit distance at every place: recall at the full budget, names and numbers edited first or not."""
+    rng = random.Random(17)
+    vocabulary = prose(rng, 300).split()
+    items = [(i, " ".join(f"name{i}x{k}" if k % 4 == 0 else rng.choice(vocabulary) for k in range(rng.randrange(8, 61)))) for i in range(120)]
+    model = decontaminate.Benchmark(items)
+    texts, want = [], set()
+    for t, (_, text) in enumerate(items):
+        words = text.split()
+        rare = [w for w in words if w.startswith("name")] if rare_first else None
+        body = [rng.choice(vocabulary) for _ in range(120)]
+        body[50:50] = substituted(rng, words, share, rare)
+        texts.append(body)
+        d, *_ = decontaminate.edit_span(words, body)
+        assert d <= decontaminate.budget(len(words))
+        want.add((t, t))
+    found = {(t, k) for t, own in model.leaks(texts).items() for k in own}
+    for t, k in found:
+        assert decontaminate.edit_span(model.items[k][1], texts[t])[0] <= decontaminate.budget(len(model.items[k][1]))
+    assert len(found & want) >= 0.95 * len(want)
+
+
+def test_leaks_in_blocks_equal_those_in_one(spark):
+    rng = random.Random(18)
+    items = [(f"i{i}" if i else None, prose(rng, 20)) for i in range(60)]
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    rows = [(i, prose(rng, 30) + " " + items[i % 60][1] + " " + items[(i * 7 + 1) % 60][1]) for i in range(80)]
+    rows += [(5, rows[5][1]), (None, rows[6][1]), (300, None), (301, "")]
+    d = docs(spark, rows)
+    found = [sorted(((r.doc_id, sorted(map(str, r.leaks))) for r in decontaminate.find_leaks(d, bench, block).collect()), key=str) for block in (5000, 20)]
+    assert found[0] == found[1] and len(found[0]) == len(rows)
+    assert any("item_id=None" in x for _, own in found[0] for x in own)
+
+
 # --- classifiers
 
 
