@@ -1,9 +1,11 @@
 """URL filters: fixed host rules, and for all other urls a tree of path templates judged by labelled purity.
 
 Everything is a DataFrame expression. A url's path is cut into segments; numbers become wildcards at once, so that the
-tree is grown over distinct (host, shape) rows with counts instead of over urls. Level by level, for DEPTH levels, a
-segment becomes a wildcard if its node has more than MAX_CHILDREN children and the segment has less than an even share
-of the node's urls. Templates of a host that differ only in literal segments are merged where their labelled share of
+tree is grown over distinct (host, shape) rows with counts instead of over urls. Level by level, to the end of every
+path, a segment becomes a wildcard if its node has more than MAX_CHILDREN children and the segment has less than an even
+share of the node's urls. Segments that all shapes below a node share are taken in one step, and a node with no more
+than MAX_CHILDREN shapes is finished, as no wildcard can come below it; so there are as many rounds as a path has places
+where many shapes part. Templates of a host that differ only in literal segments are merged where their labelled share of
 good pages doesn't differ from that of all of them (|z| <= Z). A template is blocked if its smoothed purity,
 (good + SMOOTH * prior) / (labelled + SMOOTH), is below MIN_PURITY; prior is the good share of all labelled pages.
 
@@ -12,12 +14,15 @@ A page's label is that of the document whose number ends its path; it is good if
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import cut, read
 
-DEPTH, MAX_CHILDREN, Z, SMOOTH, MIN_PURITY = 3, 8, 1.96, 10, 0.6
+MAX_CHILDREN, Z, SMOOTH, MIN_PURITY = 8, 1.96, 10, 0.6
+SALTS = 1024
 # Verdict, host, path prefix.
 RULES = [
     ("allow", "com", "/"),
@@ -49,10 +54,8 @@ def rule_of(host: Column, path: Column) -> Column:
 
 
 def shape_of(path: Column) -> Column:
-    """The path's first DEPTH segments, each number a `*`; one `**` more stands for all further segments."""
-    segments = F.filter(F.split(F.regexp_replace(path, "[0-9]+", "*"), "/"), lambda s: s != "")
-    deep = F.when(F.size(segments) > DEPTH, F.array(F.lit("**"))).otherwise(F.array().cast("array<string>"))
-    return F.concat(F.slice(segments, 1, DEPTH), deep)
+    """The path's segments, with each number a `*`."""
+    return F.filter(F.split(F.regexp_replace(path, "[0-9]+", "*"), "/"), lambda s: s != "")
 
 
 def page_labels(pages: DataFrame, labels: DataFrame) -> DataFrame:
@@ -64,23 +67,40 @@ def page_labels(pages: DataFrame, labels: DataFrame) -> DataFrame:
     good = labels.where("quality is not null or toxic is not null").groupBy("doc_id").agg(
         F.min(((F.coalesce("quality", F.lit(1)) == 1) & (F.coalesce("toxic", F.lit(0)) == 0)).cast("int")).alias("good")
     )
-    return pages.join(good, "doc_id", "left").drop("doc_id")
+    # pages without a number match no label; a salt deals them out
+    salt = F.when(F.col("doc_id").isNull(), F.pmod(F.xxhash64("page_id", "path"), F.lit(SALTS))).otherwise(0)
+    return pages.withColumn("salt", salt).join(good.withColumn("salt", F.lit(0).cast("long")), ["doc_id", "salt"], "left").drop("doc_id", "salt")
 
 
 def path_templates(shapes: DataFrame) -> DataFrame:
     """(host, shape, n, labelled, good) -> the same rows with `template`, the shape's segments after generalisation."""
-    shapes = shapes.withColumn("template", F.array().cast("array<string>"))
-    for level in range(1, DEPTH + 1):
-        rows = shapes.withColumn("segment", F.get("shape", F.lit(level - 1)))
-        children = rows.groupBy("host", "template", "segment").agg(F.sum("n").alias("own"))
+    columns = ["host", "shape", "n", "labelled", "good", "template"]
+    open_ = shapes.withColumn("template", F.array().cast("array<string>")).withColumn("rest", F.col("shape"))
+    done = []
+    while True:
+        # the segments that all shapes of a node share are those that its least and its greatest one share
+        nodes = open_.groupBy("host", "template").agg(F.count("*").alias("shapes"), F.min("rest").alias("x"), F.max("rest").alias("y"))
+        same = F.concat(F.zip_with("x", "y", lambda a, b: a.eqNullSafe(b)), F.array(F.lit(False)))
+        nodes = nodes.select("host", "template", "shapes", (F.array_position(same, F.lit(False)) - 1).cast("int").alias("shared"))
+        rows = open_.join(nodes, ["host", "template"])
+        taken = F.when(F.col("shapes") <= MAX_CHILDREN, F.size("rest")).otherwise(F.col("shared"))
+        rows = cut(
+            rows.withColumn("taken", taken)
+            .withColumn("template", F.concat("template", F.slice("rest", F.lit(1), F.col("taken"))))
+            .withColumn("rest", F.slice("rest", F.col("taken") + 1, F.size("rest")))
+            .select(*columns, "rest", (F.col("shapes") > MAX_CHILDREN).alias("many"))
+        )
+        done.append(rows.where("not many").select(columns))
+        rows = rows.where("many").drop("many").withColumn("segment", F.get("rest", F.lit(0)))
+        if rows.isEmpty():
+            return reduce(DataFrame.unionByName, done)
+        children = cut(rows.groupBy("host", "template", "segment").agg(F.sum("n").alias("own")))
         nodes = children.groupBy("host", "template").agg(F.count("segment").alias("children"), F.sum("own").alias("all"))
         rare = (F.col("children") > MAX_CHILDREN) & (F.col("own") * F.col("children") < F.col("all"))
-        to = children.join(nodes, ["host", "template"]).select("host", "template", "segment", F.when(rare, "*").otherwise(F.col("segment")).alias("to"))
-        rows = rows.join(to, (rows.host == to.host) & (rows.template == to.template) & rows.segment.eqNullSafe(to.segment)).drop(to.host, to.template, to.segment)
-        step = F.when(F.col("to").isNull(), F.array().cast("array<string>")).otherwise(F.array("to"))
-        shapes = rows.withColumn("template", F.concat("template", step)).drop("segment", "to")
-    tail = F.when(F.size("shape") > DEPTH, F.array(F.lit("**"))).otherwise(F.array().cast("array<string>"))
-    return shapes.withColumn("template", F.concat("template", tail))
+        to = children.where("segment is not null").join(nodes, ["host", "template"]).select("host", "template", "segment", F.when(rare, "*").otherwise(F.col("segment")).alias("to"))
+        done.append(rows.where("segment is null").select(columns))  # these paths end here
+        grown = rows.join(to, ["host", "template", "segment"])
+        open_ = cut(grown.withColumn("template", F.concat("template", F.array("to"))).select(*columns, F.slice("rest", F.lit(2), F.size("rest")).alias("rest")))
 
 
 def good_share(shapes: DataFrame) -> float:
@@ -120,29 +140,17 @@ def judge_urls(pages: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def op9_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's host, path, rule and verdict; a null url or one without `://` has an empty host and path."""
     return judge_urls(read(spark, sf_dir, "pages").select("page_id", "url"), read(spark, sf_dir, "labels"))
 
 
-_LEVELS = "\n".join(
-    f"""
-children{k} AS (SELECT host, template, shape[{k}] AS segment, sum(n) AS own FROM t{k - 1} GROUP BY ALL),
-nodes{k} AS (SELECT host, template, count(segment) AS children, sum(own) AS everything FROM children{k} GROUP BY ALL),
-t{k} AS (
-  SELECT t.host, t.shape, t.n, t.labelled, t.good,
-    t.template || CASE WHEN c.segment IS NULL THEN '' WHEN d.children > {MAX_CHILDREN} AND c.own * d.children < d.everything THEN '/*' ELSE '/' || c.segment END AS template
-  FROM t{k - 1} t
-  JOIN children{k} c ON t.host = c.host AND t.template = c.template AND t.shape[{k}] IS NOT DISTINCT FROM c.segment
-  JOIN nodes{k} d ON t.host = d.host AND t.template = d.template
-),"""
-    for k in range(1, DEPTH + 1)
-)
 _RULES = "\n".join(
     f"    WHEN (host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}') THEN '{h + p}'"
     for _, h, p in sorted(RULES, key=lambda r: (-len(r[1] + r[2]), r[1] + r[2]))
 )
 _VERDICTS = "\n".join(f"    WHEN rule = '{h + p}' THEN '{v}'" for v, h, p in RULES)
 URL_SQL = f"""
-WITH cutup AS (
+WITH RECURSIVE cutup AS (
   SELECT page_id, CASE WHEN url LIKE '%://%' THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
 ), parsed AS (
   SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), '{UPPER}', '{LOWER}') AS host,
@@ -154,13 +162,22 @@ WITH cutup AS (
   SELECT doc_id, min((coalesce(quality, 1) = 1 AND coalesce(toxic, 0) = 0)::INT) AS good FROM labels
   WHERE quality IS NOT NULL OR toxic IS NOT NULL GROUP BY doc_id
 ), page AS (
-  SELECT s.page_id, s.host, s.path, CASE WHEN len(segments) > {DEPTH} THEN list_append(segments[1:{DEPTH}], '**') ELSE segments END AS shape, p.good
+  SELECT s.page_id, s.host, s.path, segments AS shape, p.good
   FROM shaped s LEFT JOIN pure p ON s.doc_id = p.doc_id
-), t0 AS (
-  SELECT host, shape, count(*) AS n, count(good) AS labelled, coalesce(sum(good), 0) AS good, '' AS template FROM page GROUP BY host, shape
-),{_LEVELS}
-texts AS (
-  SELECT host, shape, labelled, good, CASE WHEN len(shape) > {DEPTH} THEN template || '/**' WHEN template = '' THEN '/' ELSE template END AS template FROM t{DEPTH}
+), grown AS (
+  SELECT host, shape, count(*) AS n, count(good) AS labelled, coalesce(sum(good), 0) AS good, '' AS template, 0 AS level FROM page GROUP BY host, shape
+  UNION ALL
+  SELECT host, shape, n, labelled, good,
+    template || CASE WHEN segment IS NULL THEN '' WHEN children > {MAX_CHILDREN} AND own * children < everything THEN '/*' ELSE '/' || segment END, level + 1
+  FROM (
+    SELECT *, shape[level + 1] AS segment,
+      sum(n) OVER (PARTITION BY host, template, shape[level + 1]) AS own,
+      count(DISTINCT shape[level + 1]) OVER (PARTITION BY host, template) AS children,
+      sum(n) OVER (PARTITION BY host, template) AS everything
+    FROM grown WHERE level <= len(shape)
+  )
+), texts AS (
+  SELECT host, shape, labelled, good, CASE WHEN template = '' THEN '/' ELSE template END AS template FROM grown WHERE level = len(shape) + 1
 ), merged AS (
   SELECT *, regexp_replace(template, '[^/]+', '*', 'g') AS merged FROM texts
 ), prior AS (SELECT coalesce(sum(good)::DOUBLE / nullif(sum(labelled), 0), 1.0) AS prior FROM texts),

@@ -348,6 +348,9 @@ def test_urls_equal_sql(spark):
     pages = [(i, "https://" + (rng.choice(hosts) if i % 3 else "hot.org") + rng.choice(tails).format(rng.randrange(400), rng.randrange(9))) for i in range(600)]
     pages += [(700, None), (701, ""), (702, "no scheme"), (703, "://"), (704, "x://y://z/q"), (5, pages[5][1]), (None, "http://h.org/1\n/2")]
     pages += [(800 + i, f"http://wide.org/name{chr(97 + i)}x/{i}") for i in range(26)]
+    # branches that differ from the fourth segment on, wildcards below them, paths that end on the way, one very long path
+    pages += [(900 + i, f"http://deep.org/shop/en/items/{rng.choice(['spam', 'good'])}/of/{rng.choice('abcdefghijklmno')}y/view") for i in range(120)]
+    pages += [(1100 + i, "http://deep.org/shop/en/items" + "/spam" * (i % 3)) for i in range(6)] + [(1110, "http://deep.org" + "/s" * 3000), (1111, "http://deep.org" + "/s" * 2999 + "/t")]
     labels = [(i, int(rng.random() < 0.7), int(rng.random() < 0.1), "clash") for i in range(400)] + [(None, 1, 0, None), (3, None, None, None), (4, 0, None, "")]
     got = urls.judge_urls(spark.createDataFrame([(*p, "h") for p in pages], "page_id long, url string, host string"), spark.createDataFrame(labels, LABELS))
     columns = ["page_id", "host", "path", "rule", "verdict", "template", "purity"]
@@ -362,6 +365,13 @@ def test_urls_equal_sql(spark):
     assert urls.judge_urls(empty, spark.createDataFrame(labels, LABELS)).count() == 0
 
 
+def test_url_branches_below_the_third_segment(spark):
+    pages = [(i, f"http://deep.org/shop/en/items/{'spam' if i % 2 else 'good'}/p{i}") for i in range(80)]
+    labels = [(i, int(i % 2 == 0), 0, "") for i in range(80)]
+    got = {r.page_id: r for r in urls.judge_urls(spark.createDataFrame(pages, "page_id long, url string"), spark.createDataFrame(labels, LABELS)).collect()}
+    assert {(r.template, r.verdict) for r in got.values()} == {("/shop/en/items/good/p*", "allow"), ("/shop/en/items/spam/p*", "block")}
+
+
 def test_url_rules(spark):
     rows = [("http://WWW.Example.com/en/x", "www.example.com/en/", "allow"), ("http://m.example.com/en/", "example.com/en/", "block"), ("http://badexample.com/en/", "com/", "allow"), ("http://a.net/fr/1", "net/fr/", "block"), ("http://a.net/fr", None, "allow"), ("http://com", None, "allow")]
     got = urls.judge_urls(spark.createDataFrame([(i, r[0]) for i, r in enumerate(rows)], "page_id long, url string"), spark.createDataFrame([], LABELS))
