@@ -1,6 +1,8 @@
 """Line dedup by a log-template tree: fixed-depth parsing, wildcards for variable fields, recurring templates dropped.
 
-A line's leaf is its number of words and its first LEADING words; words with a digit count as a wildcard from the start.
+A line's leaf is its number of words and its first LEADING words; words with a digit count as a wildcard from the start,
+unless they are more than half of the line. So that a variable field among these doesn't hide a template, a line of more words has leaves at PLACES places, from its
+first words to its last; lines are alike if they are so in any leaf.
 A line's fields are its words. A place of a node of the tree (a leaf, at first) is variable if its distinct lines have
 several values there, however often each of them occurs. If no more than half of the places vary, the node is a template.
 Else it is split by the variable place at which two of its lines agree most often, and its parts are looked at in turn:
@@ -31,7 +33,7 @@ from pyspark.sql import functions as F
 
 from .common import cut, read
 
-LEADING, MIN_WORDS = 3, 4
+LEADING, PLACES, MIN_WORDS = 3, 4, 4
 MIN_CHARS, SHORT_DOCS = 16, 100
 BITS, ROWS = 1 << 24, 1 << 12
 NODE_WORDS = 1 << 14
@@ -39,8 +41,12 @@ DIGIT, DIGITS = re.compile("[0-9]"), re.compile("[0-9]+")
 
 
 def masked(line: str) -> list[str]:
+    """The words of a line, those with a digit as wildcards; a line of more digits than words stays as it is."""
     words = line.split()
-    return [("<*>" if DIGIT.search(w) else w) for w in words] if DIGIT.search(line) else words
+    if not DIGIT.search(line):
+        return words
+    out = [("<*>" if DIGIT.search(w) else w) for w in words]
+    return out if 2 * out.count("<*>") <= len(out) else words
 
 
 def h64(text: str) -> int:
@@ -48,64 +54,64 @@ def h64(text: str) -> int:
     return h - (1 << 64) if h >> 63 else h
 
 
-def leaf_of(words: list[str]) -> int:
-    return h64(f"{len(words)} {' '.join(words[:LEADING])}")
+def leaves_of(words: list[str]) -> list[int]:
+    """The leaves of a line: its number of words, a place, and the LEADING words from there."""
+    last = len(words) - LEADING
+    places = sorted({last * k // (PLACES - 1) for k in range(PLACES)})
+    return [h64(f"{len(words)} {at} {' '.join(words[at : at + LEADING])}") for at in places]
 
 
-def fields_of(words: list[str]) -> list[str]:
-    return words
-
-
-def key_of(line: str) -> tuple[int, int, bool] | None:
-    """(leaf, line, short) of a line; None if it is blank. Lines of fewer than MIN_WORDS words are leaves by themselves."""
+def key_of(line: str) -> tuple[int, bool, list[int]] | None:
+    """(line, short, leaves) of a line; None if it is blank. Lines of fewer than MIN_WORDS words have no leaves."""
     words = masked(line)
     if len(words) >= MIN_WORDS:
-        return leaf_of(words), h64(" ".join(words)), False
+        return h64(" ".join(words)), False, leaves_of(words)
     if not words:
         return None
     words = line.split()
     long = len(words) == 1 and len(DIGITS.sub("", words[0])) >= MIN_CHARS
-    h = h64("long " + DIGITS.sub("<*>", words[0]) if long else "short " + " ".join(words))
-    return h, h, not long
+    return h64("long " + DIGITS.sub("<*>", words[0]) if long else "short " + " ".join(words)), not long, []
 
 
 def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, dh, text) -> (doc_id, dh, at, leaf, line, short) of each distinct line that isn't blank."""
-    names = ["doc_id", "dh", "at", "leaf", "line", "short"]
+    """(doc_id, dh, text) -> (doc_id, dh, at, line, short, leaves) of each distinct line that isn't blank."""
+    names = ["doc_id", "dh", "at", "line", "short", "leaves"]
     for batch in batches:
         out: list[list] = [[] for _ in names]
         for doc_id, dh, text in zip(*(batch.column(c) for c in ("doc_id", "dh", "text")), strict=True):
-            own: dict[tuple[int, int, bool], list[int]] = {}
+            own: dict[int, list[int]] = {}
             for pos, line in enumerate((text.as_py() or "").split("\n")):
                 if key := key_of(line):
-                    at = own.setdefault(key, [])
+                    at = own.setdefault(key[0], [])
                     if not at:
                         for column, value in zip(out, (doc_id.as_py(), dh.as_py(), at, *key), strict=True):
                             column.append(value)
                     at.append(pos)
-        types = [batch.schema.field("doc_id").type, pa.int64(), pa.list_(pa.int32()), pa.int64(), pa.int64(), pa.bool_()]
+        types = [batch.schema.field("doc_id").type, pa.int64(), pa.list_(pa.int32()), pa.int64(), pa.bool_(), pa.list_(pa.int64())]
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], names)
 
 
 def _fields(batches: Iterator[pa.RecordBatch], bitmap: bytes) -> Iterator[pa.RecordBatch]:
-    """text -> (leaf, line, fields) of each line of MIN_WORDS words or more whose leaf is in the bitmap."""
-    def rows(out):
-        types = [pa.int64(), pa.int64(), pa.list_(pa.int32())]
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], ["leaf", "line", "fields"])
+    """text -> (line, leaves, fields) of each line that has leaves in the bitmap, with these; a line once for some texts."""
+    def rows(found):
+        types = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32())]
+        columns = [list(found), [x[0] for x in found.values()], [x[1] for x in found.values()]]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["line", "leaves", "fields"])
 
-    out: list[list] = [[], [], []]
+    found: dict[int, tuple] = {}
     for batch in batches:
         for text in batch.column("text"):
             for line in (text.as_py() or "").split("\n"):
                 words = masked(line)
-                if len(words) >= MIN_WORDS and bitmap[(bit := (leaf := leaf_of(words)) % BITS) >> 3] >> (bit & 7) & 1:
-                    fields = [xxhash.xxh32_intdigest(x) - (1 << 31) for x in fields_of(words)]
-                    for column, value in zip(out, (leaf, h64(" ".join(words)), fields), strict=True):
-                        column.append(value)
-            if len(out[0]) >= ROWS:
-                yield rows(out)
-                out = [[], [], []]
-    yield rows(out)
+                if len(words) < MIN_WORDS:
+                    continue
+                leaves = [x for x in leaves_of(words) if bitmap[(bit := x % BITS) >> 3] >> (bit & 7) & 1]
+                if leaves and (h := h64(" ".join(words))) not in found:
+                    found[h] = leaves, [xxhash.xxh32_intdigest(x) - (1 << 31) for x in words]
+            if len(found) >= ROWS:
+                yield rows(found)
+                found = {}
+    yield rows(found)
 
 
 def bitmap_of(leaves: DataFrame) -> bytes:
@@ -124,14 +130,15 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 
 def several_lines(docs: DataFrame, distinct: DataFrame) -> DataFrame:
-    """(leaf, line, fields) of the distinct lines (leaf, line, x, y) in leaves with several lines and several documents.
+    """(leaf, line, fields) of the distinct lines (line, leaves, x, y) in leaves with several lines and several documents.
 
     x and y are the least and greatest hash of a line's documents; a leaf within one document needs no templates.
     """
-    several = distinct.groupBy("leaf").agg(F.min("line").alias("a"), F.max("line").alias("b"), F.min("x").alias("x"), F.max("y").alias("y")).where("a != b and x != y").select("leaf")
-    several = cut(several)
-    fields = docs.select("text").mapInArrow(partial(_fields, bitmap=bitmap_of(several)), "leaf long, line long, fields array<int>")
-    return cut(fields.join(several, "leaf").groupBy("leaf", "line").agg(F.first("fields").alias("fields")))
+    of_leaf = distinct.select(F.explode("leaves").alias("leaf"), "line", "x", "y").groupBy("leaf")
+    several = cut(of_leaf.agg(F.min("line").alias("a"), F.max("line").alias("b"), F.min("x").alias("x"), F.max("y").alias("y")).where("a != b and x != y").select("leaf"))
+    fields = docs.select("text").mapInArrow(partial(_fields, bitmap=bitmap_of(several)), "line long, leaves array<long>, fields array<int>")
+    fields = fields.groupBy("line").agg(F.first("leaves").alias("leaves"), F.first("fields").alias("fields"))
+    return cut(fields.select(F.explode("leaves").alias("leaf"), "line", "fields").join(several, "leaf"))
 
 
 def grown(node: int, fields: np.ndarray) -> Iterator[tuple[np.ndarray, int]]:
@@ -197,37 +204,44 @@ def often(lines: DataFrame, distinct: DataFrame) -> DataFrame:
 
 
 def recurring_lines(docs: DataFrame) -> DataFrame:
-    """(doc_id, dh, at): the line positions to drop from each document of keyed()."""
+    """(doc_id, dh, at): the line positions to drop from each document of keyed().
+
+    A line drops out of a document if any of its templates also occurs in a document with a lesser doc_id, so whatever
+    is dropped has a like in a lesser document, and the least of them keeps its line.
+    """
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    lines = cut(docs.select("doc_id", "dh", "text").mapInArrow(_lines, f"doc_id {id_type}, dh long, at array<int>, leaf long, line long, short boolean"))
+    lines = cut(docs.select("doc_id", "dh", "text").mapInArrow(_lines, f"doc_id {id_type}, dh long, at array<int>, line long, short boolean, leaves array<long>"))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "dh"))
-    distinct = lines.groupBy("leaf", "line", "short").agg(F.min("dh").alias("x"), F.max("dh").alias("y"), first.alias("first"), F.count("*").alias("rows"))
+    distinct = lines.groupBy("line", "short").agg(F.min("dh").alias("x"), F.max("dh").alias("y"), first.alias("first"), F.count("*").alias("rows"), F.first("leaves").alias("leaves"))
     distinct = often(lines, cut(distinct.where(f"not short or rows >= {SHORT_DOCS}")))
-    found = templates(several_lines(docs, distinct))
-    own = cut(distinct.join(found, ["leaf", "line"], "left").select("leaf", "line", F.coalesce("template", "line").alias("template"), "x", "y", "first"))
-    recurring = own.groupBy("leaf", "template").agg(F.min("x").alias("x"), F.max("y").alias("y"), F.min("first").alias("first")).where("x != y")
-    drop = own.select("leaf", "line", "template").join(recurring.select("leaf", "template", F.col("first.dh").alias("keep")), ["leaf", "template"])
-    later = lines.select("doc_id", "dh", "at", "leaf", "line").join(drop, ["leaf", "line"]).where("dh != keep")
+    found = templates(several_lines(docs, distinct)).select("line", "template")
+    own = cut(distinct.join(found, "line", "left").select("line", F.coalesce("template", "line").alias("template"), "x", "y", "first"))
+    recurring = own.groupBy("template").agg(F.min("x").alias("x"), F.max("y").alias("y"), F.min("first").alias("first")).where("x != y")
+    drop = own.select("line", "template").join(recurring.select("template", F.col("first.dh").alias("keep")), "template").select("line", "keep").distinct()
+    later = lines.select("doc_id", "dh", "at", "line").join(drop, "line").where("dh != keep")
     return later.groupBy("doc_id", "dh").agg(F.array_distinct(F.flatten(F.collect_list("at"))).alias("at"))
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
     """docs with recurring lines taken out of text, and n_dropped (lines).
 
-    Rows and other columns stay; a document can end up with an empty text. Null and empty texts stay as they are, and
+    Rows and other columns stay, but for one called n_dropped; a document can end up with an empty text. Null and empty texts stay as they are, and
     rows equal in doc_id and text are one document. A null doc_id comes after all others in the choice of the first.
     """
-    docs = keyed(docs.drop("dh", "n_dropped", "at"))
-    drop = recurring_lines(docs).select(F.col("doc_id").alias("drop_id"), F.col("dh").alias("drop_dh"), "at")
-    joined = docs.join(drop, F.col("doc_id").eqNullSafe(F.col("drop_id")) & (F.col("dh") == F.col("drop_dh")), "left")
+    docs = docs.drop("n_dropped")
+    drop = recurring_lines(keyed(docs.select("doc_id", "text")))
+    same = F.col("d.doc_id").eqNullSafe(F.col("r.doc_id")) & (F.xxhash64("d.doc_id", "d.text") == F.col("r.dh"))
+    joined = docs.alias("d").join(drop.alias("r"), same, "left")
     def without(lines):  # the lines are bound once, else the text would be split anew for each of them
-        kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("at"))
+        kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("r.at"))
         return F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")
 
-    text = F.transform(F.array(F.split("text", "\n", -1)), without)[0]
-    joined = joined.withColumn("text", F.when(F.col("at").isNull(), F.col("text")).otherwise(text))
-    return joined.withColumn("n_dropped", F.when(F.col("at").isNull(), 0).otherwise(F.size("at"))).drop("dh", "at", "drop_id", "drop_dh")
+    text = F.transform(F.array(F.split("d.text", "\n", -1)), without)[0]
+    text = F.when(F.col("r.at").isNull(), F.col("d.text")).otherwise(text)
+    dropped = F.when(F.col("r.at").isNull(), 0).otherwise(F.size("r.at"))
+    return joined.select(*(text.alias("text") if c == "text" else F.col(f"d.`{c}`") for c in docs.columns), dropped.alias("n_dropped"))
 
 
 def op1_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines whose templates recur; null and empty texts stay as they are."""
     return dedup_lines(read(spark, sf_dir, "documents").select("doc_id", "text"))
