@@ -9,7 +9,6 @@ from hitloom.llm import decontaminate, lines, pieces, simhash, toxicity
 from hitloom.llm.common import cut, read
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-LINK_BITS = 4  # near copies that differ in up to this many bits of their fingerprints are one group
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,8 +25,8 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least doc_id of each group of near-duplicates; of rows alike in doc_id and text, one stays."""
-    return simhash.one_of_each(docs, budget=LINK_BITS).select(COLUMNS)
+    """The documents unlike all lesser ones that stay: less than 0.8 of their five-word shingles shared. Of equal rows, one stays."""
+    return simhash.one_of_each(docs).select(COLUMNS)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -10,7 +10,7 @@ REPEATS follows from the target: where walks agree in a share s of their steps,
 probability s ** SAMPLED, so RECALL takes log(1 - RECALL) / log(1 - s ** SAMPLED) of them; AGREE is the share at the
 full budget of edits.
 
-Windows are as long as an item's length class, and are cut where an anchor of the item stands: its budget + 1 rarest
+Windows are as long as an item's length class, and are cut where an anchor of the item stands: its budget + 1 (ANCHORS at least) rarest
 distinct words, or all of them if there are fewer. An edit takes away one word of the item at most, so every match
 within the budget keeps an anchor in one of its places, and no place that can match is left out. Items come in blocks
 of about BLOCK, each of which passes over the documents once.
@@ -33,7 +33,8 @@ from pyspark.sql.types import StructType
 
 from .common import cut, read
 
-SIMILARITY, RECALL, AGREE, SAMPLED, BLOCK = 0.8, 0.99, 0.4, 3, 5000
+SIMILARITY, RECALL, AGREE, SAMPLED, BLOCK = 0.8, 0.99, 0.45, 3, 5000
+ANCHORS = 6
 REPEATS = math.ceil(math.log(1 - RECALL) / math.log(1 - AGREE**SAMPLED))
 WINDOWS = 1 << 14  # windows that are embedded at once
 
@@ -105,7 +106,7 @@ class Benchmark:
         for k, (_, words) in enumerate(self.items):
             size = length_class(len(words))
             of_size[size].append(k)
-            rare = set(sorted(set(words), key=lambda w: (common[w], -len(w), w))[: budget(len(words)) + 1])
+            rare = set(sorted(set(words), key=lambda w: (common[w], -len(w), w))[: max(ANCHORS, budget(len(words)) + 1)])
             for p, w in enumerate(words):
                 if w in rare:
                     self.anchors[w].add((size, p))

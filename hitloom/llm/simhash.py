@@ -1,47 +1,57 @@
 """SimHash near-duplicates: fingerprints of word shingles, and a binary-trie self-join within a Hamming budget.
 
-The join works on distinct fingerprints. Two of them within `budget` bits agree on at least one of budget + 1 blocks
-of bits, so the trie is kept in budget + 1 rotations, each with another block on top, and each node below a top block
-is a unit of work: from the pair (node, node) its pairs of children are followed, differing bits are summed, and a pair
-is dropped once it has more than `budget`. A top node with more than HOT_NODE fingerprints is split by the next
-SPLIT_BITS bits into pairs of its grandchildren, which become units of their own. A task links what it finds by a
-forest (one edge for a node at most) instead of by all its pairs; components() joins the forests.
+The join works on distinct fingerprints. Two of them within `budget` bits agree on at least `agree` of budget + agree
+blocks of bits, so the trie is kept in one order of the bits for each choice of `agree` blocks, with these on top, and
+each node below the top is a unit of work: from the pair (node, node) its pairs of children are followed, differing
+bits are summed, and a pair is dropped once it has more than `budget`. A top node with more than HOT_NODE fingerprints
+is split by the next SPLIT_BITS bits into pairs of its grandchildren, which become units of their own. A task links
+what it finds by a forest (one edge for a node at most) instead of by all its pairs; components() joins the forests.
+
+one_of_each() takes such components as candidates only, and decides by the exact similarity of word shingles.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import partial
-from itertools import repeat
+from functools import partial, reduce
+from itertools import chain, combinations, repeat
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import cut, read
 from .components import components
 
 SHINGLE, BUDGET = 3, 2
+# of near copies: words in a shingle that is compared, and the least similarity (a share of NEAR[0] / NEAR[1])
+NEAR_WORDS, NEAR = 5, (4, 5)
+# of the search for them: words in a hashed shingle (fewer, as an edit changes fewer of them), fingerprints, bits
+NEAR_SHINGLE, NEAR_PLANES, NEAR_BUDGET = 2, 2, 6
+LEADERS, FOLLOWERS = 1024, 4096
 HOT_NODE, SPLIT_BITS = 16384, 8
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 BLOCK = 1 << 15  # shingles that are counted at once
 
 
-def fingerprint(data: bytes | None, k: int = SHINGLE) -> int:
-    """The 64-bit SimHash of a UTF-8 text: majority of the XXH64 of its k-word shingles; 0 without words."""
+def shingle_hashes(data: bytes | None, k: int) -> np.ndarray:
+    """The XXH64 of each k-word shingle of a UTF-8 text, repeats included; of the whole sequence if it has fewer words."""
     words = (data or b"").translate(LOWER).split()
     if not words:
-        return 0
+        return np.zeros(0, np.uint64)
     joined = b" ".join(words)
     if len(words) <= k:
-        hashes = np.array([xxhash.xxh64_intdigest(joined, 42)], np.uint64)
-    else:
-        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
-        starts = np.concatenate(([0], ends[:-1]))[: len(words) - k + 1]
-        pieces = map(joined.__getitem__, map(slice, starts.tolist(), (ends[k - 1 :] - 1).tolist()))
-        hashes = np.fromiter(map(xxhash.xxh64_intdigest, pieces, repeat(42)), np.uint64, len(starts))
+        return np.array([xxhash.xxh64_intdigest(joined, 42)], np.uint64)
+    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
+    starts = np.concatenate(([0], ends[:-1]))[: len(words) - k + 1]
+    pieces = map(joined.__getitem__, map(slice, starts.tolist(), (ends[k - 1 :] - 1).tolist()))
+    return np.fromiter(map(xxhash.xxh64_intdigest, pieces, repeat(42)), np.uint64, len(starts))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits that more than half of the hashes have; 0 without hashes."""
     ones = np.zeros(64, np.int64)
     for at in range(0, len(hashes), BLOCK):
         block = hashes[at : at + BLOCK]
@@ -49,16 +59,35 @@ def fingerprint(data: bytes | None, k: int = SHINGLE) -> int:
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view(np.uint64)[0])
 
 
-def _fingerprints(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
+def fingerprint(data: bytes | None, k: int = SHINGLE) -> int:
+    """The 64-bit SimHash of a UTF-8 text: majority of the XXH64 of its k-word shingles; 0 without words."""
+    return majority(shingle_hashes(data, k))
+
+
+def planes(data: bytes | None, k: int, n: int) -> list[int]:
+    """n SimHashes of a text, independent of each other; the first is its fingerprint()."""
+    h = shingle_hashes(data, k)
+    out = [majority(h)]
+    for _ in range(n - 1):
+        h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        h ^= h >> np.uint64(31)
+        out.append(majority(h))
+    return out
+
+
+def _fingerprints(batches: Iterator[pa.RecordBatch], k: int, n: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        found = np.array([fingerprint(x.as_py(), k) for x in batch.column("data")], np.uint64).view(np.int64)
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_hash"), pa.array(found)], ["doc_id", "text_hash", "fp"])
+        found = np.array([planes(x.as_py(), k, n) for x in batch.column("data")], np.uint64).reshape(-1, n).view(np.int64)
+        rest = [c for c in batch.schema.names if c != "data"]
+        yield pa.RecordBatch.from_arrays([*map(batch.column, rest), *(pa.array(found[:, i]) for i in range(n))], [*rest, "fp", *(f"fp{i}" for i in range(1, n))])
 
 
-def fingerprints(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
-    """doc_id, text_hash and fp (the fingerprint as a signed long) of each document."""
+def fingerprints(docs: DataFrame, k: int = SHINGLE, n: int = 1) -> DataFrame:
+    """doc_id, text_hash and fp (the fingerprint as a signed long) of each document, and n - 1 more: fp1, fp2 ..."""
     docs = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.col("text").cast("binary").alias("data"))
-    return docs.mapInArrow(partial(_fingerprints, k=k), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, text_hash long, fp long")
+    kinds = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, text_hash long, fp long" + "".join(f", fp{i} long" for i in range(1, n))
+    return docs.mapInArrow(partial(_fingerprints, k=k, n=n), kinds)
 
 
 def _split(keys: np.ndarray, lo: np.ndarray, hi: np.ndarray, bit: int) -> np.ndarray:
@@ -153,15 +182,41 @@ def _links(batches: Iterator[pa.RecordBatch], budget: int, width: int) -> Iterat
     yield pa.RecordBatch.from_arrays([pa.array(nodes[tied]), pa.array(nodes[root[tied]])], ["a", "b"])
 
 
-def trie_links(distinct: DataFrame, budget: int = BUDGET, hot_node: int = HOT_NODE) -> DataFrame:
-    """distinct fp -> links (a, b) that join the same components as all pairs within `budget` bits do."""
-    parts = budget + 1
-    width = [64 * (i + 1) // parts - 64 * i // parts for i in range(parts)]
-    fp, rows = F.col("fp"), []
-    for r in range(parts):
-        off = 64 * r // parts
-        key = F.shiftleft(fp, off).bitwiseOR(F.shiftrightunsigned(fp, 64 - off)) if off else fp
-        rows.append(F.struct(F.lit(r).alias("rot"), F.shiftrightunsigned(key, 64 - width[r]).alias("block"), key.alias("key"), F.shiftrightunsigned(F.shiftleft(key, width[r]), 64 - SPLIT_BITS).cast("int").alias("child")))
+def bit_orders(budget: int, agree: int) -> list[tuple[list[tuple[int, int]], int]]:
+    """For each choice of `agree` of budget + agree blocks: the runs (first bit, bits) of the key, and the bits on top."""
+    n = budget + agree
+    blocks = [(64 * i // n, 64 * (i + 1) // n - 64 * i // n) for i in range(n)]
+    out = []
+    for top in combinations(range(n), agree):
+        runs: list[tuple[int, int]] = []
+        for at, bits in [blocks[i] for i in top] + [blocks[(top[0] + j) % n] for j in range(n) if (top[0] + j) % n not in top]:
+            if runs and sum(runs[-1]) == at:
+                at, bits = runs[-1][0], runs.pop()[1] + bits
+            runs.append((at, bits))
+        out.append((runs, sum(blocks[i][1] for i in top)))
+    return out
+
+
+def reordered(fp, runs: list[tuple[int, int]]):
+    """fp with its bits (counted from the greatest) in the order of the runs."""
+    parts, at = [], 0
+    for first, bits in runs:
+        value = F.shiftrightunsigned(F.shiftleft(fp, first), 64 - bits) if bits < 64 else fp
+        parts.append(F.shiftleft(value, 64 - at - bits))
+        at += bits
+    return reduce(lambda a, b: a.bitwiseOR(b), parts)
+
+
+def trie_links(distinct: DataFrame, budget: int = BUDGET, hot_node: int = HOT_NODE, agree: int = 1) -> DataFrame:
+    """distinct fp -> links (a, b) that join the same components as all pairs within `budget` bits do.
+
+    agree changes the work, not the result: more blocks on top make more orders of smaller nodes.
+    """
+    fp, rows, width = F.col("fp"), [], []
+    for r, (runs, top) in enumerate(bit_orders(budget, agree)):
+        key = reordered(fp, runs)
+        width.append(top)
+        rows.append(F.struct(F.lit(r).alias("rot"), F.shiftrightunsigned(key, 64 - top).alias("block"), key.alias("key"), F.shiftrightunsigned(F.shiftleft(key, top), 64 - SPLIT_BITS).cast("int").alias("child")))
     rows = distinct.select("fp", F.inline(F.array(*rows)))
     hot = rows.groupBy("rot", "block").count().where(F.col("count") > hot_node).select("rot", "block", F.lit(True).alias("hot"))
     rows = rows.join(hot, ["rot", "block"], "left")
@@ -196,12 +251,128 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, budget: int = BUDGET, hot
     return grouped(docs, k, budget, hot_node).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def one_of_each(docs: DataFrame, k: int = SHINGLE, budget: int = BUDGET, hot_node: int = HOT_NODE) -> DataFrame:
-    """The rows of docs that stay: of each group the one with the least doc_id (nulls last), then the least hash of its text."""
-    rows = cut(grouped(docs, k, budget, hot_node))
-    keep = rows.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id").alias("id"), F.col("text_hash").alias("h"))).alias("x")).select("x.id", "x.h")
-    kept = docs.join(keep, F.col("doc_id").eqNullSafe(F.col("id")) & (F.xxhash64("text") == F.col("h")), "left_semi")
-    again = rows.groupBy("doc_id", "text_hash").count().where("count > 1").limit(1).count()
+class Leaders:
+    """Sets of shingles that were kept, with the sets that hold each shingle."""
+
+    def __init__(self):
+        self.sizes: list[int] = []
+        self.holders: dict[int, list[int]] = {}
+
+    def add(self, shingles: list[int]) -> None:
+        for s in shingles:
+            self.holders.setdefault(s, []).append(len(self.sizes))
+        self.sizes.append(len(shingles))
+
+    def like(self, shingles: list[int]) -> bool:
+        """Whether any of the sets has a Jaccard similarity of NEAR or more; empty sets are alike."""
+        if not shingles:
+            return 0 in self.sizes
+        found = list(chain.from_iterable(filter(None, map(self.holders.get, shingles))))
+        if not found:
+            return False
+        common = np.bincount(found)
+        total = np.array(self.sizes[: len(common)]) + len(shingles) - common
+        return bool((NEAR[1] * common >= NEAR[0] * total).any())
+
+
+def shingles_of(data: bytes | None) -> list[int]:
+    return np.unique(shingle_hashes(data, NEAR_WORDS)).tolist()
+
+
+def _lead(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (root, ..., data) of whole components, in their order -> those unlike all rows kept before in the component."""
+    root, leaders = None, Leaders()
+    for batch in batches:
+        keep = []
+        for own, data in zip(batch.column("root").to_pylist(), batch.column("data"), strict=True):
+            if own != root:
+                root, leaders = own, Leaders()
+            shingles = shingles_of(data.as_py())
+            keep.append(not leaders.like(shingles))
+            if keep[-1]:
+                leaders.add(shingles)
+        yield batch.filter(pa.array(keep, pa.bool_()))
+
+
+def _follow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (root, salt, leads, ..., data), leading rows of each (root, salt) first -> the others that are unlike these."""
+    part, leaders = None, Leaders()
+    for batch in batches:
+        keep = []
+        for root, salt, leads, data in zip(*(batch.column(c).to_pylist() for c in ("root", "salt", "leads")), batch.column("data"), strict=True):
+            if (root, salt) != part:
+                part, leaders = (root, salt), Leaders()
+            shingles = shingles_of(data.as_py())
+            keep.append(not leads and not leaders.like(shingles))
+            if leads:
+                leaders.add(shingles)
+        yield batch.filter(pa.array(keep, pa.bool_()))
+
+
+def near_components(prints: DataFrame, budget: int, hot_node: int, agree: int) -> DataFrame:
+    """prints (text_key, fp, fp1 ...), one row for each text -> (text_key, root) of texts that share or link a fingerprint."""
+    names = [c for c in prints.columns if c.startswith("fp")]
+    nodes = prints.withColumn("node", F.xxhash64("text_key"))  # nodes that fall together are candidates more, no more than that
+    links = []
+    for c in names:
+        own = nodes.select(F.col(c).alias("fp"), "node")
+        first = cut(own.groupBy("fp").agg(F.min("node").alias("m")))
+        found = trie_links(first.select("fp"), budget, hot_node, agree)
+        of = lambda side: first.select(F.col("fp").alias(side), F.col("m").alias("node_" + side))  # noqa: E731, B023
+        links.append(found.join(of("a"), "a").join(of("b"), "b").select(F.col("node_a").alias("a"), F.col("node_b").alias("b")))
+        links.append(own.join(first, "fp").where("node != m").select(F.col("node").alias("a"), F.col("m").alias("b")))
+    roots = components(reduce(DataFrame.unionByName, links))
+    return nodes.join(roots, "node").select("text_key", "root")
+
+
+def unlike(members: DataFrame, leaders: int = LEADERS) -> DataFrame:
+    """members (root, none, doc_id, text_key, data) -> those that stay: in the order of none, doc_id and text_key, a text
+    stays unless it is like (NEAR) one of its component that stays.
+
+    A round settles the first `leaders` open texts of each component, and compares all its other ones with those of
+    them that stay, dealt out by a salt; a component of n texts that are all unlike takes n / leaders rounds.
+    """
+    order = ["none", "doc_id", "text_key"]
+    kind, salts = members.schema, F.ceil(F.col("size") / FOLLOWERS).cast("int")
+    open_, kept = members, []
+    while True:
+        rank = F.row_number().over(Window.partitionBy("root").orderBy(*order))
+        top = cut(open_.withColumn("n", rank).where(F.col("n") <= leaders).drop("n"))
+        lead = cut(top.repartition("root").sortWithinPartitions("root", *order).mapInArrow(_lead, kind))
+        kept.append(lead)
+        rest = open_.join(top.select("root", "text_key"), ["root", "text_key"], "left_anti").select(members.columns)
+        rest = cut(rest)
+        sizes = rest.groupBy("root").agg(F.count("*").alias("size"))
+        if sizes.isEmpty():
+            return reduce(DataFrame.unionByName, kept)
+        sizes = cut(sizes)
+        copies = lead.join(sizes, "root").withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1))).withColumn("leads", F.lit(True)).drop("size")
+        others = rest.join(sizes, "root").withColumn("salt", F.pmod(F.hash("text_key"), salts)).withColumn("leads", F.lit(False)).drop("size")
+        dealt = copies.unionByName(others).repartition("root", "salt").sortWithinPartitions("root", "salt", F.desc("leads"))
+        open_ = cut(dealt.mapInArrow(_follow, dealt.schema).select(members.columns))
+
+
+def one_of_each(docs: DataFrame, k: int = NEAR_SHINGLE, budget: int = NEAR_BUDGET, n: int = NEAR_PLANES, hot_node: int = HOT_NODE, agree: int = 2) -> DataFrame:
+    """The rows of docs that stay: of equal texts the one with the least doc_id (nulls last), and of texts that one of n
+    fingerprints links within `budget` bits, directly or by others, those that are unlike all lesser ones that stay.
+
+    Texts are alike from a Jaccard similarity of NEAR of their distinct NEAR_WORDS-word shingles. Texts without words,
+    null ones included, are alike. Rows equal in doc_id and text are one; all columns stay.
+    """
+    key = lambda text: F.unhex(F.substring(F.sha2(F.coalesce(text.cast("binary"), F.lit(b"")), 256), 1, 32))
+    keyed = docs.select("doc_id", key(F.col("text")).alias("text_key"), F.col("text").cast("binary").alias("data"))
+    kinds = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, text_key binary, " + ", ".join(["fp long", *(f"fp{i} long" for i in range(1, n))])
+    prints = cut(keyed.mapInArrow(partial(_fingerprints, k=k, n=n), kinds))
+    names = [c for c in prints.columns if c.startswith("fp")]
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id")).alias("first")
+    texts = cut(prints.groupBy("text_key").agg(first, *(F.min(c).alias(c) for c in names)))  # equal texts have equal ones
+    near = cut(near_components(texts.select("text_key", *names), budget, hot_node, agree).join(texts.select("text_key", "first.none", "first.doc_id"), "text_key"))
+    same = F.col("k.doc_id").eqNullSafe(F.col("n.doc_id")) & (F.col("k.text_key") == F.col("n.text_key"))
+    members = cut(keyed.alias("k").join(near.alias("n"), same).select("n.root", "n.none", "n.doc_id", "n.text_key", "k.data").dropDuplicates(["text_key"]))
+    lost = near.select("text_key").join(unlike(members).select("text_key"), "text_key", "left_anti")
+    stay = texts.join(lost, "text_key", "left_anti").select("first.doc_id", "text_key")
+    kept = docs.alias("d").join(stay.alias("s"), F.col("d.doc_id").eqNullSafe(F.col("s.doc_id")) & (key(F.col("d.text")) == F.col("s.text_key")), "left_semi")
+    again = prints.groupBy("doc_id", "text_key").count().where("count > 1").limit(1).count()
     return kept.dropDuplicates(["doc_id", "text"]) if again else kept
 
 

@@ -134,17 +134,17 @@ def test_fingerprint_by_definition():
     assert simhash.fingerprint(None) == simhash.fingerprint(b" \n") == 0
 
 
-@pytest.mark.parametrize("hot", [16384, 20])
-def test_trie_join(spark, hot):
+@pytest.mark.parametrize("hot,budget,agree", [(16384, 2, 1), (20, 2, 1), (16384, 3, 2), (20, 6, 2)])
+def test_trie_join(spark, hot, budget, agree):
     rng = random.Random(9)
     fps = {rng.getrandbits(64) for _ in range(300)}
     for f in rng.sample(sorted(fps), 60):
         for _ in range(12):
-            fps.add(f ^ sum({1 << rng.randrange(64) for _ in range(rng.randrange(4))}))
+            fps.add(f ^ sum({1 << rng.randrange(64) for _ in range(rng.randrange(budget + 2))}))
     fps = [f - (1 << 64) if f >> 63 else f for f in fps]
-    links = simhash.trie_links(spark.createDataFrame([(f,) for f in fps], "fp long"), hot_node=hot)
+    links = simhash.trie_links(spark.createDataFrame([(f,) for f in fps], "fp long"), budget, hot, agree)
     got = plain_components(fps, [(r.a, r.b) for r in links.collect()])
-    want = plain_components(fps, [(a, b) for i, a in enumerate(fps) for b in fps[:i] if ((a ^ b) & (2**64 - 1)).bit_count() <= 2])
+    want = plain_components(fps, [(a, b) for i, a in enumerate(fps) for b in fps[:i] if ((a ^ b) & (2**64 - 1)).bit_count() <= budget])
     assert got == want
 
 
@@ -156,3 +156,38 @@ def test_near_duplicates(spark):
     assert got[None, "0" * 16] == 3
     assert simhash.near_duplicates(docs(spark, rows)).count() == len(rows)
     assert simhash.near_duplicates(docs(spark, [])).count() == 0
+
+
+def test_one_of_each_against_all_pairs(spark, monkeypatch):
+    """Recall of near copies at similarities of 0.8 to 1, none lost below, large and small batches of leaders alike."""
+    rng = random.Random(21)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(5))
+    rows = []
+    for base in range(60):
+        text = [word() for _ in range(rng.randrange(60, 300))]
+        rows.append((len(rows), " ".join(text)))
+        for _ in range(rng.randrange(1, 9)):
+            copy = list(text)
+            for at in rng.sample(range(len(copy)), max(1, int(rng.choice([0.01, 0.02, 0.05]) * len(copy)))):
+                copy[at] = word()
+            rows.append((len(rows), " ".join(copy)))
+    rows += [(900, None), (901, ""), (902, rows[0][1].upper()), (903, rows[3][1]), (None, rows[3][1]), (904, "a b"), (905, "a b c")]
+    sets = {i: set(simhash.shingles_of((t or "").encode())) for i, t in rows}
+    alike = lambda a, b: 5 * len(a & b) >= 4 * len(a | b)
+    kept = {r.doc_id for r in simhash.one_of_each(docs(spark, rows)).collect()}
+    dropped = [i for i, _ in rows if i not in kept]
+    for i in dropped:  # nothing goes that isn't like a lesser one
+        assert any(alike(sets[i], sets[j]) for j, _ in rows if j is not None and j in kept and (i is None or j < i))
+    want = [i for i, _ in rows if i is not None and any(alike(sets[i], sets[j]) for j, _ in rows if j is not None and j < i and j in kept)]
+    assert len({*want} & {*dropped}) >= 0.9 * len(want) > 60
+    assert {901, 902, 903, None} <= {*dropped} and {900, 904, 905} <= kept
+    monkeypatch.setattr(simhash, "FOLLOWERS", 3)
+    one = simhash.unlike
+    monkeypatch.setattr(simhash, "unlike", lambda members: one(members, 2))
+    assert {r.doc_id for r in simhash.one_of_each(docs(spark, rows)).collect()} == kept
+
+
+def test_one_of_each_keeps_all_columns(spark):
+    rows = [(1, "a b c d e f", 5, 6), (2, "a b c d e f", 7, 8), (3, "other words", 9, 10)]
+    got = simhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string, id long, h long")).collect()
+    assert sorted(map(tuple, got)) == [rows[0], rows[2]]
