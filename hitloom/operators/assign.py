@@ -23,6 +23,15 @@ def best_hit(hits: DataFrame) -> DataFrame:
     )
 
 
+def best_hit_rows(hits: DataFrame) -> DataFrame:
+    """The best hit of each read (bits, then fident, then the least taxid, then the last target and place): where it lies.
+
+    As in best_hit(), hits are combined before they are shuffled.
+    """
+    best = F.max(F.struct("bits", "fident", (-F.col("taxid")).alias("t"), F.col("target").alias("target"), "tstart", "tend", "tlen"))
+    return hits.groupBy(*READ).agg(best.alias("b")).select(*READ, "b.target", "b.tstart", "b.tend", "b.tlen", (-F.col("b.t")).alias("taxid"), "b.bits", "b.fident")
+
+
 def classify_best_hit(hits: DataFrame, lineage: DataFrame, rank: str | None = None) -> DataFrame:
     """best_hit() in the assignment layout, lifted to a rank if one is given."""
     rows = best_hit(hits)
@@ -129,16 +138,28 @@ def genus_competition(reads: DataFrame, lineage: DataFrame, ratio: float = 0.1)
 def local_depth_weights(hits: DataFrame, runs: DataFrame, alpha: float = 1.0, beta: float = 1.0, temperature: float = 1.0) -> DataFrame:
     """hits (with hit_id) and depth runs -> weight of each hit within its read: softmax of score and closeness of local to mean depth.
 
-    Local depth is the mean over the hit's bases; the target's mean depth is over its covered bases.
+    Local depth is the mean over the hit's bases; the target's mean depth is over its covered bases. Depth is summed up
+    along each target, and a hit takes the sum at its end less that at its start, so no hit meets a run.
     """
-    mean = runs.groupBy("sample", "target").agg((F.sum((F.col("end") - F.col("start")) * F.col("depth")) / F.sum(F.col("end") - F.col("start"))).alias("mean_depth"))
-    over = F.least("tend", "end") - F.greatest("tstart", "start")
-    local = (
-        hits.join(runs, ["sample", "target"]).where((F.col("start") < F.col("tend")) & (F.col("end") > F.col("tstart")))
-        .groupBy("hit_id").agg(F.sum(over * F.col("depth")).alias("d"), F.sum(over).alias("n")).select("hit_id", (F.col("d") / F.col("n")).alias("local_depth"))
-    )
-    rows = hits.join(local, "hit_id").join(mean, ["sample", "target"])
+    key = ("sample", "target")
+    mean = runs.groupBy(*key).agg((F.sum((F.col("end") - F.col("start")) * F.col("depth")) / F.sum(F.col("end") - F.col("start"))).alias("mean_depth"))
+    before = Window.partitionBy(*key).orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    n = F.col("end") - F.col("start")
+    sums = runs.select(*key, F.col("start").alias("pos"), F.struct("start", "end", "depth", F.coalesce(F.sum(n * F.col("depth")).over(before), F.lit(0)).alias("d"), F.coalesce(F.sum(n).over(before), F.lit(0)).alias("n")).alias("run"))
+    ends = hits.select(*key, "hit_id", F.inline(F.array(F.struct(F.col("tstart").alias("pos"), F.lit(-1).alias("sign")), F.struct(F.col("tend").alias("pos"), F.lit(1).alias("sign")))))
+    rows = sums.unionByName(ends, allowMissingColumns=True)
+    last = F.last("run", ignorenulls=True).over(Window.partitionBy(*key).orderBy("pos", F.col("sign").isNotNull()).rowsBetween(Window.unboundedPreceding, 0))
+    rows = rows.withColumn("at", last).where("sign is not null and at is not null")
+    into = F.least(F.col("pos"), F.col("at.end")) - F.col("at.start")
+    local = rows.groupBy("hit_id").agg(F.sum(F.col("sign") * (F.col("at.d") + into * F.col("at.depth"))).alias("d"), F.sum(F.col("sign") * (F.col("at.n") + into)).alias("n"))
+    local = local.where("n > 0").select("hit_id", (F.col("d") / F.col("n")).alias("local_depth"))
+    rows = hits.join(local, "hit_id").join(mean, list(key))
     raw = (alpha * F.col("bits") / 100 - beta * F.abs(F.col("local_depth") - F.col("mean_depth")) / F.col("mean_depth")) / temperature
     read = Window.partitionBy(*READ)
     rows = rows.withColumn("raw", raw).withColumn("e", F.exp(F.col("raw") - F.max("raw").over(read)))
     return rows.select("hit_id", *READ, "target", "local_depth", (F.col("e") / F.sum("e").over(read)).alias("weight"))
+
+
+def attach_pair_support(summary: DataFrame, support: DataFrame) -> DataFrame:
+    """A summary by (sample, taxon) with the both_frac of pair_support(), 0 where a taxon has none."""
+    return summary.drop("both_frac").join(support.select("sample", "taxon", "both_frac"), ["sample", "taxon"], "left").fillna(0.0, ["both_frac"])

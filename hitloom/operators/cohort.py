@@ -60,10 +60,9 @@ def permanova(distances: DataFrame, groups: DataFrame, permutations: int = 999,
     spark = distances.sparkSession
     perms = spark.range(permutations + 1).withColumnRenamed("id", "perm")
     own = groups.select("sample", "group")
-    order = Window.orderBy("sample")
-    fixed = own.withColumn("k", F.row_number().over(order))  # a cohort's samples
     shuffled = perms.crossJoin(own.select("group", F.col("sample").alias("s"))).withColumn("k", F.row_number().over(Window.partitionBy("perm").orderBy(F.when(F.col("perm") == 0, F.lit(0)).otherwise(F.xxhash64("s", "perm", F.lit(seed))), "s")))
-    labels = shuffled.join(F.broadcast(fixed.select("k", "sample")), "k").select("perm", "sample", "group")
+    fixed = shuffled.where("perm = 0").select("k", F.col("s").alias("sample"))
+    labels = shuffled.join(fixed, "k").select("perm", "sample", "group")
     sizes = own.groupBy("group").agg(F.count("*").alias("n"))
     n, g = own.count(), sizes.count()
     x = labels.select("perm", F.col("sample").alias("a"), F.col("group").alias("ga"))

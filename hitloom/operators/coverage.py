@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hitloom.operators.hits import label_masked_hits, masked_read_count, renormalise_within
-from hitloom.operators.intervals import BY, breadth_depth, clamp, merged_coverage_ratio, union_length
+from hitloom.operators.intervals import BY, clamp, union_length
 from hitloom.operators.taxonomy import attach_rank
 
 
@@ -30,14 +30,30 @@ DOCUMENTED = CoverageThresholds(min_read_count=3)
 
 
 def coverage_stats(hits: DataFrame, mask: DataFrame, by: tuple[str, ...] = BY) -> DataFrame:
-    """Per target: hit_count, breadth_bp, coverage_ratio and avg_depth of all, masked and unmasked hits, and has_mask."""
+    """Per target: hit_count, breadth_bp, coverage_ratio and avg_depth of all, masked and unmasked hits, and has_mask.
+
+    All of it comes from one table of depth steps, with the depth of masked hits beside that of all. A ratio's union
+    isn't cut at the target's ends; breadth and depth are.
+    """
     rows = label_masked_hits(hits, mask)
-    kinds = rows.select("*", F.explode(F.array(F.lit("total"), F.when(F.col("is_masked"), "masked").otherwise("unmasked"))).alias("kind"))
-    own = (*by, "kind")
-    count = kinds.groupBy(*own).agg(F.count("*").alias("hit_count"), F.min("tlen").alias("tlen"))
-    stats = count.join(merged_coverage_ratio(kinds, own), list(own), "left").join(breadth_depth(kinds, own), list(own), "left")
-    pick = lambda k, c: F.coalesce(F.max(F.when(F.col("kind") == k, F.col(c))), F.lit(0))
-    out = stats.groupBy(*by).agg(*[pick(k, c).alias(f"{k}_{c}") for k in ("total", "masked", "unmasked") for c in ("hit_count", "breadth_bp", "coverage_ratio", "avg_depth")])
+    m = F.col("is_masked").cast("int")
+    step = lambda pos, d, dm, n, nm: F.struct(F.col(pos).alias("pos"), d.alias("d"), dm.alias("dm"), n.alias("n"), nm.alias("nm"))
+    zero, one = F.lit(0), F.lit(1)
+    events = F.when(F.col("tstart") < F.col("tend"), F.array(step("tstart", one, m, one, m), step("tend", -one, -m, zero, zero))).otherwise(F.array(step("tstart", zero, zero, one, m)))
+    steps = rows.select(*by, "tlen", F.inline(events)).groupBy(*by, "pos").agg(F.min("tlen").alias("tlen"), *(F.sum(c).alias(c) for c in ("d", "dm", "n", "nm")))
+    order = Window.partitionBy(*by).orderBy("pos")
+    so_far = order.rowsBetween(Window.unboundedPreceding, 0)
+    runs = steps.select(*by, "pos", F.coalesce(F.lead("pos").over(order), "pos").alias("end"), "tlen", "n", "nm", F.sum("d").over(so_far).alias("total"), F.sum("dm").over(so_far).alias("masked"))
+    runs = runs.withColumn("unmasked", F.col("total") - F.col("masked")).withColumn("least", F.min("tlen").over(Window.partitionBy(*by)))
+    whole = F.col("end") - F.col("pos")
+    inside = F.greatest(F.least("end", "least") - F.greatest("pos", F.lit(0)), F.lit(0))
+    found = {"total": F.sum("n"), "masked": F.sum("nm"), "unmasked": F.sum(F.col("n") - F.col("nm"))}
+    sums = [x for k in found for x in (
+        found[k].alias(f"{k}_hit_count"), F.sum(F.when(F.col(k) > 0, inside).otherwise(0)).alias(f"{k}_breadth_bp"),
+        F.least(F.lit(1.0), F.coalesce(F.try_divide(F.sum(F.when(F.col(k) > 0, whole).otherwise(0)), F.min("least")), F.lit(0.0))).alias(f"{k}_coverage_ratio"),
+        F.coalesce(F.try_divide(F.sum(inside * F.col(k)), F.sum(F.when(F.col(k) > 0, inside).otherwise(0))), F.lit(0.0)).alias(f"{k}_avg_depth"),
+    )]
+    out = runs.groupBy(*by).agg(*sums)
     there = mask.where("start < end").select("target").distinct().withColumn("has_mask", F.lit(True))
     return out.join(there, "target", "left").withColumn("has_mask", F.coalesce("has_mask", F.lit(False)))
 

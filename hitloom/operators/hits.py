@@ -25,6 +25,7 @@ class QualityCriteria:
 
 # References that are contaminants.
 CONTAMINANTS = ["NC_032111.1", "NC_022518.1"]
+BIN = 16384  # bases of a target whose mask regions stand in one row
 
 
 def query_coverage() -> Column:
@@ -71,20 +72,26 @@ def blacklist(hits: DataFrame, taxids: list[int] = (), names: list[str] = (), na
     return hits.where(~F.coalesce(bad, F.lit(False)))
 
 
-def mask_arrays(mask: DataFrame) -> DataFrame:
-    """target -> regions, an array of (start, end); one row for each target."""
-    return mask.where("start < end").groupBy("target").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("regions"))
+def mask_bins(mask: DataFrame) -> DataFrame:
+    """target, bin -> regions, an array of the (start, end) that touch the bin of BIN bases."""
+    bins = F.sequence(F.floor(F.col("start") / BIN), F.floor(F.col("end") / BIN))
+    rows = mask.where("start < end").select("target", "start", "end", F.explode(bins).alias("bin"))
+    return rows.groupBy("target", "bin").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("regions"))
 
 
 def label_masked_hits(hits: DataFrame, mask: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """Add is_masked: a single region covers at least `threshold` of the hit; hits with tend <= tstart are never masked.
+    """Add is_masked: a single region covers at least `threshold` (0.5 or more) of the hit; hits with tend <= tstart are never masked.
 
-    Regions are gathered to one row per target, so hits meet them in one equi-join on target and no row is multiplied.
+    A region that covers half of a hit holds its middle, so a hit meets the regions of its middle's bin only: one
+    equi-join, no hit is multiplied, and no hit sees the regions of a whole chromosome.
     """
+    if threshold < 0.5:
+        raise ValueError("a region that covers less than half of a hit need not hold its middle")
     overlap = lambda r: F.least(F.col("tend"), r["end"]) - F.greatest(F.col("tstart"), r["start"])
     masked = F.exists("regions", lambda r: F.greatest(overlap(r), F.lit(0)) >= threshold * (F.col("tend") - F.col("tstart")))
     label = F.when(F.col("tend") > F.col("tstart"), F.coalesce(masked, F.lit(False))).otherwise(False)
-    return hits.join(mask_arrays(mask), "target", "left").withColumn("is_masked", label).drop("regions")
+    rows = hits.withColumn("bin", F.floor((F.col("tstart").cast("long") + F.col("tend")) / (2 * BIN)))
+    return rows.join(mask_bins(mask), ["target", "bin"], "left").withColumn("is_masked", label).select(*hits.columns, "is_masked")
 
 
 def drop_all_masked_reads(hits: DataFrame, mask: DataFrame, threshold: float = 0.5) -> DataFrame:
@@ -103,7 +110,9 @@ def masked_read_summary(hits: DataFrame, mask: DataFrame, threshold: float = 0.5
 def masked_read_count(hits: DataFrame, mask: DataFrame, by: tuple[str, ...] = ("sample", "target")) -> DataFrame:
     """Distinct reads with a hit that overlaps a region by one base or more."""
     touch = F.exists("regions", lambda r: F.least(F.col("tend"), r["end"]) > F.greatest(F.col("tstart"), r["start"]))
-    return hits.join(mask_arrays(mask), "target").where(touch).groupBy(*by).agg(F.count_distinct("query").alias("masked_reads"))
+    bins = F.sequence(F.floor(F.col("tstart") / BIN), F.floor((F.col("tend") - 1) / BIN))
+    rows = hits.where("tstart < tend").select(*by, "query", "tstart", "tend", F.explode(bins).alias("bin"))
+    return rows.join(mask_bins(mask), ["target", "bin"]).where(touch).groupBy(*by).agg(F.count_distinct("query").alias("masked_reads"))
 
 
 def split_by_target(hits: DataFrame, targets: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -59,13 +59,17 @@ def depth_entropy(runs: DataFrame, lengths: DataFrame, by: tuple[str, ...] = BY)
     return lengths.join(total, list(by), "left").select(*by, F.when(F.col("t").isNull() | (F.col("tlen") <= 1), 0.0).otherwise(h).alias("depth_entropy"))
 
 
-def islands(intervals: DataFrame, by: tuple[str, ...], gap: int = 0) -> DataFrame:
-    """Merged intervals (by, start, end, n) of those that overlap, touch, or lie at most `gap` apart."""
+def with_islands(intervals: DataFrame, by: tuple[str, ...], gap: int = 0) -> DataFrame:
+    """The intervals with `island`, a number for those that overlap, touch, or lie at most `gap` apart; empty ones are left out."""
     order = Window.partitionBy(*by).orderBy("start", "end")
     top = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
     rows = intervals.where("start < end").withColumn("new", F.coalesce((F.col("start") > top + gap).cast("int"), F.lit(1)))
-    rows = rows.withColumn("island", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    return rows.groupBy(*by, "island").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.count("*").alias("n")).drop("island")
+    return rows.withColumn("island", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0))).drop("new")
+
+
+def islands(intervals: DataFrame, by: tuple[str, ...], gap: int = 0) -> DataFrame:
+    """Merged intervals (by, start, end, n) of those that overlap, touch, or lie at most `gap` apart."""
+    return with_islands(intervals, by, gap).groupBy(*by, "island").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.count("*").alias("n")).drop("island")
 
 
 def reference_depth_track(runs: DataFrame, segments: DataFrame) -> DataFrame:

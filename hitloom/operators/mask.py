@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hitloom.operators.intervals import depth_segments, islands, union_length
+from hitloom.operators.intervals import islands, union_length, with_islands
 
 
 def hsp_filter(hsps: DataFrame, min_length: int = 150, min_identity: float = 90.0, drop_self: bool = False) -> DataFrame:
@@ -23,21 +23,17 @@ def hsp_to_intervals(hsps: DataFrame, side: str = "query") -> DataFrame:
 
 
 def merge_with_depth(intervals: DataFrame) -> DataFrame:
-    """Merged regions per (acc, other) with the mean depth of their intervals."""
+    """Merged regions per (acc, other) with the mean depth of their intervals: their summed lengths over the region's."""
     key = ("acc", "other")
-    regions = islands(intervals, key)
-    runs = depth_segments(intervals.withColumnsRenamed({"start": "tstart", "end": "tend"}), key).withColumnsRenamed({"start": "rs", "end": "re"})
-    rows = regions.join(runs, list(key)).where((F.col("rs") >= F.col("start")) & (F.col("re") <= F.col("end")))
-    return rows.groupBy(*key, "start", "end", "n").agg((F.sum((F.col("re") - F.col("rs")) * F.col("depth")) / F.first(F.col("end") - F.col("start"))).alias("mean_depth"))
+    rows = with_islands(intervals, key).groupBy(*key, "island").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.count("*").alias("n"), F.sum(F.col("end") - F.col("start")).alias("bases"))
+    return rows.select(*key, "start", "end", "n", (F.col("bases") / (F.col("end") - F.col("start"))).alias("mean_depth"))
 
 
 def merge_bed(regions: DataFrame, gap: int = 0) -> DataFrame:
     """Regions (acc, desc, start, end, depth, other) merged per (acc, desc) where they overlap or touch; depths and partners are listed."""
     key = ("acc", "desc")
-    merged = islands(regions, key, gap).drop("n").withColumnsRenamed({"start": "s", "end": "e"})
-    rows = merged.join(regions, list(key)).where((F.col("start") >= F.col("s")) & (F.col("end") <= F.col("e")))
     listed = F.array_sort(F.collect_list(F.struct("start", "end", "other", "depth")))
-    rows = rows.groupBy(*key, F.col("s").alias("start"), F.col("e").alias("end")).agg(listed.alias("x"))
+    rows = with_islands(regions, key, gap).groupBy(*key, "island").agg(F.min("start").alias("start"), F.max("end").alias("end"), listed.alias("x"))
     return rows.select(*key, "start", "end", F.array_join(F.col("x")["depth"].cast("array<string>"), ";").alias("depths"), F.array_join(F.col("x")["other"], ";").alias("others"))
 
 

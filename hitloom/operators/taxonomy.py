@@ -9,26 +9,26 @@ from hitloom.functions.stage import stage
 from hitloom.functions.text import is_major_rank, normalize_rank, rank_code
 
 VIRUSES = 10239
-MAX_DEPTH = 40
 
 
-def lineages(taxonomy: DataFrame, root: int = 1, max_depth: int = MAX_DEPTH) -> DataFrame:
-    """taxid, rank, name, path (array of taxid, rank, name from root to taxid) and depth (0 at the root).
+def lineages(taxonomy: DataFrame, root: int = 1) -> DataFrame:
+    """taxid, rank, name, path (array of taxid, rank, name from root to taxid) and depth (0 at the root), of any depth.
 
-    One level is joined at a time, until a level is empty, and the result is a table of its own. Null ranks are `no rank`;
-    nodes that don't lead to root are left out.
+    Paths are doubled: each round puts the path of the taxon above a path in front of it, so a tree of depth d takes
+    log2(d) joins. Null ranks are `no rank`; taxa that don't lead to root, cycles among them, are left out. The result is
+    a table of its own.
     """
     nodes = taxonomy.select("taxid", "parent_taxid", normalize_rank(F.col("rank")).alias("rank"), "name").dropDuplicates(["taxid"])
-    step = F.struct("taxid", "rank", "name")
-    level = nodes.where(F.col("taxid") == root).select("taxid", "rank", "name", F.array(step).alias("path"))
-    out = level
-    for _ in range(max_depth):
-        above = level.select(F.col("taxid").alias("parent_taxid"), F.col("path").alias("up"))
-        level = nodes.where("taxid != parent_taxid").join(above, "parent_taxid").select("taxid", "rank", "name", F.concat("up", F.array(step)).alias("path")).persist()
-        if level.isEmpty():
-            break
-        out = out.unionByName(level)
-    return stage(out.withColumn("depth", F.size("path") - 1))
+    nodes = nodes.where((F.col("taxid") == root) | (F.col("taxid") != F.col("parent_taxid")))
+    above = F.when(F.col("taxid") != root, F.col("parent_taxid")).alias("above")
+    rows = nodes.select("taxid", "rank", "name", above, F.array(F.struct("taxid", "rank", "name")).alias("path"))
+    while True:
+        upper = rows.select(F.col("taxid").alias("above"), F.col("path").alias("more"), F.col("above").alias("next"))
+        longer = rows.where("above is not null").join(upper, "above").select("taxid", "rank", "name", F.col("next").alias("above"), F.concat("more", "path").alias("path"))
+        circular = F.coalesce(F.array_contains(F.col("path")["taxid"], F.col("above")), F.lit(False))
+        rows = stage(rows.where("above is null").unionByName(longer.where(~circular)))
+        if rows.where("above is not null").isEmpty():
+            return rows.select("taxid", "rank", "name", "path", (F.size("path") - 1).alias("depth"))
 
 
 def subtree(lineage: DataFrame, root: int = VIRUSES) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hitloom.functions.stage import stage
-from hitloom.operators import assign, counts, coverage, em, hits, host, ml
+from hitloom.operators import assign, counts, coverage, em, hits, host, intervals, ml
 from hitloom.operators.taxonomy import attach_rank, attach_taxon
 
 
@@ -18,6 +18,16 @@ def prepare(rows: DataFrame, mask: DataFrame, quality=hits.QualityCriteria(), mi
     return rows if min_unmasked is None else coverage.filter_by_coverage(rows, mask, unmasked=min_unmasked)
 
 
+def method_b(rows: DataFrame, mask: DataFrame, least_breadth: float = 0.01, least_reads: int = 3) -> DataFrame:
+    """(sample, taxid, read_count): each read's best hit of all; of these, the ones on references that the unmasked best
+    hits cover by `least_breadth` or more; taxa with `least_reads` of them or more."""
+    best = stage(assign.best_hit_rows(rows))
+    ratio = intervals.merged_coverage_ratio(hits.drop_all_masked_reads(best, mask))
+    good = ratio.where(F.col("coverage_ratio") >= least_breadth).select("sample", "target")
+    counted = best.join(good, ["sample", "target"], "left_semi").groupBy("sample", "taxid").agg(F.count("*").alias("read_count"))
+    return counted.where(F.col("read_count") >= least_reads)
+
+
 def classify_coverage(rows: DataFrame, mask: DataFrame, references: DataFrame, lineage: DataFrame, thresholds=coverage.AS_CODED, rank: str = "species", mode: str = "best_hit", use_entropy: bool = False, denominator: str = "expected") -> dict[str, DataFrame]:
     """assigned reads, abundance and summary by coverage; mode `all` keeps all hits of multi-mapped reads for the coverage."""
     rows = hits.attach_segments(prepare(rows, mask), references)
@@ -60,8 +70,8 @@ def classify_em(rows, mask, references, lineage, rounds=20, tolerance=1e-6, **_)
 def classify_ml_filter(rows, mask, references, lineage, model=None, threshold=0.5, **options) -> dict[str, DataFrame]:
     """classify_coverage() without the taxa that the model rejects."""
     out = classify_coverage(rows, mask, references, lineage, **options)
-    pairs = assign.pair_support(rows, lineage).select("sample", "taxon", "both_frac")
-    scored = ml.score_tp_fp(model, ml.ml_features(out["summary"].join(pairs, ["sample", "taxon"], "left")), threshold)
+    summary = assign.attach_pair_support(out["summary"], assign.pair_support(rows, lineage))
+    scored = ml.score_tp_fp(model, ml.ml_features(summary), threshold)
     good = scored.where("accepted").select("sample", F.col("taxon").alias("lca_taxid"))
     kept = out["assigned"].join(good, ["sample", "lca_taxid"], "left_semi")
     return {"assigned": kept, "abundance": coverage.resync_abundance(out["abundance"], good.withColumnRenamed("lca_taxid", "working_taxid")), "summary": scored}

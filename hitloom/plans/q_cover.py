@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from hitloom.functions.stage import stage
 from hitloom.operators import assign, counts, coverage, hits, host, taxonomy
 from hitloom.plans.common_sql import BEST, LINEAGE, MASKED, covered, lca, rank_of
+from hitloom.plans import pipelines
 from hitloom.plans.derive import oracle, view
 
 QUERIES, SQL = {}, {}
@@ -71,24 +72,15 @@ def filter_summary(spark, d):
     return coverage.filter_summary(coverage.passing_targets(stats, total=0.4)).withColumn("mean_coverage", F.round("mean_coverage", 9))
 
 
-# --- method_b: best hit -> unmasked breadth -> count
+# --- method_b: best hit of all -> unmasked breadth of the best hits -> count
 
 
-_METHOD_B = "WITH" + MASKED + "," + covered("u", "sample, target").replace("\ncov_m AS", "u AS (SELECT * FROM hm WHERE NOT is_masked),\ncov_m AS", 1) + "," + BEST.replace("FROM hits)", "FROM (SELECT h.* FROM hits h JOIN good USING (sample, target)))").replace("\nbest AS", "good AS (SELECT sample, target FROM cov WHERE covered >= 0.01 * 2000),\nbest AS", 1)
+_METHOD_B = "WITH hb AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY sample, query ORDER BY bits DESC, fident DESC, taxid, target DESC, tstart DESC, tend DESC) AS k FROM hits) WHERE k = 1)," + MASKED.replace("FROM hits h", "FROM hb h") + ", u AS (SELECT * FROM hm WHERE NOT is_masked)," + covered("u", "sample, target")
 
 
-def method_b_plan(spark, d, least_breadth=0.01, least_reads=3):
-    h, m = view(spark, d, "hits"), view(spark, d, "mask")
-    from hitloom.operators.intervals import merged_coverage_ratio
-
-    good = merged_coverage_ratio(hits.drop_all_masked_reads(h, m)).where(F.col("coverage_ratio") >= least_breadth).select("sample", "target")
-    best = assign.best_hit(h.join(good, ["sample", "target"], "left_semi"))
-    return best.groupBy("sample", "taxid").agg(F.count("*").alias("read_count")).where(F.col("read_count") >= least_reads)
-
-
-@query(_METHOD_B + " SELECT sample, taxid, count(*) AS read_count FROM best GROUP BY ALL HAVING count(*) >= 3", "hits mask")
+@query(_METHOD_B + " SELECT sample, taxid, count(*) AS read_count FROM hb JOIN cov USING (sample, target) WHERE covered >= 0.01 * 2000 GROUP BY ALL HAVING count(*) >= 3", "hits mask")
 def method_b(spark, d):
-    return method_b_plan(spark, d)
+    return pipelines.method_b(view(spark, d, "hits"), view(spark, d, "mask"))
 
 
 # --- segment, strain and taxon coverage, and the whole coverage pipeline, resolved by best taxon

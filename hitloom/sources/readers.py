@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -50,6 +53,26 @@ def read_hits(spark: SparkSession, path: str, strand: str | Column | None = None
     return out.withColumn("sample", sample_name(F.col("file"))).withColumn("strand", mark).drop("file")
 
 
+def read_hits_cached(spark: SparkSession, path: str, cache: str, strand: str | None = None) -> DataFrame:
+    """Hits of a text file, from their Parquet cache where that is newer than the file; else the cache is written first."""
+    if _newest(spark, path) > _newest(spark, cache):
+        read_hits(spark, path, strand).write.mode("overwrite").partitionBy("sample").parquet(cache, compression="zstd")
+    return spark.read.parquet(cache)
+
+
+def _newest(spark: SparkSession, path: str) -> int:
+    """The latest change of the files under a path, in milliseconds; -1 if it doesn't exist."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return -1
+    times, files = [fs.getFileStatus(p).getModificationTime()], fs.listFiles(p, True)
+    while files.hasNext():
+        times.append(files.next().getModificationTime())
+    return max(times)
+
+
 def read_blast_hits(spark: SparkSession, path: str) -> DataFrame:
     """Hits of the 21-column layout with `#` comments; percent identity becomes a share, the first taxid counts."""
     rows = _typed(_text_hits(spark, path, "#"), BLAST)
@@ -121,33 +144,71 @@ def segments_from_fasta(fasta: DataFrame, pattern: str = r"^(\S+)\s+(.*?)\s+segm
     return rows.drop("n"), rows.select("virus", "n").distinct().groupBy("n").agg(F.count("*").alias("viruses"))
 
 
+def _is_head(lines: list[str], i: int) -> bool:
+    """Whether a record begins at line i: its third line is a `+`, which no sequence begins with, so no quality line passes."""
+    return lines[i][:1] == "@" and i + 2 < len(lines) and lines[i + 2][:1] == "+"
+
+
+def _fastq_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(value, file, block) in order -> whole records, and the lines before the first (part 0) and after the last (part 1) of a block."""
+    names = ["file", "block", "part", "lines"]
+    held: list[str] = []
+    at, inside = None, False
+
+    def row(part):
+        return (*at, part, held)
+
+    def records(last: bool):
+        nonlocal held, inside
+        out, i = [], 0
+        if not inside:
+            while i < len(held) and not _is_head(held, i):
+                i += 1
+            if i + 3 > len(held) and not last:
+                return out  # no beginning in sight yet
+            if i:
+                out.append((*at, 0, held[:i]))
+            inside = True
+        n = i + (len(held) - i) // 4 * 4
+        out += [(*at, None, held[k : k + 4]) for k in range(i, n, 4)]
+        held = held[n:]
+        if last and held:
+            out.append(row(1))
+        return out
+
+    def batch_of(rows):
+        columns = list(zip(*rows, strict=True)) if rows else [[], [], [], []]
+        types = [pa.string(), pa.int64(), pa.int32(), pa.list_(pa.string())]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
+
+    for batch in batches:
+        out = []
+        for value, file, block in zip(*(batch.column(c).to_pylist() for c in ("value", "file", "block")), strict=True):
+            if (file, block) != at:
+                if held:
+                    out += records(last=True)
+                held, at, inside = [], (file, block), False
+            held.append(value)
+        out += records(last=False) if at else []
+        yield batch_of(out)
+    if held:
+        yield batch_of(records(last=True))
+
+
 def read_fastq(spark: SparkSession, path: str, mate: int = 1) -> DataFrame:
-    """sample, mate, read_id, seq, qual. Records are cut at line feeds before `@`; a record is four lines, its quality may begin with @.
+    """sample, mate, read_id, seq, qual. A record is four lines; its quality may begin with @. Without records, no rows.
 
-    A compressed file can't be split, so its lines are numbered within its one partition.
+    Plain files are read in splits of any size: each task finds the first record of its split by itself, and only the
+    lines of records that lie across two splits are shuffled and put together. Compressed files are one split each.
     """
-    import pandas as pd
-
-    def records(batches):
-        held: list[str] = []
-        file = None
-        for pdf in batches:
-            rows = []
-            for value, name in zip(pdf["value"], pdf["file"], strict=True):
-                if name != file:
-                    held, file = [], name
-                held.append(value)
-                if len(held) == 4:
-                    rows.append((file, held[0][1:].split(" ")[0], held[1], held[3]))
-                    held = []
-            yield pd.DataFrame(rows, columns=["file", "read_id", "seq", "qual"])
-
-    whole = spark.read.option("wholetext", True).text(path) if not path.endswith(".gz") else spark.read.text(path)
-    lines = whole.select("value", F.col("_metadata.file_path").alias("file"))
-    if not path.endswith(".gz"):
-        lines = lines.select(F.explode(F.split(F.regexp_replace("value", r"\n$", ""), "\n")).alias("value"), "file")
-    rows = lines.mapInPandas(records, "file string, read_id string, seq string, qual string")
-    return rows.select(sample_name(F.col("file")).alias("sample"), F.lit(mate).alias("mate"), "read_id", "seq", "qual")
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
+    pieces = lines.mapInArrow(_fastq_pieces, "file string, block long, part int, lines array<string>")
+    order = Window.partitionBy("file").orderBy("block", "part")
+    cut = pieces.where("part is not null").withColumn("k", F.sum("part").over(order))  # a record's beginning opens a new one
+    joined = cut.groupBy("file", "k").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("block", "part", "lines"))), lambda x: x["lines"])).alias("lines"))
+    rows = pieces.where("part is null").select("file", "lines").unionByName(joined.where(F.size("lines") == 4).select("file", "lines"))
+    read_id = F.split(F.substring(F.col("lines")[0], 2, 1 << 30), " ")[0]
+    return rows.select(sample_name(F.col("file")).alias("sample"), F.lit(mate).alias("mate"), read_id.alias("read_id"), F.col("lines")[1].alias("seq"), F.col("lines")[3].alias("qual"))
 
 
 def _tree(pdf):
