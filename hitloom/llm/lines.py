@@ -3,10 +3,12 @@
 A line's leaf is its number of words and its first LEADING words; words with a digit count as a wildcard from the start,
 unless they are more than half of the line. So that a variable field among these doesn't hide a template, a line of more words has leaves at PLACES places, from its
 first words to its last; lines are alike if they are so in any leaf.
-A line's fields are its words. A place of a node of the tree (a leaf, at first) is variable if its distinct lines have
-several values there, however often each of them occurs. If no more than half of the places vary, the node is a template.
-Else it is split by the variable place at which two of its lines agree most often, and its parts are looked at in turn:
-so lines that have only the leaf in common come apart, and those of a template stay together at any size of the corpus.
+A line's fields are its words. A node of the tree (a leaf, at first) has a constant at a place where more than half of
+its distinct lines have the same word; where no word has more than half, the place is variable. If at least half of the
+places are constant, the node is a template, and the lines that agree with it in at least half of their words belong to
+it. Both are shares, so neither noise nor a growing corpus makes a template fade. If half of the lines don't belong, the
+node is split instead by the variable place at which two of its lines agree most often, and its parts, of at most half
+the lines each, are looked at in turn: so lines that have only the leaf in common come apart.
 A line that is alone in its node is its own template. A template that occurs in several documents is dropped from all
 but the one with the least doc_id.
 
@@ -36,7 +38,7 @@ from .common import cut, read
 LEADING, PLACES, MIN_WORDS = 3, 4, 4
 MIN_CHARS, SHORT_DOCS = 16, 100
 BITS, ROWS = 1 << 24, 1 << 12
-NODE_WORDS = 1 << 14
+NODE_WORDS = 1 << 18
 DIGIT, DIGITS = re.compile("[0-9]"), re.compile("[0-9]+")
 
 
@@ -49,16 +51,16 @@ def masked(line: str) -> list[str]:
     return out if 2 * out.count("<*>") <= len(out) else words
 
 
-def h64(text: str) -> int:
-    h = xxhash.xxh64_intdigest(text)
+def h64(text: str, seed: int = 0) -> int:
+    h = xxhash.xxh64_intdigest(text, seed)
     return h - (1 << 64) if h >> 63 else h
 
 
 def leaves_of(words: list[str]) -> list[int]:
     """The leaves of a line: its number of words, a place, and the LEADING words from there."""
-    last = len(words) - LEADING
-    places = sorted({last * k // (PLACES - 1) for k in range(PLACES)})
-    return [h64(f"{len(words)} {at} {' '.join(words[at : at + LEADING])}") for at in places]
+    n = len(words)
+    places = sorted({(n - LEADING) * k // (PLACES - 1) for k in range(PLACES)})
+    return [h64(" ".join(words[at : at + LEADING]), n << 16 | at) for at in places]
 
 
 def key_of(line: str) -> tuple[int, bool, list[int]] | None:
@@ -146,16 +148,23 @@ def grown(node: int, fields: np.ndarray) -> Iterator[tuple[np.ndarray, int]]:
     open_ = [(node, np.arange(len(fields)))]
     while open_:
         node, rows = open_.pop()
-        part = fields[rows]
-        varies = np.flatnonzero((part != part[0]).any(axis=0))
-        if 2 * len(varies) <= fields.shape[1]:
-            if len(rows) > 1:
-                yield rows, node
-        elif len(rows) > 2:
+        part, n, width = fields[rows], len(rows), fields.shape[1]
+        middle = np.partition(part, n // 2, axis=0)[n // 2]  # a word of more than half of the lines stands in the middle
+        same = part == middle
+        constant = 2 * same.sum(axis=0) > n
+        own = 2 * (same & constant).sum(axis=1) >= width
+        if 2 * constant.sum() >= width and (2 * own.sum() >= n or constant.all()):
+            if own.sum() > 1:
+                yield rows[own], node
+            if (~own).sum() > 1:
+                open_.append((h64(f"{node} rest"), rows[~own]))
+        elif n > 2:
+            varies = np.flatnonzero(~constant)
             alike = [(np.unique(part[:, p], return_counts=True)[1] ** 2).sum() for p in varies]
             place = varies[int(np.argmax(alike))]
             values, of = np.unique(part[:, place], return_inverse=True)
-            open_ += [(h64(f"{node} {place} {v}"), rows[of == i]) for i, v in enumerate(values.tolist()) if (of == i).sum() > 1]
+            sizes = np.bincount(of)
+            open_ += [(h64(f"{node} {place} {values[i]}"), rows[of == i]) for i in np.flatnonzero(sizes > 1)]
 
 
 def _grown(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -174,26 +183,34 @@ def _grown(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def templates(lines: DataFrame) -> DataFrame:
     """lines of several_lines() -> (leaf, line, template) of those that share their template with other lines.
 
-    Nodes of up to NODE_WORDS words are grown within a task; larger ones are split by rounds of aggregations. A split
-    makes one more place constant in each part, so the rounds end.
+    Nodes of up to NODE_WORDS words are grown within a task; larger ones by rounds of aggregations, in the same way. What
+    goes on after a round is at most half of its node, so there are as many rounds as a node can be halved.
     """
     open_, done = lines.withColumn("node", F.col("leaf")), []
     while True:
         sizes = open_.groupBy("node").agg(F.count("*").alias("lines"), F.sum(F.size("fields")).alias("words")).where("lines > 1")
-        sized = cut(open_.join(sizes.select("node", "words"), "node"))
+        sized = cut(open_.join(sizes, "node"))
         small = sized.where(f"words <= {NODE_WORDS}").groupBy("node").agg(F.collect_list(F.struct("leaf", "line", "fields")).alias("lines"))
         done.append(small.mapInArrow(_grown, "leaf long, line long, template long"))
-        open_ = sized.where(f"words > {NODE_WORDS}").drop("words")
-        if open_.isEmpty():
+        large = sized.where(f"words > {NODE_WORDS}").drop("words")
+        if large.isEmpty():
             return reduce(DataFrame.unionByName, done)
-        values = open_.select("node", F.posexplode("fields").alias("place", "field")).groupBy("node", "place", "field").agg(F.count("*").alias("n"))
-        places = values.groupBy("node", "place").agg((F.count("*") > 1).alias("varies"), F.sum(F.col("n").cast("double") * F.col("n")).alias("alike"))
-        best = F.max(F.when(F.col("varies"), F.struct("alike", (-F.col("place")).alias("place"))))
-        nodes = places.groupBy("node").agg(F.count_if("varies").alias("wild"), F.count("*").alias("size"), best.alias("best"))
-        nodes = nodes.select("node", (2 * F.col("wild") <= F.col("size")).alias("fits"), (-F.col("best.place")).alias("place"))
-        rows = cut(open_.join(nodes, "node"))
-        done.append(rows.where("fits").select("leaf", "line", F.col("node").alias("template")))
-        open_ = rows.where("not fits").select("leaf", "line", "fields", F.xxhash64("node", "place", F.get("fields", "place")).alias("node"))
+        values = large.select("node", "lines", F.posexplode("fields").alias("place", "field")).groupBy("node", "lines", "place", "field").agg(F.count("*").alias("n"))
+        places = values.groupBy("node", "lines", "place").agg(F.max(F.struct("n", "field")).alias("most"), F.sum(F.col("n").cast("double") * F.col("n")).alias("alike"))
+        constant = 2 * F.col("most.n") > F.col("lines")
+        nodes = places.groupBy("node").agg(
+            F.count("*").alias("size"), F.collect_list(F.when(constant, F.struct("place", "most.field"))).alias("constants"),
+            F.max(F.when(~constant, F.struct("alike", (-F.col("place")).alias("place")))).alias("best"),
+        )
+        own = 2 * F.size(F.filter("constants", lambda c: F.get("fields", c["place"]) == c["field"])) >= F.col("size")
+        rows = cut(large.join(nodes, "node").select("node", "leaf", "line", "fields", "lines", "size", F.size("constants").alias("n"), (-F.col("best.place")).alias("place"), own.alias("own")))
+        enough = rows.groupBy("node").agg(F.count_if("own").alias("owned"))
+        fits = (2 * F.col("n") >= F.col("size")) & ((2 * F.col("owned") >= F.col("lines")) | F.col("place").isNull())
+        rows = cut(rows.join(enough, "node").withColumn("fits", fits))
+        done.append(rows.where("fits and own and owned > 1").select("leaf", "line", F.col("node").alias("template")))
+        rest = rows.where("fits and not own").withColumn("node", F.xxhash64("node", F.lit("rest")))
+        parts = rows.where("not fits").withColumn("node", F.xxhash64("node", "place", F.get("fields", "place")))
+        open_ = rest.unionByName(parts).select("leaf", "line", "fields", "node")
 
 
 def often(lines: DataFrame, distinct: DataFrame) -> DataFrame:
