@@ -199,6 +199,11 @@ def judge_real(summary: DataFrame, t: CoverageThresholds = AS_CODED, use_entropy
     return summary.withColumn("is_real", ok)
 
 
+def fake_taxa(summary: DataFrame) -> DataFrame:
+    """The (sample, taxon) of judge_real() that were detected but aren't real, with their reads."""
+    return summary.where("not is_real").select("sample", "taxon", "total_reads")
+
+
 def abundance(assigned: DataFrame, genomes: DataFrame, taxid: str = "working_taxid") -> DataFrame:
     """Per (sample, taxon): read_count, its share, RPK, TPM and the length-normalised share; a length of 0 gives 0.
 

@@ -111,7 +111,7 @@ def masked_read_count(hits: DataFrame, mask: DataFrame, by: tuple[str, ...] = ("
     """Distinct reads with a hit that overlaps a region by one base or more."""
     touch = F.exists("regions", lambda r: F.least(F.col("tend"), r["end"]) > F.greatest(F.col("tstart"), r["start"]))
     bins = F.sequence(F.floor(F.col("tstart") / BIN), F.floor((F.col("tend") - 1) / BIN))
-    rows = hits.where("tstart < tend").select(*by, "query", "tstart", "tend", F.explode(bins).alias("bin"))
+    rows = hits.where("tstart < tend").select(*dict.fromkeys([*by, "target"]), "query", "tstart", "tend", F.explode(bins).alias("bin"))
     return rows.join(mask_bins(mask), ["target", "bin"]).where(touch).groupBy(*by).agg(F.count_distinct("query").alias("masked_reads"))
 
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from hitloom.plans import q_cohort, q_cover, q_hits
+from hitloom.plans import q_cohort, q_composition, q_cover, q_hits, q_sources
 
-QUERIES = {**q_cover.QUERIES, **q_hits.QUERIES, **q_cohort.QUERIES}
-SQL = {**q_cover.SQL, **q_hits.SQL, **q_cohort.SQL}
+_PARTS = (q_cover, q_hits, q_cohort, q_composition, q_sources)
+QUERIES: dict[str, object] = {name: f for part in _PARTS for name, f in part.QUERIES.items()}
+SQL: dict[str, str] = {name: text for part in _PARTS for name, text in part.SQL.items()}

@@ -96,8 +96,9 @@ def classify(mode: str, rows: DataFrame, mask: DataFrame, references: DataFrame,
     return out
 
 
-def merge_otu(assigned: DataFrame, lineage: DataFrame, samples: DataFrame, ranks: tuple[str, ...] = ("genus", "species"), min_count: float = 10, min_samples: int = 1, normalize: bool = False, hosts: DataFrame | None = None) -> dict[str, DataFrame]:
-    """Tables (long) of all samples: raw, one per rank, and phages by host; empty samples are listed apart."""
+def merge_otu(assigned: DataFrame, lineage: DataFrame, samples: DataFrame, ranks: tuple[str, ...] = ("genus", "species"), min_count: float = 10, min_samples: int = 1, normalize: bool = False, hosts: DataFrame | None = None, abundance: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Tables (long) of all samples: raw, one per rank, phages by host, and if an abundance table is given its read counts
+    and TPM, raw and by rank; empty samples are listed apart."""
     out = {"empty": counts.partition_nonempty_samples(assigned, samples).where("is_empty")}
     raw = counts.otu_table(assigned)
     tables = {"raw": raw} | {r: counts.otu_table_at_rank(raw, lineage, r) for r in ranks}
@@ -106,6 +107,10 @@ def merge_otu(assigned: DataFrame, lineage: DataFrame, samples: DataFrame, ranks
     for name, table in tables.items():
         table = counts.filter_otu(table, min_count, min_samples)
         out[name] = counts.normalize_otu(table) if normalize else table
+    if abundance is not None:
+        for value in ("read_count", "tpm"):
+            for rank in (None, *ranks):
+                out[f"{value}_{rank or 'raw'}"] = abundance_table(abundance, lineage, value, rank)
     return out
 
 

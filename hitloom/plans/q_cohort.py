@@ -356,10 +356,13 @@ def em_assign(spark, d):
 
 
 def labelled_summary(spark, d):
+    """Features of each detected taxon, labelled 1 if the truth has its species."""
+    lineage = taxonomy.lineages(view(spark, d, "taxonomy"))
     summary = q_cover.coverage.coverage_summary(q_cover.strains_of(spark, d)[0])
-    pairs = assign.pair_support(view(spark, d, "hits"), taxonomy.lineages(view(spark, d, "taxonomy"))).select("sample", "taxon", "both_frac")
-    rows = summary.join(pairs, ["sample", "taxon"], "left").fillna(0.0, ["both_frac"])  # J14
-    return ml.ml_features(rows).withColumn("label", (F.col("unique_reads") % 2 == 0).cast("int"))
+    rows = assign.attach_pair_support(summary, assign.pair_support(view(spark, d, "hits"), lineage))
+    true = view(spark, d, "truth").select(F.col("taxid").alias("species"), F.lit(1).alias("label")).distinct()
+    rows = taxonomy.attach_rank(rows, lineage, "species", "taxon", "species").join(true, "species", "left").fillna(0, ["label"]).drop("species")
+    return ml.ml_features(rows)
 
 
 @query()

@@ -232,8 +232,8 @@ def read_kreport(spark: SparkSession, path: str) -> DataFrame:
     """
     text = spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_path").alias("file"), F.posexplode(F.split("value", "\n")).alias("line", "value")).where("length(trim(value)) > 0")
     f = F.split("value", "\t")
-    rows = text.select(sample_name(F.col("file")).alias("sample"), "line", f[1].cast("long").alias("clade"), f[2].cast("long").alias("direct"), F.trim(f[3]).alias("rank_code"), F.trim(f[4]).cast("long").alias("taxid"), F.trim(f[5]).alias("name"), ((F.length(f[5]) - F.length(F.ltrim(f[5]))) / 2).cast("int").alias("depth"))
-    return rows.groupBy("sample").applyInPandas(_tree, "sample string, clade long, direct long, rank_code string, taxid long, name string, depth int, parent_taxid long")
+    rows = text.select("file", sample_name(F.col("file")).alias("sample"), "line", f[1].cast("long").alias("clade"), f[2].cast("long").alias("direct"), F.trim(f[3]).alias("rank_code"), F.trim(f[4]).cast("long").alias("taxid"), F.trim(f[5]).alias("name"), ((F.length(f[5]) - F.length(F.ltrim(f[5]))) / 2).cast("int").alias("depth"))
+    return rows.groupBy("file").applyInPandas(_tree, "file string, sample string, clade long, direct long, rank_code string, taxid long, name string, depth int, parent_taxid long").drop("file")
 
 
 RANKS_BY_NAME = {"superkingdom": "D", "kingdom": "K", "phylum": "P", "class": "C", "order": "O", "family": "F", "genus": "G", "species": "S"}
@@ -267,11 +267,12 @@ def read_lineage_report(spark: SparkSession, path: str, samples: list[str]) -> D
 def read_tool_counts(spark: SparkSession, path: str, tool: str) -> DataFrame:
     """(tool, sample, taxid, reads) of species from a Bracken table, a ganon tree, a Metabuli report or a filtered kreport."""
     raw = spark.read.text(path).select(sample_name(F.col("_metadata.file_path")).alias("sample"), F.split("value", "\t").alias("f"))
+    at = lambda i: F.get("f", F.lit(i))  # noqa: E731  lines may be shorter
     pick = {
-        "bracken": (F.col("f")[2] == "S", F.col("f")[1], F.col("f")[5]),
-        "ganon": (F.col("f")[0] == "species", F.col("f")[1], F.col("f")[7]),
-        "metabuli": (F.trim(F.col("f")[3]) == "species", F.col("f")[4], F.col("f")[1]),
-        "kreport": (F.trim(F.col("f")[3]) == "S", F.col("f")[4], F.col("f")[1]),
+        "bracken": (at(2) == "S", at(1), at(5)),
+        "ganon": (at(0) == "species", at(1), at(7)),
+        "metabuli": (F.trim(at(3)) == "species", at(4), at(1)),
+        "kreport": (F.trim(at(3)) == "S", at(4), at(1)),
     }
     where, taxid, reads = pick[tool]
     rows = raw.where(where).select(F.lit(tool).alias("tool"), "sample", F.trim(taxid).try_cast("long").alias("taxid"), F.trim(reads).try_cast("double").cast("long").alias("reads"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hitloom.operators.cohort import pivot_samples
@@ -17,6 +17,26 @@ def write_hits_cache(hits: DataFrame, path: str) -> None:
     hits.write.mode("overwrite").partitionBy("sample").parquet(path, compression="zstd")
 
 
+# The order of the rows of result tables within a sample: column and whether it descends.
+ORDERS = {
+    "abundance": [("read_count", True), ("working_taxid", False)],
+    "summary": [("total_reads", True), ("taxon", False)],
+    "clades": [("depth", False), ("reads", True), ("taxid", False)],
+}
+
+
+def in_order(rows: DataFrame, kind: str) -> DataFrame:
+    """Add line: the place of each row of a result table (abundance, summary or clades) within its sample; nulls come last."""
+    order = [F.desc_nulls_last(c) if down else F.asc_nulls_last(c) for c, down in ORDERS[kind]]
+    return rows.withColumn("line", F.row_number().over(Window.partitionBy("sample").orderBy(*order)))
+
+
+def write_ordered(rows: DataFrame, path: str, kind: str, sep: str = "\t") -> None:
+    """A result table with a folder and one file for each sample, its rows in the order of in_order()."""
+    lines = in_order(rows, kind).repartition("sample").sortWithinPartitions("sample", "line")
+    write_table(lines.drop("line"), path, sep, by_sample=True)
+
+
 def write_table(rows: DataFrame, path: str, sep: str = "\t", by_sample: bool = False) -> None:
     """CSV or TSV with a header, also where there are no rows; by_sample gives each sample a folder."""
     flat = [F.array_join(F.col(c).cast("array<string>"), ",").alias(c) if t.startswith("array") else F.col(c) for c, t in rows.dtypes]
