@@ -141,15 +141,8 @@ def forest(n: int, a: np.ndarray, b: np.ndarray, label: np.ndarray | None = None
             label = label[label]
 
 
-def _links(batches: Iterator[pa.RecordBatch], budget: int, width: int) -> Iterator[pa.RecordBatch]:
-    """Rows (rot, block, ca, cb, side, key, fp) of whole units -> forest edges (a, b) between fingerprints."""
-    batches = [x for x in batches if x.num_rows]
-    if not batches:
-        return
-    table = pa.Table.from_batches(batches)  # 33 bytes for each fingerprint of one shuffle partition
-    col = lambda c: table.column(c).to_numpy()
-    unit = np.stack([col("rot").astype(np.int64), col("block"), col("ca").astype(np.int64), col("cb").astype(np.int64)])
-    side, keys, fps = col("side"), col("key").view(np.uint64), col("fp")
+def _forest_of(unit: np.ndarray, side: np.ndarray, keys: np.ndarray, fps: np.ndarray, width: list[int], budget: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of whole units (order, block, ca, cb) -> forest edges between fingerprints."""
     order = np.lexsort((keys, side, unit[3], unit[2], unit[1], unit[0]))
     unit, side, keys, fps = unit[:, order], side[order], keys[order], fps[order]
     new = np.ones(len(keys), bool)
@@ -179,7 +172,22 @@ def _links(batches: Iterator[pa.RecordBatch], budget: int, width: int) -> Iterat
             for a, b in trie_pairs(keys, tuple(x[live] for x in pairs), top, budget):
                 root = forest(len(nodes), label[a], label[b], root)
     tied = np.flatnonzero(root != np.arange(len(nodes)))
-    yield pa.RecordBatch.from_arrays([pa.array(nodes[tied]), pa.array(nodes[root[tied]])], ["a", "b"])
+    return nodes[tied], nodes[root[tied]]
+
+
+def _links(batches: Iterator[pa.RecordBatch], budget: int, width: list[int]) -> Iterator[pa.RecordBatch]:
+    """Rows (plane, rot, block, ca, cb, side, key, fp) of whole units -> forest edges (plane, a, b) between fingerprints."""
+    batches = [x for x in batches if x.num_rows]
+    if not batches:
+        return
+    table = pa.Table.from_batches(batches)  # 37 bytes for each fingerprint of one shuffle partition
+    col = lambda c: table.column(c).to_numpy()
+    unit = np.stack([col("rot").astype(np.int64), col("block"), col("ca").astype(np.int64), col("cb").astype(np.int64)])
+    plane, side, keys, fps = col("plane"), col("side"), col("key").view(np.uint64), col("fp")
+    for p in np.unique(plane):
+        own = plane == p
+        a, b = _forest_of(unit[:, own], side[own], keys[own], fps[own], width, budget)
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(a), p, np.int32)), pa.array(a), pa.array(b)], ["plane", "a", "b"])
 
 
 def bit_orders(budget: int, agree: int) -> list[tuple[list[tuple[int, int]], int]]:
@@ -197,39 +205,58 @@ def bit_orders(budget: int, agree: int) -> list[tuple[list[tuple[int, int]], int
     return out
 
 
-def reordered(fp, runs: list[tuple[int, int]]):
-    """fp with its bits (counted from the greatest) in the order of the runs."""
-    parts, at = [], 0
+def reordered(fps: np.ndarray, runs: list[tuple[int, int]]) -> np.ndarray:
+    """Unsigned fps with their bits (counted from the greatest) in the order of the runs."""
+    out, at = np.zeros_like(fps), 0
     for first, bits in runs:
-        value = F.shiftrightunsigned(F.shiftleft(fp, first), 64 - bits) if bits < 64 else fp
-        parts.append(F.shiftleft(value, 64 - at - bits))
+        out |= ((fps << np.uint64(first)) >> np.uint64(64 - bits)) << np.uint64(64 - at - bits)
         at += bits
-    return reduce(lambda a, b: a.bitwiseOR(b), parts)
+    return out
+
+
+def _units(batches: Iterator[pa.RecordBatch], orders: list[tuple[list[tuple[int, int]], int]], count: bool) -> Iterator[pa.RecordBatch]:
+    """(plane, fp) -> (plane, rot, block, key, child, fp) for each order of the bits; count: how many a (plane, rot, block) has."""
+    for batch in batches:
+        plane, fp = batch.column("plane").to_numpy(), batch.column("fp").to_numpy()
+        for at in range(0, len(fp), BLOCK):
+            own, planes_ = fp[at : at + BLOCK], plane[at : at + BLOCK]
+            for r, (runs, top) in enumerate(orders):
+                key = reordered(own.view(np.uint64), runs)
+                block = (key >> np.uint64(64 - top)).view(np.int64)
+                if count:
+                    found, n = np.unique(np.stack([planes_.astype(np.int64), block]), axis=1, return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(found[0].astype(np.int32)), pa.array(np.full(len(n), r, np.int32)), pa.array(found[1]), pa.array(n)], ["plane", "rot", "block", "n"])
+                else:
+                    child = ((key << np.uint64(top)) >> np.uint64(64 - SPLIT_BITS)).astype(np.int32)
+                    columns = [planes_, np.full(len(own), r, np.int32), block, key.view(np.int64), child, own]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["plane", "rot", "block", "key", "child", "fp"])
 
 
 def trie_links(distinct: DataFrame, budget: int = BUDGET, hot_node: int = HOT_NODE, agree: int = 1) -> DataFrame:
-    """distinct fp -> links (a, b) that join the same components as all pairs within `budget` bits do.
+    """distinct (plane, fp) -> links (plane, a, b) that join the same components of a plane as all pairs within `budget` bits do.
 
     agree changes the work, not the result: more blocks on top make more orders of smaller nodes.
     """
-    fp, rows, width = F.col("fp"), [], []
-    for r, (runs, top) in enumerate(bit_orders(budget, agree)):
-        key = reordered(fp, runs)
-        width.append(top)
-        rows.append(F.struct(F.lit(r).alias("rot"), F.shiftrightunsigned(key, 64 - top).alias("block"), key.alias("key"), F.shiftrightunsigned(F.shiftleft(key, top), 64 - SPLIT_BITS).cast("int").alias("child")))
-    rows = distinct.select("fp", F.inline(F.array(*rows)))
-    hot = rows.groupBy("rot", "block").count().where(F.col("count") > hot_node).select("rot", "block", F.lit(True).alias("hot"))
-    rows = rows.join(hot, ["rot", "block"], "left")
-    near = [m for m in range(1 << SPLIT_BITS) if m.bit_count() <= budget]
-    other = F.when(F.col("hot"), F.transform(F.lit(near), lambda m: F.col("child").bitwiseXOR(m))).otherwise(F.array(F.lit(-1)))
-    rows = rows.withColumn("other", F.explode(other)).select(
-        "rot", "block",
-        F.when(F.col("hot"), F.least("child", "other")).otherwise(-1).alias("ca"),
-        F.when(F.col("hot"), F.greatest("child", "other")).otherwise(-1).alias("cb"),
-        F.when(F.col("hot") & (F.col("child") > F.col("other")), 1).otherwise(0).alias("side"),
-        "key", "fp",
-    )
-    return rows.repartition("rot", "block", "ca", "cb").mapInArrow(partial(_links, budget=budget, width=width), "a long, b long")
+    orders = bit_orders(budget, agree)
+    width = [top for _, top in orders]
+    distinct = distinct.select(F.col("plane").cast("int").alias("plane"), "fp")
+    sizes = distinct.mapInArrow(partial(_units, orders=orders, count=True), "plane int, rot int, block long, n long")
+    hot = cut(sizes.groupBy("plane", "rot", "block").agg(F.sum("n").alias("n")).where(F.col("n") > hot_node).select("plane", "rot", "block"))
+    rows = distinct.mapInArrow(partial(_units, orders=orders, count=False), "plane int, rot int, block long, key long, child int, fp long")
+    if hot.isEmpty():
+        rows = rows.select("plane", "rot", "block", F.lit(-1).alias("ca"), F.lit(-1).alias("cb"), F.lit(0).alias("side"), "key", "fp")
+    else:
+        rows = rows.join(hot.withColumn("hot", F.lit(True)), ["plane", "rot", "block"], "left")
+        near = [m for m in range(1 << SPLIT_BITS) if m.bit_count() <= budget]
+        other = F.when(F.col("hot"), F.transform(F.lit(near), lambda m: F.col("child").bitwiseXOR(m))).otherwise(F.array(F.lit(-1)))
+        rows = rows.withColumn("other", F.explode(other)).select(
+            "plane", "rot", "block",
+            F.when(F.col("hot"), F.least("child", "other")).otherwise(-1).alias("ca"),
+            F.when(F.col("hot"), F.greatest("child", "other")).otherwise(-1).alias("cb"),
+            F.when(F.col("hot") & (F.col("child") > F.col("other")), 1).otherwise(0).alias("side"),
+            "key", "fp",
+        )
+    return rows.repartition("plane", "rot", "block", "ca", "cb").mapInArrow(partial(_links, budget=budget, width=width), "plane int, a long, b long")
 
 
 def grouped(docs: DataFrame, k: int = SHINGLE, budget: int = BUDGET, hot_node: int = HOT_NODE) -> DataFrame:
@@ -240,7 +267,7 @@ def grouped(docs: DataFrame, k: int = SHINGLE, budget: int = BUDGET, hot_node: i
     """
     prints = cut(fingerprints(docs, k))
     classes = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    roots = cut(components(trie_links(classes.select("fp"), budget, hot_node))).withColumnRenamed("node", "fp")
+    roots = cut(components(trie_links(classes.select(F.lit(0).alias("plane"), "fp"), budget, hot_node))).withColumnRenamed("node", "fp")
     least = classes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     named = least.groupBy("root").agg(F.min("least").alias("component_id"))
     return prints.join(least.join(named, "root").select("fp", "root", "component_id"), "fp")
@@ -313,15 +340,13 @@ def near_components(prints: DataFrame, budget: int, hot_node: int, agree: int) -
     """prints (text_key, fp, fp1 ...), one row for each text -> (text_key, root) of texts that share or link a fingerprint."""
     names = [c for c in prints.columns if c.startswith("fp")]
     nodes = prints.withColumn("node", F.xxhash64("text_key"))  # nodes that fall together are candidates more, no more than that
-    links = []
-    for c in names:
-        own = nodes.select(F.col(c).alias("fp"), "node")
-        first = cut(own.groupBy("fp").agg(F.min("node").alias("m")))
-        found = trie_links(first.select("fp"), budget, hot_node, agree)
-        of = lambda side: first.select(F.col("fp").alias(side), F.col("m").alias("node_" + side))  # noqa: E731, B023
-        links.append(found.join(of("a"), "a").join(of("b"), "b").select(F.col("node_a").alias("a"), F.col("node_b").alias("b")))
-        links.append(own.join(first, "fp").where("node != m").select(F.col("node").alias("a"), F.col("m").alias("b")))
-    roots = components(reduce(DataFrame.unionByName, links))
+    own = nodes.select("node", F.posexplode(F.array(*names)).alias("plane", "fp"))
+    first = cut(own.groupBy("plane", "fp").agg(F.min("node").alias("m"), F.max("node").alias("last")))
+    found = trie_links(first.select("plane", "fp"), budget, hot_node, agree)
+    of = lambda side: first.select("plane", F.col("fp").alias(side), F.col("m").alias("node_" + side))
+    links = found.join(of("a"), ["plane", "a"]).join(of("b"), ["plane", "b"]).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
+    shared = own.join(first.where("m != last").select("plane", "fp", "m"), ["plane", "fp"]).where("node != m").select(F.col("node").alias("a"), F.col("m").alias("b"))
+    roots = components(links.unionByName(shared))
     return nodes.join(roots, "node").select("text_key", "root")
 
 

@@ -142,7 +142,7 @@ def test_trie_join(spark, hot, budget, agree):
         for _ in range(12):
             fps.add(f ^ sum({1 << rng.randrange(64) for _ in range(rng.randrange(budget + 2))}))
     fps = [f - (1 << 64) if f >> 63 else f for f in fps]
-    links = simhash.trie_links(spark.createDataFrame([(f,) for f in fps], "fp long"), budget, hot, agree)
+    links = simhash.trie_links(spark.createDataFrame([(1, f) for f in fps], "plane int, fp long"), budget, hot, agree)
     got = plain_components(fps, [(r.a, r.b) for r in links.collect()])
     want = plain_components(fps, [(a, b) for i, a in enumerate(fps) for b in fps[:i] if ((a ^ b) & (2**64 - 1)).bit_count() <= budget])
     assert got == want
