@@ -150,31 +150,24 @@ def _is_head(lines: list[str], i: int) -> bool:
 
 
 def _fastq_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(value, file, block) in order -> whole records, and the lines before the first (part 0) and after the last (part 1) of a block."""
+    """(value, file, block) in order -> whole records, and the lines before the first (part 0) and after the last (part 1) of a
+    block; a block in which no record is seen to begin is all part 0, any other has a part 1, which may be empty."""
     names = ["file", "block", "part", "lines"]
     held: list[str] = []
     at, inside = None, False
 
-    def row(part):
-        return (*at, part, held)
-
     def records(last: bool):
         nonlocal held, inside
         out, i = [], 0
         if not inside:
-            while i < len(held) and not _is_head(held, i):
-                i += 1
-            if i + 3 > len(held) and not last:
-                return out  # no beginning in sight yet
-            if i:
-                out.append((*at, 0, held[:i]))
-            inside = True
+            i = next((k for k in range(len(held)) if _is_head(held, k)), None)
+            if i is None:  # no beginning in sight
+                return [(*at, 0, held)] if last else []
+            out, inside = [(*at, 0, held[:i])], True
         n = i + (len(held) - i) // 4 * 4
         out += [(*at, None, held[k : k + 4]) for k in range(i, n, 4)]
         held = held[n:]
-        if last and held:
-            out.append(row(1))
-        return out
+        return [*out, (*at, 1, held)] if last else out
 
     def batch_of(rows):
         columns = list(zip(*rows, strict=True)) if rows else [[], [], [], []]
@@ -185,13 +178,13 @@ def _fastq_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         out = []
         for value, file, block in zip(*(batch.column(c).to_pylist() for c in ("value", "file", "block")), strict=True):
             if (file, block) != at:
-                if held:
+                if at:
                     out += records(last=True)
                 held, at, inside = [], (file, block), False
             held.append(value)
         out += records(last=False) if at else []
         yield batch_of(out)
-    if held:
+    if at:
         yield batch_of(records(last=True))
 
 
@@ -204,9 +197,10 @@ def read_fastq(spark: SparkSession, path: str, mate: int = 1) -> DataFrame:
     lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
     pieces = lines.mapInArrow(_fastq_pieces, "file string, block long, part int, lines array<string>")
     order = Window.partitionBy("file").orderBy("block", "part")
-    cut = pieces.where("part is not null").withColumn("k", F.sum("part").over(order))  # a record's beginning opens a new one
+    cut = pieces.where("part is not null").withColumn("k", F.sum("part").over(order))  # from the end of one block's records to the next one's
     joined = cut.groupBy("file", "k").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("block", "part", "lines"))), lambda x: x["lines"])).alias("lines"))
-    rows = pieces.where("part is null").select("file", "lines").unionByName(joined.where(F.size("lines") == 4).select("file", "lines"))
+    fours = joined.where(F.size("lines") >= 4).select("file", "lines", F.explode(F.sequence(F.lit(1), F.size("lines") - 3, F.lit(4))).alias("first"))
+    rows = pieces.where("part is null").select("file", "lines").unionByName(fours.select("file", F.slice("lines", F.col("first"), 4).alias("lines")))
     read_id = F.split(F.substring(F.col("lines")[0], 2, 1 << 30), " ")[0]
     return rows.select(sample_name(F.col("file")).alias("sample"), F.lit(mate).alias("mate"), read_id.alias("read_id"), F.col("lines")[1].alias("seq"), F.col("lines")[3].alias("qual"))
 
