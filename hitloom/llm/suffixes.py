@@ -13,14 +13,14 @@ member is counted at the nearest suffix before it that isn't taken yet, which th
 Lyndon prefix extended by the taken group's. Once all are taken, the groups are in order, and one ascending pass puts
 the members of each in order, following the same pointers: no recursion, no renaming.
 
-A core with more than HOT_PIECES different surroundings would be too much for one task: its windows are counted by their
-own 128-bit hashes instead, which spreads and combines whatever the group's size.
+A core with more than HOT_PIECES different surroundings would be too much for one task, so its cuts are cut again into
+fewer windows, whose cores are longer and therefore shared by fewer; at last a cut is one window, which is its own core.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import partial
+from functools import partial, reduce
 from itertools import groupby
 
 import numpy as np
@@ -32,7 +32,8 @@ from pyspark.sql import functions as F
 from .common import cut, read, with_fields
 
 SPAN, Q, STEP = 400, 128, 32
-HOT_PIECES, BATCH = 1500, 1 << 17
+NARROWER = 4  # times fewer windows in a cut of a core that too many share
+HOT_PIECES, BATCH, SALTS = 1500, 1 << 17, 16
 BLOCK = 1 << 20
 _RNG = np.random.default_rng(2024)
 BYTE = _RNG.integers(0, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -280,21 +281,28 @@ def _sorted(batches: Iterator[pa.RecordBatch], step: int) -> Iterator[pa.RecordB
         yield solve(rows)
 
 
-def _windows(batches: Iterator[pa.RecordBatch], step: int) -> Iterator[pa.RecordBatch]:
-    """Cuts of hot cores -> a 128-bit hash of each window's bytes around the core, and its place."""
-    names = ["doc_id", "dh", "a", "h", "cnt", "w1", "w2"]
+def _narrowed(batches: Iterator[pa.RecordBatch], step: int, narrow: int) -> Iterator[pa.RecordBatch]:
+    """Cuts of up to `step` windows -> cuts of up to `narrow`; the bytes that all windows of such a cut share join its core."""
+    names = ["doc_id", "dh", "a", "w", "cnt", "h", "ph", "lead", "tail"]
     for batch in batches:
-        for whole in range(0, batch.num_rows, 1000):
-            part = batch.slice(whole, 1000)
-            out: list[list] = [[] for _ in names]
-            for doc_id, dh, a, h, cnt, w, lead, tail in zip(*(part.column(c).to_pylist() for c in ("doc_id", "dh", "a", "h", "cnt", "w", "lead", "tail")), strict=True):
-                text, at = lead + tail, len(lead)
-                for t in range(w):
-                    d = xxhash.xxh3_128_digest(text[t : t + step - 1] + (at - t).to_bytes(4, "little"))
-                    for column, value in zip(out, (doc_id, dh, a + t, h, cnt, int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True)), strict=True):
-                        column.append(value)
-            types = [part.schema.field("doc_id").type, pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], names)
+        out: list[list] = [[] for _ in names]
+        for doc_id, dh, a, w, cnt, h, lead, tail in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "dh", "a", "w", "cnt", "h", "lead", "tail")), strict=True):
+            n = len(lead)  # windows begin 0 to n bytes before the core
+            for j in range((n - w + 1) // narrow, n // narrow + 1):
+                most, least = min(n, (j + 1) * narrow - 1), max(n - w + 1, j * narrow)
+                left, right = n - j * narrow, step - (j + 1) * narrow
+                core = signed(b"%d %d " % (h, j) + lead[left:] + tail[:right])
+                own = lead[n - most : left], tail[right : step - 1 - least]
+                for column, value in zip(out, (doc_id, dh, a + n - most, most - least + 1, cnt, core, signed(b"%d " % len(own[0]) + own[0] + own[1]), *own), strict=True):
+                    column.append(value)
+        types = [batch.schema.field("doc_id").type, pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], names)
+
+
+def spread(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """rows (h, ph, ...) joined to keys (h, ...), one row for each h; the pieces of a frequent h are dealt to SALTS tasks."""
+    salted = keys.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    return rows.withColumn("salt", F.pmod("ph", F.lit(SALTS))).join(salted, ["h", "salt"]).drop("salt")
 
 
 def repeated_ranges(docs: DataFrame, span: int = SPAN, q: int = Q, step: int = STEP, hot_pieces: int = HOT_PIECES) -> DataFrame:
@@ -310,22 +318,25 @@ def repeated_ranges(docs: DataFrame, span: int = SPAN, q: int = Q, step: int = S
     whole = rows.join(pieces.where("cnt > 1").select("h", "ph"), ["h", "ph"]).select(ranges)
 
     kinds = pieces.groupBy("h").agg(F.count("*").alias("kinds")).where("kinds > 1").select("h")
-    wanted = pieces.join(kinds, "h").select("one.doc_id", "one.dh", F.struct("one.a", "one.w", "one.off", "h", "cnt").alias("x"))
+    wanted = spread(pieces, kinds).select("one.doc_id", "one.dh", F.struct("one.a", "one.w", "one.off", "h", "cnt").alias("x"))
     wanted = wanted.groupBy("doc_id", "dh").agg(F.collect_list("x").alias("wanted")).withColumnsRenamed({"doc_id": "d", "dh": "k"})
     texts = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("dh") == F.col("k"))).dropDuplicates(["doc_id", "dh"]).select("doc_id", "dh", "data", "wanted")
     cuts = cut(texts.mapInArrow(partial(_cuts, span=span, step=step), f"doc_id {id_type}, dh long, a int, w int, cnt long, h long, ph long, lead binary, tail binary"))
 
-    around = cut(cuts.groupBy("h", "ph").agg(F.sum("cnt").alias("all"), F.min(F.struct("doc_id", "dh", "a", "w", "lead", "tail")).alias("one")))
-    same = cuts.where("cnt = 1").join(around.where("all > 1").select("h", "ph"), ["h", "ph"]).select(ranges)
-    kinds = around.groupBy("h").agg(F.count("*").alias("kinds")).where("kinds > 1")
-    open_ = cut(around.join(kinds, "h").select("h", "kinds", F.col("all").alias("cnt"), "one.*"))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    few = open_.where(F.col("kinds") <= hot_pieces).repartition(parts, "h").sortWithinPartitions("h")
-    part = few.mapInArrow(partial(_sorted, step=step), f"doc_id {id_type}, dh long, a int, w int")
-    windows = cut(open_.where(F.col("kinds") > hot_pieces).mapInArrow(partial(_windows, step=step), f"doc_id {id_type}, dh long, a int, h long, cnt long, w1 long, w2 long"))
-    twice = windows.groupBy("h", "w1", "w2").agg(F.count("*").alias("c")).where("c > 1").drop("c")
-    hot = windows.where("cnt = 1").join(twice, ["h", "w1", "w2"]).select("doc_id", "dh", "a", F.lit(1).alias("w"))
-    return own.unionByName(whole).unionByName(same).unionByName(part).unionByName(hot)
+    found = [own, whole]
+    while True:
+        around = cut(cuts.groupBy("h", "ph").agg(F.sum("cnt").alias("all"), F.min(F.struct("doc_id", "dh", "a", "w", "lead", "tail")).alias("one")))
+        found.append(cuts.where("cnt = 1").join(around.where("all > 1").select("h", "ph"), ["h", "ph"]).select(ranges))
+        kinds = around.groupBy("h").agg(F.count("*").alias("kinds")).where("kinds > 1")
+        open_ = cut(spread(around, kinds).select("h", "kinds", F.col("all").alias("cnt"), "one.*"))
+        few = open_.where(F.col("kinds") <= hot_pieces).repartition(parts, "h").sortWithinPartitions("h")
+        found.append(few.mapInArrow(partial(_sorted, step=step), f"doc_id {id_type}, dh long, a int, w int"))
+        hot = open_.where(F.col("kinds") > hot_pieces)
+        if hot.isEmpty():
+            return reduce(DataFrame.unionByName, found)
+        narrow = max(1, step // NARROWER)
+        cuts, step = cut(hot.mapInArrow(partial(_narrowed, step=step, narrow=narrow), cuts.schema)), narrow
 
 
 def _strip(batches: Iterator[pa.RecordBatch], span: int) -> Iterator[pa.RecordBatch]:

@@ -48,7 +48,7 @@ def corpus(rng, size):
     return rows + [(900, None), (901, ""), (902, "ab " * 400), (903, base), (904, base), (904, base), (None, passages[0] + passages[1]), (None, "x" * 90), (905, text(8))]
 
 
-@pytest.mark.parametrize("hot", [1500, 3])
+@pytest.mark.parametrize("hot", [1500, 3, 0])
 def test_remove_repeats(spark, hot):
     rows = corpus(random.Random(8), 60)
     docs = spark.createDataFrame([(i, t, b"clash", "clash") for i, t in rows], "doc_id long, text string, data binary, spans string")
@@ -57,6 +57,31 @@ def test_remove_repeats(spark, hot):
     assert any(s for _, _, s, _ in got)
 
 
+def test_texts_beyond_a_block(spark):
+    """Strings of 600 bytes across the seam of two blocks in two long texts, and once more in a short one."""
+    rng = random.Random(5)
+    noise = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n))
+    shared, block = noise(600), suffixes.BLOCK
+    rows = [(1, noise(block - 300) + shared + noise(2000)), (2, noise(block - 17) + shared + noise(50)), (3, noise(40) + shared)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: [(x.start, x.end) for x in r.spans] for r in suffixes.remove_repeats(docs).collect()}
+    for i, text in rows:
+        at = text.index(shared)
+        (span,) = got[i]
+        assert at - 1 <= span[0] <= at and at + 600 <= span[1] <= at + 601  # a neighbour may be the same by chance
+
+
+def test_passages_are_cut_by_bytes_not_words(spark):
+    """A passage of over 50 words in two texts goes if it has 400 bytes, and stays if it has fewer."""
+    rng = random.Random(6)
+    long_, short = " ".join("abcdefghi"[: 6 + i % 3] + str(i) for i in range(60)), " ".join(f"a{i}" for i in range(60))
+    assert len(long_) >= 400 > len(short)
+    noise = lambda: " ".join(str(rng.random()) for _ in range(20))
+    rows = [(k, f"{noise()} {p} {noise()}") for k, p in enumerate([long_, long_, short, short])]
+    got = {r.doc_id: bytes(r.kept).decode() for r in suffixes.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(("abcdef" not in got[k]) for k in (0, 1)) and all(short in got[k] for k in (2, 3))
+
+
 def test_empty(spark):
     assert suffixes.remove_repeats(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
