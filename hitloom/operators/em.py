@@ -5,39 +5,45 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from hitloom.functions.stage import stage
+
 READ = ("sample", "query")
 
 
-def _posterior(cands: DataFrame, share: DataFrame) -> DataFrame:
+def _posterior(cands: DataFrame, share: DataFrame, read: tuple[str, ...] = READ) -> DataFrame:
     rows = cands.join(share, ["sample", "species"]).withColumn("w", F.col("a") * F.col("score"))
-    read = Window.partitionBy(*READ)
-    total, n = F.sum("w").over(read), F.count("*").over(read)
+    own = Window.partitionBy(*read)
+    total, n = F.sum("w").over(own), F.count("*").over(own)
     return rows.withColumn("post", F.when(n == 1, 1.0).when(total > 0, F.col("w") / total).otherwise(1 / n))
 
 
-def em_abundance(cands: DataFrame, lengths: DataFrame, rounds: int = 20, tolerance: float = 1e-6, least_length: float = 1000.0, checkpoint_every: int = 4) -> DataFrame:
+def read_classes(cands: DataFrame) -> DataFrame:
+    """(sample, class, reads, species, score): reads with the same candidates and scores are one class; the score of a
+    read's only candidate doesn't matter, so all such reads of a species are one."""
+    only = F.transform("set", lambda x: F.struct(x["species"].alias("species"), F.lit(1.0).alias("score")))
+    sets = cands.groupBy(*READ).agg(F.array_sort(F.collect_list(F.struct("species", F.col("score").cast("double").alias("score")))).alias("set"))
+    sets = sets.withColumn("set", F.when(F.size("set") == 1, only).otherwise(F.col("set"))).groupBy("sample", "set").agg(F.count("*").alias("reads"))
+    return stage(stage(sets.withColumn("class", F.monotonically_increasing_id())).select("sample", "class", "reads", F.inline("set")))
+
+
+def em_abundance(cands: DataFrame, lengths: DataFrame, rounds: int = 20, tolerance: float = 1e-6, least_length: float = 1000.0) -> DataFrame:
     """cands (sample, query, species, score), lengths (species, length) -> (sample, species, a), shares by sample that sum to 1.
 
     Starts uniform; a round gives each read's weight to its species by share times score (evenly where that is 0), divides
-    by the length (least_length at least) and normalises. Stops when no share moves by `tolerance` or more. The lineage is
-    cut by a checkpoint every few rounds where spark.checkpoint.dir is set.
+    by the length (least_length at least) and normalises. Stops when no share moves by `tolerance` or more. Rounds work on
+    classes of reads; the shares of a round, a row for each sample and species, are a table in the shared folder.
     """
-    spark = cands.sparkSession
-    cands = cands.persist()
-    durable = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    species = cands.select("sample", "species").distinct().join(lengths, "species", "left").withColumn("len", F.greatest(F.coalesce("length", F.lit(0.0)).cast("double"), F.lit(least_length))).select("sample", "species", "len").persist()
+    classes = read_classes(cands)
+    length = F.greatest(F.coalesce("length", F.lit(0.0)).cast("double"), F.lit(least_length)).alias("len")
+    species = stage(classes.select("sample", "species").distinct().join(lengths, "species", "left").select("sample", "species", length))
     of_sample = Window.partitionBy("sample")
     share = species.select("sample", "species", (F.lit(1.0) / F.count("*").over(of_sample)).alias("a"))
-    for k in range(1, rounds + 1):
-        counts = _posterior(cands, share).groupBy("sample", "species").agg(F.sum("post").alias("c"))
-        new = counts.join(species, ["sample", "species"]).withColumn("r", F.col("c") / F.col("len")).withColumn("a", F.col("r") / F.sum("r").over(of_sample)).select("sample", "species", "a")
-        new = new.persist()
-        if durable and k % checkpoint_every == 0:
-            if not spark.sparkContext.getCheckpointDir():
-                spark.sparkContext.setCheckpointDir(durable)
-            new = new.checkpoint()
-        moved = new.join(share.withColumnRenamed("a", "old"), ["sample", "species"]).agg(F.max(F.abs(F.col("a") - F.col("old")))).first()[0]
-        share = new
+    for _ in range(rounds):
+        counts = _posterior(classes, share, ("class",)).groupBy("sample", "species").agg(F.sum(F.col("post") * F.col("reads")).alias("c"))
+        new = counts.join(species, ["sample", "species"]).withColumn("r", F.col("c") / F.col("len")).withColumn("a", F.col("r") / F.sum("r").over(of_sample))
+        new = stage(new.join(share.withColumnRenamed("a", "old"), ["sample", "species"]).select("sample", "species", "a", F.abs(F.col("a") - F.col("old")).alias("moved")))
+        moved = new.agg(F.max("moved")).first()[0]
+        share = new.drop("moved")
         if moved is None or moved < tolerance:
             break
     return share

@@ -33,7 +33,7 @@ def truth_shares(reads: DataFrame, truth: DataFrame, lengths: DataFrame) -> Data
 
 def abundance_error(shares: DataFrame, expected: DataFrame, samples: DataFrame) -> DataFrame:
     """Per sample: the mean over truth groups of |share - expected|; a group without reads has share 0."""
-    grid = samples.select("sample").distinct().crossJoin(F.broadcast(expected))  # the truth's groups are few
+    grid = samples.select("sample").distinct().crossJoin(expected)  # the table itself
     rows = grid.join(shares.select("sample", "truth_group", "share"), ["sample", "truth_group"], "left").fillna(0.0, ["share"])
     return rows.groupBy("sample").agg(F.avg(F.abs(F.col("share") - F.col("expected"))).alias("vae"))
 
@@ -50,10 +50,10 @@ def composition_with_fp(reads: DataFrame, truth: DataFrame, host_taxids: list[in
 def parameter_grid(hits: DataFrame, grid: DataFrame, truth: DataFrame, min_reads: int = 3) -> DataFrame:
     """One job for all cells of grid (cell, min_identity, min_length): per (cell, sample) reads, taxa and detection scores.
 
-    hits are reduced to one row per (sample, query, taxid, identity, length) first; the grid is small and broadcast.
+    hits are reduced to one row per (sample, query, taxid, identity, length) first; each row meets the cells whose limits it passes.
     """
     base = hits.select("sample", "query", "taxid", "fident", "alnlen", "bits").distinct()
-    rows = base.join(F.broadcast(grid), (base.fident >= grid.min_identity) & (base.alnlen >= grid.min_length))
+    rows = base.join(grid, (base.fident >= grid.min_identity) & (base.alnlen >= grid.min_length))
     best = rows.groupBy("cell", "sample", "query").agg(F.max(F.struct("bits", "fident", (-F.col("taxid")).alias("t"))).alias("b")).select("cell", "sample", (-F.col("b.t")).alias("taxid"))
     counts = best.groupBy("cell", "sample", "taxid").agg(F.count("*").alias("n"))
     totals = counts.groupBy("cell", "sample").agg(F.sum("n").alias("reads"), F.count_if(F.col("n") >= min_reads).alias("taxa"))

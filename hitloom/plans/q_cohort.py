@@ -176,9 +176,9 @@ def feature_matrix(spark, d):
     return matrix(spark, d)
 
 
-@query("SELECT taxid, " + ", ".join(f"sum(CASE WHEN sample = 'c{i}' THEN reads ELSE 0 END)::BIGINT AS c{i}" for i in range(4)) + " FROM counts GROUP BY taxid")
+@query("SELECT taxid, " + ", ".join(f"sum(CASE WHEN sample = 'c{i}' THEN reads ELSE 0 END)::BIGINT AS c{i}" for i in range(24)) + " FROM counts GROUP BY taxid")
 def otu_matrix_wide(spark, d):
-    return cohort.pivot_samples(view(spark, d, "counts"), "taxid", [f"c{i}" for i in range(4)], "reads")
+    return cohort.pivot_samples(view(spark, d, "counts"), "taxid", [f"c{i}" for i in range(24)], "reads")
 
 
 _TOOLS = "tl AS (SELECT concat('tool', CAST(sample[2:]::INT % 3 AS STRING)) AS tool, sample, taxid, concat('n', CAST(taxid AS STRING)) AS name, reads FROM counts WHERE (taxid + sample[2:]::INT % 3) % 4 <> 0)"
@@ -388,11 +388,6 @@ def kmer_seed(spark, d):
     return reads.kmer_seed_search(view(spark, d, "reads"), view(spark, d, "host_texts"), 5, 3, " ")
 
 
-@query("WITH r AS (SELECT sample, length(seq) AS n FROM reads) SELECT sample, 1 AS mate, 'length' AS kind, n::INT AS bin, count(*) AS n FROM r GROUP BY ALL", "reads")
-def read_length_histogram(spark, d):
-    return reads.read_histograms(view(spark, d, "reads")).where("kind = 'length'")
-
-
 _FQ = "fq AS (SELECT concat('s', CAST(l_orderkey % 4 AS STRING)) AS sample, CAST(1 + l_linenumber % 2 AS INT) AS mate, CAST(l_orderkey AS STRING) AS read_id, concat(CASE WHEN l_partkey % 3 = 0 THEN 'ACGTACGT' ELSE '' END, translate(CAST(l_partkey * 7919 + l_orderkey AS STRING), '0123456789', 'ACGTACGTAC'), CASE WHEN l_suppkey % 4 = 0 THEN 'GGGGGGGGGGGG' WHEN l_suppkey % 4 = 1 THEN 'TTTTTTTTTTT' ELSE 'ACGTAC' END) AS seq FROM lineitem)"
 
 
@@ -403,6 +398,14 @@ def fastq(spark, d):
     return rows.withColumn("qual", F.translate("seq", "ACGT", "5?IF"))
 
 
+_GC = "round(100.0 * (length(seq) - length(translate(seq, 'GC', ''))) / greatest(length(seq), 1))::INT"
+
+
+@query(f"WITH {_FQ} SELECT sample, mate, kind, bin, count(*) AS n FROM (SELECT sample, mate, 'length' AS kind, length(seq)::INT AS bin FROM fq UNION ALL SELECT sample, mate, 'gc', {_GC} FROM fq UNION ALL SELECT sample, mate, 'copies', count(*)::INT FROM fq GROUP BY sample, mate, seq) GROUP BY ALL", "refs")
+def read_histograms(spark, d):
+    return reads.read_histograms(fastq(spark, d))
+
+
 @query(f"WITH {_FQ}, t AS (SELECT sample, mate, read_id, regexp_replace(regexp_replace(seq, 'G{{10,}}$', ''), '(A{{10,}}|C{{10,}}|G{{10,}}|T{{10,}}|N{{10,}})$', '') AS seq FROM fq) SELECT sample, mate, read_id, seq, translate(seq, 'ACGT', '5?IF') AS qual FROM t WHERE length(seq) >= 8", "refs")
 def trim_reads(spark, d):
     return reads.trim_tails(fastq(spark, d), min_length=8)
