@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+RUN = uuid.uuid4().hex  # of this driver process: its tables stand in a folder of their own
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder of spark.checkpoint.dir; where it is unset (tests, a single machine), a folder of this session's own."""
@@ -19,7 +21,20 @@ def shared_dir(spark: SparkSession) -> str:
     return where
 
 
+def own_dir(spark: SparkSession) -> str:
+    """This driver's own folder in the shared one."""
+    return f"{shared_dir(spark)}/hitloom-{RUN}"
+
+
 def stage(df: DataFrame) -> DataFrame:
-    path = f"{shared_dir(df.sparkSession)}/{uuid.uuid4().hex}"
+    """Write df to the shared folder and read it back. The table stays until drop_stages(): results may still be lazy."""
+    path = f"{own_dir(df.sparkSession)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_stages(spark: SparkSession) -> None:
+    """Delete all tables that stage() has written in this driver; to be called when results have been written or collected."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(own_dir(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

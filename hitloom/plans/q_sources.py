@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hitloom.functions.stage import shared_dir
+from hitloom.functions.stage import own_dir
 from hitloom.operators import counts, reads
 from hitloom.plans import q_cohort, q_cover
 from hitloom.plans.derive import oracle, view
@@ -29,7 +29,7 @@ def query(sql: str | None = None, views: str = "hits"):
 
 
 def folder(spark: SparkSession) -> str:
-    return f"{shared_dir(spark)}/files-{uuid.uuid4().hex}"
+    return f"{own_dir(spark)}/files-{uuid.uuid4().hex}"
 
 
 def put(values: DataFrame) -> str:
