@@ -4,21 +4,24 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 RUN = uuid.uuid4().hex  # of this driver process: its tables stand in a folder of their own
 
 
+@cache
+def _temporary() -> str:
+    return "file://" + tempfile.mkdtemp(prefix="hitloom-")
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; where it is unset (tests, a single machine), a folder of this session's own."""
+    """The folder of spark.checkpoint.dir; where it is unset (tests, a single machine), a folder of this driver's own."""
     where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not where:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        where = "file://" + tempfile.mkdtemp(prefix="hitloom-")
-        spark.conf.set("spark.checkpoint.dir", where)
-    return where
+    if not where and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return where or _temporary()
 
 
 def own_dir(spark: SparkSession) -> str:
