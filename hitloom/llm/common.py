@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 import hitloom
+from hitloom.functions.stage import stage as cut  # noqa: F401  a table in the shared folder: computed once, and lineage ends there
 
 # Functions of the package travel to the executors by value, so a cluster needs no installed copy.
 cloudpickle.register_pickle_by_value(hitloom)
@@ -20,24 +18,6 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; where it is unset (tests), a folder of this session's own."""
-    where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not where:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        where = "file://" + tempfile.mkdtemp(prefix="hitloom-")
-        spark.conf.set("spark.checkpoint.dir", where)
-    return where
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """Write df to the shared folder and read it back: it is computed once, and its lineage ends there."""
-    path = f"{shared_dir(df.sparkSession)}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def learnable(doc_id: str = "doc_id"):
     """True for the rows that labels may be learnt from: crc32(doc_id as text) mod 3 is not 1."""
     return F.crc32(F.col(doc_id).cast("string")) % 3 != 1

@@ -113,4 +113,5 @@ def shard_documents(docs: DataFrame, shards: int = 16) -> DataFrame:
 
 
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's shard and slot under the law `bytes`; a null text is as large as an empty one, size 1."""
     return shard_documents(read(spark, sf_dir, "documents"))
