@@ -71,9 +71,19 @@ def mann_whitney_u(spark, d):
     return rnd(rnd(cohort.mann_whitney(values(spark, d), ("k",), "case", "control").drop("p_value"), "rank_biserial"), "z", digits=7)
 
 
-@query()
+def two_sided(density: str, upper: str, steps: int = 2000) -> str:
+    """SQL of 1 - 2 * the integral of a density of x from 0 to `upper`, by Simpson's rule."""
+    weight = f"CASE WHEN i IN (0, {steps}) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END"
+    at = density.replace("x", f"({upper} * i / {steps})")
+    return f"(1 - 2 * {upper} / {3 * steps} * (SELECT sum({weight} * {at}) FROM range({steps + 1}) steps(i)))"
+
+
+_NORMAL = "1 / sqrt(2 * pi()) * pow(2.718281828459045, -(x * x) / 2)"
+
+
+@query(f"SELECT *, round({two_sided(_NORMAL, 'abs(z)')}, 6) AS p_value FROM ({SQL['mann_whitney_u']})")
 def mann_whitney(spark, d):
-    return rnd(cohort.mann_whitney(values(spark, d), ("k",), "case", "control"), "z", "p_value")
+    return rnd(rnd(rnd(cohort.mann_whitney(values(spark, d), ("k",), "case", "control"), "rank_biserial"), "z", digits=7), "p_value", digits=6)
 
 
 _KW = _VAL.replace("grp, reads AS value", "CASE WHEN taxid % 3 = 0 THEN 'x' ELSE grp END AS grp, reads AS value")
@@ -85,6 +95,13 @@ def kruskal_h(spark, d):
     return rnd(cohort.kruskal_wallis(rows, ("k",)).where("df > 0").drop("p_value"), "h", digits=7)
 
 
+@query(f"SELECT k, h, df, round({two_sided(_NORMAL, 'sqrt(h)')}, 5) AS p_value FROM ({SQL['kruskal_h']})")
+def kruskal_wallis(spark, d):
+    """Two groups in each k that is tested, so H has one degree of freedom and is the square of a normal variable."""
+    rows = view(spark, d, "counts").join(view(spark, d, "cohort"), "sample").select((F.col("taxid") % 6).alias("k"), F.when(F.col("taxid") % 3 == 0, "x").otherwise(F.col("group")).alias("group"), F.col("reads").alias("value"))
+    return rnd(rnd(cohort.kruskal_wallis(rows, ("k",)).where("df > 0"), "h", digits=7), "p_value", digits=5)
+
+
 @query("WITH p AS (SELECT taxid, (1 + taxid * 37 % 100)::DOUBLE / 101 AS p_value FROM (SELECT DISTINCT taxid FROM counts)), r AS (SELECT *, p_value * count(*) OVER () / count(*) OVER (ORDER BY p_value) AS raw FROM p) SELECT taxid, p_value, round(least(1.0, min(raw) OVER (ORDER BY p_value DESC)), 9) AS q_value FROM r")
 def bh_fdr(spark, d):
     p = view(spark, d, "counts").select("taxid").distinct().withColumn("p_value", (1 + F.col("taxid") * 37 % 100).cast("double") / 101)
@@ -220,9 +237,17 @@ def differential_abundance_t(spark, d):
     return rnd(rnd(rnd(rows, "prevalence"), "slope", digits=7), "t", digits=6)
 
 
-@query()
+_STUDENT = "gamma(11.5) / gamma(11) / sqrt(22 * pi()) * pow(1 + x * x / 22, -11.5)"
+
+
+@query(
+    f"WITH tt AS ({SQL['differential_abundance_t']}), p AS (SELECT *, {two_sided(_STUDENT, 'abs(t)')} AS p FROM tt), r AS (SELECT *, p * count(*) OVER () / count(*) OVER (ORDER BY p) AS raw FROM p WHERE t IS NOT NULL)"
+    " SELECT feature, prevalence, slope, t, round(p, 4) AS p_value, round(least(1.0, min(raw) OVER (ORDER BY p DESC)), 4) AS q_value FROM r"
+)
 def differential_abundance(spark, d):
-    return rnd(cohort.differential_abundance(matrix(spark, d).withColumnRenamed("taxid", "feature"), view(spark, d, "cohort"), "case"), "slope", "t", "p_value", "q_value", digits=6)
+    """24 samples, so t has 22 degrees of freedom."""
+    rows = cohort.differential_abundance(matrix(spark, d).withColumnRenamed("taxid", "feature"), view(spark, d, "cohort"), "case")
+    return rnd(rnd(rnd(rnd(rows, "prevalence"), "slope", digits=7), "t", digits=6), "p_value", "q_value", digits=4)
 
 
 @query(f"WITH {_MAT}, s AS (SELECT taxid AS feature, count(*) FILTER (grp = 'case' AND value > 40) AS a, count(*) FILTER (grp = 'case' AND value <= 40) AS b, count(*) FILTER (grp <> 'case' AND value > 40) AS c, count(*) FILTER (grp <> 'case' AND value <= 40) AS d FROM mat JOIN cohort USING (sample) GROUP BY 1) SELECT *, round(ln((a + 0.5) * (d + 0.5) / ((b + 0.5) * (c + 0.5))), 7) AS log_odds, round(ln((a + 0.5) * (d + 0.5) / ((b + 0.5) * (c + 0.5))) / sqrt(1 / (a + 0.5) + 1 / (b + 0.5) + 1 / (c + 0.5) + 1 / (d + 0.5)), 7) AS z FROM s")
