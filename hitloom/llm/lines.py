@@ -18,7 +18,7 @@ MIN_CHARS characters besides digits on; it too is a template by itself, with its
 
 Only hashes of lines and fields are shuffled and counted, a distinct line once. Fields are hashed in a second pass over
 the texts, for the lines of leaves that have several; these are looked up in a bitmap of BITS bits, in which a few other
-leaves are found by chance and fall out in a join. Texts move once, to meet the positions that they lose.
+lines are found by chance and fall out in a join. Texts move once, to meet the positions that they lose.
 """
 
 from __future__ import annotations
@@ -94,32 +94,27 @@ def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _fields(batches: Iterator[pa.RecordBatch], bitmap: bytes) -> Iterator[pa.RecordBatch]:
-    """text -> (line, leaves, fields) of each line that has leaves in the bitmap, with these; a line once for some texts."""
+    """text -> (line, fields) of each line in the bitmap; a line once for some texts."""
     def rows(found):
-        types = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32())]
-        columns = [list(found), [x[0] for x in found.values()], [x[1] for x in found.values()]]
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["line", "leaves", "fields"])
+        return pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.list_(pa.int32()))], ["line", "fields"])
 
-    found: dict[int, tuple] = {}
+    found: dict[int, list[int]] = {}
     for batch in batches:
         for text in batch.column("text"):
             for line in (text.as_py() or "").split("\n"):
                 words = masked(line)
-                if len(words) < MIN_WORDS:
-                    continue
-                leaves = [x for x in leaves_of(words) if bitmap[(bit := x % BITS) >> 3] >> (bit & 7) & 1]
-                if leaves and (h := h64(" ".join(words))) not in found:
-                    found[h] = leaves, [xxhash.xxh32_intdigest(x) - (1 << 31) for x in words]
+                if len(words) >= MIN_WORDS and bitmap[(bit := (h := h64(" ".join(words))) % BITS) >> 3] >> (bit & 7) & 1 and h not in found:
+                    found[h] = [xxhash.xxh32_intdigest(x) - (1 << 31) for x in words]
             if len(found) >= ROWS:
                 yield rows(found)
                 found = {}
     yield rows(found)
 
 
-def bitmap_of(leaves: DataFrame) -> bytes:
-    """BITS bits, with that of each leaf (modulo BITS) set; no more than BITS / 64 rows come to the driver."""
-    bit = F.pmod("leaf", F.lit(BITS))
-    words = leaves.groupBy(F.floor(bit / 64).alias("at")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(leaf, {BITS}L) % 64 as int))")).alias("word"))
+def bitmap_of(lines: DataFrame) -> bytes:
+    """BITS bits, with that of each line (modulo BITS) set; no more than BITS / 64 rows come to the driver."""
+    bit = F.pmod("line", F.lit(BITS))
+    words = lines.groupBy(F.floor(bit / 64).alias("at")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(line, {BITS}L) % 64 as int))")).alias("word"))
     out = np.zeros(BITS // 64, "<i8")
     for r in words.toLocalIterator():
         out[r["at"]] = r["word"]
@@ -136,11 +131,12 @@ def several_lines(docs: DataFrame, distinct: DataFrame) -> DataFrame:
 
     x and y are the least and greatest hash of a line's documents; a leaf within one document needs no templates.
     """
-    of_leaf = distinct.select(F.explode("leaves").alias("leaf"), "line", "x", "y").groupBy("leaf")
-    several = cut(of_leaf.agg(F.min("line").alias("a"), F.max("line").alias("b"), F.min("x").alias("x"), F.max("y").alias("y")).where("a != b and x != y").select("leaf"))
-    fields = docs.select("text").mapInArrow(partial(_fields, bitmap=bitmap_of(several)), "line long, leaves array<long>, fields array<int>")
-    fields = fields.groupBy("line").agg(F.first("leaves").alias("leaves"), F.first("fields").alias("fields"))
-    return cut(fields.select(F.explode("leaves").alias("leaf"), "line", "fields").join(several, "leaf"))
+    members = distinct.select(F.explode("leaves").alias("leaf"), "line", "x", "y")
+    several = members.groupBy("leaf").agg(F.min("line").alias("a"), F.max("line").alias("b"), F.min("x").alias("x"), F.max("y").alias("y")).where("a != b and x != y").select("leaf")
+    wanted = cut(members.select("leaf", "line").join(several, "leaf").groupBy("line").agg(F.collect_list("leaf").alias("leaves")))  # PLACES at most
+    fields = docs.select("text").mapInArrow(partial(_fields, bitmap=bitmap_of(wanted)), "line long, fields array<int>")
+    fields = fields.groupBy("line").agg(F.first("fields").alias("fields")).join(wanted, "line")
+    return cut(fields.select(F.explode("leaves").alias("leaf"), "line", "fields"))
 
 
 def grown(node: int, fields: np.ndarray) -> Iterator[tuple[np.ndarray, int]]:
