@@ -166,14 +166,23 @@ def grown(node: int, fields: np.ndarray) -> Iterator[tuple[np.ndarray, int]]:
 def _grown(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(node, lines: leaf, line, fields) of whole nodes -> (leaf, line, template)."""
     for batch in batches:
-        out: list[list] = [[], [], []]
-        for node, lines in zip(batch.column("node"), batch.column("lines"), strict=True):
-            lines = lines.as_py()
-            for rows, template in grown(node.as_py(), np.array([x["fields"] for x in lines], np.int32)):
-                for row in rows.tolist():
-                    for column, value in zip(out, (lines[row]["leaf"], lines[row]["line"], template), strict=True):
-                        column.append(value)
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], ["leaf", "line", "template"])
+        lists = batch.column("lines")
+        starts = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+        leaf, line, fields = lists.flatten().flatten()
+        leaf, line, at = leaf.to_numpy(), line.to_numpy(), fields.offsets.to_numpy()
+        words = fields.values.to_numpy()
+        out, name = [np.zeros(0, np.int64)], []
+        for node, lo, hi in zip(batch.column("node").to_pylist(), starts[:-1], starts[1:], strict=True):
+            own = words[at[lo] : at[hi]].reshape(hi - lo, -1)  # lines of a node are equally long
+            if hi - lo == 2:
+                found = [(np.arange(2), node)] if 2 * (own[0] == own[1]).sum() >= own.shape[1] else []
+            else:
+                found = grown(node, own)
+            for rows, template in found:
+                out.append(rows + lo)
+                name.append(np.full(len(rows), template, np.int64))
+        rows = np.concatenate(out)
+        yield pa.RecordBatch.from_arrays([pa.array(leaf[rows]), pa.array(line[rows]), pa.array(np.concatenate([np.zeros(0, np.int64), *name]))], ["leaf", "line", "template"])
 
 
 def templates(lines: DataFrame) -> DataFrame:
