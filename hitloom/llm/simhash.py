@@ -12,6 +12,7 @@ one_of_each() takes such components as candidates only, and decides by the exact
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from functools import partial, reduce
 from itertools import chain, combinations, repeat
@@ -398,7 +399,10 @@ def one_of_each(docs: DataFrame, k: int = NEAR_SHINGLE, budget: int = NEAR_BUDGE
     stay = texts.join(lost, "text_key", "left_anti").select("first.doc_id", "text_key")
     kept = docs.alias("d").join(stay.alias("s"), F.col("d.doc_id").eqNullSafe(F.col("s.doc_id")) & (key(F.col("d.text")) == F.col("s.text_key")), "left_semi")
     again = prints.groupBy("doc_id", "text_key").count().where("count > 1").limit(1).count()
-    return kept.dropDuplicates(["doc_id", "text"]) if again else kept
+    if not again:
+        return kept
+    name = f"key_{uuid.uuid4().hex}"  # no column of docs has it
+    return kept.withColumn(name, key(F.col("text"))).dropDuplicates(["doc_id", name]).drop(name)
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

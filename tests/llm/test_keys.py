@@ -191,3 +191,9 @@ def test_one_of_each_keeps_all_columns(spark):
     rows = [(1, "a b c d e f", 5, 6), (2, "a b c d e f", 7, 8), (3, "other words", 9, 10)]
     got = simhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string, id long, h long")).collect()
     assert sorted(map(tuple, got)) == [rows[0], rows[2]]
+
+
+def test_one_of_each_of_repeated_rows(spark):
+    rows = [(5, None), (5, ""), (5, " "), (6, "one text"), (6, "one text"), (None, "one text"), (6, "quite another text here"), (7, None)]
+    got = sorted(((r.doc_id, r.text) for r in simhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()), key=str)
+    assert len(got) == 3 and got[1:] == [(6, "one text"), (6, "quite another text here")] and got[0][0] == 5
