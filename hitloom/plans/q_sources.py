@@ -140,7 +140,7 @@ def fastq_to_fasta(spark, d):
     return fasta.select(F.concat(F.lit(">"), "header").alias("header"), "seq")
 
 
-_TOOL = "SELECT concat('tool', CAST(k AS STRING)) AS kind, taxid, sum(reads)::BIGINT AS reads FROM counts, (SELECT unnest(range(4)) AS k) WHERE (taxid + k) % 3 <> 0 GROUP BY ALL"
+_TOOL = "SELECT concat('tool', CAST(k AS STRING)) AS kind, taxid::BIGINT AS taxid, sum(reads)::BIGINT AS reads FROM counts, (SELECT unnest(range(4)) AS k) WHERE (taxid + k) % 3 <> 0 GROUP BY ALL"
 
 
 @query(_TOOL, "counts")
@@ -206,7 +206,7 @@ def source_blast_xml(spark, d):
 _WIDE = ", ".join(f"sum(CASE WHEN sample = 'c{i}' THEN reads ELSE 0 END)::DOUBLE AS c{i}" for i in range(24))
 
 
-@query("WITH" + q_cover.LINEAGE + f", w AS (SELECT taxid, {_WIDE} FROM counts GROUP BY taxid), u AS (UNPIVOT w ON COLUMNS('^c[0-9]+$') INTO NAME sample VALUE value) SELECT sample, a AS taxid, ar AS rank, an AS name, value, d::INT AS depth FROM u JOIN anc USING (taxid)", "counts taxonomy")
+@query("WITH" + q_cover.LINEAGE + f", w AS (SELECT taxid, {_WIDE} FROM counts GROUP BY taxid), u AS (UNPIVOT w ON COLUMNS('^c[0-9]+$') INTO NAME sample VALUE value) SELECT sample, a::BIGINT AS taxid, ar AS rank, an AS name, value, d::INT AS depth FROM u JOIN anc USING (taxid)", "counts taxonomy")
 def source_lineage_report(spark, d):
     samples = [f"c{i}" for i in range(24)]
     wide = q_cohort.cohort.pivot_samples(view(spark, d, "counts"), "taxid", samples, "reads")
