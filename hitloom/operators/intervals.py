@@ -2,27 +2,32 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BY = ("sample", "target")
 
 
-def union_length(intervals: DataFrame, by: tuple[str, ...] = BY, start: str = "tstart", end: str = "tend") -> DataFrame:
-    """by -> covered (bases in the union). Intervals with start >= end are ignored.
+def _covered(intervals: DataFrame, by: tuple[str, ...], start: str, end: str, *more: tuple[Column, Column]) -> DataFrame:
+    """by -> covered (bases in the union) and further sums, in one pass: `more` has aggregates of the rows of a place, and of places.
 
-    Equal intervals are counted once before the window, which sees distinct intervals only.
+    Intervals of one start are one row before the window; an empty interval covers nothing.
     """
-    rows = intervals.where(F.col(start) < F.col(end)).select(*by, F.col(start).alias("s"), F.col(end).alias("e")).groupBy(*by, "s").agg(F.max("e").alias("e"))
+    rows = intervals.select(*by, F.col(start).alias("s"), F.greatest(start, end).alias("e"), *(c for c in intervals.columns if c not in (*by, "s", "e"))).groupBy(*by, "s").agg(F.max("e").alias("e"), *(one for one, _ in more))
     before = Window.partitionBy(*by).orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
     fresh = F.greatest(F.lit(0), F.col("e") - F.greatest("s", F.coalesce(F.max("e").over(before), F.col("s"))))
-    return rows.withColumn("fresh", fresh).groupBy(*by).agg(F.sum("fresh").alias("covered"))
+    return rows.withColumn("fresh", fresh).groupBy(*by).agg(F.sum("fresh").alias("covered"), *(all_ for _, all_ in more))
+
+
+def union_length(intervals: DataFrame, by: tuple[str, ...] = BY, start: str = "tstart", end: str = "tend") -> DataFrame:
+    """by -> covered (bases in the union). Intervals with start >= end are ignored."""
+    return _covered(intervals.where(F.col(start) < F.col(end)), by, start, end)
 
 
 def merged_coverage_ratio(hits: DataFrame, by: tuple[str, ...] = BY) -> DataFrame:
     """by -> coverage_ratio: union length over tlen, at most 1; ends beyond the target aren't clamped."""
-    length = hits.groupBy(*by).agg(F.min("tlen").alias("tlen"))
-    return length.join(union_length(hits, by), list(by), "left").select(*by, F.least(F.lit(1.0), F.coalesce(F.try_divide("covered", "tlen"), F.lit(0.0))).alias("coverage_ratio"))
+    rows = _covered(hits, by, "tstart", "tend", (F.min("tlen").alias("tlen"), F.min("tlen").alias("tlen")))
+    return rows.select(*by, F.least(F.lit(1.0), F.coalesce(F.try_divide("covered", "tlen"), F.lit(0.0))).alias("coverage_ratio"))
 
 
 def clamp(hits: DataFrame) -> DataFrame:
@@ -31,9 +36,9 @@ def clamp(hits: DataFrame) -> DataFrame:
 
 def breadth_depth(hits: DataFrame, by: tuple[str, ...] = BY) -> DataFrame:
     """by -> breadth_bp (covered bases within the target) and avg_depth (over covered bases)."""
-    inside = clamp(hits)
-    bases = inside.groupBy(*by).agg(F.sum(F.col("tend") - F.col("tstart")).alias("bases"))
-    return union_length(inside, by).join(bases, list(by)).select(*by, F.col("covered").alias("breadth_bp"), (F.col("bases") / F.col("covered")).alias("avg_depth"))
+    bases = F.sum(F.col("tend") - F.col("tstart")).alias("bases")
+    rows = _covered(clamp(hits), by, "tstart", "tend", (bases, F.sum("bases").alias("bases")))
+    return rows.select(*by, F.col("covered").alias("breadth_bp"), (F.col("bases") / F.col("covered")).alias("avg_depth"))
 
 
 def depth_segments(hits: DataFrame, by: tuple[str, ...] = BY, weight: str | None = None) -> DataFrame:
