@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from hitloom.functions.stage import stage
 from hitloom.functions.tails import chi2_upper, normal_two_sided, t_two_sided
 
 
@@ -108,14 +109,37 @@ def kruskal_wallis(values: DataFrame, by: tuple[str, ...]) -> DataFrame:
     return s.withColumn("h", h).withColumn("p_value", chi2_upper(F.col("h"), F.col("df"))).select(*by, "h", "df", "p_value")
 
 
+def running(rows: DataFrame, order: list[str], weight: str) -> DataFrame:
+    """Add `upto`, the sum of weight over all rows up to this one in the order, and `part`, a range of rows in that order.
+
+    Rows are dealt out by ranges of the order, so no task gets them all; only the ranges' sums meet in one window.
+    """
+    parts = stage(rows.repartitionByRange(*order).withColumn("part", F.spark_partition_id()))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = parts.groupBy("part").agg(F.sum(weight).alias("own")).select("part", F.coalesce(F.sum("own").over(before), F.lit(0)).alias("start"))
+    inside = F.sum(weight).over(Window.partitionBy("part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    return parts.withColumn("upto", inside).join(starts, "part").withColumn("upto", F.col("start") + F.col("upto")).drop("start")
+
+
 def bh_fdr(rows: DataFrame, p: str = "p_value", by: tuple[str, ...] = ()) -> DataFrame:
-    """Add q_value (Benjamini-Hochberg) within `by`: the least p * m / rank from each p upwards, 1 at most."""
+    """Add q_value (Benjamini-Hochberg) within `by`: the least p * m / rank from each p upwards, 1 at most.
+
+    Equal p share the last place. Without `by`, the distinct p are dealt out by ranges.
+    """
     own = rows.where(F.col(p).isNotNull() & ~F.isnan(p))
-    w = Window.partitionBy(*by)
-    place = F.count("*").over(w.orderBy(p).rangeBetween(Window.unboundedPreceding, 0))  # equal p share the last place
-    own = own.withColumn("raw_", F.col(p) * F.count("*").over(w) / place)
-    least = F.min("raw_").over(w.orderBy(F.desc(p)).rangeBetween(Window.unboundedPreceding, 0))
-    return own.withColumn("q_value", F.least(F.lit(1.0), least)).drop("raw_")
+    if by:
+        w = Window.partitionBy(*by)
+        place = F.count("*").over(w.orderBy(p).rangeBetween(Window.unboundedPreceding, 0))
+        own = own.withColumn("raw_", F.col(p) * F.count("*").over(w) / place)
+        least = F.min("raw_").over(w.orderBy(F.desc(p)).rangeBetween(Window.unboundedPreceding, 0))
+        return own.withColumn("q_value", F.least(F.lit(1.0), least)).drop("raw_")
+    values = running(own.groupBy(F.col(p).alias("p")).agg(F.count("*").alias("n")), ["p"], "n")
+    values = stage(values.join(values.agg(F.max("upto").alias("m"))).select("part", "p", (F.col("p") * F.col("m") / F.col("upto")).alias("raw")))  # one row
+    later = Window.orderBy(F.desc("part")).rowsBetween(Window.unboundedPreceding, -1)
+    above = values.groupBy("part").agg(F.min("raw").alias("own")).select("part", F.min("own").over(later).alias("above"))
+    least = F.min("raw").over(Window.partitionBy("part").orderBy(F.desc("p")).rowsBetween(Window.unboundedPreceding, 0))
+    q = values.withColumn("least", least).join(above, "part").select(F.col("p").alias(p), F.least(F.lit(1.0), "least", "above").alias("q_value"))
+    return own.join(q, p)
 
 
 def mean_composition(rows: DataFrame, by: tuple[str, ...], label: str, weight: str) -> DataFrame:
@@ -172,10 +196,10 @@ def sample_layout(totals: DataFrame, gap: int = 2) -> DataFrame:
 
 def even_representatives(sizes: DataFrame, n: int) -> DataFrame:
     """n samples evenly spaced by size: sizes (sample, size) -> those at rounded equal steps from least to largest."""
-    rows = sizes.withColumn("k", F.row_number().over(Window.orderBy("size", "sample")) - 1)  # a cohort's samples
+    rows = running(sizes.withColumn("one", F.lit(1)), ["size", "sample"], "one")
     count = sizes.count()
     places = sorted({(i * (count - 1) + (n - 1) // 2) // (n - 1) for i in range(n)}) if n > 1 and count > n else list(range(min(n, count)))
-    return rows.where(F.col("k").isin(places)).drop("k")
+    return rows.where((F.col("upto") - 1).isin(places)).select(sizes.columns)
 
 
 def genome_type_fractions(rows: DataFrame) -> DataFrame:

@@ -176,3 +176,17 @@ def test_stages_are_dropped(spark, tmp_path, monkeypatch):
     assert stage.stage(spark.range(5)).count() == 5 and os.listdir(here)
     stage.drop_stages(spark)
     assert not os.path.exists(here)
+
+
+def test_fdr_over_many_ranges(spark):
+    from hitloom.operators import cohort
+
+    rng = random.Random(6)
+    values = [rng.choice([0.01, 0.2, rng.random()]) for _ in range(400)] + [1.0, 0.0]
+    rows = spark.createDataFrame([(i, v) for i, v in enumerate(values)] + [(900, None), (901, float("nan"))], "k int, p_value double")
+    m = len(values)
+    want = {i: min(1.0, *(v * m / sum(x <= v for x in values) for v in values if v >= p)) for i, p in enumerate(values)}
+    assert {r.k: r.q_value for r in cohort.bh_fdr(rows.repartition(7)).collect()} == pytest.approx(want)
+    assert {r.k: r.q_value for r in cohort.bh_fdr(rows.withColumn("g", F.lit(1)), by=("g",)).collect()} == pytest.approx(want)
+    sizes = spark.createDataFrame([(f"s{i:02}", i * i) for i in range(30)], "sample string, size long")
+    assert sorted(r["size"] for r in cohort.even_representatives(sizes.repartition(5), 4).collect()) == [0, 100, 361, 841]
