@@ -63,6 +63,21 @@ FROM {lineitem}""",
 SELECT source AS sample, 1 AS mate, CAST(doc_id AS STRING) AS read_id, text AS seq FROM {documents} WHERE text IS NOT NULL AND doc_id IS NOT NULL""",
     "host_texts": "SELECT concat('b', CAST(item_id AS STRING)) AS target, text AS seq FROM {benchmark} WHERE text IS NOT NULL",
 }
+def bases(x: str) -> str:
+    """SQL for 256 bases that follow from a text."""
+    return f"translate(concat({', '.join(f"md5(concat('{c}', {x}))" for c in 'abcdefgh')}), '0123456789abcdef', 'ACGTACGTACGTACGT')"
+
+
+_N = "CAST(o_custkey % 40 AS STRING)"
+VIEWS |= {
+    "host_seqs": f"SELECT DISTINCT concat('chr', {_N}) AS target, {bases(_N)} AS seq FROM {{orders}}",
+    # reads of the host on both strands, as they are, with an N or with a changed base, and others
+    "dna_reads": f"""
+SELECT concat('s', CAST(o_orderkey % 4 AS STRING)) AS sample, 1 AS mate, CAST(o_orderkey AS STRING) AS read_id,
+  CASE o_custkey % 5 WHEN 0 THEN piece WHEN 1 THEN translate(reverse(piece), 'ACGT', 'TGCA') WHEN 2 THEN concat(substr(piece, 1, 30), 'N', substr(piece, 32))
+    WHEN 3 THEN translate(reverse(concat(substr(piece, 1, 40), translate(substr(piece, 41, 1), 'ACGT', 'CGTA'), substr(piece, 42))), 'ACGT', 'TGCA') ELSE other END AS seq
+FROM (SELECT o_orderkey, o_custkey, substr({bases(_N)}, CAST(1 + o_orderkey % 170 AS INT), 80) AS piece, substr({bases("concat('r', CAST(o_orderkey AS STRING))")}, 1, 80) AS other FROM {{orders}}) AS o""",
+}
 _TABLE = re.compile(r"\{(\w+)\}")
 
 

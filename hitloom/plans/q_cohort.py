@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from hitloom.functions.kmers import MASK
 from hitloom.operators import assign, cohort, em, evaluate, hits, ml, reads, taxonomy
 from hitloom.plans import q_cover
 from hitloom.plans.common_sql import BEST, MASKED
@@ -413,6 +414,47 @@ def kmer_seed(spark, d):
     return reads.kmer_seed_search(view(spark, d, "reads"), view(spark, d, "host_texts"), 5, 3, " ")
 
 
+def _minimizer_sql(rows, keys, k, w):
+    """mz_<rows>: keys, pos, kmer, forward of the minimizers of the view's sequences."""
+    value = lambda x: "+".join(f"(strpos('ACGT', substr({x}, {i + 1}, 1)) - 1) * {4 ** (k - 1 - i)}" for i in range(k))
+    return f"""
+k_{rows} AS (SELECT *, unnest(range(length(seq) - {k} + 1)) AS pos FROM {rows}),
+v_{rows} AS (SELECT {keys}, length(seq) - {k} AS last, pos, CASE WHEN NOT contains(km, 'N') THEN {value("km")} END AS f, CASE WHEN NOT contains(km, 'N') THEN {value("rc")} END AS r
+  FROM (SELECT *, substr(seq, pos + 1, {k}) AS km, translate(reverse(substr(seq, pos + 1, {k})), 'ACGT', 'TGCA') AS rc FROM k_{rows})),
+o_{rows} AS (SELECT *, least(f, r) AS kmer, xor(least(f, r)::BIGINT, {MASK & (4 ** k - 1)}) AS o FROM v_{rows}),
+w_{rows} AS (SELECT *, CASE WHEN pos <= greatest(last - {w} + 1, 0) THEN min(o) OVER (PARTITION BY {keys} ORDER BY pos ROWS BETWEEN CURRENT ROW AND {w - 1} FOLLOWING) END AS m FROM o_{rows}),
+mz_{rows} AS (SELECT {keys}, pos, kmer, f = kmer AS forward FROM (SELECT *, max(m) OVER (PARTITION BY {keys} ORDER BY pos ROWS BETWEEN {w - 1} PRECEDING AND CURRENT ROW) AS top FROM w_{rows}) WHERE o = top)"""
+
+
+@query(f"WITH {_minimizer_sql('dna_reads', 'sample, read_id', 15, 19)},{_minimizer_sql('host_seqs', 'target', 15, 19)} SELECT sample, read_id, count(DISTINCT kmer) AS host_kmers FROM mz_dna_reads JOIN (SELECT DISTINCT kmer FROM mz_host_seqs) USING (kmer) GROUP BY ALL HAVING count(DISTINCT kmer) >= 2", "dna_reads host_seqs")
+def host_screen(spark, d):
+    return reads.remove_host_reads(view(spark, d, "dna_reads"), view(spark, d, "host_seqs"), 15, window=19)[1]
+
+
+@query(f"WITH {_minimizer_sql('dna_reads', 'sample, read_id', 15, 19)},{_minimizer_sql('host_seqs', 'target', 15, 19)}, gone AS (SELECT sample, read_id FROM mz_dna_reads JOIN (SELECT DISTINCT kmer FROM mz_host_seqs) USING (kmer) GROUP BY ALL HAVING count(DISTINCT kmer) >= 2) SELECT sample, read_id, seq FROM dna_reads ANTI JOIN gone USING (sample, read_id)", "dna_reads host_seqs")
+def host_free_reads(spark, d):
+    return reads.remove_host_reads(view(spark, d, "dna_reads"), view(spark, d, "host_seqs"), 15, window=19)[0].select("sample", "read_id", "seq")
+
+
+_SEEDS = _minimizer_sql("dna_reads", "sample, read_id", 11, 5) + "," + _minimizer_sql("host_seqs", "target", 11, 5) + """,
+sd AS (SELECT q.sample, q.read_id, 80 AS qlen, t.target, 256 AS tlen, CASE WHEN q.forward = t.forward THEN '+' ELSE '-' END AS strand, CASE WHEN q.forward = t.forward THEN q.pos ELSE 80 - 11 - q.pos END AS qpos, t.pos AS tpos FROM mz_dna_reads q JOIN mz_host_seqs t USING (kmer)),
+bd AS (SELECT *, sum(fresh) OVER (PARTITION BY sample, read_id, target, strand ORDER BY diagonal) AS band FROM (SELECT *, coalesce((diagonal - lag(diagonal) OVER (PARTITION BY sample, read_id, target, strand ORDER BY diagonal) > 16)::INT, 0) AS fresh FROM (SELECT *, tpos - qpos AS diagonal FROM sd)))"""
+
+
+@query(f"WITH {_SEEDS} SELECT sample, read_id, target, strand, band::BIGINT AS band, count(*) AS seeds, min(diagonal) AS least, max(diagonal) AS most FROM bd GROUP BY ALL", "dna_reads host_seqs")
+def seed_bands(spark, d):
+    rows = reads.in_bands(reads.seeds(view(spark, d, "dna_reads"), view(spark, d, "host_seqs"), 11))
+    return rows.groupBy("sample", "read_id", "target", "strand", "band").agg(F.count("*").alias("seeds"), F.min("diagonal").alias("least"), F.max("diagonal").alias("most"))
+
+
+@query(f"""WITH {_SEEDS}, fi AS (SELECT sample, read_id, target, strand, band, qlen, tlen, qpos, min(tpos) AS tpos FROM bd GROUP BY ALL),
+ch AS (SELECT *, qpos - lag(qpos) OVER w AS step FROM (SELECT *, max(tpos) OVER (PARTITION BY sample, read_id, target, strand, band ORDER BY qpos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS far FROM fi) WHERE far IS NULL OR tpos > far WINDOW w AS (PARTITION BY sample, read_id, target, strand, band ORDER BY qpos)),
+su AS (SELECT sample, read_id, target, strand, band, qlen, tlen, count(*) AS seeds, sum(least(11, coalesce(step, 11))) AS bases, min(qpos) AS q0, max(qpos) + 11 AS q1, min(tpos) AS t0, max(tpos) + 11 AS t1 FROM ch GROUP BY ALL HAVING count(*) >= 2)
+SELECT sample, read_id AS query, target, strand, round(bases::DOUBLE / greatest(q1 - q0, t1 - t0), 9) AS fident, greatest(q1 - q0, t1 - t0)::INT AS alnlen, (CASE WHEN strand = '+' THEN q0 + 1 ELSE qlen - q1 + 1 END)::INT AS qstart, (CASE WHEN strand = '+' THEN q1 ELSE qlen - q0 END)::INT AS qend, (t0 + 1)::INT AS tstart, t1::INT AS tend, bases::DOUBLE AS bits, seeds, row_number() OVER (PARTITION BY sample, read_id ORDER BY bases DESC, target, strand, t0, band)::INT AS place FROM su""", "dna_reads host_seqs")
+def chained_hits(spark, d):
+    return rnd(reads.chained_hits(view(spark, d, "dna_reads"), view(spark, d, "host_seqs"), 11), "fident").drop("evalue", "qlen", "tlen", "taxid")
+
+
 _FQ = "fq AS (SELECT concat('s', CAST(l_orderkey % 4 AS STRING)) AS sample, CAST(1 + l_linenumber % 2 AS INT) AS mate, CAST(l_orderkey AS STRING) AS read_id, concat(CASE WHEN l_partkey % 3 = 0 THEN 'ACGTACGT' ELSE '' END, translate(CAST(l_partkey * 7919 + l_orderkey AS STRING), '0123456789', 'ACGTACGTAC'), CASE WHEN l_suppkey % 4 = 0 THEN 'GGGGGGGGGGGG' WHEN l_suppkey % 4 = 1 THEN 'TTTTTTTTTTT' ELSE 'ACGTAC' END) AS seq FROM lineitem)"
 
 

@@ -125,7 +125,32 @@ _FA = "f AS (SELECT accession, concat('V', CAST(taxid AS STRING)) AS virus, segm
 def source_fasta_segments(spark, d):
     r = view(spark, d, "refs").where("taxid % 7 != 0 OR segment_name = 'seg0'")
     lines = r.selectExpr("concat('>', accession, ' V', taxid, ' segment ', segment_name, ', complete\n', repeat('A', cast(length % 97 as int)), '\nC') AS value")
-    return readers.segments_from_fasta(readers.read_fasta(spark, put(lines)))[0]
+    return readers.segments_from_fasta(readers.fasta_lengths(spark, put(lines)))[0]
+
+
+@query("SELECT concat(target, ' a->b >c') AS header, seq, length(seq) AS length FROM host_seqs", "host_seqs")
+def source_fasta(spark, d):
+    """Headers that hold `>`, sequences over several lines; lengths by another way than sequences."""
+    lines = view(spark, d, "host_seqs").selectExpr("concat('>', target, ' a->b >c\n', substr(seq, 1, 70), '\n', substr(seq, 71, 70), '\r\n\n', substr(seq, 141)) AS value")
+    path = put(lines)
+    return readers.read_fasta(spark, path).join(readers.fasta_lengths(spark, path), "header").select("header", "seq", "length")
+
+
+_LV = "lv AS (SELECT concat('s', CAST(taxid % 3 AS STRING)) AS sample, taxid AS line, rank, CAST((taxid * 7) % 6 AS INT) AS depth FROM taxonomy)"
+
+
+@query(f"""WITH {_LV}, nr AS (SELECT *, row_number() OVER (PARTITION BY sample ORDER BY line) AS k FROM lv),
+go AS (SELECT sample, line, rank, k, least(depth, 0) AS depth FROM nr WHERE k = 1 UNION ALL SELECT n.sample, n.line, n.rank, n.k, least(n.depth, g.depth + 1) FROM nr n JOIN go g ON g.sample = n.sample AND n.k = g.k + 1)
+SELECT sample, line, CASE rank WHEN 'superkingdom' THEN 'D' WHEN 'family' THEN 'F' WHEN 'genus' THEN 'G' WHEN 'species' THEN 'S' ELSE '-' END AS rank_code, depth FROM go""", "taxonomy")
+def relevel_report(spark, d):
+    rows = view(spark, d, "taxonomy").selectExpr("concat('s', taxid % 3) AS sample", "taxid AS line", "rank", "CAST((taxid * 7) % 6 AS INT) AS depth")
+    return readers.relevel_report(rows).select("sample", "line", "rank_code", "depth")
+
+
+@query(f"WITH {_LV} SELECT sample, line, depth, (SELECT max(p.line) FROM lv p WHERE p.sample = lv.sample AND p.line < lv.line AND p.depth < lv.depth) AS parent_taxid FROM lv", "taxonomy")
+def report_parents(spark, d):
+    rows = view(spark, d, "taxonomy").selectExpr("concat('s', taxid % 3) AS sample", "taxid AS line", "taxid", "CAST((taxid * 7) % 6 AS INT) AS depth")
+    return readers.with_parents(rows).select("sample", "line", "depth", "parent_taxid")
 
 
 @query(f"WITH {q_cohort._FQ} SELECT read_id, seq, translate(seq, 'ACGT', '5?IF') AS qual FROM fq")

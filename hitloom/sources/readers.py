@@ -130,15 +130,84 @@ def read_results(spark: SparkSession, pattern: str, sep: str = ",") -> DataFrame
     return rows.select("*", name.alias("sample"))
 
 
+PIECE = 1 << 20  # bases of a record that stand in one row
+
+
+def _fasta_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(value, file, block) in order -> pieces of records: file, block, k (the record's number in the block; 0 is what stands before
+    its first header), part, header (of part 0), whole (the record has begun and ended here, in one piece), seq, length."""
+    names = ["file", "block", "k", "part", "header", "whole", "seq", "length"]
+    types = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_(), pa.string(), pa.int64()]
+    at, k, part, header, held, n = None, 0, 0, None, [], 0
+
+    def piece(ended: bool) -> tuple:
+        seq = "".join(held)
+        return (*at, k, part, header if k and not part else None, ended and k > 0 and not part, seq, len(seq))
+
+    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names)
+
+    for batch in batches:
+        out = []
+        for value, file, block in zip(*(batch.column(c).to_pylist() for c in ("value", "file", "block")), strict=True):
+            if (file, block) != at:
+                if at and (k or n):
+                    out.append(piece(ended=False))
+                at, k, part, header, held, n = (file, block), 0, 0, None, [], 0
+            if value.startswith(">"):
+                if k or n:
+                    out.append(piece(ended=True))
+                k, part, header, held, n = k + 1, 0, value[1:].rstrip("\r"), [], 0
+                continue
+            held.append("".join(value.split()))
+            n += len(held[-1])
+            if n >= PIECE:
+                out.append(piece(ended=False))
+                part, held, n = part + 1, [], 0
+        yield batch_of(out)
+    if at and (k or n):
+        yield batch_of([piece(ended=False)])
+
+
+def read_fasta_pieces(spark: SparkSession, path: str) -> DataFrame:
+    """file, record, header, place, whole, seq, length: the records of FASTA files in pieces of some PIECE bases, by lines.
+
+    A record begins where a line begins with `>`; lines before a file's first are left out. Plain files are read in splits
+    of any size: what stands before a split's first header belongs to the last header of the splits before it, so only
+    one row for each split is sorted. record names a record, place orders its pieces; whole ones have no other.
+    """
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
+    pieces = lines.mapInArrow(_fasta_pieces, "file string, block long, k long, part long, header string, whole boolean, seq string, length long")
+    head = F.struct("block", "k", "header")
+    blocks = pieces.groupBy("file", "block").agg(F.max(F.when((F.col("k") > 0) & (F.col("part") == 0), head)).alias("last"))
+    before = F.last("last", ignorenulls=True).over(Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1))
+    blocks = blocks.select("file", "block", before.alias("head")).where("head IS NOT NULL")
+    later = pieces.where("k = 0").join(blocks, ["file", "block"]).withColumn("header", F.lit(None).cast("string"))
+    own = pieces.where("k > 0").withColumn("head", F.struct("block", "k", "header"))
+    record = F.struct(F.col("head.block").alias("block"), F.col("head.k").alias("k")).alias("record")
+    return own.unionByName(later).select("file", record, "header", F.struct("block", "part").alias("place"), "whole", "seq", "length")
+
+
+def fasta_lengths(spark: SparkSession, path: str) -> DataFrame:
+    """header, length of each record; lengths of pieces are summed, so a record may be of any length."""
+    rows = read_fasta_pieces(spark, path).groupBy("file", "record").agg(F.max("header").alias("header"), F.sum("length").alias("length"))
+    return rows.select("header", "length")
+
+
 def read_fasta(spark: SparkSession, path: str) -> DataFrame:
-    """header, seq of each record."""
-    rows = spark.read.option("lineSep", ">").text(path).where("length(trim(value)) > 0")
-    return rows.select(F.regexp_extract("value", r"^([^\r\n]*)", 1).alias("header"), F.regexp_replace(F.regexp_replace("value", r"^[^\r\n]*", ""), r"\s", "").alias("seq"))
+    """header, seq of each record. Only records in several pieces, and the last ones of splits, are shuffled; see fasta_lengths() for lengths."""
+    pieces = read_fasta_pieces(spark, path)
+    joined = pieces.where("NOT whole").groupBy("file", "record").agg(F.max("header").alias("header"), F.array_sort(F.collect_list(F.struct("place", "seq"))).alias("parts"))
+    return pieces.where("whole").select("header", "seq").unionByName(joined.select("header", F.array_join("parts.seq", "").alias("seq")))
 
 
 def segments_from_fasta(fasta: DataFrame, pattern: str = r"^(\S+)\s+(.*?)\s+segment\s+([^,\s]+)", min_segments: int = 2) -> tuple[DataFrame, DataFrame]:
-    """(segments, histogram): accession, virus, segment, length, genome_size of viruses with enough segments; viruses by their number of segments."""
-    rows = fasta.select(*[F.regexp_extract("header", pattern, i + 1).alias(c) for i, c in enumerate(("accession", "virus", "segment"))], F.length("seq").alias("length")).where("virus != ''")
+    """(segments, histogram): accession, virus, segment, length, genome_size of viruses with enough segments; viruses by their number of segments.
+
+    fasta: header and seq, or header and length.
+    """
+    length = F.col("length") if "length" in fasta.columns else F.length("seq")
+    rows = fasta.select(*[F.regexp_extract("header", pattern, i + 1).alias(c) for i, c in enumerate(("accession", "virus", "segment"))], length.alias("length")).where("virus != ''")
     of = Window.partitionBy("virus")
     rows = rows.withColumn("n", F.count("*").over(of)).withColumn("genome_size", F.sum("length").over(of)).where(F.col("n") >= min_segments)
     return rows.drop("n"), rows.select("virus", "n").distinct().groupBy("n").agg(F.count("*").alias("viruses"))
@@ -205,18 +274,18 @@ def read_fastq(spark: SparkSession, path: str, mate: int = 1) -> DataFrame:
     return rows.select(sample_name(F.col("file")).alias("sample"), F.lit(mate).alias("mate"), read_id.alias("read_id"), F.col("lines")[1].alias("seq"), F.col("lines")[3].alias("qual"))
 
 
-def _tree(pdf):
-    import pandas as pd
+def with_parents(rows: DataFrame, by: str = "sample") -> DataFrame:
+    """(by, line, depth, taxid, ...) -> parent_taxid: the taxid of the last line before, within `by`, of a lesser depth.
 
-    pdf = pdf.sort_values("line")
-    stack: list[tuple[int, int]] = []
-    parents = []
-    for depth, taxid in zip(pdf["depth"], pdf["taxid"], strict=True):
-        while stack and stack[-1][0] >= depth:
-            stack.pop()
-        parents.append(stack[-1][1] if stack else None)
-        stack.append((depth, taxid))
-    return pdf.assign(parent_taxid=pd.array(parents, dtype="Int64")).drop(columns=["line"])
+    A line is a parent only if the next line is deeper, and then of the depths down to that line's: these few are
+    marked, and a line's parent is the last mark before it at its depth.
+    """
+    then = F.lead("depth").over(Window.partitionBy(by).orderBy("line"))
+    marks = rows.select(by, "line", F.col("taxid").alias("parent_taxid"), "depth", then.alias("then")).where("then > depth")
+    marks = marks.select(by, "line", F.explode(F.sequence(F.col("depth") + 1, "then")).alias("depth"), "parent_taxid", F.lit(True).alias("mark"))
+    both = rows.unionByName(marks, allowMissingColumns=True)
+    last = F.last(F.when(F.col("mark"), F.struct("parent_taxid")), ignorenulls=True).over(Window.partitionBy(by, "depth").orderBy("line").rowsBetween(Window.unboundedPreceding, -1))
+    return both.withColumn("parent_taxid", last["parent_taxid"]).where("mark IS NULL").select(*rows.columns, "parent_taxid")
 
 
 def read_kreport(spark: SparkSession, path: str) -> DataFrame:
@@ -224,28 +293,26 @@ def read_kreport(spark: SparkSession, path: str) -> DataFrame:
 
     A report is one small file, read whole, so its lines' order is known.
     """
-    text = spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_path").alias("file"), F.posexplode(F.split("value", "\n")).alias("line", "value")).where("length(trim(value)) > 0")
+    text = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.posexplode(F.split("value", "\n")).alias("line", "value")).where("length(trim(value)) > 0")
     f = F.split("value", "\t")
     rows = text.select("file", sample_name(F.col("file")).alias("sample"), "line", f[1].cast("long").alias("clade"), f[2].cast("long").alias("direct"), F.trim(f[3]).alias("rank_code"), F.trim(f[4]).cast("long").alias("taxid"), F.trim(f[5]).alias("name"), ((F.length(f[5]) - F.length(F.ltrim(f[5]))) / 2).cast("int").alias("depth"))
-    return rows.groupBy("file").applyInPandas(_tree, "file string, sample string, clade long, direct long, rank_code string, taxid long, name string, depth int, parent_taxid long").drop("file")
+    return with_parents(rows, "file").drop("file", "line")
 
 
 RANKS_BY_NAME = {"superkingdom": "D", "kingdom": "K", "phylum": "P", "class": "C", "order": "O", "family": "F", "genus": "G", "species": "S"}
 
 
 def relevel_report(rows: DataFrame) -> DataFrame:
-    """(sample, line, rank, depth, ...) -> rank_code and depth, no line more than one level below the one before it."""
-    def clamp(pdf):
-        pdf = pdf.sort_values("line")
-        last, out = -1, []
-        for depth in pdf["depth"]:
-            last = min(depth, last + 1)
-            out.append(last)
-        return pdf.assign(depth=out)
+    """(sample, line, rank, depth, ...) -> rank_code and depth, no line more than one level below the one before it.
 
+    With lines numbered from 0, the depth is the number plus the least of 0 and of all depths less their numbers so far.
+    """
     code = F.coalesce(F.create_map(*[F.lit(x) for p in RANKS_BY_NAME.items() for x in p])[F.col("rank")], F.lit("-"))
-    rows = rows.withColumn("rank_code", code)
-    return rows.groupBy("sample").applyInPandas(clamp, rows.schema)
+    of = Window.partitionBy("sample").orderBy("line")
+    number = F.row_number().over(of) - 1
+    least = F.min(F.col("depth") - F.col("number_")).over(of.rowsBetween(Window.unboundedPreceding, 0))
+    rows = rows.withColumn("rank_code", code).withColumn("number_", number)
+    return rows.withColumn("depth", (F.col("number_") + F.least(F.lit(0), least)).cast(rows.schema["depth"].dataType)).drop("number_")
 
 
 def read_lineage_report(spark: SparkSession, path: str, samples: list[str]) -> DataFrame:
