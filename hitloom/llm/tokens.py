@@ -104,17 +104,19 @@ def stored(spark: SparkSession, cache: str, tokenizer: str) -> DataFrame:
     return table.where(F.col("tokenizer") == tokenizer).groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
 
 
-def fill(docs: DataFrame, keys: DataFrame, cache: str, path: str) -> None:
-    """Append to the cache the counts of the contents of docs (doc_id, text, digest) that it lacks; keys: (doc_id, digest)."""
+def looked_up(docs: DataFrame, keys: DataFrame, cache: str, path: str) -> DataFrame:
+    """(digest, n_tokens) of every content of docs (doc_id, text, digest); keys: (doc_id, digest). Those that the cache lacks are appended to it."""
     tokenizer = tokenizer_digest(path)
     distinct = keys.groupBy("digest").agg(F.min("doc_id").alias("doc_id"))
-    misses = cut(distinct.join(stored(docs.sparkSession, cache, tokenizer), "digest", "left_anti"))
+    found = cut(distinct.join(stored(docs.sparkSession, cache, tokenizer), "digest", "left"))
+    known, misses = found.where("n_tokens IS NOT NULL").select("digest", "n_tokens"), found.where("n_tokens IS NULL")
     if misses.isEmpty():
-        return
+        return known
     same = (F.col("d.digest") == F.col("m.digest")) & F.col("d.doc_id").eqNullSafe(F.col("m.doc_id"))
     texts = docs.alias("d").join(misses.alias("m"), same, "left_semi").select("digest", "text")
-    counts = texts.mapInArrow(partial(_count, path=path), "digest binary, n_tokens long").distinct()
+    counts = cut(texts.mapInArrow(partial(_count, path=path), "digest binary, n_tokens long").distinct())
     counts.withColumn("tokenizer", F.lit(tokenizer)).write.mode("append").partitionBy("tokenizer").parquet(cache)
+    return known.unionByName(counts)
 
 
 def count_tokens(docs: DataFrame, cache: str, path: str | None = None, limit: int = LIMIT) -> DataFrame:
@@ -128,8 +130,7 @@ def count_tokens(docs: DataFrame, cache: str, path: str | None = None, limit: in
     path = path or model_path()
     docs = docs.select("doc_id", "text", F.unhex(F.sha2(content(path).cast("binary"), 256)).alias("digest"))
     keys = cut(docs.select("doc_id", "digest", F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes")))
-    fill(docs, keys, cache, path)
-    counts = stored(docs.sparkSession, cache, tokenizer_digest(path))
+    counts = looked_up(docs, keys, cache, path)
     return keys.join(counts, "digest").select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
 
 
