@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Iterator
+from functools import partial, reduce
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hitloom.functions.stage import stage
-from hitloom.functions.tails import chi2_upper, normal_two_sided, t_two_sided
+from hitloom.functions.tails import chi2_upper, normal_two_sided, rank_sum_exact, t_two_sided
+from hitloom.operators.distances import bray_curtis, pcoa, permanova  # noqa: F401
+
+EXACT = 8  # values of the smaller group up to which a rank-sum test without ties is exact
 
 
 def alpha_diversity(counts: DataFrame) -> DataFrame:
@@ -21,61 +25,6 @@ def alpha_diversity(counts: DataFrame) -> DataFrame:
     return out.withColumn("pielou", F.when(F.col("richness") > 1, F.col("shannon") / F.log("richness")).otherwise(0.0))
 
 
-def bray_curtis(counts: DataFrame) -> DataFrame:
-    """(a, b, distance) for all pairs of samples a < b: 1 - 2 sum(min) / (sum a + sum b); 1 where nothing is shared.
-
-    A cohort's samples are few next to its taxa; the join is on taxid and is combined by pair before it is shuffled.
-    """
-    sums = counts.groupBy("sample").agg(F.sum("reads").alias("total"))
-    x, y = counts.select(F.col("sample").alias("a"), "taxid", F.col("reads").alias("ra")), counts.select(F.col("sample").alias("b"), "taxid", F.col("reads").alias("rb"))
-    shared = x.join(y, "taxid").where("a < b").groupBy("a", "b").agg(F.sum(F.least("ra", "rb")).alias("shared"))
-    left, right = sums.select(F.col("sample").alias("a"), F.col("total").alias("ta")), sums.select(F.col("sample").alias("b"), F.col("total").alias("tb"))
-    pairs = left.join(right, F.col("a") < F.col("b"))
-    return pairs.join(shared, ["a", "b"], "left").select("a", "b", (1 - 2 * F.coalesce("shared", F.lit(0)) / (F.col("ta") + F.col("tb"))).alias("distance"))
-
-
-def _pcoa(pdf: pd.DataFrame) -> pd.DataFrame:
-    names = sorted({*pdf["a"], *pdf["b"]})
-    at = {s: i for i, s in enumerate(names)}
-    d = np.zeros((len(names), len(names)))
-    i, j = pdf["a"].map(at), pdf["b"].map(at)
-    d[i, j] = d[j, i] = pdf["distance"]
-    g = -0.5 * d**2
-    g = g - g.mean(axis=0) - g.mean(axis=1)[:, None] + g.mean()
-    values, vectors = np.linalg.eigh(g)
-    order = np.argsort(-values)[:2]
-    axes = vectors[:, order] * np.sqrt(np.maximum(values[order], 0))
-    axes *= np.where(axes[np.abs(axes).argmax(axis=0), [0, 1]] < 0, -1, 1)
-    share = values[order] / values[values > 0].sum()
-    return pd.DataFrame({"sample": names, "axis1": axes[:, 0], "axis2": axes[:, 1], "explained1": share[0], "explained2": share[1]})
-
-
-def pcoa(distances: DataFrame) -> DataFrame:
-    """Two principal coordinates of each sample. The matrix of a cohort (samples squared) is one group; signs are fixed."""
-    schema = "sample string, axis1 double, axis2 double, explained1 double, explained2 double"
-    return distances.withColumn("all", F.lit(1)).groupBy("all").applyInPandas(_pcoa, schema)
-
-
-def permanova(distances: DataFrame, groups: DataFrame, permutations: int = 999, seed: int = 0) -> DataFrame:
-    """One row: pseudo_f, p_value, samples, n_groups. Labels are permuted by sorting on a seeded hash; all permutations are one query."""
-    spark = distances.sparkSession
-    perms = spark.range(permutations + 1).withColumnRenamed("id", "perm")
-    own = groups.select("sample", "group")
-    shuffled = perms.crossJoin(own.select("group", F.col("sample").alias("s"))).withColumn("k", F.row_number().over(Window.partitionBy("perm").orderBy(F.when(F.col("perm") == 0, F.lit(0)).otherwise(F.xxhash64("s", "perm", F.lit(seed))), "s")))
-    fixed = shuffled.where("perm = 0").select("k", F.col("s").alias("sample"))
-    labels = shuffled.join(fixed, "k").select("perm", "sample", "group")
-    sizes = own.groupBy("group").agg(F.count("*").alias("n"))
-    n, g = own.count(), sizes.count()
-    x = labels.select("perm", F.col("sample").alias("a"), F.col("group").alias("ga"))
-    y = labels.select("perm", F.col("sample").alias("b"), F.col("group").alias("gb"))
-    within = distances.join(x, "a").join(y, ["perm", "b"]).where("ga = gb").join(F.broadcast(sizes.withColumnRenamed("group", "ga")), "ga").groupBy("perm").agg(F.sum(F.col("distance") * F.col("distance") / F.col("n")).alias("sw"))
-    total = distances.agg((F.sum(F.col("distance") * F.col("distance")) / n).alias("st"))
-    rows = within.crossJoin(F.broadcast(total)).withColumn("f", ((F.col("st") - F.col("sw")) / (g - 1)) / (F.col("sw") / (n - g)))
-    seen = F.max(F.when(F.col("perm") == 0, F.col("f")))
-    rows = rows.crossJoin(F.broadcast(rows.agg(seen.alias("pseudo_f"))))
-    return rows.groupBy("pseudo_f").agg(((F.sum(((F.col("f") >= F.col("pseudo_f") - 1e-12) & (F.col("perm") > 0)).cast("int")) + 1) / (permutations + 1)).alias("p_value")).withColumns({"samples": F.lit(n), "n_groups": F.lit(g)})
-
-
 def ranked(values: DataFrame, by: tuple[str, ...], value: str = "value") -> DataFrame:
     """Add the average rank r of value within `by`, and t, the number of equal values."""
     w = Window.partitionBy(*by).orderBy(value)
@@ -84,7 +33,10 @@ def ranked(values: DataFrame, by: tuple[str, ...], value: str = "value") -> Data
 
 
 def mann_whitney(values: DataFrame, by: tuple[str, ...], first: str, second: str) -> DataFrame:
-    """Per `by`: n1, n2, U of the first group, z (normal approximation with tie and continuity correction), p_value, rank_biserial."""
+    """Per `by`: n1, n2, U of the first group, z (normal approximation with tie and continuity correction), p_value, rank_biserial.
+
+    p_value is exact where the smaller group has EXACT values at most and none of all values is tied, else it is that of z.
+    """
     rows = ranked(values.where(F.col("group").isin(first, second)), by)
     ties = F.sum(F.col("t") * F.col("t") - 1)  # a tie of t values adds t^3 - t in all
     s = rows.groupBy(*by).agg(
@@ -96,7 +48,10 @@ def mann_whitney(values: DataFrame, by: tuple[str, ...], first: str, second: str
     sd = F.sqrt(prod / 12 * ((n + 1) - F.col("ties") / (n * (n - 1))))
     gap = F.greatest(F.abs(F.col("u") - prod / 2) - 0.5, F.lit(0.0))
     s = s.withColumn("z", F.when(sd > 0, F.signum(F.col("u") - prod / 2) * gap / sd).otherwise(0.0)).withColumn("rank_biserial", 2 * F.col("u") / prod - 1)
-    return s.withColumn("p_value", F.when(F.col("z") == 0, 1.0).otherwise(normal_two_sided(F.col("z")))).select(*by, "n1", "n2", "u", "z", "p_value", "rank_biserial")
+    small = (F.least("n1", "n2") <= EXACT) & (F.col("ties") == 0)
+    exact = rank_sum_exact(*(F.when(small, F.col(c)) for c in ("n1", "n2", "u")))
+    near = F.when(F.col("z") == 0, 1.0).otherwise(normal_two_sided(F.col("z")))
+    return s.withColumn("p_value", F.when(small, exact).otherwise(near)).select(*by, "n1", "n2", "u", "z", "p_value", "rank_biserial")
 
 
 def kruskal_wallis(values: DataFrame, by: tuple[str, ...]) -> DataFrame:
@@ -276,24 +231,33 @@ def differential_prevalence(matrix: DataFrame, groups: DataFrame, case: str) ->
     return bh_fdr(s.withColumn("p_value", normal_two_sided(F.col("z"))))
 
 
-def _dirichlet(instances: int, seed: int):
-    def draw(pdf: pd.DataFrame) -> pd.DataFrame:
-        rng = np.random.default_rng([seed, int.from_bytes(str(pdf["sample"].iloc[0]).encode()[:8], "little")])
-        pdf = pdf.sort_values("feature")
-        log = np.log(np.maximum(rng.gamma(pdf["value"].to_numpy(float) + 0.5, size=(instances, len(pdf))), 1e-300))
-        clr = log - log.mean(axis=1, keepdims=True)
-        return pd.DataFrame({"sample": pdf["sample"].iloc[0], "feature": np.tile(pdf["feature"], instances), "instance": np.repeat(np.arange(instances), len(pdf)), "clr": clr.ravel()})
-
-    return draw
+def _gamma(batches: Iterator[pa.RecordBatch], instances: int) -> Iterator[pa.RecordBatch]:
+    """(sample, feature, value, key) -> (sample, feature, logs): the logarithms of gamma draws, one for each instance, from the key's own stream."""
+    for batch in batches:
+        logs = [
+            np.log(np.maximum(np.random.Generator(np.random.Philox(key=key & (1 << 64) - 1)).gamma(value + 0.5, size=instances), 1e-300))
+            for value, key in zip(batch.column("value").to_pylist(), batch.column("key").to_pylist(), strict=True)
+        ]
+        yield pa.RecordBatch.from_arrays([batch.column("sample"), batch.column("feature"), pa.array(logs, pa.list_(pa.float64()))], ["sample", "feature", "logs"])
 
 
-def clr_effect(matrix: DataFrame, groups: DataFrame, first: str, second: str, instances: int = 128, seed: int = 0) -> DataFrame:
-    """Per feature: mean over Dirichlet instances of Welch's p and of the rank-sum p, the effect size, and the q_value of Welch's.
+def clr_draws(matrix: DataFrame, instances: int = 128, seed: int = 0) -> DataFrame:
+    """sample, feature, instance, clr: centred log ratios of Dirichlet draws with the values plus 0.5.
 
-    One sample's features are drawn together, as an instance sums to one; a sample's row of the matrix is one group.
+    A cell's numbers follow from a hash of seed, sample and feature (a counter-based generator), so they don't depend on
+    how rows are dealt out, and the features of a sample needn't meet: only its means, summed up by instance, are joined to them.
     """
-    draws = matrix.select("sample", F.col("feature").cast("string"), "value").groupBy("sample").applyInPandas(_dirichlet(instances, seed), "sample string, feature string, instance int, clr double")
-    rows = draws.join(groups, "sample").where(F.col("group").isin(first, second))
+    cells = matrix.select("sample", F.col("feature").cast("string").alias("feature"), F.col("value").cast("double").alias("value"))
+    cells = cells.withColumn("key", F.xxhash64(F.lit(seed), "sample", "feature"))
+    draws = cells.mapInArrow(partial(_gamma, instances=instances), f"sample {cells.schema['sample'].dataType.simpleString()}, feature string, logs array<double>")
+    rows = draws.select("sample", "feature", F.posexplode("logs").alias("instance", "log"))
+    means = rows.groupBy("sample", "instance").agg(F.avg("log").alias("mean"))
+    return rows.join(means, ["sample", "instance"]).select("sample", "feature", "instance", (F.col("log") - F.col("mean")).alias("clr"))
+
+
+def clr_effect(matrix: DataFrame, groups: DataFrame, first: str, second: str, instances: int = 128, seed: int = 0) -> DataFrame:
+    """Per feature: mean over Dirichlet instances of Welch's p and of the rank-sum p, the effect size, and the q_value of Welch's."""
+    rows = clr_draws(matrix, instances, seed).join(groups, "sample").where(F.col("group").isin(first, second))
     key = ("feature", "instance")
     side = lambda g, f: f(F.when(F.col("group") == g, F.col("clr")))
     s = rows.groupBy(*key).agg(side(first, F.avg).alias("m1"), side(second, F.avg).alias("m2"), side(first, F.var_samp).alias("v1"), side(second, F.var_samp).alias("v2"), F.count_if(F.col("group") == first).alias("n1"), F.count_if(F.col("group") == second).alias("n2"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -26,6 +27,7 @@ class QualityCriteria:
 # References that are contaminants.
 CONTAMINANTS = ["NC_032111.1", "NC_022518.1"]
 BIN = 16384  # bases of a target whose mask regions stand in one row
+LEVELS = 8  # of nested bins, each eight times as wide; the last one holds everything
 
 
 def query_coverage() -> Column:
@@ -79,15 +81,45 @@ def mask_bins(mask: DataFrame) -> DataFrame:
     return rows.groupBy("target", "bin").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("regions"))
 
 
+def _bin(pos: Column, level: Column) -> Column:
+    """The bin of a position at a level: BIN bases at level 0, eight times more at each further one."""
+    return F.floor(pos / (F.lit(BIN) * F.pow(F.lit(8), level))).cast("long")
+
+
+def mask_tree(mask: DataFrame) -> DataFrame:
+    """target, level, bin -> regions, an array of the (start, end) whose least bin that holds them is this one; a region stands in one row."""
+    rows = mask.where("start < end").select("target", F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end")).distinct()
+    levels = F.sequence(F.lit(0), F.lit(LEVELS - 1))
+    level = F.array_min(F.filter(levels, lambda l: (_bin(F.col("start"), l) == _bin(F.col("end") - 1, l)) | (l == LEVELS - 1)))
+    rows = rows.withColumn("level", level).withColumn("bin", F.when(F.col("level") == LEVELS - 1, F.lit(0)).otherwise(_bin(F.col("start"), F.col("level"))))
+    return rows.groupBy("target", "level", "bin").agg(F.collect_list(F.struct("start", "end")).alias("regions"))
+
+
+def spans_on_mask(hits: DataFrame, mask: DataFrame, least: Callable[[Column], Column]) -> DataFrame:
+    """The distinct (target, tstart, tend) of hits of which a region covers least(length) bases or more, and one at least.
+
+    A span looks its bins up at each level, of which there are one or two unless it is longer than them; regions aren't copied.
+    """
+    spans = hits.where("tstart < tend").select("target", "tstart", "tend").distinct()
+    bins = lambda l: F.when(l == LEVELS - 1, F.array(F.lit(0).cast("long"))).otherwise(F.sequence(_bin(F.col("tstart"), l), _bin(F.col("tend") - 1, l)))
+    keys = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(LEVELS - 1)), lambda l: F.transform(bins(l), lambda x: F.struct(l.alias("level"), x.alias("bin")))))
+    rows = spans.select("*", F.explode(keys).alias("key")).select("target", "tstart", "tend", "key.level", "key.bin")
+    overlap = lambda r: F.least(F.col("tend"), r["end"]) - F.greatest(F.col("tstart"), r["start"])
+    enough = F.exists("regions", lambda r: (overlap(r) > 0) & (overlap(r) >= least(F.col("tend") - F.col("tstart"))))
+    return rows.join(mask_tree(mask), ["target", "level", "bin"]).where(enough).select("target", "tstart", "tend").distinct()
+
+
 def label_masked_hits(hits: DataFrame, mask: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """Add is_masked: a single region covers at least `threshold` (0.5 or more) of the hit; hits with tend <= tstart are never masked.
+    """Add is_masked: a single region covers at least `threshold` of the hit, and a base of it; hits with tend <= tstart are never masked.
 
-    A region that covers half of a hit holds its middle, so a hit meets the regions of its middle's bin only: one
-    equi-join, no hit is multiplied, and no hit sees the regions of a whole chromosome.
+    A region that covers half of a hit holds its middle. So, with a threshold of 0.5 or more, a hit meets the regions of its middle's bin only: one
+    equi-join, no hit is multiplied, and no hit sees the regions of a whole chromosome. With a lesser one, the
+    distinct spans of hits are looked up in nested bins. A threshold of 0 asks for one base.
     """
-    if threshold < 0.5:
-        raise ValueError("a region that covers less than half of a hit need not hold its middle")
     overlap = lambda r: F.least(F.col("tend"), r["end"]) - F.greatest(F.col("tstart"), r["start"])
+    if threshold < 0.5:
+        found = spans_on_mask(hits, mask, lambda length: threshold * length).withColumn("is_masked", F.lit(True))
+        return hits.drop("is_masked").join(found, ["target", "tstart", "tend"], "left").select(*(c for c in hits.columns if c != "is_masked"), F.coalesce("is_masked", F.lit(False)).alias("is_masked"))
     masked = F.exists("regions", lambda r: F.greatest(overlap(r), F.lit(0)) >= threshold * (F.col("tend") - F.col("tstart")))
     label = F.when(F.col("tend") > F.col("tstart"), F.coalesce(masked, F.lit(False))).otherwise(False)
     rows = hits.withColumn("bin", F.floor((F.col("tstart").cast("long") + F.col("tend")) / (2 * BIN)))
@@ -109,10 +141,9 @@ def masked_read_summary(hits: DataFrame, mask: DataFrame, threshold: float = 0.5
 
 def masked_read_count(hits: DataFrame, mask: DataFrame, by: tuple[str, ...] = ("sample", "target")) -> DataFrame:
     """Distinct reads with a hit that overlaps a region by one base or more."""
-    touch = F.exists("regions", lambda r: F.least(F.col("tend"), r["end"]) > F.greatest(F.col("tstart"), r["start"]))
-    bins = F.sequence(F.floor(F.col("tstart") / BIN), F.floor((F.col("tend") - 1) / BIN))
-    rows = hits.where("tstart < tend").select(*dict.fromkeys([*by, "target"]), "query", "tstart", "tend", F.explode(bins).alias("bin"))
-    return rows.join(mask_bins(mask), ["target", "bin"]).where(touch).groupBy(*by).agg(F.count_distinct("query").alias("masked_reads"))
+    touched = spans_on_mask(hits, mask, lambda length: F.lit(0))
+    rows = hits.select(*dict.fromkeys([*by, "target"]), "query", "tstart", "tend").join(touched, ["target", "tstart", "tend"], "left_semi")
+    return rows.groupBy(*by).agg(F.count_distinct("query").alias("masked_reads"))
 
 
 def split_by_target(hits: DataFrame, targets: DataFrame) -> tuple[DataFrame, DataFrame]:

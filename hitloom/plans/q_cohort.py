@@ -50,13 +50,13 @@ def pcoa(spark, d):
 
 @query(f"WITH {BRAY}, n AS (SELECT grp, count(*) AS n FROM cohort GROUP BY grp), w AS (SELECT sum(distance * distance / n.n) AS sw FROM bc JOIN cohort x ON x.sample = a JOIN cohort y ON y.sample = b AND x.grp = y.grp JOIN n ON n.grp = x.grp), t AS (SELECT sum(distance * distance) / (SELECT count(*) FROM cohort) AS st FROM bc) SELECT round(((st - sw) / ((SELECT count(*) FROM n) - 1)) / (sw / ((SELECT count(*) FROM cohort) - (SELECT count(*) FROM n))), 7) AS pseudo_f, (SELECT count(*) FROM cohort)::INT AS samples, (SELECT count(*) FROM n)::INT AS n_groups FROM w, t")
 def permanova_f(spark, d):
-    distances = cohort.bray_curtis(view(spark, d, "counts")).persist()
+    distances = cohort.bray_curtis(view(spark, d, "counts"))
     return rnd(cohort.permanova(distances, view(spark, d, "cohort"), 99).drop("p_value"), "pseudo_f", digits=7)
 
 
 @query()
 def permanova(spark, d):
-    distances = cohort.bray_curtis(view(spark, d, "counts")).persist()
+    distances = cohort.bray_curtis(view(spark, d, "counts"))
     return rnd(cohort.permanova(distances, view(spark, d, "cohort"), 999), "pseudo_f")
 
 
@@ -87,6 +87,18 @@ def mann_whitney(spark, d):
     return rnd(rnd(rnd(cohort.mann_whitney(values(spark, d), ("k",), "case", "control"), "rank_biserial"), "z", digits=7), "p_value", digits=6)
 
 
+_FEW = "val AS (SELECT taxid AS k, CASE WHEN sample[2:]::INT % 4 = 0 THEN 'few' ELSE 'many' END AS grp, reads * 100 + sample[2:]::INT AS value FROM counts), rk AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY value) AS r FROM val), st AS (SELECT k, count(*) FILTER (grp = 'few') AS n1, count(*) FILTER (grp = 'many') AS n2, sum(CASE WHEN grp = 'few' THEN r END) AS r1 FROM rk GROUP BY k HAVING count(*) FILTER (grp = 'few') > 0 AND count(*) FILTER (grp = 'many') > 0), us AS (SELECT *, r1 - n1 * (n1 + 1) // 2 AS u FROM st)"
+# ways to take c of the first i ranks with the sum s, one rank after the other
+_WAYS = "ways AS (SELECT 0 AS i, 0 AS c, 0 AS s, 1::HUGEINT AS n UNION ALL SELECT i + 1, c + t, s + t * (i + 1), sum(n)::HUGEINT FROM ways, (SELECT unnest([0, 1]) AS t) WHERE i < 24 AND c + t <= 6 GROUP BY ALL)"
+
+
+@query(f"WITH {_FEW}, {_WAYS} SELECT k, n1, n2, u::DOUBLE AS u, round(least(1.0, 2 * (SELECT sum(n) FROM ways WHERE i = n1 + n2 AND c = n1 AND s - n1 * (n1 + 1) // 2 >= greatest(u, n1 * n2 - u))::DOUBLE / (SELECT sum(n) FROM ways WHERE i = n1 + n2 AND c = n1)::DOUBLE), 9) AS p_value FROM us", "counts")
+def mann_whitney_exact(spark, d):
+    few = F.expr("CASE WHEN CAST(substring(sample, 2) AS INT) % 4 = 0 THEN 'few' ELSE 'many' END")
+    rows = view(spark, d, "counts").select(F.col("taxid").alias("k"), few.alias("group"), F.expr("reads * 100 + CAST(substring(sample, 2) AS INT)").alias("value"))
+    return rnd(cohort.mann_whitney(rows, ("k",), "few", "many").drop("z", "rank_biserial"), "p_value")
+
+
 _KW = _VAL.replace("grp, reads AS value", "CASE WHEN taxid % 3 = 0 THEN 'x' ELSE grp END AS grp, reads AS value")
 
 
@@ -483,6 +495,16 @@ def trim_adapter(spark, d):
     return reads.trim_adapter(fastq(spark, d), "ACGT", min_length=14)
 
 
+_EDITS = "list_min(list_filter([CASE WHEN length(cur) >= x AND levenshtein(substr(cur, 1, x), 'ACGTACGT') <= 1 THEN (levenshtein(substr(cur, 1, x), 'ACGTACGT') * 1000 + abs(x - 8)) * 1000 + 999 - x END FOR x IN [7, 8, 9]], lambda c: c IS NOT NULL))"
+
+
+@query(f"""WITH {_FQ}, nb AS (SELECT *, row_number() OVER () AS id FROM fq), ro AS (SELECT id, seq AS cur, 0 AS k FROM nb UNION ALL SELECT id, substr(cur, 1 + coalesce(999 - code % 1000, 0)), k + 1 FROM (SELECT *, {_EDITS} AS code FROM ro) WHERE k < 8),
+t AS (SELECT sample, mate, read_id, cur AS seq, substr(translate(seq, 'ACGT', '5?IF'), length(seq) - length(cur) + 1) AS qual FROM nb JOIN ro USING (id) WHERE k = 8)
+SELECT sample, mate, read_id, seq, qual FROM t WHERE NOT EXISTS (SELECT 1 FROM t b WHERE b.sample = t.sample AND b.read_id = t.read_id AND length(b.seq) < 10)""", "refs")
+def trim_adapter_edits(spark, d):
+    return reads.trim_adapter(fastq(spark, d), "ACGTACGT", min_length=10, errors=1)
+
+
 @query(f"WITH {_FQ}, e AS (SELECT sample, mate, (unnest(range(length(seq))))::INT AS pos, unnest(string_split(seq, '')) AS b FROM fq), q AS (SELECT *, CASE b WHEN 'A' THEN 20 WHEN 'C' THEN 30 WHEN 'G' THEN 40 ELSE 37 END AS q FROM e) SELECT sample, mate, pos, count(*) AS bases, round(avg(q), 9) AS mean_q, quantile_cont(q, 0.25)::DOUBLE AS q25, quantile_cont(q, 0.5)::DOUBLE AS q50, quantile_cont(q, 0.75)::DOUBLE AS q75, round(avg((b = 'A')::INT), 9) AS share_a, round(avg((b = 'C')::INT), 9) AS share_c, round(avg((b = 'G')::INT), 9) AS share_g, round(avg((b = 'T')::INT), 9) AS share_t, round(avg((b = 'N')::INT), 9) AS share_n FROM q GROUP BY ALL", "refs")
 def quality_profile(spark, d):
     return rnd(reads.fastq_quality_profile(fastq(spark, d)), "mean_q", *[f"share_{b}" for b in "acgtn"])

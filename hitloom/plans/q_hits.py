@@ -66,6 +66,13 @@ def label_masked_hits(spark, d):
     return hits.label_masked_hits(view(spark, d, "hits"), view(spark, d, "mask")).select("hit_id", "target", "tstart", "tend", "is_masked")
 
 
+@query("WITH" + ",".join(MASKED.replace("hm AS", f"h{t} AS").replace("0.5", f"0.{t}") for t in (1, 9)) + " SELECT h1.hit_id, h1.is_masked AS at_10, h9.is_masked AS at_90 FROM h1 JOIN h9 USING (hit_id)", "hits mask")
+def label_masked_hits_thresholds(spark, d):
+    h, m = view(spark, d, "hits"), view(spark, d, "mask")
+    low = hits.label_masked_hits(h, m, 0.1).select("hit_id", F.col("is_masked").alias("at_10"))
+    return low.join(hits.label_masked_hits(h, m, 0.9).select("hit_id", F.col("is_masked").alias("at_90")), "hit_id")
+
+
 @query("WITH" + MASKED + " SELECT hit_id, query FROM hm WHERE NOT is_masked", "hits mask")
 def drop_all_masked(spark, d):
     return hits.drop_all_masked_reads(view(spark, d, "hits"), view(spark, d, "mask")).select("hit_id", "query")

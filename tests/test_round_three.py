@@ -7,7 +7,7 @@ import pyarrow as pa
 import pytest
 
 from hitloom.functions import kmers
-from hitloom.operators import reads
+from hitloom.operators import cohort, distances, hits, reads
 from hitloom.sources import readers
 
 BACK = str.maketrans("ACGT", "TGCA")
@@ -175,3 +175,157 @@ def test_parents_and_levels_of_reports(spark):
     levels = {(r.sample, r.line): r for r in readers.relevel_report(table).collect()}
     assert {(s, i, r.depth, r.parent_taxid, levels[s, i].depth) for (s, i), r in parents.items()} == want
     assert {r.rank_code for r in levels.values()} == {"G"}
+
+
+def plain_edits(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a):
+        new = [i + 1]
+        for j, y in enumerate(b):
+            new.append(min(row[j] + (x != y), row[j + 1] + 1, new[j] + 1))
+        row = new
+    return row[-1]
+
+
+@pytest.mark.parametrize("errors", [0, 1, 2])
+def test_adapter_edits_equal_brute_force(spark, errors):
+    rng = random.Random(6)
+    adapter, rows = "GTTTCCCAGT", []
+    for i in range(200):
+        seq = adapter
+        for _ in range(rng.randrange(3)):
+            at, kind = rng.randrange(len(seq)), rng.randrange(3)
+            seq = seq[:at] + ("" if kind == 0 else dna(rng, 1)) + seq[at + (kind < 2) :]
+        rows.append((i, rng.choice([seq, seq * 2, seq[:6], ""]) + dna(rng, rng.randrange(30)) if i % 5 else dna(rng, 12)))
+    rows += [(900, ""), (901, None), (902, "NNNN"), (903, "gtttcccagtAC")]
+
+    def plain(seq):
+        found = [(e, abs(n - 10), -n) for n in range(1, min(len(seq), 10 + errors) + 1) if (e := plain_edits(seq[:n], adapter)) <= errors]
+        return -min(found)[2] if found else 0
+
+    from pyspark.sql import functions as F
+
+    table = spark.createDataFrame(rows, "i int, seq string")
+    got = {r.i: r.n for r in table.select("i", reads.adapter_length(F.col("seq"), adapter, errors).alias("n")).collect()}
+    assert got == {i: plain((s or "").upper()) for i, s in rows}
+    if errors:
+        table = table.where("seq is not null").selectExpr("'s' AS sample", "1 AS mate", "cast(i as string) AS read_id", "seq", "seq AS qual")
+        for r in reads.trim_adapter(table, adapter, times=3, min_length=0, errors=errors).collect():
+            want = dict(rows)[int(r.read_id)]
+            for _ in range(3):
+                want = want[plain(want.upper()) :]
+            assert (r.seq, r.qual) == (want, want)
+
+
+def cohort_table(rng, n, taxa):
+    m = rng.poisson(rng.gamma(0.5, 4, size=(n, taxa)))
+    m[:, 0] += 1
+    return m, [f"s{i:03d}" for i in range(n)]
+
+
+def plain_distances(m):
+    return np.array([[1 - 2 * np.minimum(a, b).sum() / (a.sum() + b.sum()) for b in m] for a in m])
+
+
+@pytest.mark.parametrize(("n", "size"), [(2, 64), (23, 5), (70, 64)])
+def test_distances_and_coordinates_equal_numpy(spark, monkeypatch, n, size):
+    monkeypatch.setattr(distances, "WIDE", 7)
+    m, names = cohort_table(np.random.default_rng(7), n, 40)
+    rows = [(names[i], t, int(m[i, t])) for i in range(n) for t in range(40) if m[i, t]]
+    found = distances.stage(distances.bray_curtis(spark.createDataFrame(rows, "sample string, taxid int, reads int"), size))
+    d = plain_distances(m)
+    got = {(r.a, r.b): r.distance for r in found.collect()}
+    assert set(got) == {(a, b) for a in names for b in names if a < b}
+    assert all(abs(got[names[i], names[j]] - d[i, j]) < 1e-12 for i in range(n) for j in range(i + 1, n))
+    g = -0.5 * d**2
+    g = g - g.mean(0) - g.mean(1)[:, None] + g.mean()
+    values, vectors = np.linalg.eigh(g)
+    order = np.argsort(-values)[:2]
+    want = vectors[:, order] * np.sqrt(np.maximum(values[order], 0))
+    points = sorted(distances.pcoa(found).collect())
+    mine = np.array([(p.axis1, p.axis2) for p in points])
+    assert [p["sample"] for p in points] == names
+    for k in range(2):
+        far = np.abs(mine[:, k]).argmax()
+        assert mine[far, k] >= 0
+        assert np.allclose(mine[:, k], want[:, k] * (1 if want[far, k] * mine[far, k] >= 0 else -1), atol=1e-7)
+    assert abs(points[0].explained1 - values[order[0]] / np.trace(g)) < 1e-9
+
+
+def test_coordinates_of_nothing(spark):
+    none = spark.createDataFrame([], "a string, b string, distance double")
+    assert distances.pcoa(none).count() == 0
+    same = spark.createDataFrame([("x", "y", 0.0), ("x", "z", 0.0), ("y", "z", 0.0)], "a string, b string, distance double")
+    assert [tuple(r)[1:3] for r in distances.pcoa(same).collect()] == [(0.0, 0.0)] * 3
+
+
+def test_permutations_equal_numpy(spark):
+    """F and p over the very permutations that the labels' arrays hold."""
+    m, names = cohort_table(np.random.default_rng(8), 21, 30)
+    m[:9, :5] *= 3
+    d = plain_distances(m)
+    pairs = spark.createDataFrame([(names[i], names[j], float(d[i, j])) for i in range(21) for j in range(i + 1, 21)], "a string, b string, distance double")
+    groups = spark.createDataFrame([(s, "xyz"[min(i // 8, 2)]) for i, s in enumerate(names)], "sample string, group string")
+    labels = {r["sample"]: r.labels for r in distances.permuted(groups, 99, 3).collect()}
+    table = np.array([labels[s] for s in names])
+    assert table.shape == (21, 100) and all(sorted(c) == sorted(table[:, 0]) for c in table.T)
+
+    def pseudo_f(own):
+        within = sum((d[np.ix_(own == g, own == g)] ** 2).sum() / 2 / (own == g).sum() for g in set(own))
+        return (((d**2).sum() / 2 / 21 - within) / 2) / (within / 18)
+
+    f = [pseudo_f(table[:, p]) for p in range(100)]
+    got = distances.permanova(pairs, groups, 99, 3, size=6).first()
+    assert abs(got.pseudo_f - f[0]) < 1e-9 and (got.samples, got.n_groups) == (21, 3)
+    assert got.p_value == (sum(x >= f[0] - 1e-12 for x in f[1:]) + 1) / 100
+
+
+def test_exact_rank_sums(spark):
+    import itertools
+
+    rng = random.Random(9)
+    rows, want = [], {}
+    for k, (a, b) in enumerate([(1, 1), (2, 3), (3, 5), (4, 4), (5, 2), (1, 9), (8, 3)]):
+        values = rng.sample(range(100), a + b)
+        rows += [(k, "x" if i < a else "y", float(v)) for i, v in enumerate(values)]
+        u = sum(x > y for x in values[:a] for y in values[a:])
+        order = sorted(values)
+        every = [sum(r for r in draw) - a * (a - 1) // 2 for draw in itertools.combinations(range(a + b), a)]
+        assert len(order) == len(set(order))
+        want[k] = (float(u), min(1.0, 2 * sum(e >= max(u, a * b - u) for e in every) / len(every)))
+    rows += [(90, "x", 1.0), (90, "y", 1.0), (90, "y", 2.0)]  # a tie: not exact
+    got = {r.k: (r.u, r.p_value) for r in cohort.mann_whitney(spark.createDataFrame(rows, "k int, group string, value double"), ("k",), "x", "y").collect()}
+    tied = got.pop(90)
+    assert set(got) == set(want) and all(got[k][0] == want[k][0] and abs(got[k][1] - want[k][1]) < 1e-12 for k in want)
+    assert 0 < tied[1] <= 1
+
+
+def test_draws_do_not_depend_on_partitions(spark):
+    rows = spark.createDataFrame([(f"s{i}", f"f{j}", float(v)) for i in range(3) for j, v in enumerate([0, 3, 50, 1000])], "sample string, feature string, value double")
+    key = lambda df: sorted((r["sample"], r.feature, r.instance, round(r.clr, 9)) for r in df.collect())
+    one, many = key(cohort.clr_draws(rows.coalesce(1), 64)), key(cohort.clr_draws(rows.repartition(7), 64))
+    assert one == many and one != key(cohort.clr_draws(rows, 64, seed=1))
+    by = {}
+    for s, f, i, x in key(cohort.clr_draws(rows, 1500)):
+        by.setdefault((s, f), []).append(x)
+        by.setdefault((s, i), []).append(x)
+    assert all(abs(sum(v)) < 1e-6 for (_, i), v in by.items() if isinstance(i, int))
+    # the mean of a gamma variable's logarithm is the digamma function of its shape
+    psi = lambda x: np.log(x + 6) - 1 / (2 * (x + 6)) - 1 / (12 * (x + 6) ** 2) - sum(1 / (x + k) for k in range(6))
+    shapes = [psi(v + 0.5) for v in (0, 3, 50, 1000)]
+    for s in ("s0", "s1", "s2"):
+        for j in range(4):
+            assert abs(np.mean(by[s, f"f{j}"]) - (shapes[j] - np.mean(shapes))) < 0.2
+
+
+def test_regions_stand_in_one_bin(spark):
+    rng = random.Random(10)
+    width = hits.BIN
+    regions = {("T", a, a + rng.choice([1, 10, 3 * width, 40 * width])) for a in (rng.randrange(60 * width) for _ in range(80))}
+    regions |= {("T", 0, 2_000_000_000), ("T", width - 1, width + 1), ("T", 5, 5)}
+    tree = hits.mask_tree(spark.createDataFrame(sorted(regions), "target string, start int, end int")).collect()
+    stood = [(r.level, r.bin, x.start, x.end) for r in tree for x in r.regions]
+    assert sorted((a, b) for _, _, a, b in stood) == sorted((a, b) for _, a, b in regions if a < b)
+    for level, at, a, b in stood:
+        assert level == hits.LEVELS - 1 or a // (width * 8**level) == at == (b - 1) // (width * 8**level)
+        assert not level or a // (width * 8 ** (level - 1)) != (b - 1) // (width * 8 ** (level - 1))
