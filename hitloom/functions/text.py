@@ -26,6 +26,7 @@ PHAGE_CLADES = [
     "corticoviridae", "tubulavirales", "faserviricetes",
 ]
 CLADE_HOSTS = {"crassvirales": "Bacteroides", "suoliviridae": "Bacteroides"}
+STEM_HOSTS = {"cyano": "Cyanobacteria", "mycobacterio": "Mycobacterium"}
 ENVIRONMENTS = ["metagenome", "sludge", "seawater", "sediment", "environment", "soil", "wastewater", "uncultured"]
 
 
@@ -92,6 +93,17 @@ def host_from_title(title: Column) -> Column:
     return F.nullif(F.regexp_extract(title, r"^([A-Z][a-z]+) (?:[a-z]+ )?(?:phage|virus)\b", 1), F.lit(""))
 
 
+def phage_stem(title: Column) -> Column:
+    """X of a title whose first word is `<X>phage`, in lower case; null if there is none, or if X says nothing of the host."""
+    stem = F.lower(F.regexp_extract(title, r"^([A-Za-z]{3,})phages?\b", 1))
+    return F.when(~stem.isin("", "bacterio", "pro", "viro", "macro"), stem)
+
+
+def stem_key(name: Column) -> Column:
+    """A genus or the stem of a phage's name without its ending."""
+    return F.regexp_replace(F.lower(name), "(ium|um|us|ia|a|is|es|io|o)$", "")
+
+
 def is_phage(title: Column, lineage_names: Column) -> Column:
     """The title has `phage`, or the lineage meets a phage clade."""
     names = F.transform(lineage_names, F.lower)

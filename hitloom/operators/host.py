@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hitloom.functions.text import CLADE_HOSTS, genome_type, host_from_title, host_genus, is_phage, unversioned
+from hitloom.functions.text import CLADE_HOSTS, STEM_HOSTS, genome_type, host_from_title, host_genus, is_phage, phage_stem, stem_key, unversioned
 from hitloom.operators.taxonomy import attach_rank, rank_map
 
 
@@ -19,12 +19,8 @@ def host_map(references: DataFrame, metadata: DataFrame, title_hosts: DataFrame,
     rows = attach_rank(references, lineage, "species", out="species_taxid").join(names, "taxid", "left").withColumn("base", unversioned(F.col("accession")))
     meta = metadata.select(F.col("accession").alias("base"), F.col("host").alias("meta_host")).dropDuplicates(["base"])
     titles = title_hosts.select(F.col("base_accession").alias("base"), F.col("host").alias("title_host")).dropDuplicates(["base"])
-    clade = None
-    for name, host in CLADE_HOSTS.items():
-        hit = F.array_contains(F.transform("names", F.lower), name)
-        clade = F.when(hit, host) if clade is None else clade.when(hit, host)
     rows = rows.join(meta, "base", "left").join(titles, "base", "left")
-    host = F.coalesce(clade, host_genus(F.col("meta_host")), host_genus(F.col("title_host")))
+    host = F.coalesce(clade_host(F.col("names"), CLADE_HOSTS), host_genus(F.col("meta_host")), host_genus(F.col("title_host")))
     rows = rows.withColumn("phage", is_phage(F.col("title"), F.col("names"))).withColumn("host", host)
     per_taxid = rows.groupBy("species_taxid", "taxid").agg(F.bool_or("phage").alias("phage"), F.min(F.struct("accession", "host")).alias("first"))
     with_host = F.min(F.when(F.col("first.host").isNotNull(), F.struct("taxid", "first.host"))).alias("h")
@@ -54,6 +50,34 @@ def fill_hosts_from_titles(references: DataFrame, genera: DataFrame) -> DataFram
     return rows.withColumn("host", F.when(blank & F.col("ok"), F.col("stem")).otherwise(F.col("host"))).drop("stem", "ok")
 
 
+def clade_host(names: Column, hosts: dict[str, str]) -> Column:
+    """The host of the first of the clades (lower case) that a lineage's names hold; null if none."""
+    out = None
+    for name, found in hosts.items():
+        hit = F.array_contains(F.transform(names, F.lower), name)
+        out = F.when(hit, found) if out is None else out.when(hit, found)
+    return out if out is not None else F.lit(None).cast("string")
+
+
+def hosts_by_rules(references: DataFrame, genera: DataFrame, lineage: DataFrame, clades: dict[str, str] = CLADE_HOSTS) -> DataFrame:
+    """(accession, taxid, title, host, ...) with blank hosts filled, and host_rule: given, clade, stem, title, or null for none.
+
+    In this order: the host of a clade on the lineage; of a title's first word `<X>phage` the host of the stem X, which is a fixed one or
+    a genus that differs from X in its ending only; of a title `<Host> phage ...` the host. Hosts of titles must be
+    among the genera (name); of several genera with one stem the first in the alphabet counts.
+    """
+    names = lineage.select("taxid", F.col("path")["name"].alias("names_"))
+    stems = genera.groupBy(stem_key(F.col("name")).alias("key_")).agg(F.min("name").alias("genus_"))
+    known = genera.select(F.col("name").alias("named_")).distinct()
+    rows = references.withColumn("stem_", phage_stem(F.col("title"))).withColumn("key_", stem_key(F.col("stem_"))).withColumn("named_", host_from_title(F.col("title")))
+    rows = rows.join(names, "taxid", "left").join(stems, "key_", "left").join(known.withColumn("ok_", F.lit(True)), "named_", "left")
+    fixed = F.coalesce(F.create_map(*[F.lit(x) for p in STEM_HOSTS.items() for x in p])[F.col("stem_")], F.col("genus_"))
+    rules = {"given": F.nullif(F.trim("host"), F.lit("")), "clade": clade_host(F.col("names_"), clades), "stem": fixed, "title": F.when(F.col("ok_"), F.col("named_"))}
+    rule = F.coalesce(*(F.when(x.isNotNull(), name) for name, x in rules.items()))
+    filled = F.when(rules["given"].isNotNull(), F.col("host")).otherwise(F.coalesce(*rules.values(), F.col("host")))
+    return rows.withColumn("host_rule", rule).withColumn("host", filled).select(*references.columns, "host_rule")
+
+
 def ictv_bridge(ictv: DataFrame, references: DataFrame) -> DataFrame:
     """taxid -> other_taxid in the second taxonomy: the entry that names the taxid, else the one its references name."""
     direct = ictv.where("ncbi_taxid is not null").groupBy(F.col("ncbi_taxid").alias("taxid")).agg(F.min("taxid").alias("a"))

@@ -10,6 +10,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hitloom.functions.stage import stage
+
 # The model's features, in this order.
 FEATURES = [
     "weighted_breadth", "unmasked_weighted_breadth", "unique_fraction", "multi_fraction", "masked_fraction", "log_total_reads",
@@ -51,7 +53,8 @@ def balanced(rows: DataFrame) -> DataFrame:
 
 def train_tp_fp_model(rows: DataFrame, folds: int = 4) -> tuple[PipelineModel, DataFrame]:
     """Fit on ml_features() with a label 0 or 1; also the held-out scores of folds grouped by sample (fold, auc, precision, recall, f1)."""
-    rows = balanced(rows.withColumn("fold", F.pmod(F.xxhash64("sample"), F.lit(folds)))).persist()
+    rows = balanced(rows.withColumn("fold", F.pmod(F.xxhash64("sample"), F.lit(folds))))
+    rows = stage(rows)
     spark, out = rows.sparkSession, []
     for k in range(folds):
         train, test = rows.where(F.col("fold") != k), rows.where(F.col("fold") == k)
@@ -65,9 +68,20 @@ def train_tp_fp_model(rows: DataFrame, folds: int = 4) -> tuple[PipelineModel, D
     return _pipeline().fit(rows), spark.createDataFrame(out, "fold int, auc double, precision double, recall double, f1 double")
 
 
-def score_tp_fp(model: PipelineModel, rows: DataFrame, threshold: float = 0.5) -> DataFrame:
-    out = model.transform(rows).withColumn("tp_probability", vector_to_array("probability")[1])
-    return out.withColumn("accepted", F.col("tp_probability") >= threshold).drop("raw_features", "scaled", "rawPrediction", "probability", "prediction")
+def score_tp_fp(model: PipelineModel | dict[str, float], rows: DataFrame, threshold: float = 0.5) -> DataFrame:
+    """Add tp_probability and accepted. model: a fitted one, or weights of features as they are, with an `intercept`."""
+    if isinstance(model, dict):
+        unknown = set(model) - {*FEATURES, "intercept"}
+        if unknown:
+            raise ValueError(f"no such features: {sorted(unknown)}")
+        total = F.lit(float(model.get("intercept", 0.0)))
+        for name in FEATURES:
+            if name in model:
+                total = total + float(model[name]) * F.col(name)
+        out = rows.withColumn("tp_probability", 1 / (1 + F.exp(-total)))
+    else:
+        out = model.transform(rows).withColumn("tp_probability", vector_to_array("probability")[1]).drop("raw_features", "scaled", "rawPrediction", "probability", "prediction")
+    return out.withColumn("accepted", F.col("tp_probability") >= threshold)
 
 
 def coefficients(model: PipelineModel) -> dict[str, float]:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from hitloom.functions.kmers import MASK
+from hitloom.functions.stage import stage
 from hitloom.operators import assign, cohort, em, evaluate, hits, ml, reads, taxonomy
 from hitloom.plans import q_cover
 from hitloom.plans.common_sql import BEST, MASKED
@@ -405,7 +406,7 @@ def labelled_summary(spark, d):
 
 @query()
 def tp_fp_model(spark, d):
-    rows = labelled_summary(spark, d).persist()
+    rows = stage(labelled_summary(spark, d))
     model, _ = ml.train_tp_fp_model(rows)
     return rnd(ml.score_tp_fp(model, rows).select("sample", "taxon", "tp_probability", "accepted"), "tp_probability", digits=6)
 
