@@ -94,22 +94,25 @@ def paired_concordance(hits: DataFrame, lineage: DataFrame, preset: str) -> Data
     """
     tolerance, rule = PRESETS[preset]
     per = hits.groupBy(*READ, "strand", "taxid").agg(F.max("bits").alias("top"), F.sum("bits").alias("total"))
-    per = per.withColumn("best", F.max("top").over(Window.partitionBy(*READ, "strand")))
-    near = per.where(F.col("top") >= F.col("best") - tolerance)
-    taxa = near.groupBy(*READ, "taxid").agg(F.count_distinct("strand").alias("in_mates"))
-    mates = per.groupBy(*READ).agg(F.count_distinct("strand").alias("mates"))
+    read = per.groupBy(*READ).agg(F.collect_list(F.struct("strand", "taxid", "top", "total")).alias("c"))  # a row for each mate and taxon
+    best = lambda x: F.array_max(F.transform(F.filter("c", lambda y: y["strand"] == x["strand"]), lambda y: y["top"]))
+    mates = F.size(F.array_distinct(F.col("c")["strand"]))
+    read = read.select(*READ, "c", mates.alias("mates"), F.filter("c", lambda x: x["top"] >= best(x) - tolerance).alias("near"))
+    taxa = F.array_distinct(F.col("near")["taxid"])
     if rule == "weigh":
-        weight = per.groupBy(*READ, "taxid").agg(F.sum("total").alias("w")).join(mates, list(READ))
-        weight = weight.withColumn("top", F.max("w").over(Window.partitionBy(*READ)))
-        chosen = weight.where((F.col("mates") == 2) & (F.col("top") - F.col("w") < tolerance)).select(*READ, "taxid")
-        single = taxa.join(mates.where("mates = 1"), list(READ)).select(*READ, "taxid")
-        chosen = chosen.unionByName(single)
+        weight = lambda t: F.aggregate(F.filter("c", lambda y: y["taxid"] == t), F.lit(0.0), lambda sum_, y: sum_ + y["total"])
+        weights = F.transform(F.array_distinct(F.col("c")["taxid"]), lambda t: F.struct(t.alias("taxid"), weight(t).alias("w")))
+        read = read.withColumn("weights", weights)
+        top = F.array_max(F.transform("weights", lambda x: x["w"]))
+        heavy = F.transform(F.filter("weights", lambda x: top - x["w"] < tolerance), lambda x: x["taxid"])
+        chosen = F.when(F.col("mates") == 2, heavy).when(F.col("mates") == 1, taxa)
     else:
-        rows = taxa.join(mates, list(READ)).withColumn("shared", F.max((F.col("in_mates") == 2).cast("int")).over(Window.partitionBy(*READ)))
-        keep = (F.col("mates") == 1) | (F.col("in_mates") == 2)
+        shared = F.filter(taxa, lambda t: F.size(F.filter("near", lambda y: y["taxid"] == t)) == 2)  # once for each mate
+        read = read.withColumn("shared", shared)
+        chosen = F.when(F.col("mates") == 1, taxa).when(F.size("shared") > 0, F.col("shared"))
         if rule == "lca":
-            keep = keep | (F.col("shared") == 0)
-        chosen = rows.where(keep).select(*READ, "taxid")
+            chosen = chosen.otherwise(taxa)
+    chosen = read.select(*READ, F.explode(chosen).alias("taxid"))
     return lca_of_sets(chosen, lineage, READ).select(*READ, "lca_taxid", F.col("n_taxids").cast("long").alias("n_taxids"))
 
 

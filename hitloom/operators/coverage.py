@@ -97,24 +97,26 @@ def segment_coverage(hits: DataFrame, mask: DataFrame, keep_masked_depth: bool =
     sizes = rows.groupBy(*SEGMENT).agg(F.floor(F.sum("segment_length") / F.count("*")).alias("length"), F.count("*").alias("hits"))
     key = (*SEGMENT, "target")
     inside = clamp(rows).withColumns({"one": F.lit(1), "u": F.col("is_unique").cast("int")})
-    # depth and unique depth by place, in one pass over the events
+    # depth, unique depth and regions by place, in one pass over the events; regions are cut to the target
     events = inside.select(*key, F.inline(F.array(F.struct(F.col("tstart").alias("pos"), F.lit(1).alias("d"), F.col("u").alias("du"), F.lit(0).alias("m")), F.struct(F.col("tend").alias("pos"), F.lit(-1).alias("d"), (-F.col("u")).alias("du"), F.lit(0).alias("m")))))
-    regions = mask.where("start < end").join(inside.select(*key).distinct(), "target").select(*key, F.inline(F.array(F.struct(F.col("start").alias("pos"), F.lit(0).alias("d"), F.lit(0).alias("du"), F.lit(1).alias("m")), F.struct(F.col("end").alias("pos"), F.lit(0).alias("d"), F.lit(0).alias("du"), F.lit(-1).alias("m")))))
+    regions = mask.join(rows.select(*key, "tlen").distinct(), "target").select(*key, F.greatest("start", F.lit(0)).alias("from"), F.least("end", "tlen").alias("to")).where("from < to")
+    regions = regions.select(*key, F.inline(F.array(F.struct(F.col("from").alias("pos"), F.lit(0).alias("d"), F.lit(0).alias("du"), F.lit(1).alias("m")), F.struct(F.col("to").alias("pos"), F.lit(0).alias("d"), F.lit(0).alias("du"), F.lit(-1).alias("m")))))
     steps = events.unionByName(regions).groupBy(*key, "pos").agg(F.sum("d").alias("d"), F.sum("du").alias("du"), F.sum("m").alias("m"))
     order = Window.partitionBy(*key).orderBy("pos")
     total = order.rowsBetween(Window.unboundedPreceding, 0)
     runs = steps.select(*key, "pos", F.lead("pos").over(order).alias("end"), F.sum("d").over(total).alias("d"), F.sum("du").over(total).alias("du"), F.sum("m").over(total).alias("m"))
-    runs = runs.where("end is not null and d > 0").withColumn("n", F.col("end") - F.col("pos"))
-    seen = F.lit(True) if keep_masked_depth else F.col("m") == 0
+    runs = runs.where("end is not null and (d > 0 or m > 0)").withColumn("n", F.col("end") - F.col("pos"))
+    deep = F.col("d") > 0
+    seen = deep if keep_masked_depth else deep & (F.col("m") == 0)
     n = F.when(seen, F.col("n")).otherwise(0)
     cover = runs.groupBy(*SEGMENT).agg(
         F.sum(n).alias("breadth_bp"), F.sum(F.when(F.col("du") > 0, n).otherwise(0)).alias("unique_breadth_bp"),
         F.sum(F.when(F.col("du") < F.col("d"), n).otherwise(0)).alias("multi_breadth_bp"),
-        F.sum(F.when((F.col("m") > 0) & F.lit(keep_masked_depth), F.col("n")).otherwise(0)).alias("masked_breadth_bp"),
+        F.sum(F.when(deep & (F.col("m") > 0) & F.lit(keep_masked_depth), F.col("n")).otherwise(0)).alias("masked_breadth_bp"),
         F.sum(n * F.col("d")).alias("depth_sum"), F.sum(F.when(n > 0, n * F.col("d") * F.log("d")).otherwise(0.0)).alias("dlogd"),
+        F.sum(F.when(F.col("m") > 0, F.col("n")).otherwise(0)).alias("mask_bp"),
     )
-    masked_len = union_length(mask.join(rows.select(*key, "tlen").distinct(), "target").select(*key, F.greatest("start", F.lit(0)).alias("tstart"), F.least("end", "tlen").alias("tend")), key).groupBy(*SEGMENT).agg(F.sum("covered").alias("mask_bp"))
-    out = sizes.join(cover, list(SEGMENT), "left").join(masked_len, list(SEGMENT), "left")
+    out = sizes.join(cover, list(SEGMENT), "left")
     fill = {c: 0 for c in ("breadth_bp", "unique_breadth_bp", "multi_breadth_bp", "masked_breadth_bp", "depth_sum", "mask_bp")} | {"dlogd": 0.0}
     out = out.fillna(fill)
     effective = F.col("length") - (F.lit(0) if keep_masked_depth else F.col("mask_bp"))

@@ -8,6 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from hitloom.functions.stage import stage
 from hitloom.functions.text import sample_name
 
 # The column layouts of hit tables.
@@ -40,15 +41,11 @@ def read_hits(spark: SparkSession, path: str, strand: str | Column | None = None
     """
     rows = _text_hits(spark, path)
     kinds = rows.groupBy("file").agg(F.coalesce(F.bool_or((F.size("f") == 15) & F.col("f")[10].rlike("[eE.]") & ~F.col("f")[8].rlike("[eE.]")), F.lit(False)).alias("legacy"), F.max(F.col("f")[2].try_cast("double")).alias("top"))
-    rows = rows.join(kinds, "file")
-    out = None
-    for legacy, layout in ((False, HITS), (True, LEGACY)):
-        part = rows.where(F.col("legacy") == legacy)
-        part = part.withColumn("f", F.concat("f", F.array(F.col("top").cast("string"))))
-        typed = _typed(part, layout).withColumn("taxname", F.lit(None).cast("string")).withColumn("taxlineage", F.lit(None).cast("string")) if legacy else _typed(part, layout)
-        typed = typed.select("file", *COLUMNS)
-        out = typed if out is None else out.unionByName(typed)
-    out = out.join(kinds.select("file", "top"), "file").withColumn("fident", F.when(F.col("top") > 1, F.col("fident") / 100).otherwise(F.col("fident"))).drop("top")
+    rows = rows.join(stage(kinds), "file")  # a row for each file, as a table: Spark broadcasts it by its size
+    places = {name: {c.split()[0]: i for i, c in enumerate(layout.split(", "))} for name, layout in (("new", HITS), ("old", LEGACY))}
+    field = lambda layout, c: F.get("f", F.lit(places[layout][c])) if c in places[layout] else F.lit(None).cast("string")
+    out = rows.select("file", "top", *[F.when(F.col("legacy"), field("old", c)).otherwise(field("new", c)).try_cast(kind).alias(c) for c, kind in (x.split() for x in HITS.split(", "))])
+    out = out.withColumn("fident", F.when(F.col("top") > 1, F.col("fident") / 100).otherwise(F.col("fident"))).drop("top")
     mark = strand if isinstance(strand, Column) else F.lit(strand or "+")
     return out.withColumn("sample", sample_name(F.col("file"))).withColumn("strand", mark).drop("file")
 
