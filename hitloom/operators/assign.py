@@ -52,10 +52,14 @@ def _first(taxid: str):
     return Window.partitionBy(*READ).orderBy(F.desc("best_score"), F.desc("best_identity"), taxid)
 
 
+def best_taxon(cands: DataFrame, taxid: str = "working_taxid") -> DataFrame:
+    """(sample, query, taxon, is_unique): each read's best of its candidates (score, identity, then the least taxid), and whether it has no other."""
+    return cands.withColumn("k", F.row_number().over(_first(taxid))).where("k = 1").select(*READ, taxid, (F.col("candidate_count") == 1).alias("is_unique"))
+
+
 def resolve_multi_best(hits: DataFrame, taxid: str = "working_taxid") -> DataFrame:
     """Hits of each read's best taxon only (score, identity, then the least taxid); reads of one taxon are untouched."""
-    best = candidates(hits, taxid).withColumn("k", F.row_number().over(_first(taxid))).where("k = 1").select(*READ, taxid)
-    return hits.join(best, [*READ, taxid], "left_semi")
+    return hits.join(best_taxon(candidates(hits, taxid), taxid), [*READ, taxid], "left_semi")
 
 
 def assign_reads(cands: DataFrame, real: DataFrame, taxid: str = "working_taxid") -> DataFrame:

@@ -34,9 +34,11 @@ def classify_coverage(rows: DataFrame, mask: DataFrame, references: DataFrame, l
     rows = attach_rank(rows, lineage, rank, "working_taxid", "rank_taxid").withColumn("working_taxid", F.col("rank_taxid")).where("working_taxid is not null and working_taxid != 0").drop("rank_taxid")
     rows = stage(rows)
     cands = stage(assign.candidates(rows))
-    unique = cands.select("sample", "query", (F.col("candidate_count") == 1).alias("is_unique")).distinct()
-    used = assign.resolve_multi_best(rows) if mode == "best_hit" else rows
-    used = stage(used.join(unique, ["sample", "query"]))
+    if mode == "best_hit":
+        used = stage(rows.join(assign.best_taxon(cands), ["sample", "query", "working_taxid"]))
+    else:
+        unique = cands.select("sample", "query", (F.col("candidate_count") == 1).alias("is_unique")).distinct()
+        used = stage(rows.join(unique, ["sample", "query"]))
     segments = coverage.segment_coverage(used, mask, use_entropy)
     strains = coverage.strain_coverage(used, segments, mask, references, coverage.expected_genome_length(references, lineage), thresholds, denominator)
     summary = stage(coverage.judge_real(coverage.coverage_summary(strains), thresholds, use_entropy))

@@ -90,8 +90,7 @@ def prepared(spark, d):
     """Hits with working taxon, segment and uniqueness, multi-mapped reads reduced to their best taxon."""
     h = hits.attach_segments(view(spark, d, "hits"), view(spark, d, "refs"))
     cands = stage(assign.candidates(h))
-    multi = cands.select("sample", "query", (F.col("candidate_count") == 1).alias("is_unique")).distinct()
-    return stage(assign.resolve_multi_best(h).join(multi, ["sample", "query"])), cands
+    return stage(h.join(assign.best_taxon(cands), ["sample", "query", "working_taxid"])), cands
 
 
 PREP = """

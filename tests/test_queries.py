@@ -10,7 +10,7 @@ from hitloom.plans.catalog import QUERIES, SQL
 DATA = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents benchmark labels".split()
 # A few queries of each kind; the driver runs all of them.
-NAMES = ["method_b", "best_hit", "label_masked_hits", "depth_segments", "lineage", "classify_lca", "paired_balanced", "segment_coverage", "clade_counts", "otu_at_rank", "host_map", "alpha_diversity", "mann_whitney_u", "score_detection", "kmer_seed", "trim_reads", "coverage_stats", "local_depth_weights", "source_fastq", "source_blast_xml", "report_round_trip", "genome_types_per_sample", "host_genus_composition", "lca_at_major_rank", "differential_abundance"]
+NAMES = ["method_b", "best_hit", "label_masked_hits", "depth_segments", "lineage", "classify_lca", "paired_balanced", "segment_coverage", "clade_counts", "otu_at_rank", "host_map", "alpha_diversity", "mann_whitney_u", "score_detection", "kmer_seed", "trim_reads", "coverage_stats", "local_depth_weights", "source_fastq", "source_blast_xml", "report_round_trip", "genome_types_per_sample", "host_genus_composition", "lca_at_major_rank", "differential_abundance", "chained_hits", "report_parents", "hosts_by_rules", "mann_whitney_exact", "trim_adapter_edits", "label_masked_hits_thresholds", "merged_tables", "ml_filter_given_model", "source_fasta"]
 
 
 def norm(v):
