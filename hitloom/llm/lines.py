@@ -6,7 +6,8 @@ first words to its last; lines are alike if they are so in any leaf.
 A line's fields are its words. A node of the tree (a leaf, at first) has a constant at a place where more than half of
 its distinct lines have the same word; where no word has more than half, the place is variable. If at least half of the
 places are constant, the node is a template, and the lines that agree with it in at least half of their words belong to
-it. Both are shares, so neither noise nor a growing corpus makes a template fade. If half of the lines don't belong, the
+it. A template is seen only if one of its leaves holds none of its variable words, which becomes less likely the more of
+its words are variable; the README has measured shares. Both are shares, so neither noise nor a growing corpus makes a template fade. If half of the lines don't belong, the
 node is split instead by the variable place at which two of its lines agree most often, and its parts, of at most half
 the lines each, are looked at in turn: so lines that have only the leaf in common come apart.
 A line that is alone in its node is its own template. A template that occurs in several documents is dropped from all
@@ -17,7 +18,7 @@ recurring only in SHORT_DOCS documents or more. A line without blanks, as in Chi
 MIN_CHARS characters besides digits on; it too is a template by itself, with its runs of digits as wildcards.
 
 Only hashes of lines and fields are shuffled and counted, a distinct line once. Fields are hashed in a second pass over
-the texts, for the lines of leaves that have several; these are looked up in a bitmap of BITS bits, in which a few other
+the texts, for the lines of leaves that have several; these are looked up in a bitmap of 16 bits for each of them (up to MOST_BITS), in which a few other
 lines are found by chance and fall out in a join. Texts move once, to meet the positions that they lose.
 """
 
@@ -37,7 +38,7 @@ from .common import cut, read
 
 LEADING, PLACES, MIN_WORDS = 3, 4, 4
 MIN_CHARS, SHORT_DOCS = 16, 100
-BITS, ROWS = 1 << 24, 1 << 12
+LEAST_BITS, MOST_BITS, ROWS = 1 << 20, 1 << 27, 1 << 12
 NODE_WORDS = 1 << 18
 DIGIT, DIGITS = re.compile("[0-9]"), re.compile("[0-9]+")
 
@@ -99,11 +100,12 @@ def _fields(batches: Iterator[pa.RecordBatch], bitmap: bytes) -> Iterator[pa.Rec
         return pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.list_(pa.int32()))], ["line", "fields"])
 
     found: dict[int, list[int]] = {}
+    bits = 8 * len(bitmap)
     for batch in batches:
         for text in batch.column("text"):
             for line in (text.as_py() or "").split("\n"):
                 words = masked(line)
-                if len(words) >= MIN_WORDS and bitmap[(bit := (h := h64(" ".join(words))) % BITS) >> 3] >> (bit & 7) & 1 and h not in found:
+                if len(words) >= MIN_WORDS and bitmap[(bit := (h := h64(" ".join(words))) % bits) >> 3] >> (bit & 7) & 1 and h not in found:
                     found[h] = [xxhash.xxh32_intdigest(x) - (1 << 31) for x in words]
             if len(found) >= ROWS:
                 yield rows(found)
@@ -112,10 +114,11 @@ def _fields(batches: Iterator[pa.RecordBatch], bitmap: bytes) -> Iterator[pa.Rec
 
 
 def bitmap_of(lines: DataFrame) -> bytes:
-    """BITS bits, with that of each line (modulo BITS) set; no more than BITS / 64 rows come to the driver."""
-    bit = F.pmod("line", F.lit(BITS))
-    words = lines.groupBy(F.floor(bit / 64).alias("at")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(line, {BITS}L) % 64 as int))")).alias("word"))
-    out = np.zeros(BITS // 64, "<i8")
+    """A power of two of bits, 16 for each line at least (up to MOST_BITS), with that of each line set; a row for each 64 bits at most comes to the driver."""
+    bits = min(MOST_BITS, max(LEAST_BITS, 1 << (16 * lines.count()).bit_length()))
+    bit = F.pmod("line", F.lit(bits))
+    words = lines.groupBy(F.floor(bit / 64).alias("at")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(line, {bits}L) % 64 as int))")).alias("word"))
+    out = np.zeros(bits // 64, "<i8")
     for r in words.toLocalIterator():
         out[r["at"]] = r["word"]
     return out.tobytes()
