@@ -363,7 +363,8 @@ def unlike(members: DataFrame, leaders: int = LEADERS) -> DataFrame:
     open_, kept = members, []
     while True:
         rank = F.row_number().over(Window.partitionBy("root").orderBy(*order))
-        top = cut(open_.withColumn("n", rank).where(F.col("n") <= leaders).drop("n"))
+        first = open_.select("root", *order).withColumn("n", rank).where(F.col("n") <= leaders).select("root", "text_key")  # ranked without their texts
+        top = cut(open_.join(first, ["root", "text_key"], "left_semi").select(members.columns))
         lead = cut(top.repartition("root").sortWithinPartitions("root", *order).mapInArrow(_lead, kind))
         kept.append(lead)
         rest = open_.join(top.select("root", "text_key"), ["root", "text_key"], "left_anti").select(members.columns)
