@@ -102,7 +102,7 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Hierarchy:
         return Hierarchy([], np.zeros((0, 1 << BITS), np.float32), np.zeros(0, np.int64))
     draw = F.pmod(F.xxhash64("doc_id", F.lit("language sample")), F.lit(1_000_000))
     share = F.create_map(*[F.lit(v) for lang in langs for v in (lang, min(1_000_000, 1 + 1_000_000 * per_language // sizes[lang]))])[F.col("lang")]
-    sample = docs.where(draw < share).limit(2 * per_language * len(langs))
+    sample = docs.where(draw < share).orderBy(draw, "doc_id", "lang", "text").limit(2 * per_language * len(langs))
     rows = sample.mapInArrow(_features, with_fields(sample.select("doc_id"), "lang string, x binary")).orderBy("doc_id", "lang", "x").collect()
     x = np.array([np.frombuffer(r.x, np.float16) for r in rows], np.float32).reshape(len(rows), 1 << BITS)
     there = sorted({r.lang for r in rows})
