@@ -97,11 +97,27 @@ def read_taxonomy_dump(spark: SparkSession, nodes: str, names: str) -> DataFrame
     return n.join(s, "taxid", "left").withColumn("name", F.coalesce("name", F.lit("N/A")))
 
 
-def read_reference_tables(spark: SparkSession, url: str, tables: list[str], **options: str) -> dict[str, DataFrame]:
-    """Tables of a database by JDBC, or of a folder of Parquet tables."""
-    if url.startswith("jdbc:"):
-        return {t: spark.read.format("jdbc").option("url", url).option("dbtable", t).options(**options).load() for t in tables}
-    return {t: spark.read.parquet(f"{url}/{t}") for t in tables}
+def read_reference_tables(spark: SparkSession, url: str, tables: list[str], splits: dict[str, str] | None = None, rows_each: int = 1_000_000, **options: str) -> dict[str, DataFrame]:
+    """Tables of a database by JDBC, or of a folder of Parquet tables.
+
+    splits: table -> a numeric column. Such a table is read in parts of some rows_each rows, by ranges between the column's least and
+    greatest value; a row without a value is in the first part.
+    """
+    if not url.startswith("jdbc:"):
+        return {t: spark.read.parquet(f"{url}/{t}") for t in tables}
+
+    def read(table: str, **more) -> DataFrame:
+        return spark.read.format("jdbc").option("url", url).option("dbtable", table).options(**options, **more).load()
+
+    def parts(table: str) -> dict:
+        column = (splits or {}).get(table)
+        if column is None:
+            return {}
+        quoted = spark.sparkContext._jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(url).quoteIdentifier(column)
+        n, low, high = read(f"(SELECT count(*) AS n, min({quoted}) AS low, max({quoted}) AS high FROM {table}) AS bounds").first()
+        return {} if low is None else {"partitionColumn": column, "lowerBound": int(low), "upperBound": int(high) + 1, "numPartitions": max(1, -(-n // rows_each))}
+
+    return {t: read(t, **parts(t)) for t in tables}
 
 
 def read_samplesheet(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:

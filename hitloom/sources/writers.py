@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hitloom.operators.cohort import pivot_samples
-from hitloom.operators.counts import depth_first, direct_counts
+from hitloom.functions.stage import stage
 from hitloom.functions.text import rank_code
+from hitloom.operators.cohort import pivot_samples, running
+from hitloom.operators.counts import depth_first, direct_counts
 
 
 MATRIX_COLUMNS = 20_000  # taxa in one file of a matrix with samples as rows
@@ -77,13 +78,17 @@ def write_matrix(otu: DataFrame, path: str, samples: list[str], transpose: bool
     if not transpose:
         write_table(pivot_samples(otu, "taxid", samples), path, sep)
         return
-    taxa = [r[0] for r in otu.select("taxid").distinct().orderBy("taxid").collect()]
-    blocks = [taxa[i : i + MATRIX_COLUMNS] for i in range(0, len(taxa), MATRIX_COLUMNS)] or [[]]
-    if len(blocks) > 1:  # files of an earlier, smaller matrix or of more blocks go
+    numbered = stage(running(otu.select("taxid").distinct().withColumn("one", F.lit(1)), ["taxid"], "one").select("taxid", F.floor((F.col("upto") - 1) / MATRIX_COLUMNS).alias("block")))
+    blocks = 1 + (numbered.agg(F.max("block")).first()[0] or 0)
+    if blocks > 1:  # files of an earlier, smaller matrix or of more blocks go
         write_table(otu.select("sample").limit(0), path, sep)
-    for i, block in enumerate(blocks):
-        wide = otu.groupBy("sample").pivot("taxid", block).agg(F.sum("value")).fillna(0)
-        write_table(wide, path if len(blocks) == 1 else f"{path}/columns_{i:05d}", sep)
+    for i in range(blocks):
+        own = numbered.where(F.col("block") == i).select("taxid")
+        taxa = [r[0] for r in own.orderBy("taxid").collect()]  # MATRIX_COLUMNS at most: the header
+        wide = otu.join(own, "taxid", "left_semi").groupBy("sample").pivot("taxid", taxa).agg(F.sum("value"))
+        if blocks > 1:  # a block has all samples
+            wide = otu.select("sample").distinct().join(wide, "sample", "left")
+        write_table(wide.fillna(0), path if blocks == 1 else f"{path}/columns_{i:05d}", sep)
 
 
 def write_empty_samples(judged: DataFrame, path: str) -> None:

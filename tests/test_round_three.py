@@ -329,3 +329,33 @@ def test_regions_stand_in_one_bin(spark):
     for level, at, a, b in stood:
         assert level == hits.LEVELS - 1 or a // (width * 8**level) == at == (b - 1) // (width * 8**level)
         assert not level or a // (width * 8 ** (level - 1)) != (b - 1) // (width * 8 ** (level - 1))
+
+
+def test_tables_of_a_database_in_parts(spark):
+    url = "jdbc:derby:memory:references;create=true"
+    rows = [(f"A{i}", i * 7 - 50) for i in range(100)] + [("none", None)]
+    try:
+        spark.createDataFrame(rows, "accession string, taxid int").write.format("jdbc").option("url", url).option("dbtable", "refs").mode("overwrite").save()
+    except Exception as e:  # Spark's own test database may be left out of an installation
+        pytest.skip(str(e)[:80])
+    whole = readers.read_reference_tables(spark, url, ["refs"])["refs"]
+    parts = readers.read_reference_tables(spark, url, ["refs"], {"refs": "taxid"}, rows_each=30)["refs"]
+    assert (whole.rdd.getNumPartitions(), parts.rdd.getNumPartitions()) == (1, 4)
+    for table in (whole, parts):
+        assert sorted((tuple(r) for r in table.collect()), key=str) == sorted(rows, key=str)
+
+
+def test_hosts_by_rules_in_order(spark):
+    from hitloom.operators import host
+
+    rows = [
+        ("a", 1, "Vibriophage X", "Given host"), ("b", 2, "Vibriophage X", ""), ("c", 3, "Vibriophage X", None), ("d", 3, "Klebsiella phage K", " "), ("e", 3, "Marine phage M", ""),
+        ("f", 3, "Bacteriophage T4", ""), ("g", 9, "Cyanophage S", ""), ("h", 3, "Mycobacteriophage L5", ""), ("i", 3, None, ""), ("j", 3, "Klebsiellaphage", ""),
+    ]
+    lineage = spark.createDataFrame([(1, "x"), (2, "Crassvirales"), (3, "y")], "taxid int, name string").selectExpr("taxid", "array(named_struct('name', name)) AS path")
+    genera = spark.createDataFrame([("Vibrio",), ("Klebsiella",), ("Mycobacterium",), ("Mycobacter",)], "name string")
+    got = {r.accession: (r.host, r.host_rule) for r in host.hosts_by_rules(spark.createDataFrame(rows, "accession string, taxid int, title string, host string"), genera, lineage).collect()}
+    assert got == {
+        "a": ("Given host", "given"), "b": ("Bacteroides", "clade"), "c": ("Vibrio", "stem"), "d": ("Klebsiella", "title"), "e": ("", None), "f": ("", None),
+        "g": ("Cyanobacteria", "stem"), "h": ("Mycobacterium", "stem"), "i": ("", None), "j": ("Klebsiella", "stem"),
+    }
