@@ -197,7 +197,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, block: int = BLOCK) -> Dat
 
 
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A row for each document and benchmark item found in it; null and empty texts have none."""
+    """A row for each document and benchmark item found in it; null and empty texts have none. Of equally good matches the first counts; of a repeated row each has its own."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     found = find_leaks(docs, read(spark, sf_dir, "benchmark")).where(F.size("leaks") > 0)
     return found.select("doc_id", F.inline("leaks"))

@@ -105,5 +105,5 @@ def digests(docs: DataFrame, path: str | None = None) -> DataFrame:
 
 
 def op2_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Digests of the ids and the decoded text of every document; a null or empty text has 0 tokens."""
+    """Digests of the ids and the decoded text of every document; a null or empty text has 0 tokens. Repeated rows stay; other columns of the table aren't read."""
     return digests(read(spark, sf_dir, "documents"))

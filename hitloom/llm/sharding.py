@@ -113,5 +113,8 @@ def shard_documents(docs: DataFrame, shards: int = 16) -> DataFrame:
 
 
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document's shard and slot under the law `bytes`; a null text is as large as an empty one, size 1."""
+    """Every document's shard and slot under the law `bytes`; a null text is as large as an empty one, size 1.
+
+    Ties: groups of one size are alike for the schedule and are dealt out in the order of their text's hash. Repeated rows are rows of their group.
+    """
     return shard_documents(read(spark, sf_dir, "documents"))

@@ -407,5 +407,5 @@ def one_of_each(docs: DataFrame, k: int = NEAR_SHINGLE, budget: int = NEAR_BUDGE
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document's fingerprint and component; texts without words (null ones included) have fingerprint zero."""
+    """Every document's fingerprint and component; texts without words (null ones included) have fingerprint zero. Equal doc_ids tie: each row keeps its own fingerprint."""
     return near_duplicates(read(spark, sf_dir, "documents"))

@@ -140,7 +140,7 @@ def judge_urls(pages: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def op9_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every page's host, path, rule and verdict; a null url or one without `://` has an empty host and path."""
+    """Every page's host, path, rule and verdict; a null url or one without `://` has an empty host and path. Repeated rows stay; other columns aren't read."""
     return judge_urls(read(spark, sf_dir, "pages").select("page_id", "url"), read(spark, sf_dir, "labels"))
 
 
