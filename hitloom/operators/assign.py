@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hitloom.operators.taxonomy import attach_rank, attach_taxon, lca_of_sets, rank_map
+from hitloom.operators.taxonomy import attach_rank, attach_taxon, lca_of_arrays, lca_of_sets, rank_map
 
 READ = ("sample", "query")
 # Presets of paired_concordance(): score tolerance and what to do where the mates disagree.
@@ -116,8 +116,8 @@ def paired_concordance(hits: DataFrame, lineage: DataFrame, preset: str) -> Data
         chosen = F.when(F.col("mates") == 1, taxa).when(F.size("shared") > 0, F.col("shared"))
         if rule == "lca":
             chosen = chosen.otherwise(taxa)
-    chosen = read.select(*READ, F.explode(chosen).alias("taxid"))
-    return lca_of_sets(chosen, lineage, READ).select(*READ, "lca_taxid", F.col("n_taxids").cast("long").alias("n_taxids"))
+    chosen = read.select(*READ, chosen.alias("ids")).where(F.size("ids") > 0)
+    return lca_of_arrays(chosen, lineage).select(*READ, "lca_taxid", F.col("n_taxids").cast("long").alias("n_taxids"))
 
 
 def pair_support(hits: DataFrame, lineage: DataFrame, rank: str = "species") -> DataFrame:

@@ -65,21 +65,27 @@ def in_subtree(rows: DataFrame, lineage: DataFrame, root: int = VIRUSES) -> Data
     return rows.join(subtree(lineage, root).select("taxid"), "taxid", "left_semi")
 
 
-def lca_of_sets(sets: DataFrame, lineage: DataFrame, key: tuple[str, ...], major_only: bool = False) -> DataFrame:
-    """sets (key, taxid) -> key, lca_taxid, n_taxids. Unknown ids and ids <= 0 are ignored; a set of none has no row.
+def lca_of_arrays(rows: DataFrame, lineage: DataFrame, major_only: bool = False) -> DataFrame:
+    """rows (..., ids: an array of taxids) -> the other columns, lca_taxid and n_taxids. Unknown ids and ids <= 0 are ignored; rows with none left go.
 
-    A node is common to a set's paths if it is on as many as the set has members; the deepest of these is the LCA. Paths
-    are joined once for each distinct set of taxids, not once for each key.
+    The LCA is the last taxon that the paths of all ids have in common (of major ranks, if only these count; null if
+    there is none). Paths are joined once for each distinct set of ids.
     """
-    known = sets.where("taxid > 0").join(lineage.select("taxid"), "taxid", "left_semi")
-    groups = known.groupBy(*key).agg(F.array_sort(F.collect_set("taxid")).alias("ids"))
-    distinct = groups.select("ids").distinct()
-    steps = distinct.select("ids", F.explode("ids").alias("taxid")).join(lineage.select("taxid", "path"), "taxid").select("ids", F.posexplode("path").alias("depth", "p"))
-    shared = steps.groupBy("ids", "depth", "p").agg(F.count("*").alias("n")).where(F.col("n") == F.size("ids"))
-    if major_only:
-        shared = shared.where(is_major_rank(F.col("p.rank")))
-    best = shared.groupBy("ids").agg(F.max(F.struct("depth", "p.taxid")).alias("b")).select("ids", F.col("b.taxid").alias("lca_taxid"))
-    return groups.join(best, "ids", "left").select(*key, "lca_taxid", F.size("ids").alias("n_taxids"))
+    keys = [c for c in rows.columns if c != "ids"]
+    rows = rows.withColumn("ids", F.array_sort(F.array_distinct("ids")))
+    path = F.filter("path", lambda p: is_major_rank(p["rank"])) if major_only else F.col("path")
+    paths = lineage.select("taxid", path["taxid"].alias("steps"))
+    members = rows.select("ids").distinct().select("ids", F.explode("ids").alias("taxid")).where("taxid > 0").join(paths, "taxid")
+    sets = members.groupBy("ids").agg(F.collect_list("steps").alias("paths"))
+    common = F.aggregate("paths", F.col("paths")[0], F.array_intersect)
+    found = sets.select("ids", F.try_element_at(common, F.lit(-1)).alias("lca_taxid"), F.size("paths").alias("n_taxids"))
+    return rows.join(found, "ids").select(*keys, "lca_taxid", "n_taxids")
+
+
+def lca_of_sets(sets: DataFrame, lineage: DataFrame, key: tuple[str, ...], major_only: bool = False) -> DataFrame:
+    """sets (key, taxid) -> key, lca_taxid, n_taxids, as lca_of_arrays()."""
+    groups = sets.where("taxid > 0").groupBy(*key).agg(F.collect_set("taxid").alias("ids"))
+    return lca_of_arrays(groups, lineage, major_only)
 
 
 def major_tree(lineage: DataFrame) -> DataFrame:
