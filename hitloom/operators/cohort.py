@@ -79,7 +79,8 @@ def running(rows: DataFrame, order: list[str], weight: str) -> DataFrame:
 def bh_fdr(rows: DataFrame, p: str = "p_value", by: tuple[str, ...] = ()) -> DataFrame:
     """Add q_value (Benjamini-Hochberg) within `by`: the least p * m / rank from each p upwards, 1 at most.
 
-    Equal p share the last place. Without `by`, the distinct p are dealt out by ranges.
+    Equal p share the last place. Without `by`, the distinct p are dealt out by ranges; rows are a table first, since they
+    meet their q by p, and sums made anew may differ in the last bit.
     """
     own = rows.where(F.col(p).isNotNull() & ~F.isnan(p))
     if by:
@@ -88,6 +89,7 @@ def bh_fdr(rows: DataFrame, p: str = "p_value", by: tuple[str, ...] = ()) -> Dat
         own = own.withColumn("raw_", F.col(p) * F.count("*").over(w) / place)
         least = F.min("raw_").over(w.orderBy(F.desc(p)).rangeBetween(Window.unboundedPreceding, 0))
         return own.withColumn("q_value", F.least(F.lit(1.0), least)).drop("raw_")
+    own = stage(own)
     values = running(own.groupBy(F.col(p).alias("p")).agg(F.count("*").alias("n")), ["p"], "n")
     values = stage(values.join(values.agg(F.max("upto").alias("m"))).select("part", "p", (F.col("p") * F.col("m") / F.col("upto")).alias("raw")))  # one row
     later = Window.orderBy(F.desc("part")).rowsBetween(Window.unboundedPreceding, -1)
