@@ -251,12 +251,14 @@ def differential_abundance_t(spark, d):
     return rnd(rnd(rnd(rows, "prevalence"), "slope", digits=7), "t", digits=6)
 
 
+_ROUNDED = ("round(prevalence, 9) AS prevalence, round(m1 - m0, 7) AS slope, round((m1 - m0) / sqrt(", "), 6) AS t FROM s")
+_PLAIN = SQL["differential_abundance_t"].replace(_ROUNDED[0], "prevalence, m1 - m0 AS slope, (m1 - m0) / sqrt(").replace(_ROUNDED[1], ") AS t FROM s")  # p is that of t itself
 _STUDENT = "gamma(11.5) / gamma(11) / sqrt(22 * pi()) * pow(1 + x * x / 22, -11.5)"
 
 
 @query(
-    f"WITH tt AS ({SQL['differential_abundance_t']}), p AS (SELECT *, {two_sided(_STUDENT, 'abs(t)')} AS p FROM tt), r AS (SELECT *, p * count(*) OVER () / count(*) OVER (ORDER BY p) AS raw FROM p WHERE t IS NOT NULL)"
-    " SELECT feature, prevalence, slope, t, round(p, 4) AS p_value, round(least(1.0, min(raw) OVER (ORDER BY p DESC)), 4) AS q_value FROM r"
+    f"WITH tt AS ({_PLAIN}), p AS (SELECT *, {two_sided(_STUDENT, 'abs(t)')} AS p FROM tt), r AS (SELECT *, p * count(*) OVER () / count(*) OVER (ORDER BY p) AS raw FROM p WHERE t IS NOT NULL)"
+    " SELECT feature, round(prevalence, 9) AS prevalence, round(slope, 7) AS slope, round(t, 6) AS t, round(p, 4) AS p_value, round(least(1.0, min(raw) OVER (ORDER BY p DESC)), 4) AS q_value FROM r"
 )
 def differential_abundance(spark, d):
     """24 samples, so t has 22 degrees of freedom."""

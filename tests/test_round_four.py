@@ -12,3 +12,10 @@ def test_q_values_lose_no_row_when_p_is_computed_anew(spark):
     p = F.udf(lambda x: random.random(), "double").asNondeterministic()
     rows = spark.range(50).withColumn("p_value", p("id"))
     assert sorted(r.id for r in cohort.bh_fdr(rows).collect()) == list(range(50))
+
+
+def test_sql_of_differential_abundance_takes_p_of_t_itself():
+    from hitloom.plans.q_cohort import SQL
+
+    inner = SQL["differential_abundance"].split("p AS (SELECT *")[0]
+    assert "round(" not in inner.split("mat AS")[1]
