@@ -19,3 +19,15 @@ def test_sql_of_differential_abundance_takes_p_of_t_itself():
 
     inner = SQL["differential_abundance"].split("p AS (SELECT *")[0]
     assert "round(" not in inner.split("mat AS")[1]
+
+
+def test_sql_of_islands_keeps_equal_intervals_together():
+    """The one of two equal intervals that is new may be the second in the next window's order: here windows are computed by hand."""
+    import duckdb
+
+    from hitloom.plans.q_hits import islands_sql
+
+    ctes = islands_sql("iv", "acc", "lo", "hi")
+    rows = "iv AS (SELECT * FROM (VALUES ('a', 0, 5), ('a', 10, 12), ('a', 10, 12)) v(acc, lo, hi))"
+    seen = ctes.replace("isl_n AS", "isl_m2 AS (SELECT acc, lo, hi, p FROM isl_m ORDER BY lo, hi, p DESC NULLS LAST), isl_n AS").replace("FROM isl_m)", "FROM isl_m2)")
+    assert sorted(duckdb.sql(f"WITH {rows},{seen} SELECT * FROM isl").fetchall()) == [("a", 0, 5, 1), ("a", 10, 12, 2)]
