@@ -102,7 +102,7 @@ def source_mask(spark, d):
     return readers.read_mask(spark, path).withColumnsRenamed({"start": "lo", "end": "hi"})
 
 
-@query("SELECT taxid, parent_taxid, rank, CASE WHEN taxid % 10 = 7 THEN 'N/A' ELSE name END AS name FROM taxonomy", "taxonomy")
+@query("SELECT taxid, parent_taxid, rank, CASE WHEN taxid % 10 = 7 THEN 'N/A' ELSE name END AS name FROM (SELECT taxid, parent_taxid, rank, min(name) OVER (PARTITION BY taxid) AS name, row_number() OVER (PARTITION BY taxid ORDER BY parent_taxid, rank) AS first_ FROM taxonomy) WHERE first_ = 1", "taxonomy")
 def source_taxonomy(spark, d):
     t = view(spark, d, "taxonomy")
     row = lambda *c: F.concat(F.concat_ws("\t|\t", *(F.col(x).cast("string") if isinstance(x, str) else x for x in c)), F.lit("\t|")).alias("value")
@@ -139,7 +139,7 @@ def source_fasta(spark, d):
 _LV = "lv AS (SELECT concat('s', CAST(taxid % 3 AS STRING)) AS sample, taxid AS line, rank, CAST((taxid * 7) % 6 AS INT) AS depth FROM taxonomy)"
 
 
-@query(f"""WITH {_LV}, nr AS (SELECT *, row_number() OVER (PARTITION BY sample ORDER BY line) AS k FROM lv),
+@query(f"""WITH {_LV}, nr AS (SELECT *, row_number() OVER (PARTITION BY sample ORDER BY line, depth, rank) AS k FROM lv),
 go AS (SELECT sample, line, rank, k, least(depth, 0) AS depth FROM nr WHERE k = 1 UNION ALL SELECT n.sample, n.line, n.rank, n.k, least(n.depth, g.depth + 1) FROM nr n JOIN go g ON g.sample = n.sample AND n.k = g.k + 1)
 SELECT sample, line, CASE rank WHEN 'superkingdom' THEN 'D' WHEN 'family' THEN 'F' WHEN 'genus' THEN 'G' WHEN 'species' THEN 'S' ELSE '-' END AS rank_code, depth FROM go""", "taxonomy")
 def relevel_report(spark, d):

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from hitloom.functions.stage import stage
 from hitloom.functions.text import sample_name
+from hitloom.operators.taxonomy import one_row_each
 
 # The column layouts of hit tables.
 HITS = "query string, target string, fident double, alnlen int, qstart int, qend int, tstart int, tend int, evalue double, bits double, qlen int, tlen int, taxid int, taxname string, taxlineage string"
@@ -90,9 +91,9 @@ def read_mask(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_taxonomy_dump(spark: SparkSession, nodes: str, names: str) -> DataFrame:
-    """taxid, parent_taxid, rank, name from dump files: scientific names, one row per taxid, `N/A` where there is no name."""
+    """taxid, parent_taxid, rank, name from dump files: the least scientific name, `N/A` where there is none; one row per taxid, see one_row_each()."""
     parts = lambda path: spark.read.text(path).select(F.split(F.regexp_replace("value", r"\t\|$", ""), r"\t\|\t").alias("f"))
-    n = parts(nodes).select(F.col("f")[0].cast("int").alias("taxid"), F.col("f")[1].cast("int").alias("parent_taxid"), F.col("f")[2].alias("rank")).dropDuplicates(["taxid"])
+    n = one_row_each(parts(nodes).select(F.col("f")[0].cast("int").alias("taxid"), F.col("f")[1].cast("int").alias("parent_taxid"), F.col("f")[2].alias("rank")))
     s = parts(names).where(F.trim(F.col("f")[3]) == "scientific name").select(F.col("f")[0].cast("int").alias("taxid"), F.trim(F.col("f")[1]).alias("name")).groupBy("taxid").agg(F.min("name").alias("name"))
     return n.join(s, "taxid", "left").withColumn("name", F.coalesce("name", F.lit("N/A")))
 
@@ -319,9 +320,10 @@ def relevel_report(rows: DataFrame) -> DataFrame:
     """(sample, line, rank, depth, ...) -> rank_code and depth, no line more than one level below the one before it.
 
     With lines numbered from 0, the depth is the number plus the least of 0 and of all depths less their numbers so far.
+    Rows of the same line stand by depth, then rank, then the other columns in their order; nulls come last.
     """
     code = F.coalesce(F.create_map(*[F.lit(x) for p in RANKS_BY_NAME.items() for x in p])[F.col("rank")], F.lit("-"))
-    of = Window.partitionBy("sample").orderBy("line")
+    of = Window.partitionBy("sample").orderBy("line", *(F.asc_nulls_last(c) for c in ("depth", "rank", *(c for c in rows.columns if c not in ("sample", "line", "depth", "rank")))))
     number = F.row_number().over(of) - 1
     least = F.min(F.col("depth") - F.col("number_")).over(of.rowsBetween(Window.unboundedPreceding, 0))
     rows = rows.withColumn("rank_code", code).withColumn("number_", number)
