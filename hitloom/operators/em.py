@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 from hitloom.functions.stage import stage
 
 READ = ("sample", "query")
+EQUAL = 1e-12  # posteriors that differ by less than this part of the largest are equal: sums and products leave the last bits open
 
 
 def _posterior(cands: DataFrame, share: DataFrame, read: tuple[str, ...] = READ) -> DataFrame:
     rows = cands.join(share, ["sample", "species"]).withColumn("w", F.col("a") * F.col("score"))
-    own = Window.partitionBy(*read)
+    own = Window.partitionBy(*read).orderBy("species").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)  # sums are the same in each run
     total, n = F.sum("w").over(own), F.count("*").over(own)
     return rows.withColumn("post", F.when(n == 1, 1.0).when(total > 0, F.col("w") / total).otherwise(1 / n))
 
@@ -50,6 +51,7 @@ def em_abundance(cands: DataFrame, lengths: DataFrame, rounds: int = 20, toleran
 
 
 def em_assign(cands: DataFrame, share: DataFrame) -> DataFrame:
-    """One row per read: the species of the largest posterior (the least id of equals), and the posterior."""
-    best = F.max(F.struct("post", (-F.col("species")).alias("s"))).alias("b")
-    return _posterior(cands, share).groupBy(*READ).agg(best, F.count("*").alias("candidate_count")).select(*READ, (-F.col("b.s")).alias("species"), F.col("b.post").alias("posterior"), "candidate_count")
+    """One row per read: the species of the largest posterior (the least id of equals, see EQUAL), and the posterior."""
+    rows = _posterior(cands, share).withColumn("top", F.max("post").over(Window.partitionBy(*READ)))
+    best = F.min(F.when(F.col("post") >= F.col("top") * (1 - EQUAL), F.struct("species", "post"))).alias("b")
+    return rows.groupBy(*READ).agg(best, F.count("*").alias("candidate_count")).select(*READ, "b.species", F.col("b.post").alias("posterior"), "candidate_count")

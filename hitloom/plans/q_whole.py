@@ -38,10 +38,10 @@ def sample_names(spark, d):
 
 # --- EM with given shares
 
-_FIXED = "fs AS (SELECT sample, species, (1 + species % 7)::DOUBLE / sum(1 + species % 7) OVER (PARTITION BY sample) AS a FROM (SELECT DISTINCT sample, taxid AS species FROM hits)), cd AS (SELECT sample, query, taxid AS species, max(bits) AS score FROM hits GROUP BY ALL), po AS (SELECT c.sample, query, species, CASE WHEN count(*) OVER w = 1 THEN 1 ELSE a * score / sum(a * score) OVER w END AS post, count(*) OVER w AS candidate_count FROM cd c JOIN fs USING (sample, species) WINDOW w AS (PARTITION BY c.sample, query))"
+_FIXED = "fs AS (SELECT sample, species, (1 + species % 7)::DOUBLE / sum(1 + species % 7) OVER (PARTITION BY sample) AS a FROM (SELECT DISTINCT sample, taxid AS species FROM hits)), cd AS (SELECT sample, query, taxid AS species, max(bits) AS score FROM hits GROUP BY ALL), po AS (SELECT c.sample, query, species, CASE WHEN count(*) OVER w = 1 THEN 1 ELSE a * score / sum(a * score) OVER w END AS post, count(*) OVER w AS candidate_count FROM cd c JOIN fs USING (sample, species) WINDOW w AS (PARTITION BY c.sample, query ORDER BY species ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING))"
 
 
-@query(f"WITH {_FIXED} SELECT sample, query, species, round(post, 9) AS posterior, candidate_count FROM (SELECT *, row_number() OVER (PARTITION BY sample, query ORDER BY post DESC, species) AS k FROM po) WHERE k = 1", "hits")
+@query(f"WITH {_FIXED} SELECT sample, query, species, round(post, 9) AS posterior, candidate_count FROM (SELECT *, row_number() OVER (PARTITION BY sample, query ORDER BY species) AS k FROM (SELECT *, max(post) OVER (PARTITION BY sample, query) AS top FROM po) WHERE post >= top * (1 - 1e-12)) WHERE k = 1", "hits")
 def em_assign_given_shares(spark, d):
     cands = q_cohort.em_candidates(spark, d)
     weight = cands.select("sample", "species").distinct().withColumn("w", 1 + F.col("species") % 7)
