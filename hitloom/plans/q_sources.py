@@ -278,9 +278,7 @@ def sink_matrix(spark, d):
     """All samples and taxa as a matrix with samples as rows, read back as a long table without zeros."""
     path = folder(spark)
     writers.write_matrix(view(spark, d, "counts").withColumnRenamed("reads", "value"), path, [])
-    wide = spark.read.option("header", True).csv(path)
-    taxa = [c for c in wide.columns if c != "sample"]
-    return wide.unpivot(["sample"], taxa, "taxid", "reads").select("sample", F.col("taxid").cast("int").alias("taxid"), F.col("reads").cast("long").alias("reads")).where("reads > 0")
+    return readers.read_matrix(spark, path).select("sample", F.col("taxid").cast("int").alias("taxid"), F.col("value").cast("long").alias("reads")).where("reads > 0")
 
 
 @query("SELECT sample FROM (SELECT DISTINCT sample FROM counts) WHERE sample NOT IN (SELECT sample FROM hits)", "hits counts")

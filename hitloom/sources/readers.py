@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -98,6 +99,26 @@ def read_taxonomy_dump(spark: SparkSession, nodes: str, names: str) -> DataFrame
     return n.join(s, "taxid", "left").withColumn("name", F.coalesce("name", F.lit("N/A")))
 
 
+def read_matrix(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
+    """(sample, taxid, value) of all cells of a matrix with samples as rows, in one table or in folders of columns (writers.write_matrix).
+
+    Lines are split as text against the header of their folder; no plan has a column for each taxon.
+    """
+    files = spark.read.option("recursiveFileLookup", True).text(path).inputFiles()
+    out = spark.createDataFrame([], "sample string, taxid string, value string")
+    for folder in sorted({f.rsplit("/", 1)[0] for f in files}):
+        head = [r[0] for r in spark.read.text(folder).where(F.col("value").startswith("sample" + sep)).limit(1).collect()]
+        taxa = head[0].split(sep)[1:] if head else []
+        if taxa:
+            rows = spark.read.text(folder).where(F.col("value") != head[0])
+            sample = F.from_csv("value", F.lit("sample string"), {"sep": sep, "maxColumns": str(len(taxa) + 2)})["sample"]
+            values = F.slice(F.split("value", re.escape(sep)), -len(taxa), len(taxa))  # a sample's name may hold the separator
+            cells = F.arrays_zip(F.split(F.lit(sep.join(taxa)), re.escape(sep)).alias("taxid"), values.alias("value"))
+            lines = rows.select(sample.alias("sample"), cells.alias("cells"))  # once a line, before its cells are dealt out
+            out = out.unionByName(lines.select("sample", F.inline("cells")))
+    return out
+
+
 def read_reference_tables(spark: SparkSession, url: str, tables: list[str], splits: dict[str, str] | None = None, rows_each: int = 1_000_000, **options: str) -> dict[str, DataFrame]:
     """Tables of a database by JDBC, or of a folder of Parquet tables.
 

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hitloom.functions.stage import stage
+from hitloom.functions.stage import own_dir, stage
 from hitloom.functions.text import rank_code
 from hitloom.operators.cohort import pivot_samples, running
 from hitloom.operators.counts import depth_first, direct_counts
@@ -73,22 +75,30 @@ def write_matrix(otu: DataFrame, path: str, samples: list[str], transpose: bool
     """The sample x taxon matrix: taxa as rows, or (transposed) samples as rows.
 
     Transposed, more than MATRIX_COLUMNS taxa are written as several tables in folders columns_00000, columns_00001 ...
-    under path, by ascending taxid; each of them has all samples.
+    under path, by ascending taxid; each of them has all samples. Their lines are text: a plan with a column for each taxon
+    takes longer to make than the matrix. readers.read_matrix() reads either layout.
     """
     if not transpose:
         write_table(pivot_samples(otu, "taxid", samples), path, sep)
         return
     numbered = stage(running(otu.select("taxid").distinct().withColumn("one", F.lit(1)), ["taxid"], "one").select("taxid", F.floor((F.col("upto") - 1) / MATRIX_COLUMNS).alias("block")))
-    blocks = 1 + (numbered.agg(F.max("block")).first()[0] or 0)
-    if blocks > 1:  # files of an earlier, smaller matrix or of more blocks go
+    found = numbered.agg(F.max("block")).first()[0]
+    blocks = 0 if found is None else found + 1
+    if blocks != 1:  # files of an earlier, smaller matrix or of more blocks go; without taxa there is but the header
         write_table(otu.select("sample").limit(0), path, sep)
+    rows = stage(otu.select("sample", "taxid", "value"))
+    zeros = rows.select("sample").distinct().crossJoin(numbered.select("taxid")).withColumn("value", F.lit(0).cast(rows.schema["value"].dataType))
+    cells = rows.unionByName(zeros).groupBy("sample", "taxid").agg(F.coalesce(F.sum("value"), F.lit(0)).cast("string").alias("value")).join(numbered, "taxid")
+    values = F.array_join(F.array_sort(F.collect_list(F.struct("taxid", "value")))["value"], sep)
+    lines = cells.groupBy("sample", "block").agg(values.alias("values")).select("block", F.concat_ws(sep, F.to_csv(F.struct("sample"), {"sep": sep}), "values").alias("value"))
+    staged = f"{own_dir(otu.sparkSession)}/matrix-{uuid.uuid4().hex}"
+    lines.write.partitionBy("block").parquet(staged)
+    first = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1) == 0  # of its partition, which is a file
     for i in range(blocks):
-        own = numbered.where(F.col("block") == i).select("taxid")
-        taxa = [r[0] for r in own.orderBy("taxid").collect()]  # MATRIX_COLUMNS at most: the header
-        wide = otu.join(own, "taxid", "left_semi").groupBy("sample").pivot("taxid", taxa).agg(F.sum("value"))
-        if blocks > 1:  # a block has all samples
-            wide = otu.select("sample").distinct().join(wide, "sample", "left")
-        write_table(wide.fillna(0), path if blocks == 1 else f"{path}/columns_{i:05d}", sep)
+        taxa = [str(r[0]) for r in numbered.where(F.col("block") == i).orderBy("taxid").collect()]  # MATRIX_COLUMNS at most: the header
+        own = otu.sparkSession.read.parquet(staged).where(F.col("block") == i)
+        line = F.when(first, F.concat(F.lit(sep.join(["sample", *taxa]) + "\n"), "value")).otherwise(F.col("value"))
+        own.select(line.alias("value")).write.mode("overwrite").text(path if blocks == 1 else f"{path}/columns_{i:05d}")
 
 
 def write_empty_samples(judged: DataFrame, path: str) -> None:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from hitloom.operators import cohort, em, taxonomy
 from hitloom.plans.catalog import QUERIES, SQL
-from hitloom.sources import readers
+from hitloom.sources import readers, writers
 
 DATA = "/root/testdata/sf0.001"
 
@@ -69,3 +69,28 @@ def test_queries_equal_their_sql_where_a_species_has_the_taxid_of_viruses(spark,
         columns = sorted(df.columns)
         want = con.sql(f"SELECT {', '.join(columns)} FROM ({SQL[name]})").fetchall()
         assert sorted((tuple(r[c] for c in columns) for r in df.collect()), key=str) == sorted(want, key=str), name
+
+
+def test_matrix_is_read_back_whole_in_either_layout(spark, tmp_path, monkeypatch):
+    otu = spark.createDataFrame([(s, t, t + k) for k, s in enumerate(["a", 'b,"x', "sample"]) for t in range(7) if t != k], "sample string, taxid int, value int").repartition(4)
+    want = {(s, str(t)): str(0 if t == k else t + k) for k, s in enumerate(["a", 'b,"x', "sample"]) for t in range(7)}
+    for size in (3, 7):
+        monkeypatch.setattr(writers, "MATRIX_COLUMNS", size)
+        path = str(tmp_path / f"by{size}")
+        writers.write_matrix(otu, path, [])
+        got = [((r["sample"], r.taxid), r.value) for r in readers.read_matrix(spark, path).collect()]
+        assert len(got) == len(want) and dict(got) == want
+    writers.write_matrix(otu.limit(0), str(tmp_path / "none"), [])
+    assert readers.read_matrix(spark, str(tmp_path / "none")).count() == 0
+    assert spark.read.option("header", True).csv(str(tmp_path / "none")).columns == ["sample"]
+
+
+@pytest.mark.skipif(not os.path.isdir(DATA), reason="no tables here")
+def test_matrix_of_many_taxa_equals_its_sql(spark, monkeypatch):
+    import duckdb
+
+    monkeypatch.setattr(writers, "MATRIX_COLUMNS", 4)
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW lineitem AS SELECT * FROM '{DATA}/lineitem.parquet'")
+    want = sorted(con.sql(f"SELECT sample, taxid, reads FROM ({SQL['sink_matrix']})").fetchall())
+    assert sorted((r["sample"], r.taxid, r.reads) for r in QUERIES["sink_matrix"](spark, DATA).collect()) == want
