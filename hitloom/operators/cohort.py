@@ -42,8 +42,13 @@ def mann_whitney(values: DataFrame, by: tuple[str, ...], first: str, second: str
     s = rows.groupBy(*by).agg(
         F.sum((F.col("group") == first).cast("long")).alias("n1"), F.sum((F.col("group") == second).cast("long")).alias("n2"),
         F.sum(F.when(F.col("group") == first, F.col("r"))).alias("r1"), ties.alias("ties"),
-    ).where("n1 > 0 and n2 > 0")
-    s = s.withColumn("u", F.col("r1") - F.col("n1") * (F.col("n1") + 1) / 2)
+    )
+    return rank_sum_test(s).select(*by, "n1", "n2", "u", "z", "p_value", "rank_biserial")
+
+
+def rank_sum_test(sums: DataFrame) -> DataFrame:
+    """Rows with n1, n2, r1 (the first group's sum of ranks) and ties -> with u, z, p_value and rank_biserial, as mann_whitney(); rows without one of the groups go."""
+    s = sums.where("n1 > 0 and n2 > 0").withColumn("u", F.col("r1") - F.col("n1") * (F.col("n1") + 1) / 2)
     n, prod = F.col("n1") + F.col("n2"), F.col("n1") * F.col("n2")
     sd = F.sqrt(prod / 12 * ((n + 1) - F.col("ties") / (n * (n - 1))))
     gap = F.greatest(F.abs(F.col("u") - prod / 2) - 0.5, F.lit(0.0))
@@ -51,7 +56,7 @@ def mann_whitney(values: DataFrame, by: tuple[str, ...], first: str, second: str
     small = (F.least("n1", "n2") <= EXACT) & (F.col("ties") == 0)
     exact = rank_sum_exact(*(F.when(small, F.col(c)) for c in ("n1", "n2", "u")))
     near = F.when(F.col("z") == 0, 1.0).otherwise(normal_two_sided(F.col("z")))
-    return s.withColumn("p_value", F.when(small, exact).otherwise(near)).select(*by, "n1", "n2", "u", "z", "p_value", "rank_biserial")
+    return s.withColumn("p_value", F.when(small, exact).otherwise(near))
 
 
 def kruskal_wallis(values: DataFrame, by: tuple[str, ...]) -> DataFrame:
@@ -243,32 +248,80 @@ def _gamma(batches: Iterator[pa.RecordBatch], instances: int) -> Iterator[pa.Rec
         yield pa.RecordBatch.from_arrays([batch.column("sample"), batch.column("feature"), pa.array(logs, pa.list_(pa.float64()))], ["sample", "feature", "logs"])
 
 
+def _log_sums(batches: Iterator[pa.RecordBatch], instances: int) -> Iterator[pa.RecordBatch]:
+    """The draws of _gamma() summed up: for each batch (sample, n, sums), an array of a sum for each instance."""
+    for batch in _gamma(batches, instances):
+        rows = batch.column("logs").flatten().to_numpy().reshape(-1, instances)
+        samples = batch.column("sample").dictionary_encode()
+        of = samples.indices.fill_null(len(samples.dictionary)).to_numpy()
+        found = np.unique(of)
+        sums = [rows[of == i].sum(0) for i in found]
+        names = [samples.dictionary[i].as_py() if i < len(samples.dictionary) else None for i in found.tolist()]
+        yield pa.RecordBatch.from_arrays([pa.array(names, batch.schema.field("sample").type), pa.array(np.bincount(of)[found]), pa.array(sums, pa.list_(pa.float64()))], ["sample", "n", "sums"])
+
+
+def _cells(matrix: DataFrame, seed: int) -> DataFrame:
+    cells = matrix.select("sample", F.col("feature").cast("string").alias("feature"), F.col("value").cast("double").alias("value"))
+    return cells.withColumn("key", F.xxhash64(F.lit(seed), "sample", "feature"))
+
+
+def _logs(cells: DataFrame, instances: int) -> DataFrame:
+    return cells.mapInArrow(partial(_gamma, instances=instances), f"sample {cells.schema['sample'].dataType.simpleString()}, feature string, logs array<double>")
+
+
 def clr_draws(matrix: DataFrame, instances: int = 128, seed: int = 0) -> DataFrame:
     """sample, feature, instance, clr: centred log ratios of Dirichlet draws with the values plus 0.5.
 
     A cell's numbers follow from a hash of seed, sample and feature (a counter-based generator), so they don't depend on
     how rows are dealt out, and the features of a sample needn't meet: only its means, summed up by instance, are joined to them.
     """
-    cells = matrix.select("sample", F.col("feature").cast("string").alias("feature"), F.col("value").cast("double").alias("value"))
-    cells = cells.withColumn("key", F.xxhash64(F.lit(seed), "sample", "feature"))
-    draws = cells.mapInArrow(partial(_gamma, instances=instances), f"sample {cells.schema['sample'].dataType.simpleString()}, feature string, logs array<double>")
-    rows = draws.select("sample", "feature", F.posexplode("logs").alias("instance", "log"))
+    rows = _logs(_cells(matrix, seed), instances).select("sample", "feature", F.posexplode("logs").alias("instance", "log"))
     means = rows.groupBy("sample", "instance").agg(F.avg("log").alias("mean"))
     return rows.join(means, ["sample", "instance"]).select("sample", "feature", "instance", (F.col("log") - F.col("mean")).alias("clr"))
 
 
+def _instance_sums(table: pa.Table) -> pa.Table:
+    """(sample, feature, value, key, first, means) of one feature's samples -> a row for each instance: numbers, means and variances of both groups, r1 and ties of the ranks."""
+    n, means = table.num_rows, table.column("means").combine_chunks().flatten().to_numpy().reshape(table.num_rows, -1)
+    drawn = pa.Table.from_batches(list(_gamma(table.to_batches(), means.shape[1])))
+    x = drawn.column("logs").combine_chunks().flatten().to_numpy().reshape(n, -1) - means
+    in_first = table.column("first").to_numpy()
+    out = {"feature": pa.repeat(table.column("feature")[0], x.shape[1])}
+    for k, own in (("1", x[in_first]), ("2", x[~in_first])):
+        empty = np.zeros(x.shape[1])
+        out["n" + k] = pa.array(np.full(x.shape[1], len(own)))
+        out["m" + k] = pa.array(own.mean(0) if len(own) else empty, mask=np.full(x.shape[1], len(own) < 1))
+        out["v" + k] = pa.array(own.var(0, ddof=1) if len(own) > 1 else empty, mask=np.full(x.shape[1], len(own) < 2))
+    order = np.argsort(x, 0, kind="stable")
+    sorted_ = np.take_along_axis(x, order, 0)
+    at = np.broadcast_to(np.arange(n)[:, None], x.shape)
+    fresh = np.vstack([np.ones((1, x.shape[1]), bool), sorted_[1:] != sorted_[:-1]])
+    begin = np.maximum.accumulate(np.where(fresh, at, 0), 0)  # the first and the last of the values equal to this one
+    last = np.vstack([fresh[1:], np.ones((1, x.shape[1]), bool)])
+    end = np.minimum.accumulate(np.where(last, at, n)[::-1], 0)[::-1]
+    t = (end - begin + 1).astype(float)
+    out["r1"] = pa.array((((begin + end) / 2 + 1) * in_first[order]).sum(0))
+    out["ties"] = pa.array((t * t - 1).sum(0))
+    return pa.table(out)
+
+
 def clr_effect(matrix: DataFrame, groups: DataFrame, first: str, second: str, instances: int = 128, seed: int = 0) -> DataFrame:
-    """Per feature: mean over Dirichlet instances of Welch's p and of the rank-sum p, the effect size, and the q_value of Welch's."""
-    rows = clr_draws(matrix, instances, seed).join(groups, "sample").where(F.col("group").isin(first, second))
-    key = ("feature", "instance")
-    side = lambda g, f: f(F.when(F.col("group") == g, F.col("clr")))
-    s = rows.groupBy(*key).agg(side(first, F.avg).alias("m1"), side(second, F.avg).alias("m2"), side(first, F.var_samp).alias("v1"), side(second, F.var_samp).alias("v2"), F.count_if(F.col("group") == first).alias("n1"), F.count_if(F.col("group") == second).alias("n2"))
+    """Per feature: mean over Dirichlet instances of Welch's p and of the rank-sum p, the effect size, and the q_value of Welch's.
+
+    The draws are those of clr_draws(), but only cells are shuffled, by feature, and no row of a draw: a task draws and tests all instances
+    of one feature at a time. Cells are small and their draws aren't, so they are dealt out by number, not by their size.
+    """
+    spark = matrix.sparkSession
+    cells = _cells(matrix, seed).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "feature")
+    sums = cells.mapInArrow(partial(_log_sums, instances=instances), f"sample {cells.schema['sample'].dataType.simpleString()}, n long, sums array<double>")
+    means = sums.select("sample", "n", F.posexplode("sums").alias("instance", "x")).groupBy("sample", "instance").agg((F.sum("x") / F.sum("n")).alias("mean"))
+    means = means.groupBy("sample").agg(F.array_sort(F.collect_list(F.struct("instance", "mean")))["mean"].alias("means"))
+    of = stage(means.join(groups, "sample").where(F.col("group").isin(first, second)).select("sample", (F.col("group") == first).alias("first"), "means"))
+    s = cells.join(of, "sample").groupBy("feature").applyInArrow(_instance_sums, "feature string, n1 long, m1 double, v1 double, n2 long, m2 double, v2 double, r1 double, ties double")
     a, b = F.col("v1") / F.col("n1"), F.col("v2") / F.col("n2")
     df = (a + b) * (a + b) / (a * a / (F.col("n1") - 1) + b * b / (F.col("n2") - 1))
-    s = s.withColumn("welch", t_two_sided((F.col("m1") - F.col("m2")) / F.sqrt(a + b), df)).withColumn("e", (F.col("m1") - F.col("m2")) / F.sqrt((F.col("v1") + F.col("v2")) / 2))
-    u = mann_whitney(rows.withColumnRenamed("clr", "value"), key, first, second).select(*key, F.col("p_value").alias("wilcoxon"))
-    out = s.join(u, list(key)).groupBy("feature").agg(F.avg("welch").alias("p_value"), F.avg("wilcoxon").alias("p_wilcoxon"), F.avg("e").alias("effect"))
-    return bh_fdr(out)
+    s = rank_sum_test(s).withColumn("welch", t_two_sided((F.col("m1") - F.col("m2")) / F.sqrt(a + b), df)).withColumn("e", (F.col("m1") - F.col("m2")) / F.sqrt((F.col("v1") + F.col("v2")) / 2))
+    return bh_fdr(s.groupBy("feature").agg(F.avg("welch").alias("p_value"), F.avg("p_value").alias("p_wilcoxon"), F.avg("e").alias("effect")))
 
 
 def species_long(tools: list[DataFrame]) -> DataFrame:
