@@ -377,10 +377,16 @@ def read_tool_counts(spark: SparkSession, path: str, tool: str) -> DataFrame:
 
 
 def read_blast_xml(spark: SparkSession, path: str) -> DataFrame:
-    """HSPs (query, hit, alen, pid, strand, qf, qt, hf, ht) of BLAST XML, one row tag for each query."""
+    """HSPs (query, hit, alen, pid, strand, qf, qt, hf, ht) of BLAST XML, one row tag for each query.
+
+    Files are read as text that ends at `</Iteration>`, in splits of any size, so that a task reads no whole file and holds one query at
+    a time; the lines of an Iteration may be broken anywhere.
+    """
     hsp = "struct<`Hsp_query-from`:int,`Hsp_query-to`:int,`Hsp_hit-from`:int,`Hsp_hit-to`:int,`Hsp_identity`:int,`Hsp_align-len`:int>"
     schema = f"`Iteration_query-def` string, Iteration_hits struct<Hit:array<struct<Hit_accession:string,Hit_def:string,Hit_hsps:struct<Hsp:array<{hsp}>>>>>"
-    rows = spark.read.format("xml").option("rowTag", "Iteration").schema(schema).load(path)
+    texts = spark.read.option("lineSep", "</Iteration>").text(path).withColumn("at", F.regexp_instr("value", F.lit(r"<Iteration[\s>]"))).where("at > 0")
+    one = F.concat(F.substring("value", F.col("at"), F.length("value")), F.lit("</Iteration>"))
+    rows = texts.select(F.from_xml(one, schema, {"rowTag": "Iteration"}).alias("x")).select("x.*")
     hits = rows.select(F.split("Iteration_query-def", " ")[0].alias("query"), F.explode("Iteration_hits.Hit").alias("h"))
     h = hits.select("query", F.col("h.Hit_accession").alias("hit"), F.explode("h.Hit_hsps.Hsp").alias("s"))
     s = lambda c: F.col("s")[c]
