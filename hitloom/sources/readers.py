@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import partial
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -253,43 +256,60 @@ def _is_head(lines: list[str], i: int) -> bool:
     return lines[i][:1] == "@" and i + 2 < len(lines) and lines[i + 2][:1] == "+"
 
 
-def _fastq_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(value, file, block) in order -> whole records, and the lines before the first (part 0) and after the last (part 1) of a
+def _runs(batch: pa.RecordBatch) -> Iterator[tuple[tuple[str, int], pa.Array]]:
+    """((file, block), lines) of the stretches of a batch that lie in one block."""
+    file, block, n = batch.column("file"), batch.column("block"), batch.num_rows
+    if n:
+        same = pc.and_(pc.equal(file[1:], file[:-1]), pc.equal(block[1:], block[:-1])).to_numpy(zero_copy_only=False)
+        ends = [*(np.flatnonzero(~same) + 1).tolist(), n]
+        for lo, hi in zip([0, *ends[:-1]], ends, strict=True):
+            yield (file[lo].as_py(), block[lo].as_py()), batch.column("value")[lo:hi]
+
+
+FASTQ_PIECE = pa.schema([("file", pa.string()), ("block", pa.int64()), ("part", pa.int32()), ("lines", pa.list_(pa.string())), ("head", pa.string()), ("seq", pa.string()), ("qual", pa.string())])
+
+
+def _fastq_pieces(batches: Iterator[pa.RecordBatch], whole: bool) -> Iterator[pa.RecordBatch]:
+    """(value, file, block) in order -> whole records (head, seq, qual), or, unless `whole`, the lines before the first (part 0) and after the last (part 1) of a
     block; a block in which no record is seen to begin is all part 0, any other has a part 1, which may be empty."""
-    names = ["file", "block", "part", "lines"]
-    held: list[str] = []
+    held = pa.array([], pa.string())  # lines that aren't given out yet
     at, inside = None, False
 
-    def records(last: bool):
-        nonlocal held, inside
-        out, i = [], 0
-        if not inside:
-            i = next((k for k in range(len(held)) if _is_head(held, k)), None)
-            if i is None:  # no beginning in sight
-                return [(*at, 0, held)] if last else []
-            out, inside = [(*at, 0, held[:i])], True
-        n = i + (len(held) - i) // 4 * 4
-        out += [(*at, None, held[k : k + 4]) for k in range(i, n, 4)]
-        held = held[n:]
-        return [*out, (*at, 1, held)] if last else out
-
-    def batch_of(rows):
-        columns = list(zip(*rows, strict=True)) if rows else [[], [], [], []]
-        types = [pa.string(), pa.int64(), pa.int32(), pa.list_(pa.string())]
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
+    def part(k: int, lines: pa.Array) -> list[pa.RecordBatch]:
+        if whole:
+            return []
+        row = [[at[0]], [at[1]], [k], [lines.to_pylist()], [None], [None], [None]]
+        return [pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(row, FASTQ_PIECE.types, strict=True)], schema=FASTQ_PIECE)]
+
+    def records(n: int) -> list[pa.RecordBatch]:
+        if not whole or not n:
+            return []
+        first = np.arange(0, 4 * n, 4)
+        head, seq, qual = (held.take(pa.array(first + i)) for i in (0, 1, 3))
+        return [pa.RecordBatch.from_arrays([pa.repeat(at[0], n), pa.repeat(pa.scalar(at[1], pa.int64()), n), pa.nulls(n, pa.int32()), pa.nulls(n, FASTQ_PIECE.types[3]), head, seq, qual], schema=FASTQ_PIECE)]
+
+    def close() -> list[pa.RecordBatch]:
+        return [] if at is None else part(1 if inside else 0, held)
 
     for batch in batches:
         out = []
-        for value, file, block in zip(*(batch.column(c).to_pylist() for c in ("value", "file", "block")), strict=True):
-            if (file, block) != at:
-                if at:
-                    out += records(last=True)
-                held, at, inside = [], (file, block), False
-            held.append(value)
-        out += records(last=False) if at else []
-        yield batch_of(out)
-    if at:
-        yield batch_of(records(last=True))
+        for here, lines in _runs(batch):
+            if here != at:
+                out += close()
+                held, at, inside = lines.slice(0, 0), here, False
+            held = pa.concat_arrays([held, lines])
+            if not inside:
+                texts = held.to_pylist()
+                i = next((k for k in range(len(texts)) if _is_head(texts, k)), None)
+                if i is None:  # no beginning in sight
+                    continue
+                out += part(0, held[:i])
+                held, inside = held[i:], True
+            n = len(held) // 4
+            out += records(n)
+            held = held[4 * n :]
+        yield from out
+    yield from close()
 
 
 def read_fastq(spark: SparkSession, path: str, mate: int = 1) -> DataFrame:
@@ -299,14 +319,16 @@ def read_fastq(spark: SparkSession, path: str, mate: int = 1) -> DataFrame:
     lines of records that lie across two splits are shuffled and put together. Compressed files are one split each.
     """
     lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
-    pieces = lines.mapInArrow(_fastq_pieces, "file string, block long, part int, lines array<string>")
+    schema = "file string, block long, part int, lines array<string>, head string, seq string, qual string"
     order = Window.partitionBy("file").orderBy("block", "part")
-    cut = pieces.where("part is not null").withColumn("k", F.sum("part").over(order))  # from the end of one block's records to the next one's
+    cut = lines.mapInArrow(partial(_fastq_pieces, whole=False), schema).withColumn("k", F.sum("part").over(order))  # from the end of one block's records to the next one's
     joined = cut.groupBy("file", "k").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("block", "part", "lines"))), lambda x: x["lines"])).alias("lines"))
     fours = joined.where(F.size("lines") >= 4).select("file", "lines", F.explode(F.sequence(F.lit(1), F.size("lines") - 3, F.lit(4))).alias("first"))
-    rows = pieces.where("part is null").select("file", "lines").unionByName(fours.select("file", F.slice("lines", F.col("first"), 4).alias("lines")))
-    read_id = F.split(F.substring(F.col("lines")[0], 2, 1 << 30), " ")[0]
-    return rows.select(sample_name(F.col("file")).alias("sample"), F.lit(mate).alias("mate"), read_id.alias("read_id"), F.col("lines")[1].alias("seq"), F.col("lines")[3].alias("qual"))
+    line = lambda i: F.element_at("lines", F.col("first") + i)
+    rows = lines.mapInArrow(partial(_fastq_pieces, whole=True), schema).select("file", "head", "seq", "qual")
+    rows = rows.unionByName(fours.select("file", line(0).alias("head"), line(1).alias("seq"), line(3).alias("qual")))
+    read_id = F.split(F.substring("head", 2, 1 << 30), " ")[0]
+    return rows.select(sample_name(F.col("file")).alias("sample"), F.lit(mate).alias("mate"), read_id.alias("read_id"), "seq", "qual")
 
 
 def with_parents(rows: DataFrame, by: str = "sample") -> DataFrame:
