@@ -171,40 +171,98 @@ def read_results(spark: SparkSession, pattern: str, sep: str = ",") -> DataFrame
 PIECE = 1 << 20  # bases of a record that stand in one row
 
 
-def _fasta_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+BLANKS = r"[\t-\r\x{1c}-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"  # what str.split() splits at
+
+
+def _fasta_pieces(batches: Iterator[pa.RecordBatch], whole: bool | None = None) -> Iterator[pa.RecordBatch]:
     """(value, file, block) in order -> pieces of records: file, block, k (the record's number in the block; 0 is what stands before
-    its first header), part, header (of part 0), whole (the record has begun and ended here, in one piece), seq, length."""
+    its first header), part, header (of part 0), whole (the record has begun and ended here, in one piece), seq, length.
+
+    Only pieces that are whole, or only the others, are given out if `whole` says so. Records within a batch are put together at once, others line by line.
+    """
     names = ["file", "block", "k", "part", "header", "whole", "seq", "length"]
     types = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_(), pa.string(), pa.int64()]
     at, k, part, header, held, n = None, 0, 0, None, [], 0
+    out: list[tuple] = []
 
-    def piece(ended: bool) -> tuple:
-        seq = "".join(held)
-        return (*at, k, part, header if k and not part else None, ended and k > 0 and not part, seq, len(seq))
+    def piece(ended: bool) -> None:
+        in_one = ended and k > 0 and not part
+        if whole in (None, in_one):
+            seq = "".join(held)
+            out.append((*at, k, part, header if k and not part else None, in_one, seq, len(seq)))
 
     def batch_of(rows: list[tuple]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names)
 
+    def step(value: str) -> None:
+        nonlocal k, part, header, held, n
+        if value.startswith(">"):
+            if k or n:
+                piece(ended=True)
+            k, part, header, held, n = k + 1, 0, value[1:].rstrip("\r"), [], 0
+            return
+        held.append("".join(value.split()))
+        n += len(held[-1])
+        if n >= PIECE:
+            piece(ended=False)
+            part, held, n = part + 1, [], 0
+
+    def short(lines: pa.Array, heads: np.ndarray) -> bool:
+        """Whether the records that begin at these lines and end before the last of them are each of one piece, blanks counted."""
+        return int(np.add.reduceat(pc.utf8_length(lines).to_numpy(zero_copy_only=False), heads[:-1]).max()) < PIECE
+
+    def between(lines: pa.Array, heads: np.ndarray) -> pa.RecordBatch:
+        texts = pc.if_else(pc.starts_with(lines, ">"), "", pc.replace_substring_regex(lines, BLANKS, ""))  # headers are no bases
+        seqs = pc.binary_join(pa.ListArray.from_arrays(pa.array(heads, pa.int32()), texts), "")
+        m = len(seqs)
+        header = pc.utf8_rtrim(pc.utf8_slice_codeunits(lines.take(pa.array(heads[:-1])), 1), "\r")
+        return pa.RecordBatch.from_arrays([pa.repeat(at[0], m), pa.repeat(pa.scalar(at[1], pa.int64()), m), pa.array(np.arange(k, k + m)), pa.array(np.zeros(m, np.int64)), header, pa.repeat(True, m), seqs, pc.cast(pc.utf8_length(seqs), pa.int64())], names)
+
     for batch in batches:
-        out = []
-        for value, file, block in zip(*(batch.column(c).to_pylist() for c in ("value", "file", "block")), strict=True):
-            if (file, block) != at:
+        for here, lines in _runs(batch):
+            if here != at:
                 if at and (k or n):
-                    out.append(piece(ended=False))
-                at, k, part, header, held, n = (file, block), 0, 0, None, [], 0
-            if value.startswith(">"):
-                if k or n:
-                    out.append(piece(ended=True))
-                k, part, header, held, n = k + 1, 0, value[1:].rstrip("\r"), [], 0
-                continue
-            held.append("".join(value.split()))
-            n += len(held[-1])
-            if n >= PIECE:
-                out.append(piece(ended=False))
-                part, held, n = part + 1, [], 0
-        yield batch_of(out)
+                    piece(ended=False)
+                at, k, part, header, held, n = here, 0, 0, None, [], 0
+            heads = np.flatnonzero(pc.starts_with(lines, ">").to_numpy(zero_copy_only=False))
+            done = 0
+            if len(heads) > 1:
+                for value in lines[: heads[0] + 1].to_pylist():
+                    step(value)
+                done = int(heads[0]) + 1
+                upto = lines[: heads[-1]]
+                if short(upto, heads):
+                    if whole is not False:
+                        if out:
+                            yield batch_of(out)
+                            out.clear()
+                        yield between(upto, heads)
+                    k, part, header, held, n, done = k + len(heads) - 2, 0, None, [], 0, int(heads[-1])
+                    k, header, done = k + 1, lines[done].as_py()[1:].rstrip("\r"), done + 1
+            for value in lines[done:].to_pylist():
+                step(value)
+        if out:
+            yield batch_of(out)
+            out.clear()
     if at and (k or n):
-        yield batch_of([piece(ended=False)])
+        piece(ended=False)
+    if out:
+        yield batch_of(out)
+
+
+def _fasta(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """The whole records of read_fasta_pieces(), and its other pieces."""
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
+    schema = "file string, block long, k long, part long, header string, whole boolean, seq string, length long"
+    full, cut = (lines.mapInArrow(partial(_fasta_pieces, whole=w), schema) for w in (True, False))
+    # a block's last record is never whole: no header ends it there
+    blocks = cut.groupBy("file", "block").agg(F.max(F.when((F.col("k") > 0) & (F.col("part") == 0), F.struct("block", "k"))).alias("head"))
+    before = F.last("head", ignorenulls=True).over(Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1))
+    blocks = blocks.select("file", "block", before.alias("head")).where("head IS NOT NULL")
+    later = cut.where("k = 0").join(blocks, ["file", "block"]).withColumn("header", F.lit(None).cast("string"))
+    own = lambda rows: rows.withColumn("head", F.struct("block", "k"))
+    pieces = lambda rows: rows.select("file", F.col("head").alias("record"), "header", F.struct("block", "part").alias("place"), "whole", "seq", "length")
+    return pieces(own(full)), pieces(own(cut.where("k > 0")).unionByName(later))
 
 
 def read_fasta_pieces(spark: SparkSession, path: str) -> DataFrame:
@@ -214,29 +272,22 @@ def read_fasta_pieces(spark: SparkSession, path: str) -> DataFrame:
     of any size: what stands before a split's first header belongs to the last header of the splits before it, so only
     one row for each split is sorted. record names a record, place orders its pieces; whole ones have no other.
     """
-    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
-    pieces = lines.mapInArrow(_fasta_pieces, "file string, block long, k long, part long, header string, whole boolean, seq string, length long")
-    head = F.struct("block", "k", "header")
-    blocks = pieces.groupBy("file", "block").agg(F.max(F.when((F.col("k") > 0) & (F.col("part") == 0), head)).alias("last"))
-    before = F.last("last", ignorenulls=True).over(Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1))
-    blocks = blocks.select("file", "block", before.alias("head")).where("head IS NOT NULL")
-    later = pieces.where("k = 0").join(blocks, ["file", "block"]).withColumn("header", F.lit(None).cast("string"))
-    own = pieces.where("k > 0").withColumn("head", F.struct("block", "k", "header"))
-    record = F.struct(F.col("head.block").alias("block"), F.col("head.k").alias("k")).alias("record")
-    return own.unionByName(later).select("file", record, "header", F.struct("block", "part").alias("place"), "whole", "seq", "length")
+    whole, cut = _fasta(spark, path)
+    return whole.unionByName(cut)
 
 
 def fasta_lengths(spark: SparkSession, path: str) -> DataFrame:
     """header, length of each record; lengths of pieces are summed, so a record may be of any length."""
-    rows = read_fasta_pieces(spark, path).groupBy("file", "record").agg(F.max("header").alias("header"), F.sum("length").alias("length"))
-    return rows.select("header", "length")
+    whole, cut = _fasta(spark, path)
+    joined = cut.groupBy("file", "record").agg(F.max("header").alias("header"), F.sum("length").alias("length"))
+    return whole.select("header", "length").unionByName(joined.select("header", "length"))
 
 
 def read_fasta(spark: SparkSession, path: str) -> DataFrame:
     """header, seq of each record. Only records in several pieces, and the last ones of splits, are shuffled; see fasta_lengths() for lengths."""
-    pieces = read_fasta_pieces(spark, path)
-    joined = pieces.where("NOT whole").groupBy("file", "record").agg(F.max("header").alias("header"), F.array_sort(F.collect_list(F.struct("place", "seq"))).alias("parts"))
-    return pieces.where("whole").select("header", "seq").unionByName(joined.select("header", F.array_join("parts.seq", "").alias("seq")))
+    whole, cut = _fasta(spark, path)
+    joined = cut.groupBy("file", "record").agg(F.max("header").alias("header"), F.array_sort(F.collect_list(F.struct("place", "seq"))).alias("parts"))
+    return whole.select("header", "seq").unionByName(joined.select("header", F.array_join("parts.seq", "").alias("seq")))
 
 
 def segments_from_fasta(fasta: DataFrame, pattern: str = r"^(\S+)\s+(.*?)\s+segment\s+([^,\s]+)", min_segments: int = 2) -> tuple[DataFrame, DataFrame]:

@@ -65,3 +65,16 @@ def test_fastq_records_leave_python_as_columns():
     whole, cut = ([r for b in readers._fastq_pieces(iter(rows), whole=w) for r in b.to_pylist()] for w in (True, False))
     assert [(r["head"], r["seq"], r["qual"], r["lines"]) for r in whole] == [(f"@r{i} lane", "ACGT", "@III", None) for i in range(3)]
     assert [(r["part"], r["lines"]) for r in cut] == [(0, ["IIII"]), (1, ["@r3"])]
+
+
+def test_fasta_is_parsed_once_for_whole_records(spark, tmp_path):
+    records = [(f"r{i} >x", "ACGT" * (i % 4)) for i in range(60)]
+    (tmp_path / "a.fa").write_text("".join(f">{h}\r\n{s[:5]}\n {s[5:]}\n\n" for h, s in records))
+
+    def read():
+        out = readers.read_fasta(spark, str(tmp_path))
+        return out._jdf.queryExecution().optimizedPlan().toString(), sorted((r.header, r.seq) for r in out.collect())
+
+    plan, got = in_small_splits(spark, read)
+    assert got == sorted(records)
+    assert plan.count("MapInArrow") <= 4  # one for whole records; the others give out what is cut alone
