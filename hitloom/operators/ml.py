@@ -51,6 +51,11 @@ def balanced(rows: DataFrame) -> DataFrame:
     return rows.withColumn("weight", F.when(F.col("label") == 1, total / (2 * max(n.get(1, 0), 1))).otherwise(total / (2 * max(n.get(0, 0), 1))))
 
 
+def fit_tp_fp_model(rows: DataFrame) -> PipelineModel:
+    """The model of train_tp_fp_model() alone: one fit, where held-out scores take one more for each fold."""
+    return _pipeline().fit(stage(balanced(rows)))
+
+
 def train_tp_fp_model(rows: DataFrame, folds: int = 4) -> tuple[PipelineModel, DataFrame]:
     """Fit on ml_features() with a label 0 or 1; also the held-out scores of folds grouped by sample (fold, auc, precision, recall, f1)."""
     rows = balanced(rows.withColumn("fold", F.pmod(F.xxhash64("sample"), F.lit(folds))))

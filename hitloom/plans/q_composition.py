@@ -214,6 +214,6 @@ def ml_features(spark, d):
 def classify_ml_filter(spark, d):
     """A run by coverage without the taxa that the detection model rejects; the model learns which taxa are true."""
     h, lineage = view(spark, d, "hits"), q_cover.lin(spark, d)
-    model, _ = ml.train_tp_fp_model(stage(q_cohort.labelled_summary(spark, d)))
+    model = ml.fit_tp_fp_model(stage(q_cohort.labelled_summary(spark, d)))
     out = pipelines.classify_ml_filter(h, view(spark, d, "mask"), view(spark, d, "refs"), lineage, model)
     return out["assigned"].groupBy("sample", "lca_taxid").agg(F.count("*").alias("n"))

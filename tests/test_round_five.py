@@ -3,7 +3,7 @@
 import numpy as np
 import pyarrow as pa
 
-from hitloom.operators import cohort
+from hitloom.operators import cohort, ml
 from hitloom.sources import readers
 
 
@@ -78,3 +78,14 @@ def test_fasta_is_parsed_once_for_whole_records(spark, tmp_path):
     plan, got = in_small_splits(spark, read)
     assert got == sorted(records)
     assert plan.count("MapInArrow") <= 4  # one for whole records; the others give out what is cut alone
+
+
+def test_a_model_without_scores_is_fitted_once(spark, monkeypatch):
+    fits = []
+    pipeline = ml._pipeline
+    monkeypatch.setattr(ml, "_pipeline", lambda: fits.append(1) or pipeline())
+    rows = spark.createDataFrame([(f"s{i % 8}", i % 2, *(float((i * (k + 3) + i % 2 * k) % 11) for k in range(len(ml.FEATURES)))) for i in range(40)], ["sample", "label", *ml.FEATURES])
+    one = ml.coefficients(ml.fit_tp_fp_model(rows))
+    assert len(fits) == 1
+    both = ml.coefficients(ml.train_tp_fp_model(rows, 1)[0])
+    assert all(abs(one[f] - both[f]) < 1e-6 for f in ml.FEATURES)
