@@ -128,11 +128,13 @@ def remove_host_reads(reads: DataFrame, host: DataFrame, k: int = 31, least: int
     """
     if sep:
         own = host.select(F.explode(shingles(F.col("seq"), k, sep)).alias("kmer")).distinct()
-        mine = reads.select("sample", "read_id", F.explode(F.array_distinct(shingles(F.col("seq"), k, sep))).alias("kmer")).distinct()
+        mine = reads.select("sample", "read_id", F.explode(F.array_distinct(shingles(F.col("seq"), k, sep))).alias("kmer"))
     else:
         own = minimizers(host.select("seq"), k, window).select("kmer").distinct()
-        mine = minimizers(reads.select("sample", "read_id", "seq"), k, window).select("sample", "read_id", "kmer").distinct()
-    removed = mine.join(own, "kmer").groupBy("sample", "read_id").agg(F.count("*").alias("host_kmers")).where(F.col("host_kmers") >= least)
+        mine = minimizers(reads.select("sample", "read_id", "seq"), k, window).select("sample", "read_id", "kmer")
+    # the host's k-mers are distinct, so those of a read are counted once when only the shared ones are left
+    shared = mine.join(own, "kmer").distinct()
+    removed = shared.groupBy("sample", "read_id").agg(F.count("*").alias("host_kmers")).where(F.col("host_kmers") >= least)
     return drop_pairs(reads, removed), removed
 
 
