@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from hitloom.functions.adapters import cutter
 from hitloom.functions.kmers import minimizers
 
 
@@ -45,47 +47,21 @@ def trim_totals(before: DataFrame, after: DataFrame) -> DataFrame:
     return sums(before, "before").join(sums(after, "after"), ["sample", "mate"], "left").fillna(0)
 
 
-def adapter_length(seq: Column, adapter: str, errors: int) -> Column:
+def adapter_length(seq: Column, adapter: str, errors: int, times: int = 1) -> Column:
     """Length of the prefix of seq that is the adapter with the fewest edits, `errors` at most; 0 if there is none.
 
-    Of prefixes with equally few edits the one nearest to the adapter's length counts, then the longer. Bit-parallel: state j has bit i set if the first i bases of the
-    adapter match the prefix so far with j edits; a base of the read shifts all of them at once.
+    Of prefixes with equally few edits the one nearest to the adapter's length counts, then the longer. With times, the
+    length of up to that many adapters in a row, each found in what the one before leaves. Whole batches are matched in NumPy.
     """
-    m = len(adapter)
-    if not 0 <= errors < m <= 60:
+    if not 0 <= errors < len(adapter) <= 60:
         raise ValueError("an adapter of 60 bases at most, with fewer errors than bases")
-    masks = {b: sum(1 << (i + 1) for i, x in enumerate(adapter.upper()) if x == b) for b in sorted(set(adapter.upper()))}
-    none = F.lit(1 << 40)
-
-    def step(state: Column, at: Column) -> Column:
-        base = F.upper(F.substring(seq, at, F.lit(1)))
-        fits = F.lit(0).cast("long")
-        for b, mask in masks.items():
-            fits = F.when(base == b, F.lit(mask)).otherwise(fits)
-
-        def bound(fits: Column) -> Column:
-            # a substitution or an insertion leaves the edits before it; a deletion then follows without a base of the read
-            raw = [F.shiftleft(state["r0"], 1).bitwiseAND(fits)]
-            for j in range(1, errors + 1):
-                old = state[f"r{j - 1}"]
-                raw.append(F.shiftleft(state[f"r{j}"], 1).bitwiseAND(fits).bitwiseOR(old).bitwiseOR(F.shiftleft(old, 1)))
-            new = []
-            for j in range(errors + 1):  # up to j - i deletions after i edits
-                x = raw[j]
-                for i in range(j):
-                    x = x.bitwiseOR(F.shiftleft(raw[i], j - i))
-                new.append(x)
-            rank = none
-            for j in reversed(range(errors + 1)):
-                there = F.shiftright(new[j], m).bitwiseAND(F.lit(1)) == 1
-                rank = F.when(there, (F.lit(j) * 1000 + F.abs(at - m)) * 1000 + (999 - at)).otherwise(rank)
-            return F.struct(*(x.alias(f"r{j}") for j, x in enumerate(new)), F.least(state["best"], rank).cast("long").alias("best"))
-
-        return F.transform(F.array(fits), bound)[0]
-
-    first = F.struct(*(F.lit((1 << (j + 1)) - 1).cast("long").alias(f"r{j}") for j in range(errors + 1)), none.cast("long").alias("best"))
-    places = F.when(F.length(seq) > 0, F.sequence(F.lit(1), F.least(F.length(seq), F.lit(m + errors)))).otherwise(F.array().cast("array<int>"))
-    return F.coalesce(F.aggregate(places, first, step, lambda s: F.when(s["best"] < none, 999 - s["best"] % 1000).otherwise(0)), F.lit(0)).cast("int")
+    cut = cutter(adapter, errors, times)
+
+    @F.arrow_udf("int")
+    def of(seq: pa.Array) -> pa.Array:
+        return cut(seq)
+
+    return of(seq)
 
 
 def trim_adapter(reads: DataFrame, adapter: str, times: int = 8, min_length: int = 70, errors: int = 0) -> DataFrame:
@@ -93,14 +69,12 @@ def trim_adapter(reads: DataFrame, adapter: str, times: int = 8, min_length: int
     if not errors:
         rows = _cut(reads, F.regexp_replace("seq", f"^(?:{adapter}){{1,{times}}}", ""))
     else:
-        def once(state: Column, _: Column) -> Column:
-            cut = lambda n: F.struct(F.substring(state["seq"], n + 1, F.length(state["seq"])).alias("seq"), (n == 0).alias("done"))
-            return F.when(state["done"], state).otherwise(F.transform(F.array(adapter_length(state["seq"], adapter, errors)), cut)[0])
-
-        start = F.struct(F.col("seq").alias("seq"), F.lit(False).alias("done"))
-        rows = _cut(reads, F.aggregate(F.sequence(F.lit(1), F.lit(times)), start, once, lambda s: s["seq"]))
+        rows = _cut(reads.withColumn("cut", adapter_length(F.col("seq"), adapter, errors, times)), F.substring("seq", F.col("cut") + 1, F.length("seq"))).drop("cut")
     rows = rows.withColumn("qual", F.expr("substring(qual, length(seq) - length(new) + 1)")).withColumn("seq", F.col("new")).drop("new")
-    return drop_pairs(rows, rows.where(F.length("seq") < min_length))
+    # a pair's least length is seen by a window, so no read is trimmed a second time to be joined; a read without a key has no pair
+    pair = Window.partitionBy("sample", "read_id")
+    short = F.coalesce(F.min(F.length("seq")).over(pair) < min_length, F.lit(False)) & F.col("sample").isNotNull() & F.col("read_id").isNotNull()
+    return rows.withColumn("short", short).where("not short").drop("short")
 
 
 def drop_pairs(reads: DataFrame, bad: DataFrame) -> DataFrame:

@@ -18,3 +18,12 @@ def test_host_screen_makes_only_shared_kmers_distinct(spark, sep):
     assert [tuple(r) for r in removed.collect()] == [("s", "a", 3)]
     below = plan_of(removed).split("Join Inner", 1)[1]
     assert below.count("Aggregate") == 1  # of the host's k-mers; the reads' aren't shuffled to be made distinct
+
+
+def test_adapters_are_cut_once_in_batches(spark):
+    rows = [("s", 1, "a", "ACGTACGTTTTTTTTTTTTT"), ("s", 2, "a", "ACGTACG"), ("s", 1, "b", "ACGAACGTACGTACGTTTTTTTTTTTTT"), ("s", 1, None, "ACGTACGT"), ("s", 1, "c", None), ("s", 1, "d", "acgtacgtéTTTTTTTTTTT")]
+    table = spark.createDataFrame([(*r, r[3]) for r in rows], "sample string, mate int, read_id string, seq string, qual string")
+    cut = reads.trim_adapter(table, "ACGTACGT", min_length=10, errors=1)
+    plan = plan_of(cut)
+    assert "Join" not in plan and plan.count("ArrowEvalPython") == 1
+    assert {(r.read_id, r.seq, r.qual) for r in cut.collect()} == {("b", "T" * 12, "T" * 12), (None, "", ""), ("c", None, None), ("d", "é" + "T" * 11, "é" + "T" * 11)}
