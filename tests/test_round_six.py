@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from hitloom.operators import reads
+from hitloom.operators import assign, reads
 
 
 def plan_of(df) -> str:
@@ -27,3 +27,15 @@ def test_adapters_are_cut_once_in_batches(spark):
     plan = plan_of(cut)
     assert "Join" not in plan and plan.count("ArrowEvalPython") == 1
     assert {(r.read_id, r.seq, r.qual) for r in cut.collect()} == {("b", "T" * 12, "T" * 12), (None, "", ""), ("c", None, None), ("d", "é" + "T" * 11, "é" + "T" * 11)}
+
+
+def test_mates_meet_without_arrays_of_hits(spark, monkeypatch):
+    plans = []
+    monkeypatch.setattr(assign, "stage", lambda df: plans.append(plan_of(df)) or df)
+    rows = [("s", "a", "+", 5, 60.0), ("s", "a", "-", 5, 52.0), ("s", "a", "-", 6, 61.0), ("s", "b", "+", 6, 9.0), ("s", "b", None, 5, 99.0), ("s", "c", "+", None, 9.0), ("s", "c", "-", 6, 8.0), ("s", "d", "+", 7, 50.0), ("s", "d", "-", 5, 51.0)]
+    hits = spark.createDataFrame(rows, "sample string, query string, strand string, taxid int, bits double")
+    path = lambda *t: [(x, "", "") for x in t]
+    lineage = spark.createDataFrame([(1, path(1)), (5, path(1, 5)), (6, path(1, 6)), (7, path(1, 5, 7))], "taxid int, path array<struct<taxid: int, rank: string, name: string>>")
+    got = {p: {r.query: r.lca_taxid for r in assign.paired_concordance(hits, lineage, p).collect()} for p in assign.PRESETS}
+    assert got == {"pe_strict": {}, "pe_balanced": {"a": 5, "b": 5, "c": 6, "d": 5}, "pe_coord": {"a": 5, "b": 6, "c": 6, "d": 5}}
+    assert len(plans) == 3 and all("lambda" not in p and p.count("RepartitionByExpression") == 1 for p in plans)
