@@ -32,7 +32,7 @@ def classify_coverage(rows: DataFrame, mask: DataFrame, references: DataFrame, l
     """assigned reads, abundance and summary by coverage; mode `all` keeps all hits of multi-mapped reads for the coverage."""
     rows = hits.attach_segments(prepare(rows, mask), references)
     rows = attach_rank(rows, lineage, rank, "working_taxid", "rank_taxid").withColumn("working_taxid", F.col("rank_taxid")).where("working_taxid is not null and working_taxid != 0").drop("rank_taxid")
-    rows = stage(rows)
+    rows = stage(rows.select(*coverage.USED))
     cands = stage(assign.candidates(rows))
     if mode == "best_hit":
         used = stage(rows.join(assign.best_taxon(cands), ["sample", "query", "working_taxid"]))
