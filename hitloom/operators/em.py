@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
 from hitloom.functions.stage import stage
 
@@ -22,9 +23,9 @@ def read_classes(cands: DataFrame) -> DataFrame:
     """(sample, class, reads, species, score): reads with the same candidates and scores are one class; the score of a
     read's only candidate doesn't matter, so all such reads of a species are one."""
     only = F.transform("set", lambda x: F.struct(x["species"].alias("species"), F.lit(1.0).alias("score")))
-    sets = cands.groupBy(*READ).agg(F.array_sort(F.collect_list(F.struct("species", F.col("score").cast("double").alias("score")))).alias("set"))
+    sets = cands.groupBy(*READ).agg(F.sort_array(F.collect_list(F.struct("species", F.col("score").cast("double").alias("score")))).alias("set"))
     sets = sets.withColumn("set", F.when(F.size("set") == 1, only).otherwise(F.col("set"))).groupBy("sample", "set").agg(F.count("*").alias("reads"))
-    return stage(stage(sets.withColumn("class", F.monotonically_increasing_id())).select("sample", "class", "reads", F.inline("set")))
+    return stage(sets.withColumn("class", F.monotonically_increasing_id()).select("sample", "class", "reads", F.inline("set")))
 
 
 def em_abundance(cands: DataFrame, lengths: DataFrame, rounds: int = 20, tolerance: float = 1e-6, least_length: float = 1000.0) -> DataFrame:
@@ -32,9 +33,10 @@ def em_abundance(cands: DataFrame, lengths: DataFrame, rounds: int = 20, toleran
 
     Starts uniform; a round gives each read's weight to its species by share times score (evenly where that is 0), divides
     by the length (least_length at least) and normalises. Stops when no share moves by `tolerance` or more. Rounds work on
-    classes of reads; the shares of a round, a row for each sample and species, are a table in the shared folder.
+    classes of reads, dealt out and sorted once on the executors' disks, so a round whose shares are small shuffles no class;
+    the shares of a round, a row for each sample and species, are a table in the shared folder.
     """
-    classes = read_classes(cands)
+    classes = read_classes(cands).repartition("class").sortWithinPartitions("class", "species").persist(StorageLevel.DISK_ONLY)
     length = F.greatest(F.coalesce("length", F.lit(0.0)).cast("double"), F.lit(least_length)).alias("len")
     species = stage(classes.select("sample", "species").distinct().join(lengths, "species", "left").select("sample", "species", length))
     of_sample = Window.partitionBy("sample")
@@ -47,11 +49,14 @@ def em_abundance(cands: DataFrame, lengths: DataFrame, rounds: int = 20, toleran
         share = new.drop("moved")
         if moved is None or moved < tolerance:
             break
+    classes.unpersist()
     return share
 
 
 def em_assign(cands: DataFrame, share: DataFrame) -> DataFrame:
     """One row per read: the species of the largest posterior (the least id of equals, see EQUAL), and the posterior."""
-    rows = _posterior(cands, share).withColumn("top", F.max("post").over(Window.partitionBy(*READ)))
-    best = F.min(F.when(F.col("post") >= F.col("top") * (1 - EQUAL), F.struct("species", "post"))).alias("b")
-    return rows.groupBy(*READ).agg(best, F.count("*").alias("candidate_count")).select(*READ, "b.species", F.col("b.post").alias("posterior"), "candidate_count")
+    own = Window.partitionBy(*READ).orderBy("species")
+    whole = own.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    rows = _posterior(cands, share).withColumns({"top": F.max("post").over(whole), "candidate_count": F.count("*").over(whole)})
+    rows = rows.where(F.col("post") >= F.col("top") * (1 - EQUAL)).withColumn("place", F.row_number().over(own)).where("place = 1")
+    return rows.select(*READ, "species", F.col("post").alias("posterior"), "candidate_count")

@@ -2,7 +2,7 @@
 
 import math
 
-from hitloom.operators import assign, intervals
+from hitloom.operators import assign, em, intervals
 from hitloom.plans import q_hits
 
 
@@ -31,3 +31,19 @@ def test_local_depth_equals_a_count_of_bases(spark):
         assert len(got) == len(want) and all(abs(d - want[h][0]) < 1e-12 and abs(w - want[h][1]) < 1e-12 for h, d, w in got)
     assert assign.local_depth_weights(hits.limit(0)).count() == 0
     assert assign.local_depth_weights(hits, intervals.depth_segments(hits.limit(0))).count() == 0
+
+
+def test_em_rounds_shuffle_no_class_and_assign_sorts_once(spark, monkeypatch):
+    plans, real = [], em.stage
+    monkeypatch.setattr(em, "stage", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or real(df))
+    rows = [("s", "a", 1, 9.0), ("s", "a", 2, 9.0), ("s", "b", 1, 5.0), ("s", "c", 3, 5.0), ("s", "d", 2, 9.0), ("s", "d", 1, 9.0), ("t", "a", 2, 0.0), ("t", "a", 4, 0.0)]
+    more = [("u", f"x{i}", k, i + 1.0) for i in range(2000) for k in (1, 2)]  # classes of their own, larger than the shares
+    cands = spark.createDataFrame(rows + more, "sample string, query string, species int, score double")
+    share = em.em_abundance(cands, spark.createDataFrame([(1, 1000.0)], "species int, length double"), rounds=2, tolerance=0.0)
+    assert len(plans) == 4 and sum("collect_list" in p for p in plans) == 1  # classes, species and two rounds; the classes are made in one table
+    for p in plans[2:]:
+        assert "InMemoryRelation" in p and "hashpartitioning(class" not in p.split("InMemoryRelation")[0]
+    best = em.em_assign(cands, share)
+    assert "Aggregate" not in plan_of(best)
+    assert {(r["sample"], r["query"], r.species, round(r.posterior, 6), r.candidate_count) for r in best.where("sample != 'u'").collect()} == {("s", "a", 1, 0.777778, 2), ("s", "b", 1, 1.0, 1), ("s", "c", 3, 1.0, 1), ("s", "d", 1, 0.777778, 2), ("t", "a", 2, 0.5, 2)}
+    assert not spark.sparkContext._jsc.getPersistentRDDs()
