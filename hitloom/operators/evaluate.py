@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from hitloom.functions.stage import stage
 from hitloom.operators.cohort import rpk_share
 
 
@@ -50,21 +51,19 @@ def composition_with_fp(reads: DataFrame, truth: DataFrame, host_taxids: list[in
 def parameter_grid(hits: DataFrame, grid: DataFrame, truth: DataFrame, min_reads: int = 3) -> DataFrame:
     """One job for all cells of grid (cell, min_identity, min_length): per (cell, sample) reads, taxa and detection scores.
 
-    The grid is the caller's list of parameters and stands in the plan as a constant. A hit passes some of its identities
-    and some of its lengths; of a read's hits that pass the same, only the best can win a cell, so hits are reduced to
-    these before they meet the cells, by no join.
+    The grid is the caller's list of parameters and stands in the plan as a constant. Hits are dealt out by read as they are
+    read, so no task sorts a file's hits, and no hit is multiplied: a read has the best hit of each cell in a column of its own.
     """
     cells = [(r["cell"], float(r["min_identity"]), float(r["min_length"])) for r in grid.select("cell", "min_identity", "min_length").collect()]
     if not cells:
         cells = [(None, float("inf"), float("inf"))]
-    passed = lambda column, k: F.size(F.filter(F.lit(sorted({c[k] for c in cells})), lambda x: x <= F.col(column)))
-    order = F.max(F.struct("bits", "fident", (-F.col("taxid")).alias("t"))).alias("b")
-    own = hits.select("sample", "query", "taxid", "fident", "bits", passed("fident", 1).alias("i"), passed("alnlen", 2).alias("l")).where("i > 0 and l > 0").groupBy("sample", "query", "i", "l").agg(order)
-    place = {k: {x: n + 1 for n, x in enumerate(sorted({c[k] for c in cells}))} for k in (1, 2)}
-    table = F.array(*(F.struct(F.lit(c).alias("cell"), F.lit(place[1][i]).alias("i"), F.lit(place[2][n]).alias("l")) for c, i, n in cells))
-    met = own.select("sample", "query", "b", F.explode(F.filter(table, lambda c: (c["i"] <= F.col("i")) & (c["l"] <= F.col("l")))["cell"]).alias("cell"))
-    best = met.groupBy("cell", "sample", "query").agg(F.max("b").alias("b")).select("cell", "sample", (-F.col("b.t")).alias("taxid"))
-    counts = best.groupBy("cell", "sample", "taxid").agg(F.count("*").alias("n"))
+    least = F.lit(min(c[1] for c in cells)), F.lit(min(c[2] for c in cells))
+    own = hits.where((F.col("fident") >= least[0]) & (F.col("alnlen") >= least[1])).select("sample", "query", "taxid", "fident", "alnlen", "bits").repartition("sample", "query")
+    hit = F.struct("bits", "fident", (-F.col("taxid")).alias("t"))
+    best = own.groupBy("sample", "query").agg(*(F.max(F.when((F.col("fident") >= i) & (F.col("alnlen") >= n), hit)).alias(f"b{k}") for k, (_, i, n) in enumerate(cells)))
+    rows = best.select("sample", F.inline(F.array(*(F.struct(F.lit(c).cast(grid.schema["cell"].dataType).alias("cell"), F.col(f"b{k}").alias("b")) for k, (c, _, _) in enumerate(cells)))))
+    best = rows.where("b is not null").select("cell", "sample", (-F.col("b.t")).alias("taxid"))
+    counts = stage(best.groupBy("cell", "sample", "taxid").agg(F.count("*").alias("n")))  # for the totals and the scores
     totals = counts.groupBy("cell", "sample").agg(F.sum("n").alias("reads"), F.count_if(F.col("n") >= min_reads).alias("taxa"))
     scores = score_detection(counts.where(F.col("n") >= min_reads), truth, ("cell", "sample"))
     return totals.join(scores, ["cell", "sample"], "left")

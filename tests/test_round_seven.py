@@ -2,7 +2,7 @@
 
 import math
 
-from hitloom.operators import assign, em, intervals
+from hitloom.operators import assign, em, evaluate, intervals
 from hitloom.plans import q_hits
 
 
@@ -47,3 +47,16 @@ def test_em_rounds_shuffle_no_class_and_assign_sorts_once(spark, monkeypatch):
     assert "Aggregate" not in plan_of(best)
     assert {(r["sample"], r["query"], r.species, round(r.posterior, 6), r.candidate_count) for r in best.where("sample != 'u'").collect()} == {("s", "a", 1, 0.777778, 2), ("s", "b", 1, 1.0, 1), ("s", "c", 3, 1.0, 1), ("s", "d", 1, 0.777778, 2), ("t", "a", 2, 0.5, 2)}
     assert not spark.sparkContext._jsc.getPersistentRDDs()
+
+
+def test_grid_deals_hits_out_once_and_counts_once(spark, monkeypatch):
+    plans, real = [], evaluate.stage
+    monkeypatch.setattr(evaluate, "stage", lambda df: plans.append(plan_of(df)) or real(df))
+    rows = [("s", f"r{i}", t, f, n, b) for i in range(3) for t, f, n, b in [(1, 0.95, 60, 9.0), (2, 0.95, 60, 9.0), (3, 0.8, 90, 50.0), (4, None, 90, 60.0), (5, 0.99, 40, 70.0)]]
+    hits = spark.createDataFrame(rows + [("s", "z", 3, 0.8, 90, 1.0)], "sample string, query string, taxid int, fident double, alnlen int, bits double")
+    grid = spark.createDataFrame([("low", 0.7, 50), ("mid", 0.9, 50), ("short", 0.9, 30), ("none", 1.0, 50)], "cell string, min_identity double, min_length int")
+    truth = spark.createDataFrame([("g", 1), ("h", 3)], "truth_group string, taxid int")
+    got = {r.cell: (r.reads, r.taxa, r.tp, r.fp) for r in evaluate.parameter_grid(hits, grid, truth).collect()}
+    assert got == {"low": (4, 1, 1, 0), "mid": (3, 1, 1, 0), "short": (3, 1, 0, 1)}
+    assert len(plans) == 1 and plans[0].count("RepartitionByExpression") == 1 and plans[0].count("Aggregate") == 2
+    assert evaluate.parameter_grid(hits, grid.limit(0), truth).count() == 0
