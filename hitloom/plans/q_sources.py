@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from functools import partial
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -32,10 +33,10 @@ def folder(spark: SparkSession) -> str:
     return f"{own_dir(spark)}/files-{uuid.uuid4().hex}"
 
 
-def put(values: DataFrame) -> str:
-    """Write the lines of `value` as text; the folder."""
+def put(values: DataFrame, **options: str | int) -> str:
+    """Write the lines of `value` as text, with these options of the writer; the folder."""
     path = folder(values.sparkSession)
-    values.select("value").write.text(path)
+    values.select("value").write.options(**options).text(path)
     return path
 
 
@@ -183,12 +184,22 @@ def source_tool_counts(spark, d):
     return out.groupBy("kind", "taxid").agg(F.sum("reads").alias("reads"))
 
 
-def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each partition's lines as a document of their own."""
+DOCUMENT = 50_000  # lines of a BLAST XML document, its first and last among them
+
+
+def _documents(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """Each partition's lines as documents of their own, all but the last of `size` lines: files of as many records hold one document each."""
     line = lambda text: pa.RecordBatch.from_arrays([pa.array([text])], ["value"])
-    yield line("<BlastOutput><BlastOutput_iterations>")
-    yield from batches
-    yield line("</BlastOutput_iterations></BlastOutput>")
+    first, last = line("<BlastOutput><BlastOutput_iterations>"), line("</BlastOutput_iterations></BlastOutput>")
+    room = size - 2
+    yield first
+    for batch in batches:
+        while batch.num_rows > room:
+            yield from (batch.slice(0, room), last, first)
+            batch, room = batch.slice(room), size - 2
+        yield batch
+        room -= batch.num_rows
+    yield last
 
 
 _SHEET = "sheet AS (SELECT concat('p', CAST(s_suppkey % 40 AS STRING), CASE WHEN s_suppkey % 29 = 0 THEN ' x' ELSE '' END) AS sample, concat('f', CAST(s_suppkey AS STRING), CASE WHEN s_suppkey % 11 = 0 THEN '.txt' ELSE '.fastq.gz' END) AS fastq_1, CASE WHEN s_suppkey % 2 = 0 THEN concat('g', CAST(s_suppkey AS STRING), '.fq.gz') END AS fastq_2 FROM supplier)"
@@ -224,8 +235,10 @@ def source_blast_xml(spark, d):
         tag("Hsp_identity", F.floor(F.col("alen") * F.col("pid") / 100)), tag("Hsp_align-len", F.col("alen")),
     )
     line = F.concat(F.lit("<Iteration>"), tag("Iteration_query-def", F.concat("query", F.lit(" a virus"))), F.lit("<Iteration_hits><Hit>"), tag("Hit_accession", F.col("hit")), F.lit("<Hit_def>x</Hit_def><Hit_hsps><Hsp>"), hsp, F.lit("</Hsp></Hit_hsps></Hit></Iteration_hits></Iteration>"))
-    files = h.select(line.alias("value")).mapInArrow(_documents, "value string")
-    return readers.read_blast_xml(spark, put(files)).withColumn("pid", F.round("pid", 9))
+    files = h.select(line.alias("value")).mapInArrow(partial(_documents, size=DOCUMENT), "value string")
+    # tags are most of a document; a compressed one is read in one split, so it is short
+    path = put(files, compression="gzip", maxRecordsPerFile=DOCUMENT)
+    return readers.read_blast_xml(spark, path).withColumn("pid", F.round("pid", 9))
 
 
 _WIDE = ", ".join(f"sum(CASE WHEN sample = 'c{i}' THEN reads ELSE 0 END)::DOUBLE AS c{i}" for i in range(24))

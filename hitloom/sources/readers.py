@@ -453,7 +453,7 @@ def read_blast_xml(spark: SparkSession, path: str) -> DataFrame:
     """HSPs (query, hit, alen, pid, strand, qf, qt, hf, ht) of BLAST XML, one row tag for each query.
 
     Files are read as text that ends at `</Iteration>`, in splits of any size, so that a task reads no whole file and holds one query at
-    a time; the lines of an Iteration may be broken anywhere.
+    a time; the lines of an Iteration may be broken anywhere. Compressed files are one split each.
     """
     hsp = "struct<`Hsp_query-from`:int,`Hsp_query-to`:int,`Hsp_hit-from`:int,`Hsp_hit-to`:int,`Hsp_identity`:int,`Hsp_align-len`:int>"
     schema = f"`Iteration_query-def` string, Iteration_hits struct<Hit:array<struct<Hit_accession:string,Hit_def:string,Hit_hsps:struct<Hsp:array<{hsp}>>>>>"
